@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolspark.llm import bpe, token_count
+from poolspark.llm import bpe, line_dedup, sharding, token_count
 from poolspark.llm.common import documents
 
 
@@ -24,9 +24,26 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(documents(spark, sf_dir), word_vocabulary(), limit=2048)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(line_dedup.dedup(documents(spark, sf_dir), min_chars=10))
+
+
+#: Bytes of text that a shard may hold.
+SHARD_BYTES = 32 << 20
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_map(documents(spark, sf_dir), SHARD_BYTES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_sharding": op4_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": line_dedup.ORACLE,
+    "op4_sharding": sharding.oracle(SHARD_BYTES),
+}
