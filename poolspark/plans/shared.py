@@ -51,3 +51,14 @@ def release(df: DataFrame) -> None:
         if "/poolspark-" in folder:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialize_bucketed(df: DataFrame, label: str, buckets: int, column: str) -> DataFrame:
+    """Write ``df`` to the warehouse in buckets of ``column``, so a later join on it need not move it again."""
+    spark = df.sparkSession
+    name = f"poolspark_{label}_{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").bucketBy(buckets, column).saveAsTable(name)
+    location = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.table(name)
