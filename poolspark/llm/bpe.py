@@ -3,11 +3,12 @@
 1. *Split.*  Texts are cut into the tokenizer's words.  A chunk of up to
    ``CHUNK_BYTES`` of text becomes one row: its distinct words and, for every
    document, the positions of its words in that list.
-2. *Encode.*  The chunks' word lists are dealt out by word, so each distinct
-   word meets all its chunks in one place and is merged once.  A word occurs
-   at most once in a chunk's list, so even the most frequent word has one row
-   for each chunk and no partition grows with it.
-3. *Join back.*  The ids return to their chunk and are gathered by position.
+2. *Encode.*  The chunks' word lists are dealt out by a hash of the word, so
+   each distinct word meets all its chunks in one place and is merged once.  A
+   word occurs at most once in a chunk's list, so even the most frequent word
+   comes once from each chunk and no partition grows with it.
+3. *Join back.*  The ids return to their chunk, whose rows lie in a bucketed table
+   and do not move again, and are gathered by position.
 4. *Decode.*  Ids are joined with the vocabulary's pieces by id; the pieces
    are joined by spaces, which is what the library does without a decoder.
 
@@ -30,12 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poolspark.llm.common import slices
-from poolspark.plans.shared import materialize
+from poolspark.plans.shared import materialize_bucketed
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CHUNK_BYTES = 16 << 20
-SLICE_BYTES = 4 << 20
+SLICE_BYTES, SLICE_WORDS = 4 << 20, 1 << 19
 
 # Below U+0300 these are the tokenizer's white space and word classes.
 _WS = "\t\n\x0b\x0c\r \x85\xa0"
@@ -137,8 +138,25 @@ def vocabulary(path: str) -> pa.Array:
     return pa.array([pieces.get(i, "") for i in range(max(pieces) + 1)], pa.large_string())
 
 
-def _chunks(path: str, seen):
-    """Rows (chunk_id, words, docs, counts, codes) from batches of (doc_id, text)."""
+def _pack(values: np.ndarray) -> bytes:
+    """Integers as byte planes, compressed: bytes of a place stand together."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
+#: A chunk has one row with its documents and codes (bucket -1) and one for each bucket of its words.
+CHUNK_SCHEMA = "chunk_id long, bucket int, docs array<long>, counts array<long>, codes binary, n int, pos binary, words binary, size long"
+_CHUNK_ARROW = pa.schema([("chunk_id", pa.int64()), ("bucket", pa.int32()), ("docs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("codes", pa.binary()), ("n", pa.int32()), ("pos", pa.binary()), ("words", pa.binary()), ("size", pa.int64())])
+
+
+def _chunks(path: str, buckets: int, seen):
+    """Rows of CHUNK_SCHEMA from batches of (doc_id, text)."""
+    from pandas.util import hash_array
     from pyspark import TaskContext
 
     split, part, seq = splitter(path), TaskContext.get().partitionId(), 0
@@ -151,19 +169,16 @@ def _chunks(path: str, seen):
         order = np.argsort(-np.bincount(codes, minlength=n), kind="stable")  # frequent words get small codes
         rank = np.empty(n, np.uint32)
         rank[order] = np.arange(n, dtype=np.uint32)
-        codes = rank[codes].astype("<u4")
-        planes = np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T)  # bytes of a place together, for the compressor
-        row = pa.record_batch(
-            {
-                "chunk_id": pa.array([(part << 32) + seq], pa.int64()),
-                "words": pa.array([coded.dictionary.take(pa.array(order)).cast(pa.string())], pa.list_(pa.string())),
-                "docs": pa.array([pa.concat_arrays(docs)], pa.list_(pa.int64())),
-                "counts": pa.array([np.concatenate(counts)], pa.list_(pa.int64())),
-                "codes": pa.array([pa.compress(planes.tobytes(), "zstd", asbytes=True)], pa.binary()),
-            }
-        )
+        uid = (part << 32) + seq
+        rows = [{"chunk_id": uid, "bucket": -1, "docs": pa.concat_arrays(docs).to_pylist(), "counts": np.concatenate(counts), "codes": _pack(rank[codes])}]
+        own = coded.dictionary.take(pa.array(order)).to_numpy(zero_copy_only=False)
+        dealt = (hash_array(own, categorize=False) % buckets).astype(np.int32) if n else np.empty(0, np.int32)
+        by = np.argsort(dealt, kind="stable")
+        for pos in np.split(by, np.flatnonzero(np.diff(dealt[by])) + 1) if n else []:
+            text = "\n".join(own[pos]).encode()  # no word holds white space
+            rows.append({"chunk_id": uid, "bucket": int(dealt[pos[0]]), "n": len(pos), "pos": _pack(np.diff(pos, prepend=0)), "words": pa.compress(text, "zstd", asbytes=True), "size": len(text)})
         docs, counts, words, held, seq = [], [], [], 0, seq + 1
-        return row
+        return pa.RecordBatch.from_pylist(rows, _CHUNK_ARROW)
 
     for batch in seen:
         ids, texts = batch.column(0), batch.column(1)
@@ -181,46 +196,51 @@ def _chunks(path: str, seen):
         yield out()
 
 
-CHUNK_SCHEMA = "chunk_id long, words array<string>, docs array<long>, counts array<long>, codes binary"
+IDS_SCHEMA = "chunk_id long, n int, pos binary, lens binary, ids binary, total long"
+_IDS_ARROW = pa.schema([("chunk_id", pa.int64()), ("n", pa.int32()), ("pos", pa.binary()), ("lens", pa.binary()), ("ids", pa.binary()), ("total", pa.int64())])
 
 
 def _encode_words(path: str, seen):
-    """(chunk_id, pos, word) sorted by word -> (chunk_id, pos, ids); each distinct word is merged once."""
-    enc, last, last_ids = encoder(path), None, None
+    """(bucket, chunk_id, n, pos, words, size) by bucket -> IDS_SCHEMA; each distinct word of a bucket is merged once."""
+    enc, at, known = encoder(path), None, {}
+    for batch in seen:
+        for row in batch.to_pylist():
+            if row["bucket"] != at:
+                at, known = row["bucket"], {}
+            words = pa.decompress(row["words"], row["size"], "zstd", asbytes=True).decode().split("\n")
+            todo = [w for w in words if w not in known]
+            known.update(zip(todo, enc(todo), strict=True))
+            own = [known[w] for w in words]
+            lens = np.fromiter(map(len, own), np.uint32, len(own))
+            ids = np.fromiter((i for x in own for i in x), np.uint32, int(lens.sum()))
+            yield pa.RecordBatch.from_pylist([{"chunk_id": row["chunk_id"], "n": row["n"], "pos": row["pos"], "lens": _pack(lens), "ids": _pack(ids), "total": len(ids)}], _IDS_ARROW)
+
+
+def _gather(path: str, decode: bool, seen):
+    """Batches of (docs, counts, codes, packs): the ids of a chunk's words, by position, back into its documents."""
     for batch in seen:
-        coded = pa.chunked_array([batch.column(2)]).combine_chunks().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        todo = [w for w in words if w != last]
-        ids = dict(zip(todo, (np.asarray(x, "<u4").tobytes() for x in enc(todo)), strict=True))
-        if last is not None:
-            ids[last] = last_ids
-        if words:
-            last, last_ids = words[-1], ids[words[-1]]
-        out = pa.array([ids[w] for w in words], pa.binary()).take(coded.indices)
-        yield pa.record_batch({"chunk_id": batch.column(0), "pos": batch.column(1), "ids": out})
-
-
-def _gather(path: str, decode: bool, chunk: pa.Table, words: pa.Table) -> pa.Table:
-    """The ids of a chunk's words, by position, back into its documents."""
-    docs = chunk.column("docs").combine_chunks().flatten()
-    counts = chunk.column("counts").combine_chunks().flatten().to_numpy()
-    total = int(counts.sum())
-    planes = np.frombuffer(pa.decompress(chunk.column("codes")[0].as_py(), total * 4, "zstd", asbytes=True), np.uint8)
-    codes = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
-    order = np.argsort(words.column("pos").to_numpy())
-    own = words.column("ids").combine_chunks().take(pa.array(order))
-    lens = pc.binary_length(own).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-    flat = np.frombuffer(b"".join(own.to_pylist()), "<u4")
-    starts = np.concatenate([[0], np.cumsum(lens)])
-    table = pa.LargeListArray.from_arrays(pa.array(starts, pa.int64()), pa.array(flat, pa.uint32()))
-    run = np.concatenate([[0], np.cumsum(lens[codes])]) if total else np.zeros(1, np.int64)
-    ends = np.concatenate([[0], run[np.cumsum(counts)]]).astype(np.int64)
-    ids = table.take(pa.array(codes)).flatten().to_numpy() if total else np.empty(0, np.uint32)
-    raw = ids.astype("<u4").tobytes()
-    out = {"doc_id": docs, "ids": pa.array([raw[4 * a : 4 * b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())}
-    if decode:
-        out["decoded"] = decode_ids(path, ids, ends)
-    return pa.table(out)
+        for i in range(batch.num_rows):
+            row = {n: batch.column(n)[i] for n in ("counts", "codes", "packs")}
+            docs = batch.column("docs").slice(i, 1).flatten()
+            counts = row["counts"].values.to_numpy()
+            codes = _unpack(row["codes"].as_py(), int(counts.sum()))
+            packs = row["packs"].as_py() or []
+            pos = np.concatenate([np.cumsum(_unpack(w["pos"], w["n"]).view(np.int32)) for w in packs] or [np.empty(0, np.int64)])
+            lens = np.concatenate([_unpack(w["lens"], w["n"]) for w in packs] or [np.empty(0, np.uint32)]).astype(np.int64)
+            flat = np.concatenate([_unpack(w["ids"], w["total"]) for w in packs] or [np.empty(0, np.uint32)])
+            table = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int64()), pa.array(flat, pa.uint32()))
+            where = np.argsort(pos)  # pos is a permutation of the chunk's codes
+            edges = np.concatenate([[0], np.cumsum(counts)])
+            for a, b in slices(counts, SLICE_WORDS):
+                own = where[codes[edges[a] : edges[b]]]
+                run = np.concatenate([[0], np.cumsum(lens[own])])
+                ends = run[edges[a : b + 1] - edges[a]].astype(np.int64)
+                ids = table.take(pa.array(own)).flatten().to_numpy() if len(own) else np.empty(0, np.uint32)
+                raw = ids.astype("<u4").tobytes()
+                out = {"doc_id": docs.slice(a, b - a), "ids": pa.array([raw[4 * x : 4 * y] for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())}
+                if decode:
+                    out["decoded"] = decode_ids(path, ids, ends)
+                yield pa.record_batch(out)
 
 
 def decode_ids(path: str, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -232,19 +252,22 @@ def decode_ids(path: str, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.concat_arrays(texts) if texts else pa.array([], pa.string())
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, buckets: int = 0) -> DataFrame:
     """(doc_id, ids[, decoded]): token ids as little-endian unsigned 32-bit integers.
 
     ``decode`` adds the text that the ids stand for, special tokens kept.
+    ``buckets``: into how many parts the distinct words are dealt; a worker holds
+    the distinct words of one.  Unset: the session's number of shuffle partitions.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    chunks = materialize(own.mapInArrow(lambda seen: _chunks(path, seen), CHUNK_SCHEMA), "bpe-chunks")
-    pairs = chunks.select("chunk_id", F.posexplode("words").alias("pos", "word"))
-    words = pairs.repartition("word").sortWithinPartitions("word")
-    ids = words.mapInArrow(lambda seen: _encode_words(path, seen), "chunk_id long, pos int, ids binary")
-    out = "doc_id long, ids binary" + ", decoded string" * decode
-    rest = chunks.select("chunk_id", "docs", "counts", "codes")
-    return rest.groupBy("chunk_id").cogroup(ids.groupBy("chunk_id")).applyInArrow(lambda c, w: _gather(path, decode, c, w), out)
+    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize_bucketed(own.mapInArrow(lambda seen: _chunks(path, buckets, seen), CHUNK_SCHEMA), "chunks", buckets, "chunk_id")
+    words = rows.where("bucket >= 0").select("bucket", "chunk_id", "n", "pos", "words", "size").repartition("bucket").sortWithinPartitions("bucket")
+    ids = words.mapInArrow(lambda seen: _encode_words(path, seen), IDS_SCHEMA)
+    packs = ids.groupBy("chunk_id").agg(F.collect_list(F.struct("n", "pos", "lens", "ids", "total")).alias("packs"))
+    chunks = rows.where("bucket < 0").select("chunk_id", "docs", "counts", "codes")
+    joined = chunks.join(packs, "chunk_id", "left").select("docs", "counts", "codes", "packs")
+    return joined.mapInArrow(lambda seen: _gather(path, decode, seen), "doc_id long, ids binary" + ", decoded string" * decode)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

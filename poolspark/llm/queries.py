@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolspark.llm import bpe, line_dedup, sharding, token_count
-from poolspark.llm.common import documents
+from poolspark.llm import bpe, decontam, line_dedup, secrets, sharding, token_count, url_filter
+from poolspark.llm.common import documents, table
 
 
 def word_vocabulary() -> str:
@@ -36,14 +36,32 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_map(documents(spark, sf_dir), SHARD_BYTES)
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(documents(spark, sf_dir)))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), percent=80, width=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_counts": op2_token_counts,
     "op3_line_dedup": op3_line_dedup,
     "op4_sharding": op4_sharding,
+    "op7_url_filter": op7_url_filter,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op4_sharding": sharding.oracle(SHARD_BYTES),
+    "op7_url_filter": url_filter.oracle(),
+    "op9_secret_scan": secrets.oracle(),
+    "op10_decontamination": decontam.ORACLE,
 }
