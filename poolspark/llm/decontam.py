@@ -39,6 +39,11 @@ def words(text: Column) -> Column:
     return F.when(own == "", F.array().cast("array<string>")).otherwise(F.split(own, "[\\x20\\x09-\\x0D]+"))
 
 
+def _once(value: Column) -> Column:
+    """The value as a generator's row, so that no filter is moved below it and computes it again for each element."""
+    return F.explode(F.array(value))
+
+
 def _hashes(w: str, width: int) -> Column:
     """64-bit hashes of all windows of ``width`` words."""
     args = ", ".join(f"{w}[i + {j}]" for j in range(width))
@@ -51,7 +56,7 @@ def _texts(w: str, width: int) -> Column:
 
 def item_shingles(items: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """(item_id, width, shingle, hash, n_item): distinct shingles."""
-    own = items.select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("w")).where("size(w) > 0")
+    own = items.select(F.col(id_col).alias("item_id"), _once(words(F.col(text_col))).alias("w")).where("size(w) > 0")
     cases = F.when(F.size("w") >= width, F.lit(width)).otherwise(F.size("w"))
     own = own.withColumn("width", cases)
     texts, hashes = F.array().cast("array<string>"), F.array().cast("array<long>")
@@ -75,14 +80,14 @@ def contained(docs: DataFrame, items: DataFrame, percent: int = 80, width: int =
     ranked = shingles.groupBy("item_id", "width", "n_item").agg(F.array_sort(F.collect_set("hash")).alias("hs"))
     minima = ranked.withColumn("part", F.floor(F.log2("n_item")).cast("int")).withColumn("k", F.expr(f"n_item - {need('n_item', percent)} + 1")).select("item_id", "width", "n_item", "part", F.explode(F.expr("slice(hs, 1, cast(k as int))")).alias("hash"))
     minima = materialize(minima, "leak-minima")
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), words(F.col(text_col)).alias("w"))
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), _once(words(F.col(text_col))).alias("w"))
     # one row for each width and size partition of the items: as many as there are powers of two
     parts = [r.asDict() for r in minima.groupBy("width", "part").agg(F.max("hash").alias("most"), F.min("n_item").alias("least")).collect()]
     found = None
     for k in sorted({p["width"] for p in parts}):
         mine = [p for p in parts if p["width"] == k]
         low = f"filter(hs, h -> h <= {max(p['most'] for p in mine)}L)"
-        hashed = own.select("doc_id", _hashes("w", k).alias("hs")).where(F.expr(f"size(hs) >= {min(-(-p['least'] * percent // 100) for p in mine)}"))
+        hashed = own.select("doc_id", _once(_hashes("w", k)).alias("hs")).where(F.expr(f"size(hs) >= {min(-(-p['least'] * percent // 100) for p in mine)}"))
         probes = hashed.select("doc_id", F.size("hs").alias("n_doc"), F.explode(F.expr(low)).alias("hash"))
         pairs = probes.join(held(minima.where(F.col("width") == k)), "hash").where(F.expr(f"n_doc >= {need('n_item', percent)}")).select("doc_id", "item_id").distinct()
         found = pairs if found is None else found.unionByName(pairs)

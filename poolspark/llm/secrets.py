@@ -83,7 +83,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     bound = "CASE " + " ".join(f"WHEN w rlike '{p}' THEN {h}" for _, p, h in CLASSES) + " END"
     rows = rows.withColumn("can", F.expr(f"IF(hit, transform(filter(sequence(0, size(ms) - 1), i -> {may}), i -> named_struct('at', at[i], 'w', ms[i])), array())"))
     # log2(W) - sum / W, highest where the sum is least
-    strong = f"transform(array(named_struct('w', c.w, 's', split(c.w, ''))), x -> round(log2({WINDOW}) - {_min_sum('x.s')} / {WINDOW}, 6) >= {bound.replace('w rlike', 'x.w rlike')})[0]"
+    strong = f"transform(array(named_struct('w', c.w, 's', split(c.w, ''))), cand -> round(log2({WINDOW}) - {_min_sum('cand.s')} / {WINDOW}, 6) >= {bound.replace('w rlike', 'cand.w rlike')})[0]"
     spans = f"transform(filter(can, c -> {strong}), c -> named_struct('start', c.at, 'ord', 3, 'end', c.at + length(c.w), 'kind', 'entropy'))"
     rows = rows.withColumn("extra", F.expr(f"IF(size(can) > 0, {spans}, cast(array() as {SPAN}))"))
     return rows.select("doc_id", *PATTERNS, "base", F.array_sort(F.concat("base", "extra")).alias("spans"))
