@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolspark.llm import bpe, decontam, line_dedup, secrets, sharding, token_count, url_filter
+from poolspark.llm import bpe, decontam, jaccard_join, line_dedup, secrets, sharding, token_count, url_filter
 from poolspark.llm.common import documents, table
 
 
@@ -40,6 +40,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir), percent=80, width=5)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(documents(spark, sf_dir)))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_sharding": op4_sharding,
     "op7_url_filter": op7_url_filter,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_decontamination": op10_decontamination,
 }
