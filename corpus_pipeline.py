@@ -1,14 +1,57 @@
-"""Corpus pipeline: quality, line dedup, near duplicates, leaks, tokens."""
+"""Corpus pipeline: quality, line dedup, near duplicates, leaks, tokens.
+
+Each stage takes (spark, docs, sf_dir) and works on every document that the
+one before it kept.  All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from poolspark.llm import bpe, decontam, jaccard_join, line_dedup, quality_mil
+from poolspark.llm.common import documents, table
+from poolspark.llm.queries import word_vocabulary
+from poolspark.plans.shared import materialize
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    model = quality_mil.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_mil.with_score(docs, model).where(F.col("score") >= 0.7).select(docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier document holds; their length follows."""
+    drops = line_dedup.index(docs, min_chars=10).drops()
+    return line_dedup.strip(docs, drops).select(*[F.col(c) if c != "n_chars" else F.char_length("text").cast("long").alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    groups = jaccard_join.near_duplicates(docs, percent=80, width=5)
+    lost = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("lost"))
+    return docs.join(lost, docs["doc_id"] == lost["lost"], "left_anti")
+
+
+def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), percent=80, width=5)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and the digests of ids and decoded text."""
+    return bpe.digests(bpe.encode(docs, word_vocabulary(), decode=True))
+
+
+STAGES = [("quality classifier", quality), ("line dedup", lines), ("near duplicates", near_duplicates), ("benchmark decontamination", leaks), ("BPE", tokens)]
+
+#: A learned classifier and a tokenizer have no SQL; the tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    """The stages in order over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

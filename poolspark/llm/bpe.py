@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolspark.llm.common import slices
+from poolspark.llm.common import plain, slices
 from poolspark.plans.shared import materialize_bucketed
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -70,7 +70,7 @@ class WordSplitter:
 
     def __call__(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All words, and the number of words of each text."""
-        texts = texts.fill_null("").cast(pa.large_string())
+        texts = plain(texts)
         slow = pc.match_substring_regex(texts, _SLOW).to_numpy(zero_copy_only=False)
         fast = pc.if_else(pa.array(slow), pa.scalar("", pa.large_string()), texts)
         marked = pc.replace_substring_regex(pc.utf8_lower(fast), _WORD, "\\0\n")

@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from poolspark.llm.common import LOWER, UPPER
 from poolspark.plans.shared import materialize
@@ -257,11 +258,11 @@ class LineIndex:
         return lost.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
 
-def _strip(seen):
+def _strip(text_col: str, seen):
     trim = re.compile(rf"^[{_TRIM}]+|[{_TRIM}]+\Z")
     for batch in seen:
         kept, lines, dropped = [], [], []
-        for text, keys in zip(batch.column("text").to_pylist(), batch.column("keys").to_pylist(), strict=True):
+        for text, keys in zip(batch.column(text_col).to_pylist(), batch.column("__keys").to_pylist(), strict=True):
             text = text or ""
             lines.append(text.count("\n") + 1)
             if not keys:
@@ -272,23 +273,28 @@ def _strip(seen):
             stay = [x for x in own if hashlib.md5(trim.sub("", x).translate(_LOWER_TABLE).encode()).digest() not in lost]
             kept.append("\n".join(stay))
             dropped.append(len(own) - len(stay))
-        names = [n for n in batch.schema.names if n not in ("text", "keys")]
-        yield pa.record_batch({n: batch.column(n) for n in names} | {"text": pa.array(kept, pa.string()), "n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())})
+        out = {n: batch.column(n) if n != text_col else pa.array(kept, pa.string()) for n in batch.schema.names if n != "__keys"}
+        yield pa.record_batch(out | {"n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())})
 
 
-def dedup(docs: DataFrame, min_chars: int = 10, shards: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, n_lines, n_dropped): each document's remaining lines.
+def index(docs: DataFrame, min_chars: int = 10, shards: int = 0, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
+    """An index of ``docs``.  ``shards``: unset, the session's number of shuffle partitions."""
+    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return LineIndex.empty(docs.sparkSession, shards, min_chars).insert(docs, id_col=id_col, text_col=text_col)
 
-    Builds an index of ``docs`` and applies it.  ``shards``: unset, the
-    session's number of shuffle partitions.
-    """
-    spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = LineIndex.empty(spark, shards, min_chars).insert(docs, id_col=id_col, text_col=text_col)
+
+def strip(docs: DataFrame, drops: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the lines of ``drops`` taken out of the text, and n_lines and n_dropped."""
+    lost = drops.select(F.col("doc_id").alias("__drop_id"), F.col("keys").alias("__keys"))
+    joined = docs.join(lost, docs[id_col].cast("long").eqNullSafe(F.col("__drop_id")), "left").drop("__drop_id")
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    return joined.mapInArrow(lambda seen: _strip(text_col, seen), schema)
+
+
+def dedup(docs: DataFrame, min_chars: int = 10, shards: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, n_lines, n_dropped): each document's remaining lines, by an index of ``docs``."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    drops = index.drops().withColumnRenamed("doc_id", "drop_id")
-    joined = own.join(drops, own["doc_id"].eqNullSafe(drops["drop_id"]), "left").select("doc_id", "text", "keys")
-    return joined.mapInArrow(_strip, "doc_id long, text string, n_lines long, n_dropped long")
+    return strip(own, index(own, min_chars, shards).drops())
 
 
 def digests(deduped: DataFrame) -> DataFrame:

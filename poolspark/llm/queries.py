@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolspark.llm import bpe, decontam, jaccard_join, line_dedup, secrets, sharding, token_count, url_filter
+from poolspark.llm import bpe, decontam, jaccard_join, line_dedup, quality_mil, quality_rules, secrets, sharding, token_count, url_filter
 from poolspark.llm.common import documents, table
 
 
@@ -36,6 +36,16 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_map(documents(spark, sf_dir), SHARD_BYTES)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_mil.judge(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")), threshold=0.7)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -57,6 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_line_dedup": op3_line_dedup,
     "op4_sharding": op4_sharding,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_url_filter": op7_url_filter,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
