@@ -1 +1 @@
-
+"""Operators, by stage."""
