@@ -18,6 +18,7 @@ from poolspark.operators import genotype as G
 from poolspark.operators import qc as Q
 from poolspark.operators import reports as R
 from poolspark.oracle import ORACLE_SQL as _SQL
+from poolspark.plans.shared import materialize, new_path
 
 TWO = ("Read", "BC", "g1", "as1", "mq1", "nm1", "g2", "as2", "mq2", "nm2", "gl", "asl", "mql", "nml", "n_genomes")
 ROW = ("Read", "BC", "Genome", "MAPQ", "as_", "NM", "XAcount")
@@ -48,7 +49,8 @@ class Views:
 
     @cached_property
     def assigned(self) -> DataFrame:
-        return self.assignment.result()
+        """Written once: the later stages read it several times."""
+        return materialize(self.assignment.result(), "assign")
 
     @cached_property
     def reduced(self) -> DataFrame:
@@ -98,7 +100,7 @@ class Views:
 
     @cached_property
     def rules(self) -> DataFrame:
-        return D.policy(self.simple_calls, self.design)
+        return materialize(D.policy(self.simple_calls, self.design), "rules")
 
     @cached_property
     def gt(self) -> DataFrame:
@@ -127,7 +129,7 @@ class Views:
 
     @cached_property
     def rates(self) -> DataFrame:
-        return R.contamination_rate(self.winners, self.as_mean)
+        return materialize(R.contamination_rate(self.winners, self.as_mean), "rates")
 
     @cached_property
     def samples(self) -> DataFrame:
@@ -160,7 +162,6 @@ def _jsd_seed(v: Views) -> DataFrame:
 
 
 def _tsv(v: Views) -> DataFrame:
-    from poolspark.plans.shared import new_path
     from poolspark.sources import tables
 
     path = f"{new_path(v.spark, 'tsv')}/rows"
@@ -169,7 +170,6 @@ def _tsv(v: Views) -> DataFrame:
 
 
 def _bam(v: Views) -> DataFrame:
-    from poolspark.plans.shared import new_path
     from poolspark.sources import bam
 
     rows = v.qc.where("Genome = 'G1' AND CAST(substr(BC, 3, 6) AS INTEGER) < 50")
@@ -179,7 +179,6 @@ def _bam(v: Views) -> DataFrame:
 
 
 def _stream(v: Views) -> DataFrame:
-    from poolspark.plans.shared import materialize
     from poolspark.streaming import counts
 
     return counts.run_to_end(materialize(v.qc.select("BC"), "stream-in"))
@@ -203,7 +202,7 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "tail_prob": lambda v: A.tail_prob(v.assignment.deltas(v.assignment.edges())),
     "assign_raw": lambda v: v.raw.select(*TWO, "d_as", "d_mq", "d_nm", "decile_as", "decile_mapq", "p_as", "p_mq", "assigned_class"),
     "assign_filtered": lambda v: A.assign_filtered(v.assignment.ranked, v.raw),
-    "friend_rescue": lambda v: v.assigned,
+    "friend_rescue": lambda v: v.assignment.result(),
     "assign_stats": lambda v: A.assign_stats(v.raw, v.chunks),
     "reduce_per_genome": lambda v: v.reduced,
     "gt_read_quality": lambda v: G.read_quality(v.reduced, 30, 1),

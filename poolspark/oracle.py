@@ -145,7 +145,7 @@ STEPS: dict[str, str] = {
         coalesce(s.x.bic, 1e308) AS zs, coalesce(d.x.bic, 1e308) AS zd FROM bic0 b LEFT JOIN single s ON s.barcode = b.barcode LEFT JOIN doublet d ON d.barcode = b.barcode JOIN stats t ON t.barcode = b.barcode JOIN jsd2 j ON j.barcode = b.barcode""",
     "model1": """SELECT *, n_reads < 5 AS low, NOT n_reads < 5 AND bic_empty + 10 < least(zs, zd) AND p_top1 <= 0.6::DOUBLE AND coalesce(ratio12, 1e308) <= 1.5::DOUBLE AS is_empty,
         CASE WHEN bd IS NULL THEN 'single' WHEN bs + 6 < bd THEN 'single' WHEN bd + 6 < bs THEN 'doublet' ELSE 'ambiguous' END AS core FROM model0""",
-    "calls": """SELECT barcode, CASE WHEN low THEN 'low_reads' WHEN is_empty THEN 'empty'
+    "calls": """SELECT m.barcode, CASE WHEN low THEN 'low_reads' WHEN is_empty THEN 'empty'
             WHEN core = 'single' THEN CASE WHEN p_top1 >= 0.6::DOUBLE AND coalesce(ratio12, 1e308) >= 2 AND NOT near THEN 'single_clean' ELSE 'dirty_singlet' END
             WHEN core = 'doublet' THEN CASE WHEN doublet_minor_frac >= 0.2::DOUBLE AND NOT near THEN 'doublet' ELSE 'weak_doublet' END ELSE core END AS call,
         CASE WHEN low THEN NULL WHEN is_empty THEN 'empty' ELSE mo END AS model, g1.genome AS genome_1, g2.genome AS genome_2,
@@ -253,11 +253,11 @@ ORACLE_SQL: dict[str, str] = {
         "eta_learned": f"SELECT genome, {_r('eta')} FROM eta2",
         "jsd_to_eta": f"SELECT barcode, {_r('jsd')} FROM jsd0",
         "jsd_seed": "SELECT barcode, round(j, 6) AS jsd FROM seed1",
-        "phi_chi": f"""WITH a AS (SELECT s.barcode, s.top_genome AS anchor FROM stats s JOIN reads r ON r.barcode = s.barcode WHERE r.n_reads >= 10 AND coalesce(s.ratio12, 1e308) >= 2),
+        "phi_chi": f"""SELECT * FROM (WITH a AS (SELECT s.barcode, s.top_genome AS anchor FROM stats s JOIN reads r ON r.barcode = s.barcode WHERE r.n_reads >= 10 AND coalesce(s.ratio12, 1e308) >= 2),
             n AS (SELECT anchor, count(*) AS n FROM a GROUP BY anchor), x AS (SELECT a.anchor, m.genome AS target, sum(m.c) AS c FROM a JOIN mass m ON m.barcode = a.barcode GROUP BY ALL),
             f AS (SELECT g.genome AS anchor, h.genome AS target, coalesce(n.n, 0) AS n, coalesce(x.c, 0) AS c FROM genomes g CROSS JOIN genomes h LEFT JOIN n ON n.anchor = g.genome LEFT JOIN x ON x.anchor = g.genome AND x.target = h.genome),
             p AS (SELECT anchor, target, CASE WHEN n >= 10 AND sum(c) OVER (PARTITION BY anchor) > 0 THEN c / sum(c) OVER (PARTITION BY anchor) WHEN anchor = target THEN 1 ELSE 0 END AS phi FROM f)
-            SELECT anchor, target, {_r('phi')}, round(max(CASE WHEN anchor <> target THEN phi ELSE 0 END) OVER (PARTITION BY anchor), 6) AS chi FROM p""",
+            SELECT anchor, target, {_r('phi')}, round(max(CASE WHEN anchor <> target THEN phi ELSE 0 END) OVER (PARTITION BY anchor), 6) AS chi FROM p)""",
         "barcode_stats": f"SELECT barcode, top_genome, {_r('n_effective', 'p_top1', 'p_top2', 'ratio12', 'doublet_minor_frac')} FROM stats",
         "winner_discount": """SELECT barcode, genome, round(CASE WHEN genome = top THEN 1 ELSE least(wm / most, 1) END, 6) AS discount FROM (SELECT *, first_value(genome) OVER (PARTITION BY barcode ORDER BY wm DESC, genome) AS top, max(wm) OVER (PARTITION BY barcode) AS most
             FROM (SELECT barcode, genome, sum(l) AS wm FROM post GROUP BY ALL))""",
