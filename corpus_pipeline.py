@@ -18,13 +18,13 @@ from poolspark.plans.shared import materialize
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality_mil.fit(docs, table(spark, sf_dir, "labels"))
-    return quality_mil.with_score(docs, model).where(F.col("score") >= 0.7).select(docs.columns)
+    return quality_mil.with_score(docs, model, name="__score").where(F.col("__score") >= 0.7).drop("__score")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document holds; their length follows."""
     drops = line_dedup.index(docs, min_chars=10).drops()
-    return line_dedup.strip(docs, drops).select(*[F.col(c) if c != "n_chars" else F.char_length("text").cast("long").alias(c) for c in docs.columns])
+    return line_dedup.strip(docs, drops, counts=False).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

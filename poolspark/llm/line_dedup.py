@@ -258,7 +258,7 @@ class LineIndex:
         return lost.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
 
-def _strip(text_col: str, seen):
+def _strip(text_col: str, counts: bool, seen):
     trim = re.compile(rf"^[{_TRIM}]+|[{_TRIM}]+\Z")
     for batch in seen:
         kept, lines, dropped = [], [], []
@@ -274,7 +274,8 @@ def _strip(text_col: str, seen):
             kept.append("\n".join(stay))
             dropped.append(len(own) - len(stay))
         out = {n: batch.column(n) if n != text_col else pa.array(kept, pa.string()) for n in batch.schema.names if n != "__keys"}
-        yield pa.record_batch(out | {"n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())})
+        more = {"n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())} if counts else {}
+        yield pa.record_batch(out | more)
 
 
 def index(docs: DataFrame, min_chars: int = 10, shards: int = 0, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
@@ -283,12 +284,12 @@ def index(docs: DataFrame, min_chars: int = 10, shards: int = 0, id_col: str = "
     return LineIndex.empty(docs.sparkSession, shards, min_chars).insert(docs, id_col=id_col, text_col=text_col)
 
 
-def strip(docs: DataFrame, drops: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the lines of ``drops`` taken out of the text, and n_lines and n_dropped."""
+def strip(docs: DataFrame, drops: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """``docs`` with the lines of ``drops`` taken out of the text; ``counts`` adds n_lines and n_dropped."""
     lost = drops.select(F.col("doc_id").alias("__drop_id"), F.col("keys").alias("__keys"))
     joined = docs.join(lost, docs[id_col].cast("long").eqNullSafe(F.col("__drop_id")), "left").drop("__drop_id")
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    return joined.mapInArrow(lambda seen: _strip(text_col, seen), schema)
+    more = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())] if counts else []
+    return joined.mapInArrow(lambda seen: _strip(text_col, counts, seen), T.StructType([*docs.schema.fields, *more]))
 
 
 def dedup(docs: DataFrame, min_chars: int = 10, shards: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

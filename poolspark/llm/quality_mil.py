@@ -173,23 +173,22 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, **cols: s
     return train(x, (seen["x"].str.len() // (2 * width)).to_numpy(), y)
 
 
-def _score(weights: dict[str, np.ndarray] | None, seen):
+def _score(weights: dict[str, np.ndarray] | None, text_col: str, name: str, seen):
     model = AttentionModel(weights) if weights else None
     for batch in seen:
-        texts = batch.column("text")
+        texts = batch.column(text_col)
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         for a, b in slices(sizes, SLICE_BYTES):
             p = model.score(*passages(texts.slice(a, b - a))) if model else np.full(b - a, 1.0)
             rest = {n: batch.column(n).slice(a, b - a) for n in batch.schema.names}
-            yield pa.record_batch(rest | {"score": pa.array(p.astype(np.float64))})
+            yield pa.record_batch(rest | {name: pa.array(p.astype(np.float64))})
 
 
-def with_score(docs: DataFrame, model: AttentionModel | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column score; 1 for all if there was nothing to learn from."""
+def with_score(docs: DataFrame, model: AttentionModel | None, text_col: str = "text", name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name``, its score; 1 for all if there was nothing to learn from."""
     weights = model.w if model else None
-    own = docs if text_col == "text" else docs.withColumn("text", F.col(text_col))
-    schema = T.StructType([*own.schema.fields, T.StructField("score", T.DoubleType())])
-    return own.mapInArrow(lambda seen: _score(weights, seen), schema)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.mapInArrow(lambda seen: _score(weights, text_col, name, seen), schema)
 
 
 def judge(docs: DataFrame, model: AttentionModel | None, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
