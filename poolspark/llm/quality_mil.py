@@ -66,23 +66,24 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     word_passage = first[word_doc] + (np.arange(len(starts)) - word_from[word_doc]) // PASSAGE
     total = int(first[-1])
     x = np.zeros((total, CLASSES * CLASSES + EXTRA), np.float32)
+    at = first[doc]
     if len(starts):
         word_of = np.cumsum(begin) - 1
         # white space before a text's first word belongs to its first passage
-        at = np.where((word_of >= 0) & (word_doc[np.maximum(word_of, 0)] == doc), word_passage[np.maximum(word_of, 0)], first[doc])
-        same = at[1:] == at[:-1]
-        pair = cls[:-1].astype(np.int64) * CLASSES + cls[1:]
-        x[:, : CLASSES * CLASSES] = np.bincount((at[:-1] * CLASSES * CLASSES + pair)[same], minlength=total * CLASSES * CLASSES).reshape(total, -1)
-        size = np.maximum(x.sum(1, keepdims=True), 1)
-        x[:, : CLASSES * CLASSES] = np.sqrt(x[:, : CLASSES * CLASSES] / size)
+        at = np.where((word_of >= 0) & (word_doc[np.maximum(word_of, 0)] == doc), word_passage[np.maximum(word_of, 0)], at)
+    same = at[1:] == at[:-1]
+    pair = cls[:-1].astype(np.int64) * CLASSES + cls[1:]
+    x[:, : CLASSES * CLASSES] = np.bincount((at[:-1] * CLASSES * CLASSES + pair)[same], minlength=total * CLASSES * CLASSES).reshape(total, -1)
+    size = np.maximum(x.sum(1, keepdims=True), 1)
+    x[:, : CLASSES * CLASSES] = np.sqrt(x[:, : CLASSES * CLASSES] / size)
+    per = np.maximum(np.bincount(word_passage, minlength=total), 1)
+    if len(starts):
         parts = pc.ascii_split_whitespace(texts).flatten()
         codes = parts.filter(pc.greater(pc.binary_length(parts), 0)).dictionary_encode()
         n_codes, codes = len(codes.dictionary), codes.indices.to_numpy().astype(np.int64)
-        per = np.maximum(np.bincount(word_passage, minlength=total), 1)
-        unique = np.bincount(np.unique(word_passage * n_codes + codes) // n_codes, minlength=total)
-        again = np.bincount(word_passage[1:][(codes[1:] == codes[:-1]) & (word_passage[1:] == word_passage[:-1])], minlength=total)
-        x[:, -4], x[:, -3] = unique / per, again / per
-        x[:, -2], x[:, -1] = np.log1p(size[:, 0]) / 8, per / PASSAGE
+        x[:, -4] = np.bincount(np.unique(word_passage * n_codes + codes) // n_codes, minlength=total) / per
+        x[:, -3] = np.bincount(word_passage[1:][(codes[1:] == codes[:-1]) & (word_passage[1:] == word_passage[:-1])], minlength=total) / per
+    x[:, -2], x[:, -1] = np.log1p(size[:, 0]) / 8, per / PASSAGE
     return x, bags
 
 
