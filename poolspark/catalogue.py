@@ -161,6 +161,13 @@ def _jsd_seed(v: Views) -> DataFrame:
     return G.jsd_seed(v.genotyping.mass, v.genotyping.reads, v.eta0)
 
 
+def _soft(v: Views) -> DataFrame:
+    g = v.genotyping
+    top = G.topk_genomes(g.mass, 3)
+    soft = G.posteriors(v.reduced, MergeConfig(winner_only=False))
+    return G.bic_single(G.signatures(soft, g.eta(), top, 3), top).select("barcode", "n_reads", "n_reads_eff", "single.bic", "single.c", "single.i")
+
+
 def _tsv(v: Views) -> DataFrame:
     from poolspark.sources import tables
 
@@ -247,6 +254,9 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "plate_grid": lambda v: R.plate_grid(v.stats, testkit.plate_map(v.spark)),
     "interpool_counts": lambda v: R.interpool_counts(v.as_mean, v.samples),
     "read_composition": lambda v: R.read_composition(v.winners, v.samples),
+    "ecdf_points": lambda v: R.ecdf(R.low_high(v.rates, 0.2), "contam_rate", "grp"),
+    "heat_counts": lambda v: R.heat_counts(v.rates, "contam_rate", "n_reads", 10, 8, (0.0, 1.0), (0.0, 40.0)),
+    "bic_single_soft": _soft,
     "ks_statistic": lambda v: R.ks_statistic(R.low_high(v.rates, 0.2), "contam_rate", "grp", "low", "high"),
     "tsv_roundtrip": _tsv,
     "bam_roundtrip": _bam,

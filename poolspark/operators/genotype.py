@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,11 +156,7 @@ def jsd_to_eta(mass: DataFrame, eta: dict[str, float], normalize: bool = True) -
     p = F.greatest(F.coalesce("c", F.lit(0.0)) / (F.col("t") + TINY), F.lit(TINY))
     own = every.withColumn("p", p).withColumn("m", (F.col("p") + F.col("q")) / 2)
     half = lambda x: F.sum(F.col(x) * F.log(F.col(x) / F.col("m"))) / 2
-    return own.groupBy("barcode").agg(((half("p") + half("q")) / F.lit(float(F_LN2) if normalize else 1.0)).alias("jsd"))
-
-
-F_LN2 = 0.6931471805599453
-
+    return own.groupBy("barcode").agg(((half("p") + half("q")) / F.lit(math.log(2) if normalize else 1.0)).alias("jsd"))
 
 def seed_stats(mass: DataFrame) -> DataFrame:
     """Composition with the guards of the seeding step, where ratio12 is finite."""

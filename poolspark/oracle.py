@@ -141,6 +141,9 @@ STEPS: dict[str, str] = {
         FROM sig s JOIN top t ON t.barcode = s.barcode JOIN reads r ON r.barcode = s.barcode, (SELECT unnest(range(0, 26)) AS i) GROUP BY s.barcode, t.rank, i) GROUP BY barcode""",
     "doublet": f"""SELECT barcode, min(x) AS x FROM (SELECT s.barcode, struct_pack(bic := {_bic(f'sum(cnt * ln(greatest({_S2}, 1e-12::DOUBLE)))', 2, 'any_value(r.n_reads)')}, pair := (a.rank - 1) * 1000 + b.rank - 1, i := i, j := j, c := a.rank - 1, d := b.rank - 1) AS x
         FROM sig s JOIN top a ON a.barcode = s.barcode JOIN top b ON b.barcode = s.barcode AND a.rank < b.rank JOIN reads r ON r.barcode = s.barcode, (SELECT unnest(range(0, 26)) AS i), (SELECT unnest(range(0, 17)) AS j) GROUP BY s.barcode, a.rank, b.rank, i, j) GROUP BY barcode""",
+    "softe": "SELECT p.barcode, p.read_id, sum(p.l * coalesce(e.eta, 0)) AS e, max(p.w_read) AS w FROM soft p LEFT JOIN eta2 e ON e.genome = p.genome GROUP BY ALL",
+    "softs": f"""SELECT barcode, min(x) AS x, any_value(n) AS n_reads, any_value(w) AS n_reads_eff FROM (SELECT barcode, struct_pack(bic := {_bic('sum(ln(greatest((1 - i * 0.02::DOUBLE) * l + i * 0.02::DOUBLE * e, 1e-12::DOUBLE)))', 1, 'count(*)')}, c := rank - 1, i := i) AS x, count(*) AS n, sum(w) AS w
+        FROM (SELECT r.barcode, r.e, r.w, t.rank, coalesce(p.l, 0) AS l FROM softe r JOIN top t ON t.barcode = r.barcode LEFT JOIN soft p ON p.barcode = r.barcode AND p.read_id = r.read_id AND p.genome = t.genome), (SELECT unnest(range(0, 26)) AS i) GROUP BY barcode, rank, i) GROUP BY barcode""",
     "model0": """SELECT b.barcode, b.n_reads, b.bic_empty, s.x.bic AS bs, s.x.c AS sc, s.x.i AS si, d.x.bic AS bd, d.x.c AS dc, d.x.d AS dd, d.x.i AS di, d.x.j AS dj, t.p_top1, t.p_top2, t.ratio12, t.doublet_minor_frac, t.n_effective, j.jsd,
         coalesce(s.x.bic, 1e308) AS zs, coalesce(d.x.bic, 1e308) AS zd FROM bic0 b LEFT JOIN single s ON s.barcode = b.barcode LEFT JOIN doublet d ON d.barcode = b.barcode JOIN stats t ON t.barcode = b.barcode JOIN jsd2 j ON j.barcode = b.barcode""",
     "model1": """SELECT *, n_reads < 5 AS low, NOT n_reads < 5 AND bic_empty + 10 < least(zs, zd) AND p_top1 <= 0.6::DOUBLE AND coalesce(ratio12, 1e308) <= 1.5::DOUBLE AS is_empty,
@@ -287,6 +290,9 @@ ORACLE_SQL: dict[str, str] = {
         "plate_grid": "SELECT g.row, g.col, w.sample, round(s.median_contam, 6) AS value FROM (SELECT row, CAST(col AS INTEGER) AS col FROM (SELECT unnest(string_split('ABCDEFGH', '')) AS row), (SELECT unnest(range(1, 13)) AS col)) g LEFT JOIN wells w ON w.row = g.row AND w.col = g.col LEFT JOIN sstats s ON s.sample = w.sample",
         "interpool_counts": "SELECT sample, assigned_genome, n_bc, round(n_bc / CAST(sum(n_bc) OVER (PARTITION BY sample) AS DOUBLE), 6) AS frac FROM (SELECT s.sample, a.assigned_genome, count(*) AS n_bc FROM asm a JOIN samples s ON s.BC = a.BC GROUP BY ALL)",
         "read_composition": "SELECT sample, Genome, n_reads, round(n_reads / CAST(sum(n_reads) OVER (PARTITION BY sample) AS DOUBLE), 6) AS frac FROM (SELECT s.sample, w.Genome, count(*) AS n_reads FROM wread w JOIN samples s ON s.BC = w.BC GROUP BY ALL)",
+        "ecdf_points": "SELECT grp, x AS contam_rate, round(sum(n) OVER (PARTITION BY grp ORDER BY x) / CAST(sum(n) OVER (PARTITION BY grp) AS DOUBLE), 6) AS cdf FROM (SELECT grp, x, count(*) AS n FROM grp GROUP BY ALL)",
+        "heat_counts": "SELECT CAST(least(floor(contam_rate * 10), 9) AS INTEGER) AS ix, CAST(least(floor(n_reads * 8 / 40.0), 7) AS INTEGER) AS iy, count(*) AS n FROM rates WHERE contam_rate BETWEEN 0 AND 1 AND n_reads BETWEEN 0 AND 40 GROUP BY ALL",
+        "bic_single_soft": "SELECT barcode, n_reads, round(n_reads_eff, 6) AS n_reads_eff, round(x.bic, 6) AS bic, CAST(x.c AS INTEGER) AS c, CAST(x.i AS INTEGER) AS i FROM softs",
         "ks_statistic": f"""SELECT n1, n2, round(d, 6) AS d, round(CASE WHEN {_LAM} < 0.04 THEN 1 ELSE greatest(0, least(1, (SELECT sum(CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END * exp(-2 * k * k * {_LAM} * {_LAM})) FROM (SELECT unnest(range(1, 101)) AS k)))) END, 6) AS p FROM (
             SELECT n1, n2, max(abs(ca / CAST(n1 AS DOUBLE) - cb / CAST(n2 AS DOUBLE))) AS d FROM (SELECT CAST(sum(a) OVER (ORDER BY x) AS BIGINT) AS ca, CAST(sum(b) OVER (ORDER BY x) AS BIGINT) AS cb, CAST(sum(a) OVER () AS BIGINT) AS n1, CAST(sum(b) OVER () AS BIGINT) AS n2
             FROM (SELECT x, count(*) FILTER (WHERE grp = 'low') AS a, count(*) FILTER (WHERE grp = 'high') AS b FROM grp GROUP BY x)) GROUP BY ALL)""",

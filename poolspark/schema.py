@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import IntegerType, LongType, ShortType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, ShortType, StringType, StructField, StructType
 
 #: Alignments of one genome, one row each; every column may be null.
 QC = StructType(
@@ -16,5 +16,3 @@ ASSIGN_COLUMNS = ("Read", "BC", "Genome", "as_", "MAPQ", "NM", "XAcount", "assig
 
 #: Other names under which files carry the same column, lower-cased.
 ALIASES = {"barcode": "BC", "bc": "BC", "read_id": "Read", "read": "Read", "genome": "Genome", "as": "as_", "mapq": "MAPQ", "nm": "NM", "xacount": "XAcount"}
-
-BAM = StructType([*QC.fields, StructField("flag", IntegerType()), StructField("record", LongType())])

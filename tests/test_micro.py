@@ -182,3 +182,34 @@ def test_given_profile_is_checked(spark):
     assert genotype.load_eta(rows, ["A", "B"]) == {"A": 0.5, "B": 0.5}
     with pytest.raises(ValueError, match="C"):
         genotype.load_eta(rows, ["A", "C"])
+
+
+def test_cross_mapping_replaces_the_anchor_likelihood(spark):
+    rows = [("A", "A", 0.7), ("A", "B", 0.3), ("B", "A", 0.0), ("B", "B", 1.0)]
+    phi = spark.createDataFrame(rows, "anchor string, target string, phi double")
+    assert {r["genome"]: r["chi"] for r in genotype.chi(phi).collect()} == {"A": 0.3, "B": 0.0}
+    post = spark.createDataFrame([("x", f"r{i}", "A" if i < 80 else "B", 1.0, 0.001, 1.0) for i in range(100)], "barcode string, read_id string, genome string, l double, l_amb double, w_read double")
+    mass = genotype.mass_by_genome(post)
+    own = genotype.call_decision(post, mass, {"A": 0.5, "B": 0.5}, MergeConfig(), phi).first()
+    plain = genotype.call_decision(post, mass, {"A": 0.5, "B": 0.5}).first()
+    assert own["xmap_activated"] and own["chi_g1"] == pytest.approx(0.3)
+    assert own["bic_single"] > plain["bic_single"] and own["bic_doublet"] == plain["bic_doublet"]
+
+
+def test_whole_stage_with_every_option(spark):
+    from poolspark import testkit
+
+    rows = assign.Assignment(testkit.qc(spark, "/root/testdata/sf0.001").drop("BC_raw")).result()
+    config = MergeConfig(winner_only=False, topk_reclass=True, winner_discount=True, winner_discount_mode="total_ratio", max_hits=3, hits_delta_mapq=5, min_mapq=20, max_xa=2, xmap_phi_min_reads=5)
+    calls = genotype.Genotyping(rows, config).calls()
+    assert calls.groupBy("barcode").count().where("count > 1").count() == 0
+    assert calls.count() > 100 and calls.where("call is null or n_reads is null").count() == 0
+
+
+def test_sampled_models(spark):
+    from poolspark import testkit
+
+    rows = testkit.qc(spark, "/root/testdata/sf0.001").drop("BC_raw")
+    own = assign.Assignment(rows, AssignConfig(sample_barcodes=20))
+    assert own._sampled().select("BC").distinct().count() <= 20 < own.two.select("BC").distinct().count()
+    assert qc.sample_barcodes(rows, 20, 1).count() == 20 and qc.sample_barcodes(rows, 0).count() == 150

@@ -117,3 +117,42 @@ def test_stream_counts(spark, rows, tmp_path):
     rows.union(rows).repartition(3).write.parquet(f"{tmp_path}/in")
     got = {r["BC"]: r["n_rows"] for r in counts.run(spark, f"{tmp_path}/in", QC).collect()}
     assert got == {"AAA-1": 2, None: 2, "CCC": 2}
+
+
+def test_assign_and_calls_tables(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("Barcode\tread_id\tGenome\tAS\tMAPQ\tNM\tassigned_class\tp_as\nb\tr\tA\t90\tx\t\twinner\t0.5\n")
+    got = tables.read_assign(spark, f"{tmp_path}/a.tsv").first()
+    assert (got["BC"], got["Read"], got["as_"], got["MAPQ"], got["NM"], got["p_as"]) == ("b", "r", 90, None, None, 0.5)
+    (tmp_path / "c.tsv").write_text("BC\tcall\nb\tdoublet\n")
+    calls = tables.read_calls(spark, f"{tmp_path}/c.tsv")
+    assert calls.columns == ["barcode", "call", "model", "genome_1", "genome_2", "indist_set"]
+    (tmp_path / "d.tsv").write_text("read_id\tx\nr1\t1\nr1\t2\n\t3\n")
+    assert [r["read_id"] for r in tables.read_drop_list(spark, f"{tmp_path}/d.tsv").collect()] == ["r1"]
+    (tmp_path / "e.tsv").write_text("barcode\texpected_genome\nAA_C-x\tG1\n")
+    assert tuple(tables.read_design(spark, f"{tmp_path}/e.tsv").first()) == ("AAC", "G1")
+
+
+def test_migration_runs_once(spark, rows, tmp_path):
+    tables.write_tsv(rows.withColumnRenamed("as_", "AS"), f"{tmp_path}/t", header=True)
+    tables.migrate(spark, f"{tmp_path}/t", f"{tmp_path}/p", mapq_min=30, xa_max=2)
+    assert {r["Read"] for r in tables.read_qc(spark, f"{tmp_path}/p").collect()} == {"r1", "r3"}
+    before = (tmp_path / "p" / "_SUCCESS").stat().st_mtime_ns
+    tables.migrate(spark, f"{tmp_path}/t", f"{tmp_path}/p")
+    assert (tmp_path / "p" / "_SUCCESS").stat().st_mtime_ns == before
+
+
+def test_models_are_kept(spark, tmp_path):
+    from poolspark.operators import assign
+
+    own = assign.Assignment(testkit.qc(spark, "/root/testdata/sf0.001").drop("BC_raw"))
+    edges, tails = assign.decile_edges(own.hist()), assign.tail_prob(own.deltas(own.edges()))
+    tables.save_model(edges, tails, f"{tmp_path}/m")
+    e, t = tables.load_model(spark, f"{tmp_path}/m")
+    assert assign.collect_edges(e) == own.edges() and t.count() == tails.count()
+    again = assign.assign_raw(own.two, assign.collect_edges(e), t)
+    assert sorted(map(str, again.collect())) == sorted(map(str, own.raw().collect()))
+
+
+def test_quality_histogram_stream(spark, rows, tmp_path):
+    rows.write.parquet(f"{tmp_path}/in")
+    assert {r["MAPQ"]: r["n_rows"] for r in counts.run(spark, f"{tmp_path}/in", QC, counts.quality_histogram).collect()} == {30: 1, 0: 1, 60: 1}
