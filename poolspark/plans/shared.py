@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only if it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only in local mode, if it is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='poolspark-')}")
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -43,16 +45,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(df: DataFrame) -> None:
-    """Delete a table made by :func:`materialize` before the application ends."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        folder = file.rsplit("/table/", 1)[0]
-        if "/poolspark-" in folder:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def materialize_bucketed(df: DataFrame, label: str, buckets: int, column: str) -> DataFrame:
     """Write ``df`` to the warehouse in buckets of ``column``, so a later join on it need not move it again."""
     spark = df.sparkSession
