@@ -7,8 +7,8 @@ e = w . (tanh(V h) * sigmoid(U h)) gives its weight by a softmax over the bag;
 the weighted sum of the codes gives the score, sigmoid(c . z + d).
 
 All weights are learned together from document labels, with at most ``most``
-labelled documents, and of these only such whose id does not hash to the
-held-out quarter.  Ids, languages, sources and labels are no inputs of a score.
+labelled documents of up to ``MOST_BYTES``, and of these only such whose id does
+not hash to the held-out quarter.  Ids, languages, sources and labels are no inputs of a score.
 
 A text without words is one empty passage.  Null texts count as empty.  Each
 row gives one row, without any shuffle; other columns are not read.
@@ -29,7 +29,8 @@ from poolspark.llm.labelled import id_crc, sample
 SLICE_BYTES = 2 << 20
 PASSAGE, CLASSES = 64, 16
 EXTRA = 4
-MOST_LABELLED = 3000
+#: Labelled documents, and bytes of each, that the model is learned from.
+MOST_LABELLED, MOST_BYTES = 3000, 1 << 17
 CODE, ATTENTION, EPOCHS, BATCH, RATE = 24, 12, 30, 128, 0.01
 
 
@@ -164,7 +165,7 @@ def _features(seen):
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, **cols: str) -> AttentionModel | None:
     """A model of quality from labels outside the held-out quarter; None without labels of both kinds."""
-    own = sample(docs, labels, most, where="crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2", **cols)
+    own = sample(docs, labels, most, where="crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2", most_bytes=MOST_BYTES, **cols)
     seen = own.mapInArrow(_features, "doc_id long, label int, x binary").toPandas().sort_values(["doc_id", "x"])
     y = seen["label"].to_numpy(np.float32)
     if not len(y) or y.min() == y.max():
