@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from poolspark.config import MergeConfig
+from poolspark.plans.ordered import quantiles, running_sums
+from poolspark.plans.shared import materialize
 
 READ = ("barcode", "read_id")
 TINY = 1e-12
@@ -123,7 +125,8 @@ def eta_initial_seed(mass: DataFrame, reads: DataFrame, config: MergeConfig = Me
         eff = eff.where(F.coalesce("n_reads", F.lit(0)) <= config.empty_reads_max)
     n = eff.count()
     take = max(1, -int(-(min(max(config.eta_seed_quantile, 1e-6), 1.0) * n) // 1))
-    return eff.orderBy("n_effective", "barcode").limit(take).select("barcode")
+    ranked = running_sums(eff.select("barcode", F.struct("n_effective", "barcode").alias("place")), "place", {"rank": F.lit(1)})
+    return ranked.where(F.col("rank") <= take).select("barcode")
 
 
 def eta_of(mass: DataFrame, seed: DataFrame, genomes: list[str]) -> dict[str, float]:
@@ -173,9 +176,9 @@ def jsd_seed(mass: DataFrame, reads: DataFrame, eta: dict[str, float], config: M
     if config.empty_reads_max is not None:
         cand = cand.where(F.coalesce("n_reads", F.lit(0)) <= config.empty_reads_max)
     cand = cand if not cand.isEmpty() else stats
-    jsd = jsd_to_eta(mass, eta, config.jsd_normalize).join(cand.select("barcode"), "barcode", "left_semi").withColumn("jsd", F.round("jsd", 9))
-    tau = jsd.agg(F.percentile("jsd", F.lit(config.empty_tau_quantile)).alias("tau"))
-    return jsd.crossJoin(F.broadcast(tau)).where(F.col("jsd") <= F.round("tau", 9)).select("barcode", "jsd")
+    jsd = materialize(jsd_to_eta(mass, eta, config.jsd_normalize).join(cand.select("barcode"), "barcode", "left_semi").withColumn("jsd", F.round("jsd", 9)), "jsd")
+    (tau,) = quantiles(jsd, "jsd", [config.empty_tau_quantile])
+    return jsd.where(F.col("jsd") <= F.round(F.lit(tau).cast("double"), 9)).select("barcode", "jsd")
 
 
 def learn_eta(mass: DataFrame, reads: DataFrame, genomes: list[str], config: MergeConfig = MergeConfig()) -> dict[str, float]:
@@ -349,8 +352,6 @@ class Genotyping:
     """The calling stage over an assign table."""
 
     def __init__(self, assign: DataFrame, config: MergeConfig = MergeConfig(), eta: dict[str, float] | None = None, phi: DataFrame | None = None):
-        from poolspark.plans.shared import materialize
-
         self.config = config
         reduced = read_quality(promiscuous(reduce_per_genome(from_assign(assign)), config.max_hits, config.hits_delta_mapq, config.hits_guard), config.min_mapq, config.max_xa)
         if config.topk_reclass and config.topk_genomes >= 2:

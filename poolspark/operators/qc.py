@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poolspark.functions import barcode
+from poolspark.plans.ordered import running_sums
 from poolspark.schema import QC
 
 
@@ -48,18 +49,11 @@ def distinct_barcodes(*tables: DataFrame) -> DataFrame:
 
 
 def barcode_chunks(barcodes: DataFrame, size: int) -> DataFrame:
-    """(BC, chunk_id): sorted barcodes cut every ``size``, numbered from 1.
-
-    Ranks come from range partitions: each counts its own barcodes, and only the
-    partitions' counts meet to give their offsets.
-    """
+    """(BC, chunk_id): sorted distinct barcodes cut every ``size``, numbered from 1."""
     if size <= 0:
         raise ValueError("chunk size must be positive")
-    own = barcodes.repartitionByRange("BC").withColumn("part", F.spark_partition_id())
-    local = own.withColumn("rank", F.row_number().over(Window.partitionBy("part").orderBy("BC")))
-    sizes = local.groupBy("part").agg(F.count("*").alias("n"))
-    before = sizes.withColumn("before", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).select("part", F.coalesce("before", F.lit(0)).alias("before"))
-    return local.join(F.broadcast(before), "part").select("BC", (F.floor((F.col("rank") + F.col("before") - 1) / size) + 1).cast("long").alias("chunk_id"))
+    ranked = running_sums(barcodes.select("BC"), "BC", {"rank": F.lit(1)})
+    return ranked.select("BC", (F.floor((F.col("rank") - 1) / size) + 1).cast("long").alias("chunk_id"))
 
 
 def semi_barcodes(rows: DataFrame, barcodes: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from poolspark.plans.ordered import quantiles, running_sums
+
 
 def as_mean_assign(winners: DataFrame) -> DataFrame:
     """The genome of most reads for each barcode and the gap of mean scores to the next; rows BC, Read, Genome, as_."""
@@ -83,12 +85,12 @@ def low_high(rates: DataFrame, q: float = 0.2, threshold: float | None = None) -
     """(BC, contam_rate, grp): the lowest and the highest share ``q``, or both sides of ``threshold``; ties may be in both."""
     if threshold is None:
         q = min(max(q, 0.0), 0.49)
-        ends = rates.agg(F.round(F.percentile("contam_rate", F.lit(q)), 9).alias("lo"), F.round(F.percentile("contam_rate", F.lit(1 - q)), 9).alias("hi"))
+        low, high = quantiles(rates, "contam_rate", [q, 1 - q])
     else:
-        ends = rates.sparkSession.createDataFrame([(threshold, threshold)], "lo double, hi double")
-    x = F.round("contam_rate", 9)
-    own = rates.crossJoin(F.broadcast(ends))
-    return own.where(x <= F.col("lo")).select("BC", x.alias("contam_rate"), F.lit("low").alias("grp")).unionByName(own.where(x >= F.col("hi")).select("BC", x.alias("contam_rate"), F.lit("high").alias("grp")))
+        low = high = threshold
+    x, end = F.round("contam_rate", 9), lambda v: F.round(F.lit(v).cast("double"), 9)
+    side = lambda cond, name: rates.where(cond).select("BC", x.alias("contam_rate"), F.lit(name).alias("grp"))
+    return side(x <= end(low), "low").unionByName(side(x >= end(high), "high"))
 
 
 def ecdf(values: DataFrame, value: str, group: str) -> DataFrame:
@@ -101,12 +103,11 @@ def ecdf(values: DataFrame, value: str, group: str) -> DataFrame:
 def ks_statistic(values: DataFrame, value: str, group: str, one: str, two: str) -> DataFrame:
     """(n1, n2, d, p) of two groups: the largest gap of their cumulative shares and the asymptotic p-value.
 
-    Counts are summed by distinct value first; the running sums go over distinct values only.
+    Counts are summed by distinct value first; the running sums are made by ranges of values.
     """
     n = values.groupBy(value).agg(F.count_if(F.col(group) == one).alias("a"), F.count_if(F.col(group) == two).alias("b"))
-    run = Window.orderBy(value)
     tot = n.agg(F.sum("a").alias("n1"), F.sum("b").alias("n2"))
-    gaps = n.select(F.sum("a").over(run).alias("ca"), F.sum("b").over(run).alias("cb")).crossJoin(F.broadcast(tot))
+    gaps = running_sums(n, value, {"ca": F.col("a"), "cb": F.col("b")}).crossJoin(F.broadcast(tot))  # one row
     d = gaps.groupBy("n1", "n2").agg(F.max(F.abs(F.col("ca") / F.col("n1") - F.col("cb") / F.col("n2"))).alias("d"))
     lam = "sqrt(n1 * n2 / (n1 + n2)) * d"
     series = f"aggregate(sequence(1, 100), 0D, (s, k) -> s + IF(k % 2 = 1, 2D, -2D) * exp(-2 * k * k * {lam} * {lam}))"

@@ -213,3 +213,22 @@ def test_sampled_models(spark):
     own = assign.Assignment(rows, AssignConfig(sample_barcodes=20))
     assert own._sampled().select("BC").distinct().count() <= 20 < own.two.select("BC").distinct().count()
     assert qc.sample_barcodes(rows, 20, 1).count() == 20 and qc.sample_barcodes(rows, 0).count() == 150
+
+
+def test_running_sums_over_ranges(spark):
+    from poolspark.plans.ordered import running_sums
+
+    df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"), F.lit(2).alias("v")).repartition(7)
+    got = {r["k"]: (r["n"], r["s"]) for r in running_sums(df, "k", {"n": F.lit(1), "s": F.col("v")}).collect()}
+    assert got == {k: (k + 1, 2 * (k + 1)) for k in range(1000)}
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+
+    from poolspark.plans.ordered import quantiles
+
+    v = [float(x) for x in np.random.default_rng(1).integers(0, 40, 333)]
+    df = spark.createDataFrame([(x,) for x in v] + [(None,)], "v double").repartition(5)
+    assert quantiles(df, "v", [0.0, 0.2, 0.5, 0.95, 1.0]) == pytest.approx([float(np.quantile(v, q)) for q in (0.0, 0.2, 0.5, 0.95, 1.0)])
+    assert quantiles(df.where("v < 0"), "v", [0.5]) == [None]
