@@ -30,13 +30,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolspark.llm.common import plain, slices
+from poolspark.llm.common import plain, slices, tidied
 from poolspark.plans.shared import materialize_bucketed
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CHUNK_BYTES = 16 << 20
-SLICE_BYTES, SLICE_WORDS = 4 << 20, 1 << 19
+SLICE_BYTES, SLICE_WORDS = 2 << 20, 1 << 18
 
 # Below U+0300 these are the tokenizer's white space and word classes.
 _WS = "\t\n\x0b\x0c\r \x85\xa0"
@@ -154,6 +154,7 @@ CHUNK_SCHEMA = "chunk_id long, bucket int, docs array<long>, counts array<long>,
 _CHUNK_ARROW = pa.schema([("chunk_id", pa.int64()), ("bucket", pa.int32()), ("docs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("codes", pa.binary()), ("n", pa.int32()), ("pos", pa.binary()), ("words", pa.binary()), ("size", pa.int64())])
 
 
+@tidied
 def _chunks(path: str, buckets: int, seen):
     """Rows of CHUNK_SCHEMA from batches of (doc_id, text)."""
     from pandas.util import hash_array
@@ -200,6 +201,7 @@ IDS_SCHEMA = "chunk_id long, n int, pos binary, lens binary, ids binary, total l
 _IDS_ARROW = pa.schema([("chunk_id", pa.int64()), ("n", pa.int32()), ("pos", pa.binary()), ("lens", pa.binary()), ("ids", pa.binary()), ("total", pa.int64())])
 
 
+@tidied
 def _encode_words(path: str, seen):
     """(bucket, chunk_id, n, pos, words, size) by bucket -> IDS_SCHEMA; each distinct word of a bucket is merged once."""
     enc, at, known = encoder(path), None, {}
@@ -216,6 +218,7 @@ def _encode_words(path: str, seen):
             yield pa.RecordBatch.from_pylist([{"chunk_id": row["chunk_id"], "n": row["n"], "pos": row["pos"], "lens": _pack(lens), "ids": _pack(ids), "total": len(ids)}], _IDS_ARROW)
 
 
+@tidied
 def _gather(path: str, decode: bool, seen):
     """Batches of (docs, counts, codes, packs): the ids of a chunk's words, by position, back into its documents."""
     for batch in seen:

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from poolspark.llm.common import LOWER, UPPER
+from poolspark.llm.common import LOWER, UPPER, tidied
 from poolspark.plans.shared import materialize
 
 _TRIM = " \t\n\x0b\x0c\r"
@@ -258,6 +258,7 @@ class LineIndex:
         return lost.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
 
+@tidied
 def _strip(text_col: str, counts: bool, seen):
     trim = re.compile(rf"^[{_TRIM}]+|[{_TRIM}]+\Z")
     for batch in seen:

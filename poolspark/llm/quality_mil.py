@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from poolspark.llm.common import plain, slices
+from poolspark.llm.common import plain, slices, tidied
 from poolspark.llm.labelled import id_crc, sample
 
 SLICE_BYTES = 2 << 20
@@ -152,6 +152,7 @@ def train(x: np.ndarray, bags: np.ndarray, y: np.ndarray, epochs: int = EPOCHS,
     return model
 
 
+@tidied
 def _features(seen):
     for batch in seen:
         texts = batch.column("text")
@@ -175,6 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, **cols: s
     return train(x, (seen["x"].str.len() // (2 * width)).to_numpy(), y)
 
 
+@tidied
 def _score(weights: dict[str, np.ndarray] | None, text_col: str, name: str, seen):
     model = AttentionModel(weights) if weights else None
     for batch in seen:

@@ -24,10 +24,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from poolspark.llm.common import plain, slices
+from poolspark.llm.common import plain, slices, tidied
 from poolspark.llm.labelled import sample
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 MOST_LABELLED = 4000
 PRECISION, MAX_RULES, MAX_TERMS = 0.6, 12, 4
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_bangs", "n_upper", "n_digits")
@@ -89,6 +89,7 @@ def text_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
+@tidied
 def _count(seen):
     for batch in seen:
         texts = batch.column("text")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from poolspark.llm.bpe import SLICE_BYTES, _byte_chars, encoder, splitter
-from poolspark.llm.common import slices
+from poolspark.llm.common import slices, tidied
 
 #: Lengths kept of merged words in a worker; the store is emptied when it is full.
 KEPT_WORDS = 1 << 17
@@ -44,6 +44,7 @@ def whole_tokens(path: str) -> pa.Array:
     return pa.array(sorted({*proven, *enc.special}), pa.large_string())
 
 
+@tidied
 def _count(path: str, limit: int, seen):
     split, enc, whole, kept = splitter(path), encoder(path), whole_tokens(path), {}
     for batch in seen:
