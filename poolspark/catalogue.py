@@ -232,7 +232,7 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "winner_discount": lambda v: G.winner_discount(v.post),
     "bic_empty": lambda v: G.bic_empty(v.sigs).select("barcode", "n_reads", "bic_empty"),
     "bic_single_grid": lambda v: G.bic_single(v.sigs, v.top).select("barcode", "single.bic", "single.c", "single.i"),
-    "bic_doublet_grid": lambda v: G.bic_doublet(G._with_k(v.sigs, v.top)).where("doublet is not null").select("barcode", "doublet.bic", "doublet.c", "doublet.d", "doublet.i", "doublet.j"),
+    "bic_doublet_grid": lambda v: G.bic_doublet(G._with_k(v.sigs, v.top)).where("doublet.bic is not null").select("barcode", "doublet.bic", "doublet.c", "doublet.d", "doublet.i", "doublet.j"),
     "call_decision": lambda v: v.genotyping.calls(),
     "design_expected": lambda v: D.with_expected(v.simple_calls, v.design).select("barcode", "bc_key", "call", "expected_genome"),
     "policy_allowed_set": _policies,
