@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from poolspark.config import AssignConfig
 from poolspark.functions import barcode
 from poolspark.operators import qc
+from poolspark.plans.shared import materialize
 
 READ = ("Read", "BC")
 _BEST = lambda: [F.asc_nulls_last("NM"), F.desc_nulls_last("as_"), F.desc_nulls_last("MAPQ")]
@@ -161,8 +164,15 @@ class Assignment:
     def __init__(self, rows: DataFrame, config: AssignConfig = AssignConfig()):
         self.config = config
         self.filtered = qc.alignment_filter(rows, config.mapq_min, config.xa_max)
-        self.ranked = rank_genomes(dedup_read_genome(self.filtered))
-        self.two = best_two_worst(self.ranked)
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        """Written once: the models and the scoring all read it."""
+        return materialize(rank_genomes(dedup_read_genome(self.filtered)), "ranked")
+
+    @cached_property
+    def two(self) -> DataFrame:
+        return best_two_worst(self.ranked)
 
     def _sampled(self) -> DataFrame:
         """Reads of the barcodes that models are learned from."""
