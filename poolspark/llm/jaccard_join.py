@@ -18,8 +18,10 @@ and without words it is empty and linked with nothing.  Two documents link when
    and stands in most lists, which a text that others were copied from does, and each group's members to one of them.  These pairs, linear in
    the lists, are verified: first the prefixes must share enough, then the whole
    sets decide.  They give components.
-5. *Remaining links.*  In each list, members of *different* components that pass
-   the filter are paired and verified likewise.  Pairs inside a component change nothing
+5. *Remaining links.*  In each list, members of *different* groups and components
+   that pass the filter are paired and verified likewise.  Members of one group have all of
+   their prefix in common, so those in different components are paired whether or not
+   their group meets another.  Pairs inside a component change nothing
    and are not formed, so a large set of near copies costs no square of its size.
 
 The result is exact up to collisions of 64-bit hashes.  Null texts have no
@@ -218,7 +220,7 @@ def _ties(percent: int, seen):
 
 @tidied
 def _across(percent: int, seen):
-    """Pairs (a, b) of sets in different components that pass the filter, with their groups (ga, gb).
+    """Pairs (a, b) of sets in different components and groups that pass the filter, with their groups (ga, gb).
 
     From sorted (token, n, rem, sid, root, g).
     """
@@ -234,7 +236,7 @@ def _across(percent: int, seen):
             ends = np.searchsorted(ns, ns * 100 // percent, "right")
             for i in range(len(ns) - 1):
                 j = slice(i + 1, int(ends[i]))
-                fits = (cs[j] != cs[i]) & _may(ns[i], rs[i], ns[j], rs[j], percent)
+                fits = (cs[j] != cs[i]) & (gs[j] != gs[i]) & _may(ns[i], rs[i], ns[j], rs[j], percent)
                 me = int(ss[i]), int(gs[i])
                 for x, y in zip(ss[j][fits].tolist(), gs[j][fits].tolist(), strict=True):
                     told.add((me[0], x, me[1], y) if me[0] < x else (x, me[0], y, me[1]))
@@ -288,6 +290,19 @@ def _verified(pairs: DataFrame, own: DataFrame, sets: DataFrame, width: int, per
     return materialize(both.where(F.col("i") * 100 >= (F.col("x") + F.col("y") - F.col("i")) * percent).select("a", "b"), "near-links")
 
 
+def _within(known: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of one group in different components.
+
+    From (g, sid, root).  One of each pair lies outside the component that holds
+    most of the group, so a large component is met only by the sets that are not in it.
+    """
+    held = known.groupBy("g", "root").agg(F.count("*").alias("m"))
+    mixed = held.groupBy("g").agg(F.max_by("root", F.struct("m", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1").select("g", "top")
+    own = materialize(known.join(mixed, "g").select("g", "sid", "root", "top"), "near-mixed")
+    few = own.where("root <> top").toDF("g", "a", "ra", "top")
+    return few.join(own.select("g", F.col("sid").alias("b"), F.col("root").alias("rb")), "g").where("ra <> rb and (rb = top or ra < rb)").select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): the smallest doc_id reachable by links."""
     spark = docs.sparkSession
@@ -315,13 +330,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     first = _verified(ties.unionByName(inside), own, sets, width, percent)
     roots = components(first)
 
-    known = members.join(roots, members["sid"] == roots["vertex"], "left").select("g", "sid", F.coalesce("root", "sid").alias("root"))
+    known = materialize(members.join(roots, members["sid"] == roots["vertex"], "left").select("g", "sid", F.coalesce("root", "sid").alias("root")), "near-known")
     spread = live.join(known, "g").select("token", "n", "rem", "sid", "root", "g")
     rest = materialize(sorted_by(spread, "n", "sid").mapInArrow(lambda seen: _across(percent, seen), "a long, b long, ga long, gb long").distinct(), "near-across")
     likely = _plausible(rest.select(F.least("ga", "gb").alias("a"), F.greatest("ga", "gb").alias("b")), rows, percent).toDF("la", "lb")
-    same = rest.where("ga = gb").select("a", "b")
     apart = rest.join(likely, (F.least("ga", "gb") == F.col("la")) & (F.greatest("ga", "gb") == F.col("lb")), "left_semi").select("a", "b")
-    second = _verified(same.unionByName(apart), own, sets, width, percent)
+    second = _verified(_within(known).unionByName(apart), own, sets, width, percent)
     roots = components(first.unionByName(second))
 
     least = sets.join(roots, sets["sid"] == roots["vertex"], "left").select("sid", "u", F.coalesce("root", "sid").alias("root"))

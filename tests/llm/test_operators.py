@@ -337,6 +337,49 @@ def test_the_bound_itself_links(spark):
     assert _near(spark.createDataFrame(rows, DOCS)) == brute.components(rows)
 
 
+def _sets(texts):
+    return list(jaccard_join.shingle_sets(pa.array(texts), 5))
+
+
+def _triple(r):
+    """Three texts of 36 shingles and the same eight least ones; the last two link, the first links with neither."""
+    word = lambda: f"t{r.randrange(10**9)}"
+    while True:
+        base = [word() for _ in range(30)]
+        core = set(_sets([" ".join(base)])[0].tolist())
+        tails = [[word() for _ in range(10)] for _ in range(200)]
+        fits = [t for t, u in zip(tails, _sets([" ".join(base + t) for t in tails]), strict=True) if set(u[:8].tolist()) <= core]
+        for t in fits[1:]:
+            near = [[*t[:-1], word()] for _ in range(20)]
+            also = [x for x, u in zip(near, _sets([" ".join(base + x) for x in near]), strict=True) if set(u[:8].tolist()) <= core]
+            if also:
+                return [" ".join(base + x) for x in (fits[0], t, also[0])]
+
+
+def _late(r, triple):
+    """A text of 30 shingles whose least one stands sixth or seventh in the triple's prefix, and that has no other of it."""
+    words = triple[0].split()
+    prefix = _sets(triple[:1])[0][:8]
+    for i in range(len(words) - 4):
+        own = words[i : i + 5]
+        h = _sets([" ".join(own)])[0][0]
+        if h in prefix[5:7]:
+            texts = [" ".join([*own, *(f"l{r.randrange(10**9)}" for _ in range(29))]) for _ in range(3000)]
+            return next((t for t, u in zip(texts, _sets(texts), strict=True) if u[0] == h), None)
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_links_inside_a_group_that_its_least_set_lacks(spark, late):
+    r, texts = random.Random(5), []
+    for _ in range(12):
+        texts += (own := _triple(r))
+        if late and (more := _late(r, own)):
+            texts.append(more)
+    assert not late or len(texts) > 40
+    rows = list(enumerate(texts))
+    assert _near(spark.createDataFrame(rows, DOCS)) == brute.components(rows)
+
+
 # ---- secrets
 
 
