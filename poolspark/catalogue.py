@@ -19,6 +19,7 @@ from poolspark.operators import qc as Q
 from poolspark.operators import reports as R
 from poolspark.oracle import ORACLE_SQL as _SQL
 from poolspark.plans.shared import materialize, new_path
+from poolspark.sources import bam
 
 TWO = ("Read", "BC", "g1", "as1", "mq1", "nm1", "g2", "as2", "mq2", "nm2", "gl", "asl", "mql", "nml", "n_genomes")
 ROW = ("Read", "BC", "Genome", "MAPQ", "as_", "NM", "XAcount")
@@ -177,14 +178,21 @@ def _tsv(v: Views) -> DataFrame:
 
 
 def _bam(v: Views) -> DataFrame:
-    from poolspark.sources import bam
-
     rows = v.qc.where("Genome = 'G1' AND CAST(substr(BC, 3, 6) AS INTEGER) < 50")
     path = f"{new_path(v.spark, 'bam')}/out"
     bam.write_bam(rows, path)
     return bam.read_bam(v.spark, path).drop("flag")
 
 
+def _bam_all(v: Views) -> DataFrame:
+    """All rows, by way of one BAM folder for each genome."""
+    path, back = new_path(v.spark, "bam"), {}
+    for g in sorted(r[0] for r in v.qc.select("Genome").distinct().collect()):
+        bam.write_bam(v.qc.where(F.col("Genome") == g), f"{path}/{g}")
+        back[g] = bam.read_bam(v.spark, f"{path}/{g}").drop("flag")
+    return Q.union_genomes(back)
+
+
 def _stream(v: Views) -> DataFrame:
     from poolspark.streaming import counts
 
@@ -260,6 +268,7 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "ks_statistic": lambda v: R.ks_statistic(R.low_high(v.rates, 0.2), "contam_rate", "grp", "low", "high"),
     "tsv_roundtrip": _tsv,
     "bam_roundtrip": _bam,
+    "bam_roundtrip_all": _bam_all,
     "streaming_counts": _stream,
 }
 

@@ -298,6 +298,7 @@ ORACLE_SQL: dict[str, str] = {
             FROM (SELECT x, count(*) FILTER (WHERE grp = 'low') AS a, count(*) FILTER (WHERE grp = 'high') AS b FROM grp GROUP BY x)) GROUP BY ALL)""",
         "tsv_roundtrip": "SELECT Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM filt",
         "bam_roundtrip": "SELECT Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM qc WHERE Genome = 'G1' AND CAST(substr(BC, 3, 6) AS INTEGER) < 50",
+        "bam_roundtrip_all": "SELECT Genome, Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM qc",
         "streaming_counts": "SELECT BC, count(*) AS n_rows FROM qc GROUP BY BC",
     }.items()
 }

@@ -18,6 +18,12 @@ def test_query_matches_sql(spark, duck, name):
     oracle.check(spark, duck, catalogue.QUERIES[name], catalogue.ORACLE_SQL[name], DIR)
 
 
+def test_bam_takes_every_row(spark):
+    v = catalogue.Views(spark, DIR)
+    count = lambda df: {r["Genome"]: r["count"] for r in df.groupBy("Genome").count().collect()}
+    assert count(catalogue.QUERIES["bam_roundtrip_all"](spark, DIR)) == count(v.qc)
+
+
 def test_entry_names_every_query():
     import __spark_entry__ as e
 
