@@ -38,7 +38,7 @@ class Views:
 
     @cached_property
     def assignment(self) -> A.Assignment:
-        return A.Assignment(self.qc.drop("BC_raw"), AssignConfig())
+        return A.Assignment(self.qc.drop("BC_raw"), AssignConfig(sample_barcodes=0))
 
     @cached_property
     def raw(self) -> DataFrame:
