@@ -115,7 +115,7 @@ def ks_statistic(values: DataFrame, value: str, group: str, one: str, two: str)
 
 
 def heat_counts(values: DataFrame, x: str, y: str, nx: int, ny: int, x_range: tuple[float, float], y_range: tuple[float, float]) -> DataFrame:
-    """(ix, iy, n): counts on a grid, for density plots."""
-    cell = lambda c, n, r: F.least(F.floor((F.col(c) - r[0]) * n / (r[1] - r[0])), F.lit(n - 1)).cast("int")
-    own = values.where(F.col(x).between(*x_range) & F.col(y).between(*y_range))
+    """(ix, iy, n): counts on a grid, for density plots; values beyond a range count in its end cells, nulls are left out."""
+    cell = lambda c, n, r: F.greatest(F.least(F.floor((F.col(c) - r[0]) * n / (r[1] - r[0])), F.lit(n - 1)), F.lit(0)).cast("int")
+    own = values.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     return own.groupBy(cell(x, nx, x_range).alias("ix"), cell(y, ny, y_range).alias("iy")).agg(F.count("*").alias("n"))

@@ -232,3 +232,9 @@ def test_exact_quantiles(spark):
     df = spark.createDataFrame([(x,) for x in v] + [(None,)], "v double").repartition(5)
     assert quantiles(df, "v", [0.0, 0.2, 0.5, 0.95, 1.0]) == pytest.approx([float(np.quantile(v, q)) for q in (0.0, 0.2, 0.5, 0.95, 1.0)])
     assert quantiles(df.where("v < 0"), "v", [0.5]) == [None]
+
+
+def test_heat_counts_keep_values_beyond_the_ranges(spark):
+    df = spark.createDataFrame([(0.05, 3), (0.05, 40), (0.05, 41), (1.0, 5000), (-0.1, -2), (None, 3), (0.5, None)], "x double, y long")
+    got = sorted(map(tuple, reports.heat_counts(df, "x", "y", 10, 8, (0.0, 1.0), (0.0, 40.0)).collect()))
+    assert got == [(0, 0, 2), (0, 7, 2), (9, 7, 1)]
