@@ -203,6 +203,7 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "bc_normalize": lambda v: v.qc.groupBy("BC_raw").agg(F.count("*").alias("n")).select("BC_raw", barcode.normalized(F.col("BC_raw"), " pool 1").alias("bc_norm"), "n"),
     "bc_freq_filter": lambda v: Q.frequent_barcodes(v.qc.drop("BC", "Genome").withColumnRenamed("BC_raw", "BC"), 30, "pool 1"),
     "distinct_barcodes": lambda v: Q.distinct_barcodes(*[v.qc.where(F.col("Genome") == g) for g in ("G1", "G2")]),
+    "distinct_barcodes_all": lambda v: Q.distinct_barcodes(*[v.qc.where(F.col("Genome") == f"G{i}") for i in range(5)]),
     "barcode_chunks": lambda v: v.chunks,
     "union_genomes": lambda v: Q.union_genomes({f"G{i}": v.qc.where(F.col("Genome") == f"G{i}").drop("Genome") for i in range(5)}).groupBy("Genome").agg(F.count("*").alias("n_rows"), F.count_distinct("Read").alias("n_reads")),
     "alignment_filter": lambda v: v.assignment.filtered.select(*ROW),

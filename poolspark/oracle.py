@@ -221,6 +221,7 @@ ORACLE_SQL: dict[str, str] = {
         "bc_normalize": "SELECT BC_raw, CASE WHEN coalesce(BC_raw, '') = '' THEN '' ELSE split_part(BC_raw, '-', 1) || '-pool_1' END AS bc_norm, count(*) AS n FROM qc GROUP BY ALL",
         "bc_freq_filter": "SELECT Read, b AS BC, MAPQ, as_, NM, XAcount, frag_loc FROM (SELECT *, count(*) OVER (PARTITION BY b) AS n FROM (SELECT *, split_part(BC_raw, '-', 1) || '-pool_1' AS b FROM qc)) WHERE n >= 30",
         "distinct_barcodes": "SELECT DISTINCT BC FROM qc WHERE Genome IN ('G1', 'G2') AND BC <> ''",
+        "distinct_barcodes_all": "SELECT DISTINCT BC FROM qc WHERE BC <> ''",
         "barcode_chunks": "SELECT BC, chunk_id FROM chunks",
         "union_genomes": "SELECT Genome, count(*) AS n_rows, count(DISTINCT Read) AS n_reads FROM qc GROUP BY Genome",
         "alignment_filter": "SELECT Read, BC, Genome, MAPQ, as_, NM, XAcount FROM filt",

@@ -32,6 +32,11 @@ def test_models_count_all_barcodes(spark):
     assert {r["metric"]: r["n"] for r in v.assignment.hist().groupBy("metric").agg(F.sum("n").alias("n")).collect()} == {"as": n, "mapq": n}
 
 
+def test_barcodes_of_all_genomes(spark):
+    got = catalogue.QUERIES["distinct_barcodes_all"](spark, DIR)
+    assert got.count() == catalogue.Views(spark, DIR).qc.where("BC <> ''").select("BC").distinct().count() == 150
+
+
 def test_entry_names_every_query():
     import __spark_entry__ as e
 
