@@ -6,11 +6,12 @@ An item of ``n`` shingles that a document contains to the share ``t`` lacks at
 most ``n - ceil(t * n)`` of them, so with ``k = n - ceil(t * n) + 1`` at least one
 of the ``k`` minima is a hash of the document, and no such pair is missed.
 
-1. Items are partitioned by size (powers of two).  A partition has its least
-   size, below whose share ``t`` a document can hold none of its items, and the
-   largest of its minima, above which no document hash needs to be looked up.
-2. Documents' hashes below the largest of these bounds are probed against the
-   minima; distinct (document, item) pairs are the candidates.
+1. Items are partitioned by size (powers of two), which only serves to give one
+   common bound for each width: the least size of all, below whose share ``t`` a
+   document can hold no item, and the largest of all minima, above which no
+   document hash needs to be looked up.  Partitions are not probed one by one.
+2. Documents' hashes up to this bound are probed against the minima of all items,
+   each pair with the item's own least size; distinct (document, item) pairs are the candidates.
 3. Candidates are verified by exact containment of the shingle texts.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered; a shingle is five words.  An
