@@ -1,13 +1,15 @@
 """Secret scan (operator 9); DataFrame operations only.
 
-Three patterns find known forms.  Beside them, every run of 20 or more
-characters of ``[A-Za-z0-9+/=_-]`` with a letter and a digit is a candidate:
+Three patterns find known forms.  Beside them, runs of 20 or more characters
+of ``[A-Za-z0-9+/=_-]`` are looked at, unless the allow list knows their form.
+The patterns' spans are cut out, and what is left of a run in pieces of 20 or
+more characters is a candidate if it has a letter and a digit, or letters of
+both cases and nothing else but at its ends:
 a window of ``WINDOW`` characters slides over it, and from one window to the
 next only the counts of the character that leaves and of the one that enters
 change the sum of c*log2(c), hence the window's Shannon entropy.  A candidate
 counts as a secret if its highest window entropy reaches the bound of its
-character class, unless the allow list knows its form or a pattern's span
-overlaps it.
+character class, unless the allow list knows the form of the piece.
 
 Positions are code points, ends exclusive.  They come from the lengths of the
 pieces between matches: prefix sums in blocks of ``BLOCK``, so a text with very
@@ -79,9 +81,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         rows = rows.withColumn(kind, F.expr(f"IF(hit, {spans}, cast(array() as {SPAN}))")).drop("hit", "ms", "segs", "steps", "at", "g")
     rows = rows.withColumn("base", F.array_sort(F.concat(*PATTERNS)))
     rows = _found(rows, "entropy", CANDIDATE)
-    may = f"ms[i] rlike '[0-9]' AND ms[i] rlike '[A-Za-z]' AND NOT ms[i] rlike '{ALLOWED}' AND NOT exists(base, b -> b.start < at[i] + length(ms[i]) AND at[i] < b.end)"
+    runs = f"transform(filter(sequence(0, size(ms) - 1), i -> NOT ms[i] rlike '{ALLOWED}'), i -> named_struct('at', at[i], 'end', at[i] + length(ms[i]), 'w', ms[i], 'cuts', filter(base, b -> b.start < at[i] + length(ms[i]) AND at[i] < b.end)))"
+    starts = "filter(array_distinct(concat(array(r.at), transform(r.cuts, b -> b.end))), p -> p < r.end AND NOT exists(r.cuts, b -> b.start <= p AND p < b.end))"
+    pieces = f"transform({starts}, p -> named_struct('at', p, 'w', substring(r.w, p - r.at + 1, array_min(concat(array(r.end), transform(filter(r.cuts, b -> b.start > p), b -> b.start))) - p)))"
+    may = f"length(c.w) >= {WINDOW} AND (c.w rlike '[0-9]' AND c.w rlike '[A-Za-z]' OR c.w rlike '^[+/=_-]*[A-Za-z]+[+/=_-]*$' AND c.w rlike '[a-z]' AND c.w rlike '[A-Z]') AND NOT c.w rlike '{ALLOWED}'"
     bound = "CASE " + " ".join(f"WHEN w rlike '{p}' THEN {h}" for _, p, h in CLASSES) + " END"
-    rows = rows.withColumn("can", F.expr(f"IF(hit, transform(filter(sequence(0, size(ms) - 1), i -> {may}), i -> named_struct('at', at[i], 'w', ms[i])), array())"))
+    rows = rows.withColumn("can", F.expr(f"IF(hit, filter(flatten(transform({runs}, r -> {pieces})), c -> {may}), array())"))
     # log2(W) - sum / W, highest where the sum is least
     strong = f"transform(array(named_struct('w', c.w, 's', split(c.w, ''))), cand -> round(log2({WINDOW}) - {_min_sum('cand.s')} / {WINDOW}, 6) >= {bound.replace('w rlike', 'cand.w rlike')})[0]"
     spans = f"transform(filter(can, c -> {strong}), c -> named_struct('start', c.at, 'ord', 3, 'end', c.at + length(c.w), 'kind', 'entropy'))"

@@ -408,6 +408,25 @@ def test_entropy_windows(spark):
         assert np.log2(secrets.WINDOW) - least / secrets.WINDOW == pytest.approx(best, abs=1e-9)
 
 
+def _random_key(seed, size, chars):
+    r = random.Random(seed)
+    return "".join(r.sample(chars, 20) + r.choices(chars, k=size - 20))
+
+
+def test_entropy_beside_base_spans(spark):
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    access, key, other = "AKIA" + "Q7" * 8, _random_key(1, 40, lower + upper + digits), _random_key(2, 30, lower + upper + digits)
+    letters, hexa = _random_key(3, 24, lower + upper), "0f" * 16
+    texts = [f"\U0001f600 {access}/{key}", f"{key}-{access}/{hexa}_{other}", f"{key[:15]}-{access}/{key[:15]}", letters, letters.lower(), f"see {access}/example{key}", f"{access}/{letters}", f"token={key}/{other}"]
+    got = [set(x.split(",")) for x in _spans(spark, texts)]
+    n = len(access)
+    second = {f"entropy:0:41", f"access:41:{41 + n}", f"hex:{42 + n}:{74 + n}", f"entropy:{74 + n}:{105 + n}"}
+    assert got == [
+        {f"access:2:{2 + n}", f"entropy:{2 + n}:{43 + n}"}, second, {f"access:16:{16 + n}"}, {"entropy:0:24"}, {""}, {f"access:4:{4 + n}"},
+        {f"access:0:{n}", f"entropy:{n}:{n + 25}"}, {"assign:0:77"},
+    ]
+
+
 def test_positions_beyond_one_block(spark):
     n = secrets.BLOCK * 2 + 5
     text = " ".join(["0123456789abcdef" * 2] * n)
