@@ -122,7 +122,12 @@ class Views:
 
     @cached_property
     def winners(self) -> DataFrame:
-        return self.assigned.where("assigned_class = 'winner'").select("BC", "Read", "Genome", "as_")
+        return R.winner_reads(self.assigned)
+
+    @cached_property
+    def all_winners(self) -> DataFrame:
+        """As the comparison of samples takes them, whatever other hits they have."""
+        return R.winner_reads(self.assigned, xa_max=-1)
 
     @cached_property
     def as_mean(self) -> DataFrame:
@@ -258,11 +263,11 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "as_mean_assign": lambda v: v.as_mean,
     "contamination_rate": lambda v: v.rates,
     "pass_barcodes": lambda v: R.pass_barcodes(v.as_mean, POOL),
-    "reads_to_discard": lambda v: R.reads_to_discard(v.winners, R.pass_barcodes(v.as_mean, POOL)),
+    "reads_to_discard": lambda v: R.reads_to_discard(v.winners, v.as_mean),
     "plate_sample_stats": lambda v: v.stats,
     "plate_grid": lambda v: R.plate_grid(v.stats, testkit.plate_map(v.spark)),
-    "interpool_counts": lambda v: R.interpool_counts(v.as_mean, v.samples),
-    "read_composition": lambda v: R.read_composition(v.winners, v.samples),
+    "interpool_counts": lambda v: R.interpool_counts(R.as_mean_assign(v.all_winners), v.samples),
+    "read_composition": lambda v: R.read_composition(v.all_winners, v.samples),
     "ecdf_points": lambda v: R.ecdf(R.low_high(v.rates, 0.2), "contam_rate", "grp"),
     "heat_counts": lambda v: R.heat_counts(v.rates, "contam_rate", "n_reads", 10, 8, (0.0, 1.0), (0.0, 40.0)),
     "bic_single_soft": _soft,

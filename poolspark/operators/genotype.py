@@ -349,9 +349,12 @@ def _with_k(sigs: DataFrame, top: DataFrame) -> DataFrame:
     return sigs.join(cands, "barcode", "left").withColumn("k", F.coalesce(F.array_size("cands"), F.lit(0)))
 
 
-def call_decision(post: DataFrame, mass: DataFrame, eta: dict[str, float], config: MergeConfig = MergeConfig(), phi: DataFrame | None = None) -> DataFrame:
-    """The genotype call of each barcode with the figures it rests on; missing values are null."""
-    top = topk_genomes(mass, config.topk_genomes)
+def call_decision(post: DataFrame, mass: DataFrame, eta: dict[str, float], config: MergeConfig = MergeConfig(), phi: DataFrame | None = None, top: DataFrame | None = None) -> DataFrame:
+    """The genotype call of each barcode with the figures it rests on; missing values are null.
+
+    ``top``: the candidates, if they come from another mass than the composition.
+    """
+    top = top if top is not None else topk_genomes(mass, config.topk_genomes)
     chis = chi(phi) if phi is not None else None
     own = bic_doublet(bic_single(bic_empty(signatures(post, eta, top, config.topk_genomes, phi, chis, config.xmap_chi_threshold)), top, config), config)
     own = own.join(barcode_stats(mass), "barcode", "left").join(jsd_to_eta(mass, eta, config.jsd_normalize).withColumnRenamed("jsd", "jsd_to_eta"), "barcode", "left")
@@ -430,4 +433,5 @@ class Genotyping:
     def calls(self) -> DataFrame:
         post = discounted(self.post, self.config.winner_discount_mode) if self.config.winner_discount else self.post
         mass = mass_by_genome(post) if self.config.winner_discount else self.mass
-        return call_decision(post, mass, self.eta(), self.config, self.phi())
+        # a discount changes likelihoods and composition, but not who the candidates are
+        return call_decision(post, mass, self.eta(), self.config, self.phi(), topk_genomes(self.mass, self.config.topk_genomes))

@@ -8,10 +8,24 @@ from pyspark.sql import functions as F
 from poolspark.plans.ordered import quantiles, running_sums
 
 
+def winner_reads(rows: DataFrame, xa_max: int = 2) -> DataFrame:
+    """(BC, Read, Genome, as_) of winner rows with at most ``xa_max`` other hits, genomes in upper case.
+
+    A missing count of other hits is none; a bound below 0, or a table without that column, is no bound.
+    """
+    own = rows.where("assigned_class = 'winner'") if "assigned_class" in rows.columns else rows
+    if xa_max >= 0 and "XAcount" in own.columns:
+        own = own.where(F.coalesce("XAcount", F.lit(0)) <= xa_max)
+    return own.select("BC", "Read", F.upper("Genome").alias("Genome"), "as_")
+
+
 def as_mean_assign(winners: DataFrame) -> DataFrame:
-    """The genome of most reads for each barcode and the gap of mean scores to the next; rows BC, Read, Genome, as_."""
-    per = winners.groupBy("BC", "Genome").agg((F.sum("as_") / F.count("Read")).alias("as_mean"), F.count("Read").alias("n_read"))
-    w = Window.partitionBy("BC").orderBy(F.desc("n_read"), "Genome")
+    """The genome of the highest mean score for each barcode and the gap to the next; rows BC, Read, Genome, as_.
+
+    Ties go to the genome of more reads, then by name.  A missing score adds nothing to the sum, its read counts.
+    """
+    per = winners.groupBy("BC", "Genome").agg((F.coalesce(F.sum("as_"), F.lit(0)) / F.count("Read")).alias("as_mean"), F.count("Read").alias("n_read"))
+    w = Window.partitionBy("BC").orderBy(F.desc_nulls_last("as_mean"), F.desc("n_read"), "Genome")
     ranked = per.withColumn("rk", F.row_number().over(w))
     at = lambda k, c: F.max(F.when(F.col("rk") == k, F.col(c)))
     out = ranked.groupBy("BC").agg(F.sum("n_read").alias("total_n"), at(1, "Genome").alias("assigned_genome"), at(1, "as_mean").alias("top1_as_mean"), at(1, "n_read").alias("top1_n"), at(2, "Genome").alias("second_genome"), at(2, "as_mean").alias("top2_as_mean"))
@@ -28,8 +42,10 @@ def pass_barcodes(assigned: DataFrame, pool: list[str]) -> DataFrame:
     return assigned.where(F.upper("assigned_genome").isin([g.upper() for g in pool])).select("BC", "assigned_genome")
 
 
-def reads_to_discard(winners: DataFrame, passed: DataFrame) -> DataFrame:
-    return winners.join(passed, "BC").where("Genome <> assigned_genome").select("BC", "Read", "Genome", "assigned_genome")
+def reads_to_discard(winners: DataFrame, assigned: DataFrame) -> DataFrame:
+    """Reads whose genome is not their barcode's, of all barcodes, sorted by barcode and read."""
+    own = winners.join(assigned.select("BC", "assigned_genome"), "BC").where("Genome <> assigned_genome")
+    return own.select("BC", "Read", "Genome", "assigned_genome").orderBy("BC", "Read", "Genome")
 
 
 def sample_stats(rates: DataFrame, samples: DataFrame) -> DataFrame:

@@ -75,6 +75,13 @@ def _allowed(variant: str, calls: str, design: bool, strict: bool, ambiguous: st
             {t('k.indist_set')} AS i, {t(expected)} AS e FROM {calls} k {join}))"""
 
 
+def _by_mean(reads: str) -> str:
+    """The genome of the highest mean score of each barcode, then of more reads, then by name."""
+    return f"""SELECT BC, CAST(sum(n_read) AS BIGINT) AS total_n, max(Genome) FILTER (WHERE rk = 1) AS assigned_genome, max(as_mean) FILTER (WHERE rk = 1) AS top1_as_mean, max(n_read) FILTER (WHERE rk = 1) AS top1_n,
+        max(Genome) FILTER (WHERE rk = 2) AS second_genome, max(as_mean) FILTER (WHERE rk = 2) AS top2_as_mean FROM (SELECT *, row_number() OVER (PARTITION BY BC ORDER BY as_mean DESC, n_read DESC, Genome) AS rk FROM (
+        SELECT BC, Genome, coalesce(sum(as_), 0) / CAST(count(Read) AS DOUBLE) AS as_mean, count(Read) AS n_read FROM {reads} GROUP BY ALL)) GROUP BY BC"""
+
+
 def _bic(ll: str, params: int, n: str = "n_reads") -> str:
     return f"round(-2 * {ll} + {params} * ln(greatest({n}, 1)), 9)"
 
@@ -177,10 +184,10 @@ STEPS: dict[str, str] = {
     "gate": """SELECT *, ar >= 5 AND frac >= 0.9::DOUBLE AS keep_postclean, CASE WHEN ar < 5 THEN 'allowed_reads_post<5' WHEN frac < 0.9::DOUBLE THEN 'allowed_frac_post<0.9' ELSE 'keep' END AS drop_reason FROM (
         SELECT *, CASE WHEN tr > 0 THEN ar / CAST(tr AS DOUBLE) ELSE 0 END AS frac FROM (SELECT r.barcode, CAST(coalesce(sum(p.n_winner_reads), 0) AS BIGINT) AS tr, CAST(coalesce(sum(p.n_winner_reads) FILTER (WHERE list_contains(r.allowed, p.genome)), 0) AS BIGINT) AS ar
         FROM drules r LEFT JOIN postc p ON p.barcode = r.barcode GROUP BY r.barcode))""",
-    "wread": "SELECT BC, Read, Genome, as_ FROM assign WHERE assigned_class = 'winner'",
-    "asm": """SELECT BC, CAST(sum(n_read) AS BIGINT) AS total_n, max(Genome) FILTER (WHERE rk = 1) AS assigned_genome, max(as_mean) FILTER (WHERE rk = 1) AS top1_as_mean, max(n_read) FILTER (WHERE rk = 1) AS top1_n,
-        max(Genome) FILTER (WHERE rk = 2) AS second_genome, max(as_mean) FILTER (WHERE rk = 2) AS top2_as_mean FROM (SELECT *, row_number() OVER (PARTITION BY BC ORDER BY n_read DESC, Genome) AS rk FROM (
-        SELECT BC, Genome, sum(as_) / CAST(count(Read) AS DOUBLE) AS as_mean, count(Read) AS n_read FROM wread GROUP BY ALL)) GROUP BY BC""",
+    "wread": "SELECT BC, Read, upper(Genome) AS Genome, as_ FROM assign WHERE assigned_class = 'winner' AND coalesce(XAcount, 0) <= 2",
+    "wall": "SELECT BC, Read, upper(Genome) AS Genome, as_ FROM assign WHERE assigned_class = 'winner'",
+    "asm": _by_mean("wread"),
+    "asmall": _by_mean("wall"),
     "rates": "SELECT w.BC, a.assigned_genome, count(*) AS n_reads, count(*) FILTER (WHERE w.Genome <> a.assigned_genome) AS n_mismatch, count(*) FILTER (WHERE w.Genome <> a.assigned_genome) / CAST(count(*) AS DOUBLE) AS contam_rate FROM wread w JOIN asm a ON a.BC = w.BC GROUP BY ALL",
     "sstats": "SELECT s.sample, count(DISTINCT r.BC) AS n_bc, CAST(sum(n_reads) AS BIGINT) AS n_reads, avg(contam_rate) AS mean_contam, quantile_cont(contam_rate, 0.5) AS median_contam, quantile_cont(contam_rate, 0.95) AS p95_contam FROM rates r JOIN samples s ON s.BC = r.BC GROUP BY s.sample",
     "wells": "SELECT sample, row, unnest(range(a, b + 1)) AS col FROM (" + _values([(s, r[0], int(r[1:].split("-")[0]), int(r[1:].split("-")[-1])) for s, ws in testkit.PLATE_MAP for r in ws.split(",")], "sample, row, a, b") + ")",
@@ -286,13 +293,13 @@ ORACLE_SQL: dict[str, str] = {
         "as_mean_assign": f"SELECT BC, total_n, assigned_genome, top1_n, second_genome, {_r('top1_as_mean', 'top2_as_mean')}, round(top1_as_mean - top2_as_mean, 6) AS as_gap FROM asm",
         "contamination_rate": f"SELECT BC, assigned_genome, n_reads, n_mismatch, {_r('contam_rate')} FROM rates",
         "pass_barcodes": "SELECT BC, assigned_genome FROM asm WHERE upper(assigned_genome) IN ('G0', 'G2', 'G4')",
-        "reads_to_discard": "SELECT w.BC, w.Read, w.Genome, a.assigned_genome FROM wread w JOIN asm a ON a.BC = w.BC WHERE upper(assigned_genome) IN ('G0', 'G2', 'G4') AND w.Genome <> a.assigned_genome",
+        "reads_to_discard": "SELECT w.BC, w.Read, w.Genome, a.assigned_genome FROM wread w JOIN asm a ON a.BC = w.BC WHERE w.Genome <> a.assigned_genome",
         "plate_sample_stats": f"SELECT sample, n_bc, n_reads, {_r('mean_contam', 'median_contam', 'p95_contam')} FROM sstats",
         "plate_grid": "SELECT g.row, g.col, w.sample, round(s.median_contam, 6) AS value FROM (SELECT row, CAST(col AS INTEGER) AS col FROM (SELECT unnest(string_split('ABCDEFGH', '')) AS row), (SELECT unnest(range(1, 13)) AS col)) g LEFT JOIN wells w ON w.row = g.row AND w.col = g.col LEFT JOIN sstats s ON s.sample = w.sample",
-        "interpool_counts": "SELECT sample, assigned_genome, n_bc, round(n_bc / CAST(sum(n_bc) OVER (PARTITION BY sample) AS DOUBLE), 6) AS frac FROM (SELECT s.sample, a.assigned_genome, count(*) AS n_bc FROM asm a JOIN samples s ON s.BC = a.BC GROUP BY ALL)",
-        "read_composition": "SELECT sample, Genome, n_reads, round(n_reads / CAST(sum(n_reads) OVER (PARTITION BY sample) AS DOUBLE), 6) AS frac FROM (SELECT s.sample, w.Genome, count(*) AS n_reads FROM wread w JOIN samples s ON s.BC = w.BC GROUP BY ALL)",
+        "interpool_counts": "SELECT sample, assigned_genome, n_bc, round(n_bc / CAST(sum(n_bc) OVER (PARTITION BY sample) AS DOUBLE), 6) AS frac FROM (SELECT s.sample, a.assigned_genome, count(*) AS n_bc FROM asmall a JOIN samples s ON s.BC = a.BC GROUP BY ALL)",
+        "read_composition": "SELECT sample, Genome, n_reads, round(n_reads / CAST(sum(n_reads) OVER (PARTITION BY sample) AS DOUBLE), 6) AS frac FROM (SELECT s.sample, w.Genome, count(*) AS n_reads FROM wall w JOIN samples s ON s.BC = w.BC GROUP BY ALL)",
         "ecdf_points": "SELECT grp, x AS contam_rate, round(sum(n) OVER (PARTITION BY grp ORDER BY x) / CAST(sum(n) OVER (PARTITION BY grp) AS DOUBLE), 6) AS cdf FROM (SELECT grp, x, count(*) AS n FROM grp GROUP BY ALL)",
-        "heat_counts": "SELECT CAST(least(floor(contam_rate * 10), 9) AS INTEGER) AS ix, CAST(least(floor(n_reads * 8 / 40.0), 7) AS INTEGER) AS iy, count(*) AS n FROM rates WHERE contam_rate BETWEEN 0 AND 1 AND n_reads BETWEEN 0 AND 40 GROUP BY ALL",
+        "heat_counts": "SELECT CAST(least(floor(contam_rate * 10), 9) AS INTEGER) AS ix, CAST(least(floor(n_reads * 8 / 40.0), 7) AS INTEGER) AS iy, count(*) AS n FROM rates GROUP BY ALL",
         "bic_single_soft": "SELECT barcode, n_reads, round(n_reads_eff, 6) AS n_reads_eff, round(x.bic, 6) AS bic, CAST(x.c AS INTEGER) AS c, CAST(x.i AS INTEGER) AS i FROM softs",
         "ks_statistic": f"""SELECT n1, n2, round(d, 6) AS d, round(CASE WHEN {_LAM} < 0.04 THEN 1 ELSE greatest(0, least(1, (SELECT sum(CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END * exp(-2 * k * k * {_LAM} * {_LAM})) FROM (SELECT unnest(range(1, 101)) AS k)))) END, 6) AS p FROM (
             SELECT n1, n2, max(abs(ca / CAST(n1 AS DOUBLE) - cb / CAST(n2 AS DOUBLE))) AS d FROM (SELECT CAST(sum(a) OVER (ORDER BY x) AS BIGINT) AS ca, CAST(sum(b) OVER (ORDER BY x) AS BIGINT) AS cb, CAST(sum(a) OVER () AS BIGINT) AS n1, CAST(sum(b) OVER () AS BIGINT) AS n2

@@ -50,8 +50,8 @@ def run(
         "drops": (None, lambda: decontam.drop_list(out["judged"])),
         "gate": (None, lambda: decontam.postclean_gate(decontam.counts(out["judged"], "post"), out["policy"], decontam_config)),
         "calls_decontam": (None, lambda: decontam.calls_decontam(out["calls"], out["policy"], out["gate"])),
-        "as_mean": (None, lambda: reports.as_mean_assign(_winners(out["assign"]))),
-        "rates": (None, lambda: reports.contamination_rate(_winners(out["assign"]), out["as_mean"])),
+        "as_mean": (None, lambda: reports.as_mean_assign(reports.winner_reads(out["assign"]))),
+        "rates": (None, lambda: reports.contamination_rate(reports.winner_reads(out["assign"]), out["as_mean"])),
     }
     for name in STEPS:
         own, make = steps[name]
@@ -64,7 +64,3 @@ def run(
 
 def _with_p(rows: DataFrame) -> DataFrame:
     return rows.selectExpr("BC AS barcode", "Read AS read_id", "Genome AS genome", "as_", "MAPQ AS mapq", "NM AS nm", "XAcount AS xa", "assigned_class AS cls", "p_as")
-
-
-def _winners(rows: DataFrame) -> DataFrame:
-    return rows.where("assigned_class = 'winner'").select("BC", "Read", "Genome", "as_")

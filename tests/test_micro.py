@@ -238,3 +238,34 @@ def test_heat_counts_keep_values_beyond_the_ranges(spark):
     df = spark.createDataFrame([(0.05, 3), (0.05, 40), (0.05, 41), (1.0, 5000), (-0.1, -2), (None, 3), (0.5, None)], "x double, y long")
     got = sorted(map(tuple, reports.heat_counts(df, "x", "y", 10, 8, (0.0, 1.0), (0.0, 40.0)).collect()))
     assert got == [(0, 0, 2), (0, 7, 2), (9, 7, 1)]
+
+
+def test_barcode_goes_to_the_highest_mean_score(spark):
+    rows = [("b", f"r{i}", "a", 50, 0) for i in range(5)] + [("b", "s1", "B", 90, 1), ("b", "s2", "B", 80, None), ("b", "t", "C", 200, 3)]
+    table = spark.createDataFrame([(*r, "winner") for r in rows] + [("b", "u", "C", 300, 0, "ambiguous")], "BC string, Read string, Genome string, as_ int, XAcount int, assigned_class string")
+    reads = reports.winner_reads(table)
+    got = reports.as_mean_assign(reads).first().asDict()
+    assert got == {"BC": "b", "total_n": 7, "assigned_genome": "B", "top1_as_mean": 85.0, "top1_n": 2, "second_genome": "A", "top2_as_mean": 50.0, "as_gap": 35.0}
+    rate = reports.contamination_rate(reads, reports.as_mean_assign(reads)).first()
+    assert (rate["n_reads"], rate["n_mismatch"]) == (7, 5)
+    assert [r["Read"] for r in reports.reads_to_discard(reads, reports.as_mean_assign(reads)).collect()] == [f"r{i}" for i in range(5)]
+    assert reports.as_mean_assign(reports.winner_reads(table, xa_max=-1)).first()["assigned_genome"] == "C"
+
+
+def test_means_that_tie_go_to_more_reads_then_by_name(spark):
+    rows = [("x", "1", "B", 10), ("x", "2", "B", 10), ("x", "3", "A", 10), ("y", "1", "B", 10), ("y", "2", "A", 10), ("z", "1", "A", None), ("z", "2", "B", 1)]
+    got = reports.as_mean_assign(spark.createDataFrame(rows, "BC string, Read string, Genome string, as_ int"))
+    assert {r["BC"]: r["assigned_genome"] for r in got.collect()} == {"x": "B", "y": "A", "z": "B"}
+
+
+def test_discount_keeps_the_candidates(spark):
+    """C holds more mass than B but no winner mass; with two candidates C stays one and B does not come in."""
+    post = [("b", f"a{i}", "A", 1.0, 1.0) for i in range(20)] + [("b", f"b{i}", "B", 0.6, 0.6) for i in range(5)] + [("b", f"c{i}", "C", 0.4, 0.4) for i in range(10)]
+    own = spark.createDataFrame([(*r[:4], 0.001, r[4]) for r in post], "barcode string, read_id string, genome string, l double, l_amb double, w_read double")
+    config = genotype.MergeConfig(topk_genomes=2, winner_discount=True, xmap_enabled=False)
+    seen = genotype.topk_genomes(genotype.mass_by_genome(own), 2)
+    cut = genotype.discounted(own, config.winner_discount_mode)
+    eta = {g: 1 / 3 for g in "ABC"}
+    call = lambda **k: genotype.call_decision(cut, genotype.mass_by_genome(cut), eta, config, **k).first()
+    assert [r["genome"] for r in seen.orderBy("rank").collect()] == ["A", "C"]
+    assert call(top=seen)["bic_doublet"] != call()["bic_doublet"]
