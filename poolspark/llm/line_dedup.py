@@ -3,70 +3,89 @@
 State, all of it tables on shared storage:
 
 ``refs``     exact references: one row (key, doc_id, n) for each line key of each document;
-``counts``   exact reference counts: (key, n_docs, first_doc);
-``filters``  cuckoo filters, a chain for each shard of the key space.
-
-*Insert*: a batch is first reduced to its distinct keys.  Each shard's filter
-says which of them were certainly never seen; those are appended to ``counts``
-as they are, and only the others are merged with the exact counts.  *Delete*
-takes a document's references away, recounts the keys it held, and removes the
-fingerprints of keys that no document holds any more, so a deletion restores
-what an insertion changed.  *Verdicts* come from the exact tables alone: a
-filter's false positive costs a lookup and changes nothing.
+``counts``   exact reference counts: one row (key, n_docs, first_doc) for each key;
+``filters``  cuckoo filters, a chain of equal parts for each shard of the key space.
+
+*Insert*: a batch is first reduced to its distinct keys.  Each shard's filters
+say which of them were certainly never seen; only the others are looked up in
+``counts``.  Keys that are not found there, those that the filters took for
+known by mistake included, are appended and their fingerprints inserted; keys
+that are found are merged.  So every key of ``counts`` has a fingerprint of its
+own.  *Delete* takes a document's references away, recounts the keys it held,
+and removes one fingerprint of each key that no document holds any more.  All
+parts of a chain have the same size, so equal fingerprints of a shard stand for
+each other wherever they lie: what is left still covers every key of ``counts``,
+and a deletion restores what an insertion changed.  *Verdicts* come from the
+exact tables, which are right only because filters never deny a key.
+
+:func:`index` inserts a table of documents in ``BATCHES`` batches by a hash of
+the id, so all but the first go through the filters.
 
 A key is a line stripped of ``[\\x20\\x09-\\x0D]`` at both ends with A-Z lowered;
 it is carried as its 128-bit MD5.  Only keys of ``min_chars`` code points count.
 A key that two or more documents hold loses all its lines but those of the
 smallest doc_id.  Null or empty texts are one empty line; rows that repeat a
-doc_id count as one document; a null doc_id is a document smaller than any
-other; columns other than the id and the text are not read.
+doc_id count as one document and each lose the lines that it loses; a null
+doc_id is a document smaller than any other.  Other columns are not read, may
+have any name, and stay as they are in :func:`strip`.  An empty table gives an
+empty index and no rows.  Texts of any length are split as they are; a line or
+text is held in memory once, and its cost grows with its length.
 
 Hot lines: references are counted by (key, doc_id), then by key with partial
 sums, so a line that a third of the documents holds reaches the counting task
-as one row from each task before it.  In the join of references with repeated
-keys, adaptive execution splits a hot key's side.
+as one row from each task before it.  Keys that more than one in ``HOT_KEYS``
+of all references name (and more than ``HOT_LEAST``) are joined back by a
+broadcast, which holds ``HOT_KEYS`` keys at most; only the others are shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from poolspark.llm.common import LOWER, UPPER, tidied
+from poolspark.llm.common import LOWER, UPPER, slices, tidied, unused
 from poolspark.plans.shared import materialize
 
 _TRIM = " \t\n\x0b\x0c\r"
 _LOWER_TABLE = str.maketrans(UPPER, LOWER)
 
 
+#: Keys that one filter part is made for, and keys of a shard when an index is laid out.
+PART_KEYS, SHARD_KEYS = 1 << 15, 200_000
+#: An index is laid out for so many times the keys of its first batch; beyond that, chains only get longer.
+GROWTH = 4
+BATCHES = 3
+HOT_KEYS, HOT_LEAST = 20_000, 1000
+SLICE_BYTES = 8 << 20
+
+
 class CuckooFilter:
-    """Sixteen-bit fingerprints, four to a bucket; bulk operations on arrays of 64-bit hashes.
+    """Fingerprints of ``bits`` bits, sixteen at most, four to a bucket; bulk operations on arrays of 64-bit hashes.
 
     Fingerprints that find no place after ``ROUNDS`` of evictions go to a stash, so
-    nothing inserted is ever denied.
+    nothing inserted is ever denied.  Equal keys may be inserted several times.
     """
 
     SLOTS, ROUNDS, LOAD = 4, 256, 0.9
 
-    def __init__(self, capacity: int):
-        self.mask = (1 << max(1, int(np.ceil(np.log2(max(capacity, 8) / self.SLOTS / self.LOAD))))) - 1
+    def __init__(self, capacity: int, bits: int = 16):
+        self.bits, self.mask = bits, (1 << max(1, int(np.ceil(np.log2(max(capacity, 8) / self.SLOTS / self.LOAD))))) - 1
         self.table = np.zeros((self.mask + 1, self.SLOTS), np.uint16)
         self.stash = np.empty((0, 2), np.uint32)
 
     @staticmethod
     def _mix(x: np.ndarray) -> np.ndarray:
         x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (x ^ (x >> np.uint64(29))).astype(np.uint64)
+        return x ^ (x >> np.uint64(29))
 
     def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        fp = ((hashes >> np.uint64(48)).astype(np.uint16) | np.uint16(0)).astype(np.uint16)
-        fp[fp == 0] = 1
+        fp = np.maximum(hashes >> np.uint64(64 - self.bits), np.uint64(1)).astype(np.uint16)
         one = (self._mix(hashes) & np.uint64(self.mask)).astype(np.int64)
         return fp, one, self._other(fp, one)
 
@@ -77,7 +96,7 @@ class CuckooFilter:
         return int(np.count_nonzero(self.table)) + len(self.stash)
 
     def room(self) -> int:
-        return int(self.table.size * self.LOAD) - len(self)
+        return max(0, int(self.table.size * self.LOAD) - len(self))
 
     def contains(self, hashes: np.ndarray) -> np.ndarray:
         fp, one, two = self._places(hashes)
@@ -113,34 +132,36 @@ class CuckooFilter:
         low = np.minimum(at, self._other(fp, at))
         self.stash = np.concatenate([self.stash, np.stack([low, fp], 1).astype(np.uint32)])
 
-    def remove(self, hashes: np.ndarray) -> None:
-        """Take away fingerprints of hashes that were inserted."""
-        for fp, one, two in zip(*(x.tolist() for x in self._places(hashes)), strict=True):
+    def remove(self, hashes: np.ndarray) -> np.ndarray:
+        """Take away one fingerprint of each hash; which of them had one here."""
+        done = np.zeros(len(hashes), bool)
+        for k, (fp, one, two) in enumerate(zip(*(x.tolist() for x in self._places(hashes)), strict=True)):
             for b in (one, two):
                 hit = np.flatnonzero(self.table[b] == fp)
                 if len(hit):
-                    self.table[b, hit[0]] = 0
+                    self.table[b, hit[0]], done[k] = 0, True
                     break
             else:
                 hit = np.flatnonzero((self.stash == (min(one, two), fp)).all(1))
-                self.stash = np.delete(self.stash, hit[:1], 0)
+                self.stash, done[k] = np.delete(self.stash, hit[:1], 0), len(hit) > 0
+        return done
 
     def dump(self) -> bytes:
-        head = np.array([self.mask + 1, len(self.stash)], "<u4").tobytes()
+        head = np.array([self.mask + 1, len(self.stash), self.bits], "<u4").tobytes()
         return pa.compress(head + self.stash.astype("<u4").tobytes() + self.table.astype("<u2").tobytes(), "zstd", asbytes=True)
 
     @classmethod
     def load(cls, data: bytes, size: int) -> CuckooFilter:
         raw = pa.decompress(data, size, "zstd", asbytes=True)
-        n, stash = np.frombuffer(raw[:8], "<u4").tolist()
+        n, stash, bits = np.frombuffer(raw[:12], "<u4").tolist()
         own = cls.__new__(cls)
-        own.mask = n - 1
-        own.stash = np.frombuffer(raw[8 : 8 + 8 * stash], "<u4").reshape(-1, 2).astype(np.uint32)
-        own.table = np.frombuffer(raw[8 + 8 * stash :], "<u2").reshape(-1, cls.SLOTS).astype(np.uint16)
+        own.mask, own.bits = n - 1, bits
+        own.stash = np.frombuffer(raw[12 : 12 + 8 * stash], "<u4").reshape(-1, 2).astype(np.uint32)
+        own.table = np.frombuffer(raw[12 + 8 * stash :], "<u2").reshape(-1, cls.SLOTS).astype(np.uint16)
         return own
 
     def size(self) -> int:
-        return 8 + 8 * len(self.stash) + 2 * self.table.size
+        return 12 + 8 * len(self.stash) + 2 * self.table.size
 
 
 FILTERS = "shard int, part int, size long, filter binary"
@@ -159,138 +180,156 @@ def references(docs: DataFrame, min_chars: int, id_col: str = "doc_id", text_col
 
 
 def count(refs: DataFrame) -> DataFrame:
-    return refs.groupBy("key").agg(F.count("*").alias("n_docs"), F.min_by("doc_id", F.coalesce("doc_id", F.lit(-(2**63)))).alias("first_doc"))
+    return refs.groupBy("key").agg(F.count("*").alias("n_docs"), _least_doc("doc_id"))
+
+
+def _least_doc(name: str) -> Column:
+    """The smallest id, null before all others."""
+    return F.min_by(name, F.coalesce(name, F.lit(-(2**63)))).alias("first_doc")
 
 
 def _hashes(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), "<u8").reshape(-1, 2)[:, 0]
 
 
-def _probe(key, keys: pa.Table, filters: pa.Table) -> pa.Table:
-    """Which keys of a shard its filters may know; then the unknown ones are inserted."""
-    shard = key[0].as_py()
-    own = keys.column("key").to_pylist()
-    hashes = _hashes(own)
-    chain = [CuckooFilter.load(r["filter"], r["size"]) for r in sorted(filters.to_pylist(), key=lambda r: r["part"])]
-    known = np.zeros(len(own), bool)
-    for f in chain:
-        known |= f.contains(hashes)
-    new = hashes[~known]
-    if len(new):
-        if not chain or chain[-1].room() < len(new):
-            chain.append(CuckooFilter(max(2 * len(new), 1024)))
-        chain[-1].insert(new)
-    n, m = len(own), len(chain)
-    return pa.table(
-        {
-            "shard": pa.array([shard] * (n + m), pa.int32()),
-            "key": pa.array(own + [None] * m, pa.binary()),
-            "known": pa.array(known.tolist() + [None] * m, pa.bool_()),
-            "part": pa.array([None] * n + list(range(m)), pa.int32()),
-            "size": pa.array([None] * n + [f.size() for f in chain], pa.int64()),
-            "filter": pa.array([None] * n + [f.dump() for f in chain], pa.binary()),
-        }
-    )
-
-
-def _withdraw(keys: pa.Table, filters: pa.Table) -> pa.Table:
-    """Filters of a shard without the fingerprints of ``keys``."""
-    hashes, rows = _hashes(keys.column("key").to_pylist()), []
-    for r in sorted(filters.to_pylist(), key=lambda r: r["part"]):
-        f = CuckooFilter.load(r["filter"], r["size"])
-        held = f.contains(hashes)
-        f.remove(hashes[held])
-        hashes = hashes[~held]
-        rows.append(r | {"size": f.size(), "filter": f.dump()})
+def _chain(filters: pa.Table) -> list[CuckooFilter]:
+    return [CuckooFilter.load(r["filter"], r["size"]) for r in sorted(filters.to_pylist(), key=lambda r: r["part"])]
+
+
+def _dumped(shard: int, chain: list[CuckooFilter]) -> pa.Table:
+    rows = [{"shard": shard, "part": i, "size": f.size(), "filter": f.dump()} for i, f in enumerate(chain)]
     return pa.Table.from_pylist(rows, pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("size", pa.int64()), ("filter", pa.binary())]))
 
 
+def _probe(keys: pa.Table, filters: pa.Table) -> pa.Table:
+    """The keys of a shard that its filters may know."""
+    own = keys.column("key")
+    hashes = _hashes(own.to_pylist())
+    known = np.zeros(len(hashes), bool)
+    for f in _chain(filters):
+        known |= f.contains(hashes)
+    return pa.table({"key": own.filter(pa.array(known))})
+
+
+def _admit(bits: int, key, keys: pa.Table, filters: pa.Table) -> pa.Table:
+    """Filters of a shard with a fingerprint for each of ``keys``."""
+    hashes, chain = _hashes(keys.column("key").to_pylist()), _chain(filters)
+    while len(hashes):
+        room = chain[-1].room() if chain else 0
+        if not room:
+            chain.append(CuckooFilter(PART_KEYS, bits))
+            room = chain[-1].room()
+        chain[-1].insert(hashes[:room])
+        hashes = hashes[room:]
+    return _dumped(key[0].as_py(), chain)
+
+
+def _withdraw(key, keys: pa.Table, filters: pa.Table) -> pa.Table:
+    """Filters of a shard without one fingerprint of each of ``keys``."""
+    hashes, chain = _hashes(keys.column("key").to_pylist()), _chain(filters)
+    for f in chain:
+        hashes = hashes[~f.remove(hashes)]
+    return _dumped(key[0].as_py(), chain)
+
+
 class LineIndex:
     """Lines of a growing and shrinking collection of documents.
 
     ``shards``: parts of the key space; a task holds one shard's keys of a batch
-    and its filters, so choose about one for each million keys expected.
+    and its filters.  0 lets the first batch decide: SHARD_KEYS keys to a shard
+    when the collection has grown to GROWTH times that batch.  ``bits``: size of a
+    fingerprint, which only changes how many keys are looked up for nothing.
     """
 
-    def __init__(self, refs: DataFrame, counts: DataFrame, filters: DataFrame, shards: int, min_chars: int):
-        self.refs, self.counts, self.filters, self.shards, self.min_chars = refs, counts, filters, shards, min_chars
+    def __init__(self, refs: DataFrame, counts: DataFrame, filters: DataFrame, shards: int, min_chars: int, bits: int = 16):
+        self.refs, self.counts, self.filters, self.shards, self.min_chars, self.bits = refs, counts, filters, shards, min_chars, bits
 
     @classmethod
-    def empty(cls, spark, shards: int, min_chars: int = 10) -> LineIndex:
+    def empty(cls, spark, shards: int = 0, min_chars: int = 10, bits: int = 16) -> LineIndex:
         make = lambda schema: spark.createDataFrame([], schema)
-        return cls(make("key binary, doc_id long, n long"), make("key binary, n_docs long, first_doc long"), make(FILTERS), shards, min_chars)
+        return cls(make("key binary, doc_id long, n long"), make("key binary, n_docs long, first_doc long"), make(FILTERS), shards, min_chars, bits)
 
-    def _shard(self) -> Column:
-        return F.pmod(F.crc32("key"), F.lit(self.shards)).cast("int")
+    def _by_shard(self, keys: DataFrame, shards: int):
+        return keys.select(F.pmod(F.crc32("key"), F.lit(shards)).cast("int").alias("shard"), "key").groupBy("shard").cogroup(self.filters.groupBy("shard"))
 
     def insert(self, docs: DataFrame, **cols: str) -> LineIndex:
         """The index with ``docs``, whose doc_ids must be new to it."""
         fresh = materialize(references(docs, self.min_chars, **cols), "line-refs")
         batch = materialize(count(fresh), "line-counts")
-        probed = materialize(
-            batch.select(self._shard().alias("shard"), "key").groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(_probe, "shard int, key binary, known boolean, part int, size long, filter binary"), "line-probes"
-        )
-        old = self.filters.join(probed.where("part is not null").select("shard").distinct(), "shard", "left_anti")
-        filters = old.unionByName(probed.where("part is not null").select("shard", "part", "size", "filter"))
-        known = probed.where("known").select("key")
-        # only keys that a filter may know are looked up; all others are new
-        seen = batch.join(known, "key", "left_semi")
-        new = batch.join(known, "key", "left_anti")
-        merged = self.counts.unionByName(seen).groupBy("key").agg(F.sum("n_docs").alias("n_docs"), F.min_by("first_doc", F.coalesce("first_doc", F.lit(-(2**63)))).alias("first_doc"))
-        return LineIndex(self.refs.unionByName(fresh), merged.unionByName(new), filters, self.shards, self.min_chars)
+        shards, bits = self.shards or max(1, -(-GROWTH * batch.count() // SHARD_KEYS)), self.bits
+        if self.filters.isEmpty():
+            new = counts = batch
+        else:
+            maybe = materialize(self._by_shard(batch, shards).applyInArrow(_probe, "key binary"), "line-maybe")
+            old = materialize(self.counts.join(maybe, "key", "left_semi"), "line-old")  # the exact lookup
+            names = old.select("key")
+            new = materialize(batch.join(names, "key", "left_anti"), "line-new")
+            both = old.unionByName(batch.join(names, "key", "left_semi"))
+            merged = both.groupBy("key").agg(F.sum("n_docs").alias("n_docs"), _least_doc("first_doc"))
+            counts = materialize(self.counts.join(names, "key", "left_anti").unionByName(merged).unionByName(new), "line-counts")
+        filters = materialize(self._by_shard(new, shards).applyInArrow(lambda k, a, b: _admit(bits, k, a, b), FILTERS), "line-filters")
+        return LineIndex(self.refs.unionByName(fresh), counts, filters, shards, self.min_chars, bits)
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
-        """The index without the documents of ``doc_ids`` (column doc_id)."""
+        """The index without the documents of ``doc_ids`` (column doc_id); ids that it does not hold change nothing."""
         gone_ids = doc_ids.select(F.col("doc_id").cast("long").alias("gone")).distinct()
         same = self.refs["doc_id"].eqNullSafe(gone_ids["gone"])
         touched = materialize(self.refs.join(gone_ids, same, "left_semi").select("key").distinct(), "line-touched")
         refs = materialize(self.refs.join(gone_ids, same, "left_anti"), "line-refs")
         again = materialize(count(refs.join(touched, "key", "left_semi")), "line-counts")
-        counts = self.counts.join(touched, "key", "left_anti").unionByName(again)
-        gone = touched.join(again, "key", "left_anti").select(self._shard().alias("shard"), "key")
-        filters = materialize(gone.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(_withdraw, FILTERS), "line-filters")
-        return LineIndex(refs, counts, filters, self.shards, self.min_chars)
+        counts = materialize(self.counts.join(touched, "key", "left_anti").unionByName(again), "line-counts")
+        gone = touched.join(again, "key", "left_anti")
+        filters = materialize(self._by_shard(gone, max(1, self.shards)).applyInArrow(_withdraw, FILTERS), "line-filters")
+        return LineIndex(refs, counts, filters, self.shards, self.min_chars, self.bits)
 
     def drops(self) -> DataFrame:
         """(doc_id, keys): the keys whose lines each document loses."""
-        repeated = self.counts.where("n_docs >= 2").select("key", "first_doc")
-        lost = self.refs.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-        return lost.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+        repeated = self.counts.where("n_docs >= 2")
+        total = self.counts.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
+        often = max(HOT_LEAST, total // HOT_KEYS)  # fewer than HOT_KEYS keys have more references than this
+        hot = F.broadcast(repeated.where(F.col("n_docs") > often).select("key", "first_doc"))
+        rest = repeated.where(F.col("n_docs") <= often).select("key", "first_doc")
+        found = self.refs.join(hot, "key").unionByName(self.refs.join(hot, "key", "left_anti").join(rest, "key"))
+        return found.where(~F.col("doc_id").eqNullSafe(F.col("first_doc"))).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
 
 @tidied
-def _strip(text_col: str, counts: bool, seen):
-    trim = re.compile(rf"^[{_TRIM}]+|[{_TRIM}]+\Z")
-    for batch in seen:
-        kept, lines, dropped = [], [], []
-        for text, keys in zip(batch.column(text_col).to_pylist(), batch.column("__keys").to_pylist(), strict=True):
-            text = text or ""
-            lines.append(text.count("\n") + 1)
-            if not keys:
-                kept.append(text)
-                dropped.append(0)
-                continue
-            lost, own = set(keys), text.split("\n")
-            stay = [x for x in own if hashlib.md5(trim.sub("", x).translate(_LOWER_TABLE).encode()).digest() not in lost]
-            kept.append("\n".join(stay))
-            dropped.append(len(own) - len(stay))
-        out = {n: batch.column(n) if n != text_col else pa.array(kept, pa.string()) for n in batch.schema.names if n != "__keys"}
-        more = {"n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())} if counts else {}
-        yield pa.record_batch(out | more)
-
-
-def index(docs: DataFrame, min_chars: int = 10, shards: int = 0, id_col: str = "doc_id", text_col: str = "text") -> LineIndex:
-    """An index of ``docs``.  ``shards``: unset, the session's number of shuffle partitions."""
-    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return LineIndex.empty(docs.sparkSession, shards, min_chars).insert(docs, id_col=id_col, text_col=text_col)
+def _strip(text_col: str, keys_col: str, counts: tuple[str, ...], seen):
+    for whole in seen:
+        sizes = pc.fill_null(pc.binary_length(whole.column(text_col)), 0).to_numpy(zero_copy_only=False)
+        for a, b in slices(sizes, SLICE_BYTES):
+            batch = whole.slice(a, b - a)
+            kept, lines, dropped = [], [], []
+            for text, keys in zip(batch.column(text_col).to_pylist(), batch.column(keys_col).to_pylist(), strict=True):
+                text = text or ""
+                lines.append(text.count("\n") + 1)
+                if not keys:
+                    kept.append(text)
+                    dropped.append(0)
+                    continue
+                lost, own = set(keys), text.split("\n")
+                stay = [x for x in own if hashlib.md5(x.strip(_TRIM).translate(_LOWER_TABLE).encode()).digest() not in lost]
+                kept.append("\n".join(stay))
+                dropped.append(len(own) - len(stay))
+            out = {n: batch.column(n) if n != text_col else pa.array(kept, pa.string()) for n in batch.schema.names if n != keys_col}
+            yield pa.record_batch(out | dict(zip(counts, (pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())))))
+
+
+def index(docs: DataFrame, min_chars: int = 10, shards: int = 0, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> LineIndex:
+    """An index of ``docs``, inserted in ``batches`` by a hash of the id."""
+    out, batch = LineIndex.empty(docs.sparkSession, shards, min_chars), F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(batches))
+    for k in range(batches):
+        out = out.insert(docs.where(batch == k), id_col=id_col, text_col=text_col)
+    return out
 
 
 def strip(docs: DataFrame, drops: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
     """``docs`` with the lines of ``drops`` taken out of the text; ``counts`` adds n_lines and n_dropped."""
-    lost = drops.select(F.col("doc_id").alias("__drop_id"), F.col("keys").alias("__keys"))
-    joined = docs.join(lost, docs[id_col].cast("long").eqNullSafe(F.col("__drop_id")), "left").drop("__drop_id")
-    more = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())] if counts else []
-    return joined.mapInArrow(lambda seen: _strip(text_col, counts, seen), T.StructType([*docs.schema.fields, *more]))
+    drop_id, keys = unused(docs, "drop_id"), unused(docs, "keys")
+    lost = drops.select(F.col("doc_id").alias(drop_id), F.col("keys").alias(keys))
+    joined = docs.join(lost, F.col(id_col).cast("long").eqNullSafe(F.col(drop_id)), "left").drop(drop_id)
+    names = ("n_lines", "n_dropped") if counts else ()
+    return joined.mapInArrow(lambda seen: _strip(text_col, keys, names, seen), T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)]))
 
 
 def dedup(docs: DataFrame, min_chars: int = 10, shards: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -144,6 +144,54 @@ def test_index_is_incremental_and_reversible(spark, docs):
     assert sum(len(line_dedup.CuckooFilter.load(r["filter"], r["size"])) for r in back.filters.collect()) == back.counts.count()
 
 
+def _fresh(index):
+    """Everything that an index says, and what its filters hold."""
+    drops = sorted((r["doc_id"], sorted(map(bytes, r["keys"]))) for r in index.drops().collect())
+    counts = sorted((bytes(r["key"]), r["n_docs"], r["first_doc"]) for r in index.counts.collect())
+    parts = [line_dedup.CuckooFilter.load(r["filter"], r["size"]) for r in index.filters.collect()]
+    hashes = line_dedup._hashes([c[0] for c in counts])
+    known = np.zeros(len(hashes), bool)
+    for f in parts:
+        known |= f.contains(hashes)
+    return drops, counts, sum(map(len, parts)), bool(known.all())
+
+
+def test_false_positives_survive_deletion_and_insertion(spark):
+    """Three-bit fingerprints in one shard: the filters take nearly every key for known."""
+    table = lambda ids: spark.createDataFrame([(i, "\n".join(f"line number {k} of the text" for k in range(3 * i, 3 * i + 15))) for i in ids], DOCS)
+    empty = line_dedup.LineIndex.empty(spark, 1, bits=3)
+    index = empty.insert(table(range(20))).insert(table(range(20, 40)))
+    assert _fresh(index) == _fresh(empty.insert(table(range(40))))
+    index = index.delete(table(range(5, 25)).select("doc_id"))
+    assert _fresh(index) == _fresh(empty.insert(table([*range(5), *range(25, 40)])))
+    index = index.insert(table(range(5, 25)))
+    said = _fresh(index)
+    assert said == _fresh(empty.insert(table(range(40))))
+    assert said[3] and said[2] == len(said[1])
+
+
+def test_hot_lines_are_joined_by_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_LEAST", 3)
+    monkeypatch.setattr(line_dedup, "HOT_KEYS", 50)
+    rows = [(i, f"a line that all hold\nown line of {i}\nline shared by pairs {i // 2}") for i in range(60)] + [(None, "a line that all hold\nx")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {i: f"own line of {i}" + ("" if i % 2 else f"\nline shared by pairs {i // 2}") for i in range(60)} | {None: "a line that all hold\nx"}
+
+
+def test_long_runs_of_blanks_and_long_texts(spark):
+    rows = [(1, "x" + " " * 400_000 + "y"), (2, "some line of text\n" * 60_000), (3, " \tSome line of TEXT" + " " * 300_000), (4, "z" * 3_000_000)]
+    got = {r["doc_id"]: (r["n_lines"], r["n_dropped"], len(r["text"])) for r in line_dedup.dedup(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {1: (1, 0, 400_002), 2: (60_001, 0, 18 * 60_000), 3: (1, 1, 0), 4: (1, 0, 3_000_000)}
+
+
+def test_strip_keeps_clashing_columns(spark):
+    rows = [(1, "one long line here", 7, "k"), (2, "one long line here\nb", 8, "l")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, drop_id int, keys string")
+    got = line_dedup.strip(df, line_dedup.index(df).drops(), counts=False)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == [(1, "one long line here", 7, "k"), (2, "b", 8, "l")]
+
+
 def test_cuckoo_filter():
     r = np.random.default_rng(3)
     keys = r.integers(0, 2**63, 5000).astype(np.uint64)
