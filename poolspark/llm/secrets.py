@@ -1,24 +1,31 @@
 """Secret scan (operator 9); DataFrame operations only.
 
-Three patterns find known forms.  Beside them, runs of 20 or more characters
-of ``[A-Za-z0-9+/=_-]`` are looked at, unless the allow list knows their form.
-The patterns' spans are cut out, and what is left of a run in pieces of 20 or
-more characters is a candidate if it has a letter and a digit, or letters of
-both cases and nothing else but at its ends:
-a window of ``WINDOW`` characters slides over it, and from one window to the
-next only the counts of the character that leaves and of the one that enters
-change the sum of c*log2(c), hence the window's Shannon entropy.  A candidate
-counts as a secret if its highest window entropy reaches the bound of its
-character class, unless the allow list knows the form of the piece.
-
-Positions are code points, ends exclusive.  They come from the lengths of the
-pieces between matches: prefix sums in blocks of ``BLOCK``, so a text with very
-many matches does not cost their square.  Null texts count as empty; each row
-gives one row, without any shuffle; other columns are not read.
+Three patterns find known forms; these are the base spans.  They are then
+blanked out: each of their characters is replaced by a twin outside Unicode's
+assigned planes, which the patterns still know but candidates do not.  In what is left, runs
+of 20 or more characters of ``[A-Za-z0-9+/=_-]`` are candidates, if they have a
+letter and a digit, or letters of both cases and nothing else but at their
+ends, unless the allow list knows their form.  A window of ``WINDOW`` characters
+slides over a candidate.  The counts of its characters are kept, five bits
+each, and from one window to the next only the count of the character that
+leaves and of the one that enters change, and with them the sum of c*log2(c),
+hence the window's Shannon entropy.  A candidate counts as a secret if its
+highest window entropy reaches the bound of its character class.
+
+Positions are code points, ends exclusive: prefix sums over the lengths of
+matches and of the pieces between them, in blocks of ``BLOCK``.  No step looks at
+all matches for each match, so a very long text costs in proportion to its
+length and to its number of matches.
+
+Null and empty texts have no spans.  Each row gives one row, repeated rows and
+null ids included, without any shuffle; an empty table gives no rows; columns
+other than the id and the text are not read and may have any name.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,71 +43,116 @@ CLASSES = (("hex", "^[0-9a-fA-F]+$", 3.0), ("alnum", "^[0-9A-Za-z]+$", 3.7), ("b
 ALLOWED = "^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$|^sha(1|256|384|512)-|(?i:example|placeholder)|^/?[a-z]+([-_/][a-z]+)*([-_/][0-9]+)*/?$"
 KINDS = ("assign", "access", "hex", "entropy")
 
+#: Candidates' characters and their twins, whose code points are higher by TWIN.
+_PLAIN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
+TWIN = 0x10F000
+_TWINS = "".join(chr(TWIN + ord(c)) for c in _PLAIN)
 
-def _starts(segs: str, ms: str) -> str:
-    """SQL: the start of every match from the pieces between matches and the matches."""
-    steps = f"transform(sequence(0, size({ms}) - 1), i -> length({segs}[i]) + IF(i > 0, length({ms}[i - 1]), 0))"
-    return steps
 
+def _both(ranges: str) -> str:
+    """A regex class of single characters and ranges a-b, and of their twins."""
+    pairs = [ranges[i : i + 3] if ranges[i + 1 : i + 2] == "-" else ranges[i] for i in _starts(ranges)]
+    return "[" + "".join(p + "-".join(rf"\x{{{TWIN + ord(c):X}}}" for c in p.split("-")) for p in pairs) + "]"
+
+
+def _starts(ranges: str) -> list[int]:
+    out, i = [], 0
+    while i < len(ranges):
+        out.append(i)
+        i += 3 if ranges[i + 1 : i + 2] == "-" else 1
+    return out
 
-def _prefix_sums(a: str) -> str:
-    """SQL: inclusive prefix sums of an integer array that is not empty."""
-    total = lambda x: f"aggregate({x}, 0, (s, v) -> s + v)"
-    blocks = f"transform(sequence(0, (size({a}) - 1) div {BLOCK}), b -> {total(f'slice({a}, b * {BLOCK} + 1, {BLOCK})')})"
-    return f"transform(sequence(0, size({a}) - 1), i -> {total(f'slice({blocks}, 1, i div {BLOCK})')} + {total(f'slice({a}, (i div {BLOCK}) * {BLOCK} + 1, i % {BLOCK} + 1)')})"
+
+#: The later patterns over a text in which the matches of earlier ones are blanked out.
+TWINNED = {"assign": PATTERNS["assign"][0], "access": "".join(map(_both, "AKIA")) + _both("A-Z0-9") + "+", "hex": _both("0-9a-f") + "{32,}"}
+SPAN = "array<struct<start:int,ord:int,end:int,kind:string>>"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` for a value that is computed once; a column would be put into lambdas and computed for each element."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
 def _quoted(pattern: str) -> str:
     return "r\"" + pattern + "\"" if '"' not in pattern else "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-SPAN = "array<struct<start:int,ord:int,end:int,kind:string>>"
+def _prefix_sums(a: str) -> str:
+    """SQL: inclusive prefix sums of an integer array that is not empty."""
+    inside = "aggregate(slice(st, b * {0} + 1, {0}), cast(array() as array<int>), (t, v) -> concat(t, array(coalesce(try_element_at(t, -1), 0) + v)))".format(BLOCK)
+    blocks = f"transform(sequence(0, cast((size(st) - 1) div {BLOCK} as int)), b -> {inside})"
+    before = "aggregate(bl, array(0), (t, x) -> concat(t, array(element_at(t, -1) + element_at(x, -1))))"
+    return _let("st", a, _let("bl", blocks, _let("off", before, "flatten(transform(bl, (x, b) -> transform(x, v -> v + off[b])))")))
+
+
+def _ends(text: str, pattern: str) -> str:
+    """SQL: the end of each of the matches ``ms`` of a pattern, and the length of the text."""
+    return _prefix_sums(f"zip_with(split({text}, {_quoted(pattern)}, -1), ms, (g, m) -> length(g) + coalesce(length(m), 0))")
+
+
+def _spans(kind: str) -> str:
+    """SQL: a base kind's spans of ``text``."""
+    pattern, group, least = PATTERNS[kind]
+    p = _quoted(pattern)
+    groups = f"regexp_extract_all(text, {p}, {group})" if group else "ms"
+    sized = f"zip_with(ms, {groups}, (m, g) -> IF(length(g) >= {least}, length(m), NULL))"
+    span = f"named_struct('start', e - n, 'ord', {list(PATTERNS).index(kind)}, 'end', e, 'kind', '{kind}')"
+    found = f"filter(zip_with({_ends('text', pattern)}, {sized}, (e, n) -> IF(n IS NULL, NULL, {span})), x -> x IS NOT NULL)"
+    return f"IF(text rlike {p}, {_let('ms', f'regexp_extract_all(text, {p}, 0)', found)}, cast(array() as {SPAN}))"
+
+
+def _blanked() -> str:
+    """SQL: ``text`` with twins in all base spans; from the fields of ``r``."""
+    out = "text"
+    for kind, (_, group, least) in PATTERNS.items():
+        p = _quoted(TWINNED[kind])
+        groups = f"regexp_extract_all(t, {p}, {group})" if group else "ms"
+        twins = f"zip_with(ms, {groups}, (m, g) -> IF(length(g) >= {least}, translate(m, '{_PLAIN}', '{_TWINS}'), m))"
+        joined = f"array_join(zip_with(split(t, {p}, -1), {twins}, (g, m) -> concat(g, coalesce(m, ''))), '')"
+        out = _let("t", out, f"IF(size(r.{kind}) = 0, t, {_let('ms', f'regexp_extract_all(t, {p}, 0)', joined)})")
+    return f"IF(size(r.base) = 0, text, {out})"
 
 
 def _min_sum(s: str) -> str:
-    """SQL: the least sum of c*log2(c) over the windows of an array of characters ``s``."""
-    f = lambda c: f"IF({c} > 1, {c} * log2({c}), 0D)"
-    first = f"aggregate(array_distinct(slice({s}, 1, {WINDOW})), 0D, (t, x) -> t + {f(f'size(filter(slice({s}, 1, {WINDOW}), y -> y = x))')})"
-    # between windows i and i + 1 the WINDOW - 1 characters they share stay
-    kx = f"size(filter(slice({s}, i + 1, {WINDOW - 1}), y -> y = {s}[i - 1]))"
-    ky = f"size(filter(slice({s}, i + 1, {WINDOW - 1}), y -> y = {s}[i + {WINDOW} - 1]))"
-    step = f"acc.now - {f(f'({kx} + 1)')} + {f(kx)} + {f(f'({ky} + 1)')} - {f(ky)}"
-    moves = f"IF(size({s}) > {WINDOW}, sequence(1, size({s}) - {WINDOW}), array())"
-    merged = f"named_struct('now', {step}, 'least', acc.least)"
-    return f"aggregate({moves}, named_struct('now', {first}, 'least', {first}), (acc, i) -> transform(array({merged}), m -> named_struct('now', m.now, 'least', least(m.now, acc.least)))[0], acc -> acc.least)"
+    """SQL: the least sum of c*log2(c) over the windows of the characters of ``s``.
+
+    Counts stand in seven 60-bit words, twelve of five bits in each, by the character's code from '+' on.
+    """
+    f = "array(" + ", ".join(f"{c * math.log2(c) if c > 1 else 0.0!r}D" for c in range(WINDOW + 2)) + ")"
+    code = lambda x: f"(ascii({x}) - 43)"
+    codes = f"transform(split({s}, ''), x -> named_struct('w', cast({code('x')} div 12 as int), 'b', cast({code('x')} % 12 * 5 as int)))"
+    first = f"transform(sequence(0, 6), k -> aggregate(slice(cs, 1, {WINDOW}), 0L, (t, x) -> t + IF(x.w = k, shiftleft(1L, x.b), 0L)))"
+    total = "aggregate(c0, 0D, (t, word) -> t + aggregate(sequence(0, 55, 5), 0D, (u, b) -> u + f[cast(shiftright(word, b) & 31L as int)]))"
+    count = lambda x: f"cast(shiftright(acc.c[{x}.w], {x}.b) & 31L as int)"
+    now = "named_struct('now', acc.now - f[q.a] + f[q.a - 1] - f[q.b] + f[q.b + 1])"
+    words = "transform(acc.c, (word, k) -> word - IF(k = mv.x.w, shiftleft(1L, mv.x.b), 0L) + IF(k = mv.y.w, shiftleft(1L, mv.y.b), 0L))"
+    state = f"named_struct('c', {words}, 'now', z.now, 'least', least(acc.least, z.now))"
+    step = _let("q", f"named_struct('a', {count('mv.x')}, 'b', {count('mv.y')})", _let("z", now, state))
+    moves = f"zip_with(slice(cs, 1, size(cs) - {WINDOW}), slice(cs, {WINDOW + 1}, size(cs) - {WINDOW}), (x, y) -> named_struct('x', x, 'y', y))"
+    slid = f"aggregate({moves}, named_struct('c', c0, 'now', s0, 'least', s0), (acc, mv) -> IF(mv.x = mv.y, acc, {step}), acc -> acc.least)"
+    return _let("f", f, _let("cs", codes, _let("c0", first, _let("s0", total, slid))))
+
+
+def _extra() -> str:
+    """SQL: the spans of candidates of ``t`` whose entropy is high enough."""
+    p = _quoted(CANDIDATE)
+    may = f"(w rlike '[0-9]' AND w rlike '[A-Za-z]' OR w rlike '^[+/=_-]*[A-Za-z]+[+/=_-]*$' AND w rlike '[a-z]' AND w rlike '[A-Z]') AND NOT w rlike '{ALLOWED}'"
+    bound = "CASE " + " ".join(f"WHEN w rlike '{c}' THEN {h}D" for _, c, h in CLASSES) + " END"
+    # log2(W) - sum / W is highest where the sum is least
+    strong = f"IF({may}, round({math.log2(WINDOW)!r}D - {_min_sum('w')} / {WINDOW}, 6) >= {bound}, false)"
+    span = "named_struct('start', e - length(w), 'ord', 3, 'end', e, 'kind', 'entropy')"
+    found = f"filter(zip_with({_ends('t', CANDIDATE)}, ms, (e, w) -> IF(coalesce({strong}, false), {span}, NULL)), x -> x IS NOT NULL)"
+    return f"IF(t rlike {p}, {_let('ms', f'regexp_extract_all(t, {p}, 0)', found)}, cast(array() as {SPAN}))"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, base, spans): arrays of structs with kind, start and end, in order."""
+    """(doc_id, assign, access, hex, base, spans): arrays of structs with start, ord, end and kind, in order."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    for i, (kind, (pattern, group, least)) in enumerate(PATTERNS.items()):
-        rows = _found(rows, kind, pattern)
-        size = f"length(g[i]) >= {least}"
-        rows = rows.withColumn("g", F.expr(f"IF(hit, regexp_extract_all(text, {_quoted(pattern)}, {group}), array())") if group else F.col("ms"))
-        spans = f"transform(filter(sequence(0, size(ms) - 1), i -> {size}), i -> named_struct('start', at[i], 'ord', {i}, 'end', at[i] + length(ms[i]), 'kind', '{kind}'))"
-        rows = rows.withColumn(kind, F.expr(f"IF(hit, {spans}, cast(array() as {SPAN}))")).drop("hit", "ms", "segs", "steps", "at", "g")
-    rows = rows.withColumn("base", F.array_sort(F.concat(*PATTERNS)))
-    rows = _found(rows, "entropy", CANDIDATE)
-    runs = f"transform(filter(sequence(0, size(ms) - 1), i -> NOT ms[i] rlike '{ALLOWED}'), i -> named_struct('at', at[i], 'end', at[i] + length(ms[i]), 'w', ms[i], 'cuts', filter(base, b -> b.start < at[i] + length(ms[i]) AND at[i] < b.end)))"
-    starts = "filter(array_distinct(concat(array(r.at), transform(r.cuts, b -> b.end))), p -> p < r.end AND NOT exists(r.cuts, b -> b.start <= p AND p < b.end))"
-    pieces = f"transform({starts}, p -> named_struct('at', p, 'w', substring(r.w, p - r.at + 1, array_min(concat(array(r.end), transform(filter(r.cuts, b -> b.start > p), b -> b.start))) - p)))"
-    may = f"length(c.w) >= {WINDOW} AND (c.w rlike '[0-9]' AND c.w rlike '[A-Za-z]' OR c.w rlike '^[+/=_-]*[A-Za-z]+[+/=_-]*$' AND c.w rlike '[a-z]' AND c.w rlike '[A-Z]') AND NOT c.w rlike '{ALLOWED}'"
-    bound = "CASE " + " ".join(f"WHEN w rlike '{p}' THEN {h}" for _, p, h in CLASSES) + " END"
-    rows = rows.withColumn("can", F.expr(f"IF(hit, filter(flatten(transform({runs}, r -> {pieces})), c -> {may}), array())"))
-    # log2(W) - sum / W, highest where the sum is least
-    strong = f"transform(array(named_struct('w', c.w, 's', split(c.w, ''))), cand -> round(log2({WINDOW}) - {_min_sum('cand.s')} / {WINDOW}, 6) >= {bound.replace('w rlike', 'cand.w rlike')})[0]"
-    spans = f"transform(filter(can, c -> {strong}), c -> named_struct('start', c.at, 'ord', 3, 'end', c.at + length(c.w), 'kind', 'entropy'))"
-    rows = rows.withColumn("extra", F.expr(f"IF(size(can) > 0, {spans}, cast(array() as {SPAN}))"))
-    return rows.select("doc_id", *PATTERNS, "base", F.array_sort(F.concat("base", "extra")).alias("spans"))
-
-
-def _found(rows: DataFrame, kind: str, pattern: str) -> DataFrame:
-    """Columns hit, ms (matches), segs (pieces between) and at (starts)."""
-    p = _quoted(pattern)
-    rows = rows.withColumn("hit", F.expr(f"text rlike {p}"))
-    rows = rows.withColumn("ms", F.expr(f"IF(hit, regexp_extract_all(text, {p}, 0), array())")).withColumn("segs", F.expr(f"IF(hit, split(text, {p}, -1), array())"))
-    rows = rows.withColumn("steps", F.expr(f"IF(hit, {_starts('segs', 'ms')}, array())"))
-    return rows.withColumn("at", F.expr(f"IF(hit, {_prefix_sums('steps')}, array())"))
+    kinds = "named_struct(" + ", ".join(f"'{k}', {_spans(k)}" for k in PATTERNS) + ")"
+    fields = ", ".join(f"'{k}', s.{k}" for k in PATTERNS)
+    base = _let("s", kinds, f"named_struct({fields}, 'base', array_sort(concat({', '.join(f's.{k}' for k in PATTERNS)})))")
+    whole = _let("r", base, _let("t", _blanked(), f"named_struct({fields.replace('s.', 'r.')}, 'base', r.base, 'spans', array_sort(concat(r.base, {_extra()})))"))
+    return rows.select("doc_id", F.expr(whole).alias("found")).select("doc_id", *[F.col(f"found.{n}").alias(n) for n in (*PATTERNS, "base", "spans")])
 
 
 def _joined(spans: Column) -> Column:
@@ -128,14 +180,19 @@ def oracle() -> str:
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 {",".join(kind(k, i) for i, k in enumerate(PATTERNS))},
 base AS (SELECT * FROM assign UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hex),
-can_m AS (SELECT doc_id, generate_subscripts(string_split_regex(text, '{p}'), 1) AS i, unnest(string_split_regex(text, '{p}')) AS seg,
+run_m AS (SELECT doc_id, generate_subscripts(string_split_regex(text, '{p}'), 1) AS i, unnest(string_split_regex(text, '{p}')) AS seg,
     unnest(list_concat(regexp_extract_all(text, '{p}', 0), [NULL])) AS m FROM d),
-can AS (SELECT doc_id, e - length(m) AS s, e, m FROM (SELECT *, sum(length(seg) + coalesce(length(m), 0)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM can_m)
-    WHERE m IS NOT NULL AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND NOT regexp_matches(m, '{ALLOWED}')),
+run AS (SELECT doc_id, e - length(m) AS s, e, m FROM (SELECT *, sum(length(seg) + coalesce(length(m), 0)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM run_m) WHERE m IS NOT NULL),
+cut AS (SELECT DISTINCT r.doc_id, r.s, r.e, r.m FROM run r JOIN base b ON b.doc_id = r.doc_id AND b.s < r.e AND r.s < b.e),
+pos AS (SELECT doc_id, s, m, unnest(range(CAST(s AS BIGINT), CAST(e AS BIGINT))) AS x FROM cut),
+free AS (SELECT *, x - row_number() OVER (PARTITION BY doc_id, s ORDER BY x) AS island FROM pos WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = pos.doc_id AND b.s <= pos.x AND pos.x < b.e)),
+piece AS (SELECT doc_id, min(x) AS s, max(x) + 1 AS e, substr(m, CAST(min(x) - s AS BIGINT) + 1, count(*)) AS m FROM free GROUP BY doc_id, s, m, island HAVING count(*) >= {WINDOW}
+    UNION ALL SELECT doc_id, s, e, m FROM run ANTI JOIN cut USING (doc_id, s)),
+can AS (SELECT * FROM piece WHERE NOT regexp_matches(m, '{ALLOWED}') AND (regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')
+    OR regexp_matches(m, '^[+/=_-]*[A-Za-z]+[+/=_-]*$') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]'))),
 win AS (SELECT doc_id, s, e, m, unnest(range(1, length(m) - {WINDOW} + 2)) AS i FROM can),
 ent AS (SELECT doc_id, s, e, m, max(round(list_aggregate(string_split(substr(m, i, {WINDOW}), ''), 'entropy'), 6)) AS h FROM win GROUP BY ALL),
-extra AS (SELECT doc_id, 'entropy' AS kind, 3 AS ord, s, e, m FROM ent
-    WHERE h >= {bound} AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = ent.doc_id AND b.s < ent.e AND ent.s < b.e)),
+extra AS (SELECT doc_id, 'entropy' AS kind, 3 AS ord, s, e, m FROM ent WHERE h >= {bound}),
 a AS (SELECT *, true AS is_base FROM base UNION ALL SELECT *, false FROM extra),
 t AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
     string_agg(kind || ':' || CAST(CAST(s AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(e AS BIGINT) AS VARCHAR), ',' ORDER BY s, ord) FILTER (WHERE is_base) AS b,

@@ -451,7 +451,7 @@ def test_entropy_windows(spark):
     assert _spans(spark, texts) == [f"entropy:2:{2 + len(strong)}", "", f"entropy:0:{len(mixed)}", "", "", "", ""]
     for text in (strong, weak, mixed):
         best = max(brute.entropy(text[i : i + secrets.WINDOW]) for i in range(len(text) - secrets.WINDOW + 1))
-        df = spark.createDataFrame([(text,)], "t string").select(F.split("t", "").alias("s"))
+        df = spark.createDataFrame([(text,)], "s string")
         least = df.selectExpr(f"{secrets._min_sum('s')} AS m").first()["m"]
         assert np.log2(secrets.WINDOW) - least / secrets.WINDOW == pytest.approx(best, abs=1e-9)
 
@@ -481,6 +481,23 @@ def test_positions_beyond_one_block(spark):
     assert _spans(spark, [text])[0].split(",")[-1] == f"hex:{33 * (n - 1)}:{33 * n - 1}"
 
 
+def test_many_matches_in_a_long_text(spark):
+    """Sixteen thousand matches in over a megabyte, blanked out beside what stays a candidate."""
+    key = _random_key(4, 30, "abcdefghijklmnopqrstuvwxyz0123456789")
+    part = f"\u00e9 token=abcdefgh{'x' * 20}, AKIA{'B2' * 8}/{key} {'0123456789abcdef' * 2} "
+    n, size = 5400, len(part)
+    got = _spans(spark, [part * n])[0].split(",")
+    own = [("assign", 2, 36), ("access", 38, 58), ("entropy", 58, 89), ("hex", 90, 122)]
+    assert got == [f"{k}:{a + i * size}:{b + i * size}" for i in range(n) for k, a, b in own]
+
+
+def test_blanking_is_exact_where_base_spans_overlap(spark):
+    """An access key that runs into a password, and a hex run that runs into an api_key."""
+    key, hexa = _random_key(9, 30, "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), "0123456789abcdef" * 2
+    texts = [f"AKIA{'B2' * 6}TOKEN={key}", f"{hexa[:-1]}api_key={key}"]
+    assert _spans(spark, texts) == [f"access:0:21,assign:16:{22 + 30}", f"hex:0:32,assign:31:{39 + 30}"]
+
+
 # ---- leaks
 
 
