@@ -10,23 +10,33 @@ and without words it is empty and linked with nothing.  Two documents link when
    order gives the same links, so missing a frequent shingle costs time only.
 2. *Prefixes.*  Sets of ``n`` shingles that link share one of their first
    ``n - ceil(percent * n / 100) + 1`` shingles.
-3. *Groups.*  Equal sets become one set.  Sets with the same prefix and size
-   form a group, and only groups enter the posting lists of shingles.  A pair
-   in a list can link only if the shorter rest of the two sets behind the
-   shared shingle still holds the overlap that their sizes ask for.
+3. *Groups.*  Equal sets become one set, sets with the same prefix and size one
+   group; both are recognised by 128-bit digests and then numbered in a written
+   table.  Only groups enter the posting lists of shingles.  A pair in a list can
+   link only if the shorter rest of the two sets behind the shared shingle
+   still holds the overlap that their sizes ask for.
 4. *First links.*  Each list ties its groups to the one that passes the filter
-   and stands in most lists, which a text that others were copied from does, and each group's members to one of them.  These pairs, linear in
-   the lists, are verified: first the prefixes must share enough, then the whole
-   sets decide.  They give components.
+   and stands in most lists, which a text that others were copied from does, and
+   each group's members to one of them.  These pairs, linear in the lists, are
+   verified: first the prefixes must share enough, then the whole sets decide.
+   They give components.
 5. *Remaining links.*  In each list, members of *different* groups and components
-   that pass the filter are paired and verified likewise.  Members of one group have all of
-   their prefix in common, so those in different components are paired whether or not
-   their group meets another.  Pairs inside a component change nothing
-   and are not formed, so a large set of near copies costs no square of its size.
-
-The result is exact up to collisions of 64-bit hashes.  Null texts have no
-words.  Rows that repeat an id are judged each by its own text and share the id;
-columns other than the id and the text are not read.
+   that pass the filter are paired and verified likewise.  Members of one group
+   have all of their prefix in common, so those in different components are
+   paired whether or not their group meets another.  Pairs inside a component
+   change nothing and are not formed, so a large set of near copies costs no
+   square of its size.
+
+The result is exact as long as no two different shingles of the two texts of a
+pair share a 64-bit hash; which texts are equal does not rest on these hashes
+meeting by chance in the whole corpus, but on 128 bits.
+
+Null and empty texts have no words.  Every row gives one row.  Rows that repeat
+an id are judged each by its own text and share the id; rows without an id are
+judged and link like all others, and only their own component's name is null
+where nobody in it has an id.  An empty table gives no rows.  Texts are taken
+whole, in slices of some megabytes; one longer than a slice stands alone.
+Columns other than the id and the text are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -40,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from poolspark.llm.common import plain, slices, tidied
+from poolspark.llm.common import LOWER, UPPER, plain, slices, tidied
 from poolspark.llm.components import components
 from poolspark.plans.shared import materialize
 
@@ -109,26 +119,26 @@ def _hot(width: int, seen):
         yield out()
 
 
-def _set_id(u: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(u.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _digest(u: np.ndarray, size: int = 0) -> bytes:
+    return hashlib.blake2b(u.tobytes(), digest_size=16, salt=size.to_bytes(8, "little")).digest()
 
 
-SETS_SCHEMA = "doc_id long, n long, sid long, g long, prefix array<long>"
+SETS_SCHEMA = "doc_id long, n long, set binary, grp binary, prefix array<long>"
 
 
 @tidied
 def _prefixes(width: int, percent: int, hot: np.ndarray, seen):
     """SETS_SCHEMA; the prefix of a group is given once in a task."""
-    known: set[int] = set()
+    known: set[bytes] = set()
     for batch in seen:
         ids, texts = batch.column(0), batch.column(1)
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         for a, b in slices(sizes, SLICE_BYTES):
-            n, sid, g, prefix = [], [], [], []
+            n, own_set, grp, prefix = [], [], [], []
             for u in shingle_sets(texts.slice(a, b - a), width):
                 n.append(len(u))
                 if not len(u):
-                    sid.append(None), g.append(None), prefix.append(None)
+                    own_set.append(None), grp.append(None), prefix.append(None)
                     continue
                 if len(hot):
                     where = np.searchsorted(hot, u)
@@ -137,39 +147,41 @@ def _prefixes(width: int, percent: int, hot: np.ndarray, seen):
                 else:
                     order = u
                 own = order[: len(u) - -(-percent * len(u) // 100) + 1]
-                group = xxhash.xxh64_intdigest(own.tobytes(), seed=len(u) & 0xFFFFFFFF) - (1 << 63)
-                sid.append(_set_id(u))
-                g.append(group)
+                group = _digest(own, len(u))
+                own_set.append(_digest(u))
+                grp.append(group)
                 prefix.append(None if group in known else own.view(np.int64))
                 if len(known) < 1 << 20:
                     known.add(group)
-            yield pa.record_batch({"doc_id": ids.slice(a, b - a), "n": pa.array(n, pa.int64()), "sid": pa.array(sid, pa.int64()), "g": pa.array(g, pa.int64()), "prefix": pa.array(prefix, pa.list_(pa.int64()))})
+            yield pa.record_batch({"doc_id": ids.slice(a, b - a), "n": pa.array(n, pa.int64()), "set": pa.array(own_set, pa.binary()), "grp": pa.array(grp, pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64()))})
 
 
 def _runs(seen):
-    """Columns of sorted batches as arrays, cut so that no run of the first column is split."""
-    held = None
+    """Columns of sorted batches as arrays, cut so that no run of the first column is split.
+
+    Batches of one run are kept as they come and put together once.
+    """
+    held: list[list[np.ndarray]] = []
     for batch in seen:
         cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
-        if held is not None:
-            cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
-        key = cols[0]
-        if not len(key):
+        if not len(cols[0]):
             continue
-        cut = int(np.searchsorted(key, key[-1], "left"))
+        if held and cols[0][-1] == held[0][0][-1]:
+            held.append(cols)
+            continue
+        whole = [np.concatenate(c) for c in zip(*held, cols, strict=True)]
+        cut = int(np.searchsorted(whole[0], whole[0][-1], "left"))
         if cut:
-            yield [c[:cut] for c in cols]
-        held = [c[cut:] for c in cols]
-    if held is not None and len(held[0]):
-        yield held
+            yield [c[:cut] for c in whole]
+        held = [[c[cut:].copy() for c in whole]]
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
 @tidied
 def _live(percent: int, seen):
-    """Postings (token, n, rem, g), sorted, each group once, that pass the filter with another of their list."""
+    """Postings (token, n, rem, g), sorted by token, that pass the filter with another of their list."""
     for token, n, rem, g in _runs(seen):
-        first = np.r_[True, (token[1:] != token[:-1]) | (g[1:] != g[:-1])]
-        token, n, rem, g = token[first], n[first], rem[first], g[first]
         starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
         lens = np.diff(np.r_[starts, len(token)])
         # two may link if each one's reach covers the other's size
@@ -251,7 +263,7 @@ def _sets(width: int, seen):
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         for a, b in slices(sizes, SLICE_BYTES):
             own = [u for u in shingle_sets(texts.slice(a, b - a), width) if len(u)]
-            yield pa.record_batch({"sid": pa.array([_set_id(u) for u in own], pa.int64()), "hs": pa.array([u.view(np.int64) for u in own], pa.list_(pa.int64()))})
+            yield pa.record_batch({"set": pa.array([_digest(u) for u in own], pa.binary()), "hs": pa.array([u.view(np.int64) for u in own], pa.list_(pa.int64()))})
 
 
 def _small(ids: DataFrame) -> DataFrame:
@@ -263,7 +275,7 @@ def _ends(pairs: DataFrame, name: str) -> DataFrame:
     return pairs.select(F.col("a").alias(name)).unionByName(pairs.select(F.col("b").alias(name))).distinct()
 
 
-def _plausible(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+def _plausible(pairs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of groups whose prefixes share enough shingles.
 
     Two sets that link share at least alpha = ceil(percent * (x + y) / (100 + percent))
@@ -273,7 +285,7 @@ def _plausible(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """
     pairs = materialize(pairs.where("a <> b").distinct(), "near-pairs")
     wanted = materialize(_ends(pairs, "g"), "near-groups")
-    own = rows.where("prefix is not null").select("g", "n", "prefix").join(_small(wanted), "g", "left_semi").dropDuplicates(["g"])
+    own = groups.select("g", "n", "prefix").join(_small(wanted), "g", "left_semi")
     both = pairs.join(own.toDF("a", "x", "pa"), "a").join(own.toDF("b", "y", "pb"), "b")
     tail = lambda n: f"(({n} * {percent} + 99) div 100)"
     alpha = f"((({percent} * (x + y)) + {99 + percent}) div {100 + percent})"
@@ -283,9 +295,9 @@ def _plausible(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, own: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs of set ids (a, b) that link, by their whole sets, which are made from the texts again."""
     pairs = materialize(pairs.where("a <> b").distinct(), "near-pairs")
-    wanted = materialize(sets.join(_ends(pairs, "sid"), "sid", "left_semi").select("sid", "u"), "near-wanted")
-    texts = own.join(_small(wanted.select("u").distinct()), F.col("doc_id") == F.col("u"), "left_semi").select("text")
-    full = texts.mapInArrow(lambda seen: _sets(width, seen), "sid long, hs array<long>").join(_small(wanted.select("sid")), "sid", "left_semi").dropDuplicates(["sid"])
+    wanted = materialize(sets.join(_ends(pairs, "sid"), "sid", "left_semi").select("sid", "set", "u"), "near-wanted")
+    texts = own.join(_small(wanted.select("u").distinct()), F.col("doc_id").eqNullSafe(F.col("u")), "left_semi").select("text")
+    full = texts.mapInArrow(lambda seen: _sets(width, seen), "set binary, hs array<long>").join(_small(wanted.select("set", "sid")), "set").select("sid", "hs").dropDuplicates(["sid"])
     both = pairs.join(full.toDF("a", "ha"), "a").join(full.toDF("b", "hb"), "b").select("a", "b", F.size(F.array_intersect("ha", "hb")).alias("i"), F.size("ha").alias("x"), F.size("hb").alias("y"))
     return materialize(both.where(F.col("i") * 100 >= (F.col("x") + F.col("y") - F.col("i")) * percent).select("a", "b"), "near-links")
 
@@ -312,19 +324,23 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     hot = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
     rows = materialize(own.mapInArrow(lambda seen: _prefixes(width, percent, hot.value, seen), SETS_SCHEMA), "near-sets")
 
-    sets = materialize(rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("u"), F.first("n").alias("n"), F.first("g").alias("g")), "near-distinct")
-    posted = rows.where("prefix is not null").select("n", "g", F.posexplode("prefix").alias("pos", "token")).select("token", "n", (F.col("n") - F.col("pos")).alias("rem"), "g")
+    numbered = lambda df, name, label: materialize(df.withColumn(name, F.monotonically_increasing_id()), label)
+    groups = numbered(rows.where("prefix is not null").groupBy("grp").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "g", "near-groups")
+    # an id that is null stands for a set only if no other row has it
+    sets = rows.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("u"), F.first("n").alias("n"), F.first("grp").alias("grp"))
+    sets = numbered(sets.join(groups.select("grp", "g"), "grp").drop("grp"), "sid", "near-distinct")
+    posted = groups.select("n", "g", F.posexplode("prefix").alias("pos", "token")).select("token", "n", (F.col("n") - F.col("pos")).alias("rem"), "g")
     sorted_by = lambda df, *c: df.repartition("token").sortWithinPartitions("token", *c)
-    live = materialize(sorted_by(posted, "g").mapInArrow(lambda seen: _live(percent, seen), "token long, n long, rem long, g long"), "near-postings")
+    live = materialize(sorted_by(posted).mapInArrow(lambda seen: _live(percent, seen), "token long, n long, rem long, g long"), "near-postings")
 
-    groups = sets.groupBy("g").agg(F.min("sid").alias("rep"), F.count("*").alias("m"))
-    wanted = live.select("g").unionByName(groups.where("m > 1").select("g")).distinct()
+    several = sets.groupBy("g").agg(F.count("*").alias("m")).where("m > 1").select("g")
+    wanted = live.select("g").unionByName(several).distinct()
     members = materialize(sets.join(wanted, "g", "left_semi"), "near-members")
     reps = members.groupBy("g").agg(F.min("sid").alias("rep"))
 
     degrees = live.groupBy("g").agg(F.count("*").alias("degree"))
     ranked = live.join(degrees, "g").select("token", "n", "rem", "g", "degree")
-    ties = _plausible(sorted_by(ranked, "g").mapInArrow(lambda seen: _ties(percent, seen), "a long, b long"), rows, percent)
+    ties = _plausible(sorted_by(ranked, "g").mapInArrow(lambda seen: _ties(percent, seen), "a long, b long"), groups, percent)
     ties = ties.join(reps.toDF("a", "ra"), "a").join(reps.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     inside = members.join(reps, "g").select(F.col("rep").alias("a"), F.col("sid").alias("b"))
     first = _verified(ties.unionByName(inside), own, sets, width, percent)
@@ -333,12 +349,27 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     known = materialize(members.join(roots, members["sid"] == roots["vertex"], "left").select("g", "sid", F.coalesce("root", "sid").alias("root")), "near-known")
     spread = live.join(known, "g").select("token", "n", "rem", "sid", "root", "g")
     rest = materialize(sorted_by(spread, "n", "sid").mapInArrow(lambda seen: _across(percent, seen), "a long, b long, ga long, gb long").distinct(), "near-across")
-    likely = _plausible(rest.select(F.least("ga", "gb").alias("a"), F.greatest("ga", "gb").alias("b")), rows, percent).toDF("la", "lb")
+    likely = _plausible(rest.select(F.least("ga", "gb").alias("a"), F.greatest("ga", "gb").alias("b")), groups, percent).toDF("la", "lb")
     apart = rest.join(likely, (F.least("ga", "gb") == F.col("la")) & (F.greatest("ga", "gb") == F.col("lb")), "left_semi").select("a", "b")
     second = _verified(_within(known).unionByName(apart), own, sets, width, percent)
     roots = components(first.unionByName(second))
 
-    least = sets.join(roots, sets["sid"] == roots["vertex"], "left").select("sid", "u", F.coalesce("root", "sid").alias("root"))
-    named = least.join(least.groupBy("root").agg(F.min("u").alias("component_id")), "root").select("sid", "component_id")
-    out = rows.select("doc_id", "n", "sid").join(named, "sid", "left")
+    least = sets.join(roots, sets["sid"] == roots["vertex"], "left").select("set", "u", F.coalesce("root", "sid").alias("root"))
+    named = least.join(least.groupBy("root").agg(F.min("u").alias("component_id")), "root").select("set", "component_id")
+    out = rows.select("doc_id", "n", "set").join(named, "set", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def oracle(percent: int = 80, width: int = 5) -> str:
+    """Shingles as text, all pairs that share one, and the closure of the links."""
+    return f"""
+WITH RECURSIVE t AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {width} THEN list_transform(range(1, len(w) - {width} + 2), lambda j: array_to_string(w[j:j + {width - 1}], ' ')) ELSE [array_to_string(w, ' ')] END) AS shingle
+    FROM t WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT x, y FROM i JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= {percent} * (a.n + b.n - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS reached FROM t UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.reached) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""

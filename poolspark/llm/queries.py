@@ -79,6 +79,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op4_sharding": sharding.oracle(SHARD_BYTES),
     "op7_url_filter": url_filter.oracle(),
+    "op8_near_duplicates": jaccard_join.oracle(),
     "op9_secret_scan": secrets.oracle(),
     "op10_decontamination": decontam.ORACLE,
 }

@@ -428,6 +428,23 @@ def test_links_inside_a_group_that_its_least_set_lacks(spark, late):
     assert _near(spark.createDataFrame(rows, DOCS)) == brute.components(rows)
 
 
+def test_rows_without_an_id_link_like_others(spark):
+    text = [f"w{i}" for i in range(60)]
+    rows = [(7, " ".join(text)), (None, " ".join([*text[:-1], "x"])), (None, " ".join(["y", *text[1:-1], "x"])), (None, "alone " * 9), (5, "y " + " ".join([*text[1:-1], "x"])), (9, "no link at all")]
+    rows += [(None, "two rows without an id that only link each other and are long enough"), (None, "two rows without an id that only link each other and are long enough")]
+    got = sorted(map(tuple, jaccard_join.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()), key=repr)
+    assert got == sorted([(7, 56, 5), (None, 56, 5), (None, 56, 5), (None, 1, None), (5, 56, 5), (9, 1, 9), (None, 10, None), (None, 10, None)], key=repr)
+
+
+def test_a_run_may_span_many_batches():
+    t = np.repeat([1, 2, 3, 9], [3, 5000, 1, 40])
+    batches = [pa.record_batch({"t": t[i : i + 100], "x": np.arange(len(t))[i : i + 100]}) for i in range(0, len(t), 100)]
+    runs = list(jaccard_join._runs([batches[0].slice(0, 0), *batches]))
+    assert np.concatenate([r[0] for r in runs]).tolist() == t.tolist() and np.concatenate([r[1] for r in runs]).tolist() == list(range(len(t)))
+    assert all(not set(a[0]) & set(b[0]) for a, b in zip(runs, runs[1:]))
+    assert list(jaccard_join._runs([])) == []
+
+
 # ---- secrets
 
 
