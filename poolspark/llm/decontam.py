@@ -1,33 +1,41 @@
 """Benchmark decontamination by MinHash containment (operator 10); DataFrame operations only.
 
-Test items are short and documents long, so a document's own sketch would drown
-an item.  The sketch is therefore the item's: its ``k`` smallest shingle hashes.
-An item of ``n`` shingles that a document contains to the share ``t`` lacks at
-most ``n - ceil(t * n)`` of them, so with ``k = n - ceil(t * n) + 1`` at least one
-of the ``k`` minima is a hash of the document, and no such pair is missed.
-
-1. Items are partitioned by size (powers of two), which only serves to give one
-   common bound for each width: the least size of all, below whose share ``t`` a
-   document can hold no item, and the largest of all minima, above which no
-   document hash needs to be looked up.  Partitions are not probed one by one.
-2. Documents' hashes up to this bound are probed against the minima of all items,
-   each pair with the item's own least size; distinct (document, item) pairs are the candidates.
-3. Candidates are verified by exact containment of the shingle texts.
+Test items are short and documents long, so a document's own sketch of fixed
+size would drown an item, and a bound that suits all items would suit none.
+Items are therefore partitioned by size, and the sketch is the item's: its
+MinHash signature is its ``k`` smallest shingle hashes.  An item of ``n`` shingles
+that a document contains to the share ``t`` lacks at most ``n - ceil(t * n)`` of
+them, so with ``k = n - ceil(t * n) + 1`` at least one of the ``k`` minima is a hash
+of the document, and no such pair is missed.
+
+1. *Partitions.*  One for each width and power of two of items' sizes, with two bounds of its
+   own: the number of shingles that a document needs to hold any of its items,
+   and the largest hash of its signatures.  The larger its items, the lower that hash.
+2. *Probe.*  A document is put to each partition that it is long enough for, with
+   those of its hashes that lie below the partition's bound, and meets the partition's
+   signatures by (partition, hash).  Each pair must also reach the item's own
+   least size.  Distinct (document, item) pairs are the candidates.
+3. *Verification.*  Exact containment of the shingle texts decides.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered; a shingle is five words.  An
 item with fewer words is one shingle of them all and is looked for among
 documents' windows of that many words; one without words matches nothing.
-Null texts have no words.  Rows with the same id count as one document or item.
-Items' minima and shingles are broadcast while they are at most
+Null and empty texts have no words.  Rows with the same id count as one document or item,
+whose shingles are those of all its rows; a null id is an id like any other.  Without
+items or documents the result is empty.  Texts are taken whole, however long.
+Other columns are not read, may have any name, and stay in :func:`clean`.
+Items' signatures and shingles are broadcast while they are at most
 ``BROADCAST_ROWS``; above that, both joins shuffle.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from poolspark.llm.common import LOWER, UPPER
+from poolspark.llm.common import LOWER, UPPER, unused
 from poolspark.plans.shared import materialize
 
 #: Rows of about 100 bytes that are still broadcast.
@@ -73,47 +81,59 @@ def need(n: str, percent: int) -> str:
     return f"(({n} * {percent} + 99) div 100)"
 
 
+def signatures(shingles: DataFrame, percent: int) -> DataFrame:
+    """(item_id, width, n_item, part, hash): the MinHash signature of each item, as many minima as its size asks for."""
+    ranked = shingles.groupBy("item_id", "width", "n_item").agg(F.array_sort(F.collect_set("hash")).alias("hs"))
+    k = f"cast(n_item - {need('n_item', percent)} + 1 as int)"
+    return ranked.select("item_id", "width", "n_item", F.floor(F.log2("n_item")).cast("int").alias("part"), F.explode(F.expr(f"slice(hs, 1, {k})")).alias("hash"))
+
+
+def partitions(minima: DataFrame, percent: int) -> dict[int, list[dict]]:
+    """By width: part, least (shingles that a document needs) and most (largest hash); as many rows as there are powers of two."""
+    out: dict[int, list[dict]] = {}
+    for r in minima.groupBy("width", "part").agg(F.max("hash").alias("most"), F.min("n_item").alias("n")).orderBy("width", "part").collect():
+        out.setdefault(r["width"], []).append({"part": r["part"], "most": r["most"], "least": -(-r["n"] * percent // 100)})
+    return out
+
+
+def _probes(parts: list[dict]) -> str:
+    """SQL: what of a document's hashes ``hs`` each partition is asked for."""
+    one = "IF(size(hs) >= {least}, transform(filter(hs, h -> h <= {most}L), h -> named_struct('part', {part}, 'hash', h)), cast(array() as array<struct<part:int,hash:bigint>>))"
+    return "flatten(array(" + ", ".join(one.format(**p) for p in parts) + "))"
+
+
 def contained(docs: DataFrame, items: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_item, n_found, containment): items of which a document has ``percent`` hundredths or more."""
     shingles = materialize(item_shingles(items, width, item_id, item_text), "leak-items")
     held = lambda df: F.broadcast(df) if small else df
     small = shingles.count() <= BROADCAST_ROWS
-    ranked = shingles.groupBy("item_id", "width", "n_item").agg(F.array_sort(F.collect_set("hash")).alias("hs"))
-    minima = ranked.withColumn("part", F.floor(F.log2("n_item")).cast("int")).withColumn("k", F.expr(f"n_item - {need('n_item', percent)} + 1")).select("item_id", "width", "n_item", "part", F.explode(F.expr("slice(hs, 1, cast(k as int))")).alias("hash"))
-    minima = materialize(minima, "leak-minima")
+    minima = materialize(signatures(shingles, percent), "leak-minima")
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), _once(words(F.col(text_col))).alias("w"))
-    # one row for each width and size partition of the items: as many as there are powers of two
-    parts = [r.asDict() for r in minima.groupBy("width", "part").agg(F.max("hash").alias("most"), F.min("n_item").alias("least")).collect()]
-    found = None
-    for k in sorted({p["width"] for p in parts}):
-        mine = [p for p in parts if p["width"] == k]
-        low = f"filter(hs, h -> h <= {max(p['most'] for p in mine)}L)"
-        hashed = own.select("doc_id", _once(_hashes("w", k)).alias("hs")).where(F.expr(f"size(hs) >= {min(-(-p['least'] * percent // 100) for p in mine)}"))
-        probes = hashed.select("doc_id", F.size("hs").alias("n_doc"), F.explode(F.expr(low)).alias("hash"))
-        pairs = probes.join(held(minima.where(F.col("width") == k)), "hash").where(F.expr(f"n_doc >= {need('n_item', percent)}")).select("doc_id", "item_id").distinct()
-        found = pairs if found is None else found.unionByName(pairs)
-    out = "doc_id", "item_id", "n_item", "n_found", "containment"
-    if found is None:
+    found, hits, parts = [], [], partitions(minima, percent)
+    if not parts:
         return shingles.select(F.lit(0).cast("long").alias("doc_id"), "item_id", "n_item", F.lit(0).cast("long").alias("n_found"), F.lit(0.0).alias("containment")).where("false")
-    candidates = materialize(found, "leak-candidates")
+    for k, mine in parts.items():
+        hashed = own.select("doc_id", _once(_hashes("w", k)).alias("hs")).where(F.size("hs") >= min(p["least"] for p in mine))
+        probes = hashed.select("doc_id", F.size("hs").alias("n_doc"), F.explode(F.expr(_probes(mine))).alias("p")).select("doc_id", "n_doc", "p.part", "p.hash")
+        pairs = probes.join(held(minima.where(F.col("width") == k)), ["part", "hash"]).where(F.expr(f"n_doc >= {need('n_item', percent)}"))
+        found.append(pairs.select("doc_id", "item_id"))
+    candidates = materialize(reduce(DataFrame.unionByName, found).distinct(), "leak-candidates")
     docs_in = candidates.select(F.col("doc_id").alias("candidate")).distinct()
     texts = own.join(docs_in, own["doc_id"].eqNullSafe(docs_in["candidate"]), "left_semi")
-    hits = None
-    for k in sorted({p["width"] for p in parts}):
+    for k in parts:
         rows = texts.select("doc_id", F.explode(_texts("w", k)).alias("shingle"))
-        one = rows.join(held(shingles.where(F.col("width") == k)), "shingle").select("doc_id", "item_id", "n_item", "shingle")
-        hits = one if hits is None else hits.unionByName(one)
-    counts = hits.distinct().groupBy("doc_id", "item_id", "n_item").agg(F.count("*").alias("n_found")).where(F.col("n_found") * 100 >= F.col("n_item") * percent)
+        hits.append(rows.join(held(shingles.where(F.col("width") == k)), "shingle").select("doc_id", "item_id", "n_item", "shingle"))
+    counts = reduce(DataFrame.unionByName, hits).distinct().groupBy("doc_id", "item_id", "n_item").agg(F.count("*").alias("n_found")).where(F.col("n_found") * 100 >= F.col("n_item") * percent)
     pair = candidates.select(F.col("doc_id").alias("c_doc"), F.col("item_id").alias("c_item"))
     sure = counts.join(pair, counts["doc_id"].eqNullSafe(pair["c_doc"]) & counts["item_id"].eqNullSafe(pair["c_item"]), "left_semi")
-    return sure.withColumn("containment", F.col("n_found") / F.col("n_item")).select(*out)
+    return sure.withColumn("containment", F.col("n_found") / F.col("n_item")).select("doc_id", "item_id", "n_item", "n_found", "containment")
 
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    leaks = contained(docs, items, **options).select(F.col("doc_id").alias("leak_id")).distinct()
-    key = docs[options.get("id_col", "doc_id")].cast("long")
-    return docs.join(leaks, key.eqNullSafe(leaks["leak_id"]), "left_anti")
+    name = unused(docs, "leak_id")
+    leaks = contained(docs, items, **options).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(leaks, F.col(options.get("id_col", "doc_id")).cast("long").eqNullSafe(F.col(name)), "left_anti")
 
 
 ORACLE = f"""

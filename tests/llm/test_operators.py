@@ -546,3 +546,33 @@ def test_leaks_without_broadcast(spark, docs, monkeypatch):
     first = some()
     monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
     assert some() == first
+
+
+def test_each_size_partition_has_its_own_bounds(spark):
+    r = random.Random(3)
+    items = [(j, " ".join(f"i{r.randrange(10**6)}" for _ in range(n))) for j, n in enumerate([12] * 8 + [40] * 8 + [200] * 8 + [2, 3])]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    minima = decontam.signatures(decontam.item_shingles(b, 5, "item_id", "text"), 80)
+    n = {x["item_id"]: x["n"] for x in minima.groupBy("item_id").agg(F.count("*").alias("n")).collect()}
+    assert (n[0], n[8], n[16], n[24]) == (8 - 7 + 1, 36 - 29 + 1, 196 - 157 + 1, 1)
+    parts = decontam.partitions(minima, 80)
+    assert [(p["part"], p["least"]) for p in parts[5]] == [(3, 7), (5, 29), (7, 157)] and list(parts) == [2, 3, 5]
+    assert len({p["most"] for p in parts[5]}) == 3
+    own = [p | {"most": m} for p, m in zip(parts[5], (300, 200, 100), strict=True)]
+    hashes = [99, 199, 299]
+    ask = lambda hs: [tuple(x) for x in spark.createDataFrame([(hs,)], "hs array<long>").selectExpr(f"{decontam._probes(own)} AS p").first()["p"]]
+    assert ask(hashes) == []  # three shingles hold no item
+    assert ask(hashes * 4) == [(3, h) for h in hashes * 4]
+    assert [p for p, _ in ask(hashes * 60)] == [3] * 180 + [5] * 120 + [7] * 60
+
+
+def test_leaks_in_repeated_rows_null_ids_long_texts_and_clashing_columns(spark):
+    item = " ".join(f"t{k}" for k in range(30))
+    noise = " ".join(f"n{k % 9973}" for k in range(150_000))
+    rows = [(None, item.upper(), 1, "a"), (4, f"{noise} {item} {noise}", 2, None), (5, "x y z", 3, "b"), (5, item, 4, "b"), (5, item, 4, "b"), (6, " ".join(item.split()[:12]), 5, "c"), (7, None, 6, "d")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, hash int, leak_id string")
+    b = spark.createDataFrame([(1, item, "w"), (1, item, "w"), (None, item, None)], "item_id long, text string, shingle string")
+    got = {(x["doc_id"], x["item_id"]): (x["n_item"], x["n_found"]) for x in decontam.contained(d, b).collect()}
+    assert got == {(i, j): (26, 26) for i in (None, 4, 5) for j in (1, None)}
+    left = decontam.clean(d, b)
+    assert left.columns == d.columns and sorted(x["doc_id"] for x in left.collect()) == [6, 7]
