@@ -80,7 +80,7 @@ def oracle(limit: int) -> str:
     return f"""
 WITH d AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
              CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
-j AS (SELECT doc_id, n_bytes, CAST(j AS INTEGER) AS depth, h >> (60 - j) AS prefix FROM d, (SELECT unnest(range(0, 25)) AS j)),
+j AS (SELECT doc_id, n_bytes, CAST(j AS INTEGER) AS depth, h >> (60 - j) AS prefix FROM d, (SELECT unnest(range(0, 61)) AS j)),
 s AS (SELECT depth, prefix, sum(n_bytes) AS shard_bytes, count(*) AS shard_docs FROM j GROUP BY ALL),
 f AS (SELECT j.*, s.shard_bytes, s.shard_docs, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS rn
       FROM j JOIN s USING (depth, prefix) WHERE s.shard_bytes <= {limit} OR s.shard_docs = 1)
