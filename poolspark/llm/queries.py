@@ -28,8 +28,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(line_dedup.dedup(documents(spark, sf_dir), min_chars=10))
 
 
-#: Bytes of text that a shard may hold.
-SHARD_BYTES = 32 << 20
+#: Bytes of text that a shard may hold: small enough that the smallest tables are split as well.
+SHARD_BYTES = 64 << 10
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages"))
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.vocabulary(spark))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -324,12 +324,35 @@ def test_url_rules_and_words(spark):
     cases = {
         "http://a.net/x": ("a.net", "/x", "net/", "block"), "http://a.net": ("a.net", "", None, "allow"), "https://WWW.Example.NET/en/1?q#f": ("www.example.net", "/en/1", "example.net/en/", "allow"), "http://example.net/enx": ("example.net", "/enx", "net/", "block"),
         "http://notexample.com/de/1": ("notexample.com", "/de/1", None, "allow"), "http://b.example.com/de/1": ("b.example.com", "/de/1", "example.com/de/", "block"), "http://x.org/fr/": ("x.org", "/fr/", "org/fr/", "allow"), "ftp://h?x=1#y": ("h", "", None, "allow"),
-        "http://h.com/casino-1": ("h.com", "/casino-1", None, "block"), "http://h.com/casinos": ("h.com", "/casinos", None, "allow"), "http://h.com/cheap/cheap": ("h.com", "/cheap/cheap", None, "allow"), "http://h.com/cheap/pills": ("h.com", "/cheap/pills", None, "block"),
+        "http://h.com/casino-1": ("h.com", "/casino-1", None, "block"), "http://h.com/casinox": ("h.com", "/casinox", None, "allow"), "http://h.com/CASINOS": ("h.com", "/CASINOS", None, "block"), "http://h.com/cheap/cheap": ("h.com", "/cheap/cheap", None, "allow"), "http://h.com/cheap/pills": ("h.com", "/cheap/pills", None, "block"),
         "no scheme": ("", "", None, "allow"), "": ("", "", None, "allow"), None: ("", "", None, "allow"), "http://porn.org/fr/": ("porn.org", "/fr/", "org/fr/", "allow"),
     }
-    got = url_filter.judge(spark.createDataFrame([(i, u, "z") for i, u in enumerate(cases)], "page_id long, url string, host string")).collect()
+    terms = url_filter.vocabulary(spark)
+    got = url_filter.judge(spark.createDataFrame([(i, u, "z") for i, u in enumerate(cases)], "page_id long, url string, host string"), terms).collect()
     assert {list(cases)[r["page_id"]]: tuple(r)[1:5] for r in got} == cases
-    assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).collect() == []
+    assert url_filter.judge(spark.createDataFrame([], "page_id long, url string"), terms).collect() == []
+    assert terms.count() > 1000
+
+
+def test_weights_of_a_given_vocabulary(spark, monkeypatch):
+    terms = spark.createDataFrame([("alpha", 3), ("Beta-x", 2), ("gamma", 1), ("gamma", 2), ("am", 5), (None, 9), ("", 9), ("delta", None)], "term string, weight int")
+    urls = ["http://h/alpha", "http://h/gamma", "http://h/gamma/gamma", "http://h/beta-x?gamma", "http://h/beta-xy?gamma", "http://h/delta", "x" * 500_000 + "/alpha", "http://h/gamma", None, "http://h/gamma"]
+    pages = spark.createDataFrame([(None if i == 7 else min(i, 8), u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = url_filter.judge(pages, terms, reject_at=3).collect()
+    assert sorted(((r["page_id"], r["verdict"], r["strict_hits"], r["soft_hits"]) for r in got), key=repr) == sorted(
+        [(0, "block", 1, 0), (1, "allow", 0, 1), (2, "allow", 0, 1), (3, "block", 0, 2), (4, "allow", 0, 1), (5, "allow", 0, 0), (6, "block", 1, 0), (None, "allow", 0, 1), (8, "allow", 0, 0), (8, "allow", 0, 1)], key=repr
+    )
+    assert {r["verdict"] for r in url_filter.judge(pages, terms.where("false")).collect()} == {"allow"}
+    monkeypatch.setattr(url_filter, "MOST_TERMS", 2)
+    with pytest.raises(ValueError, match="more than 2 terms"):
+        url_filter.collect_terms(terms)
+
+
+def test_a_worker_builds_an_automaton_once():
+    calls = []
+    terms = lambda: calls.append(1) or {"casino": 2}
+    assert url_filter._automaton("k", terms) is url_filter._automaton("k", terms) and len(calls) == 1
+    assert url_filter.hits("http://x/casino.casino", url_filter._automaton("k", terms)) == {"casino": 2}
 
 
 # ---- near duplicates
