@@ -7,11 +7,18 @@ e = w . (tanh(V h) * sigmoid(U h)) gives its weight by a softmax over the bag;
 the weighted sum of the codes gives the score, sigmoid(c . z + d).
 
 All weights are learned together from document labels, with at most ``most``
-labelled documents of up to ``MOST_BYTES``, and of these only such whose id does
-not hash to the held-out quarter.  Ids, languages, sources and labels are no inputs of a score.
+labelled documents of any size, and of these only such whose id does not hash to
+the held-out quarter.  A document is learned from with up to ``PASSAGES_LEARNED``
+of its passages, evenly spread over the whole text; so what reaches the driver is
+bounded by most * PASSAGES_LEARNED * 520 bytes.  Scores take every passage of the
+whole text: a text longer than a slice is read in pieces of whole passages, whose
+attention is added up.  Ids, languages, sources and labels are no inputs of a score.
 
 A text without words is one empty passage.  Null texts count as empty.  Each
-row gives one row, without any shuffle; other columns are not read.
+row gives one row, repeated rows and null ids included, without any shuffle; a
+repeated id is learned from once.  Without labels of both kinds, or with empty
+tables, there is no model and every score is 1.  Columns other than the id and
+the text are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -29,8 +36,8 @@ from poolspark.llm.labelled import id_crc, sample
 SLICE_BYTES = 2 << 20
 PASSAGE, CLASSES = 64, 16
 EXTRA = 4
-#: Labelled documents, and bytes of each, that the model is learned from.
-MOST_LABELLED, MOST_BYTES = 3000, 1 << 17
+#: Labelled documents, and passages of each, that the model is learned from.
+MOST_LABELLED, PASSAGES_LEARNED = 3000, 48
 CODE, ATTENTION, EPOCHS, BATCH, RATE = 24, 12, 30, 128, 0.01
 
 
@@ -88,6 +95,18 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return x, bags
 
 
+def pieces(text: str) -> list[str]:
+    """A text cut into parts of about SLICE_BYTES that hold whole passages, the last one excepted."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    if len(data) <= SLICE_BYTES:
+        return [text]
+    blank = _TABLE[data] == 0
+    starts = np.flatnonzero(~blank & np.r_[True, blank[:-1]])[PASSAGE::PASSAGE]
+    at = np.searchsorted(starts, np.arange(SLICE_BYTES, len(data), SLICE_BYTES))
+    cuts = [0, *np.unique(starts[at[at < len(starts)]]).tolist(), len(data)]
+    return [data[a:b].tobytes().decode() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -117,6 +136,17 @@ class AttentionModel:
     def score(self, x: np.ndarray, bags: np.ndarray) -> np.ndarray:
         return self.forward((x - self.w["mean"]) / self.w["std"], bags)[5]
 
+    def score_pieces(self, parts) -> float:
+        """The score of one document whose passages come in several arrays."""
+        w, top, total, z = self.w, -np.inf, 0.0, np.zeros(CODE)
+        for x in parts:
+            h = np.tanh((x - w["mean"]) / w["std"] @ w["W"] + w["b"])
+            e = (np.tanh(h @ w["V"]) * _sigmoid(h @ w["U"])) @ w["w"]
+            most = max(top, float(e.max()))
+            a, shrink = np.exp(e - most), np.exp(top - most)
+            top, total, z = most, total * shrink + a.sum(), z * shrink + a @ h
+        return float(_sigmoid(z / total @ w["c"] + w["d"])[0])
+
     def gradients(self, x: np.ndarray, bags: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         w = self.w
         h, t, g, a, z, p, starts, of = self.forward(x, bags)
@@ -133,7 +163,8 @@ def train(x: np.ndarray, bags: np.ndarray, y: np.ndarray, epochs: int = EPOCHS,
     """Adam over batches of documents."""
     model = AttentionModel.new(x.shape[1], seed)
     mean, std = x.mean(0), np.maximum(x.std(0), 0.02)
-    x = ((x - mean) / std).astype(np.float32)
+    x = np.subtract(x, mean, dtype=np.float32)
+    x /= std.astype(np.float32)
     starts = np.concatenate([[0], np.cumsum(bags)])
     rng, step = np.random.default_rng(seed), 0
     first = {k: np.zeros_like(v) for k, v in model.w.items()}
@@ -152,22 +183,39 @@ def train(x: np.ndarray, bags: np.ndarray, y: np.ndarray, epochs: int = EPOCHS,
     return model
 
 
+def _spread(n: int) -> np.ndarray:
+    """Up to PASSAGES_LEARNED of ``n`` places, evenly spread."""
+    return np.arange(n) if n <= PASSAGES_LEARNED else np.linspace(0, n - 1, PASSAGES_LEARNED).astype(np.int64)
+
+
 @tidied
 def _features(seen):
     for batch in seen:
         texts = batch.column("text")
         sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
         for a, b in slices(sizes, SLICE_BYTES):
-            x, bags = passages(texts.slice(a, b - a))
-            starts = np.concatenate([[0], np.cumsum(bags)])
-            rows = [x[i:j].astype("<f2").tobytes() for i, j in zip(starts[:-1], starts[1:], strict=True)]
+            if b - a == 1 and sizes[a] > SLICE_BYTES:
+                parts = pieces(texts[a].as_py())
+                n = np.cumsum([0, *(int(passages(pa.array([p]))[1][0]) for p in parts)])
+                want = _spread(int(n[-1]))
+                own = (passages(pa.array([p]))[0][want[(want >= i) & (want < j)] - i] for p, i, j in zip(parts, n[:-1], n[1:], strict=True))
+                rows = [b"".join(x.astype("<f2").tobytes() for x in own)]
+            else:
+                x, bags = passages(texts.slice(a, b - a))
+                starts = np.concatenate([[0], np.cumsum(bags)])
+                rows = [x[i + _spread(j - i)].astype("<f2").tobytes() for i, j in zip(starts[:-1], starts[1:], strict=True)]
             yield pa.record_batch({"doc_id": batch.column("doc_id").slice(a, b - a), "label": batch.column("label").slice(a, b - a), "x": pa.array(rows, pa.binary())})
 
 
+def learned(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, **cols: str) -> DataFrame:
+    """(doc_id, label, x): the passages that a model is learned from, outside the held-out quarter."""
+    own = sample(docs, labels, most, where="crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2", **cols)
+    return own.mapInArrow(_features, "doc_id long, label int, x binary")
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, **cols: str) -> AttentionModel | None:
     """A model of quality from labels outside the held-out quarter; None without labels of both kinds."""
-    own = sample(docs, labels, most, where="crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2", most_bytes=MOST_BYTES, **cols)
-    seen = own.mapInArrow(_features, "doc_id long, label int, x binary").toPandas().sort_values(["doc_id", "x"])
+    seen = learned(docs, labels, most, **cols).toPandas().sort_values("doc_id")
     y = seen["label"].to_numpy(np.float32)
     if not len(y) or y.min() == y.max():
         return None
@@ -183,7 +231,12 @@ def _score(weights: dict[str, np.ndarray] | None, text_col: str, name: str, seen
         texts = batch.column(text_col)
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         for a, b in slices(sizes, SLICE_BYTES):
-            p = model.score(*passages(texts.slice(a, b - a))) if model else np.full(b - a, 1.0)
+            if model is None:
+                p = np.full(b - a, 1.0)
+            elif b - a == 1 and sizes[a] > SLICE_BYTES:
+                p = np.array([model.score_pieces(passages(pa.array([t]))[0] for t in pieces(texts[a].as_py()))])
+            else:
+                p = model.score(*passages(texts.slice(a, b - a)))
             rest = {n: batch.column(n).slice(a, b - a) for n in batch.schema.names}
             yield pa.record_batch(rest | {name: pa.array(p.astype(np.float64))})
 

@@ -317,6 +317,33 @@ def test_passages_are_the_same_in_slices(odd):
         assert n[0] == bags[i] and np.allclose(one, x[a : a + n[0]], atol=1e-6)
 
 
+def test_long_labelled_texts_are_learned_from(spark):
+    r = random.Random(1)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 9)))
+    long = " ".join(word() for _ in range(500_000))
+    assert len(long) > quality_mil.SLICE_BYTES
+    rows = [(4, long), (5, "short text"), (5, "another text of this id"), (6, "not labelled"), (8, None)]
+    got = {x["doc_id"]: len(x["x"]) // (2 * 260) for x in quality_mil.learned(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(4, 1), (5, 0), (8, 1), (4, 0), (None, 1), (6, None)], "doc_id long, quality int")).collect()}
+    held = spark.createDataFrame([(i,) for i in (4, 5, 8)], "doc_id long").where(labelled.id_crc(F.col("doc_id")) % 4 == 2).collect()
+    want = {4: quality_mil.PASSAGES_LEARNED, 5: 1, 8: 1}
+    assert got == {i: n for i, n in want.items() if i not in {x[0] for x in held}} and 4 in got
+
+
+def test_pieces_of_a_long_text_score_like_the_whole(monkeypatch):
+    r = random.Random(2)
+    text = "  é" + "".join(r.choice("abcé .\n\t!") for _ in range(60_000))
+    x, bags = quality_mil.passages(pa.array([text]))
+    model = quality_mil.AttentionModel.new(x.shape[1])
+    model.w |= {"mean": np.float32(0), "std": np.float32(1)}
+    whole = float(model.score(x, bags)[0])
+    monkeypatch.setattr(quality_mil, "SLICE_BYTES", 5000)
+    parts = quality_mil.pieces(text)
+    assert len(parts) > 8 and "".join(parts) == text
+    assert np.allclose(np.concatenate([quality_mil.passages(pa.array([p]))[0] for p in parts]), x)
+    assert model.score_pieces(quality_mil.passages(pa.array([p]))[0] for p in parts) == pytest.approx(whole, abs=1e-6)
+    assert quality_mil.pieces("x" * 20_000) == ["x" * 20_000]
+
+
 # ---- URLs
 
 
