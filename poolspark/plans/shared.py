@@ -6,6 +6,8 @@ executors and pins values that a recomputation could deal out differently.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -46,11 +48,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def materialize_bucketed(df: DataFrame, label: str, buckets: int, column: str) -> DataFrame:
-    """Write ``df`` to the warehouse in buckets of ``column``, so a later join on it need not move it again."""
+    """Write ``df`` to the shared folder in buckets of ``column``, so a later join on it need not move it again.
+
+    Buckets need an entry in the catalogue, which is dropped with the application; the files
+    lie in the shared folder, never in the warehouse, and go with the others.
+    """
     spark = df.sparkSession
     name = f"poolspark_{label}_{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").bucketBy(buckets, column).saveAsTable(name)
-    location = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(location)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    path = f"{new_path(spark, label)}/table"
+    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    atexit.register(_forget, spark, name)
     return spark.table(name)
+
+
+def _forget(spark: SparkSession, name: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone, and its catalogue with it
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

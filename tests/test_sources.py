@@ -156,3 +156,15 @@ def test_models_are_kept(spark, tmp_path):
 def test_quality_histogram_stream(spark, rows, tmp_path):
     rows.write.parquet(f"{tmp_path}/in")
     assert {r["MAPQ"]: r["n_rows"] for r in counts.run(spark, f"{tmp_path}/in", QC, counts.quality_histogram).collect()} == {30: 1, 0: 1, 60: 1}
+
+
+def test_bucketed_tables_lie_in_the_shared_folder(spark):
+    from poolspark.plans import shared
+
+    own = shared.materialize_bucketed(spark.range(100), "probe", 4, "id")
+    assert own.count() == 100
+    assert all(f.startswith(shared.shared_dir(spark)) for f in own.inputFiles())
+    name = [t.name for t in spark.catalog.listTables() if t.name.startswith("poolspark_probe_")]
+    assert len(name) == 1
+    shared._forget(spark, name[0])
+    assert not spark.catalog.tableExists(name[0])
