@@ -3,18 +3,24 @@
 1. *Split.*  Texts are cut into the tokenizer's words.  A chunk of up to
    ``CHUNK_BYTES`` of text becomes one row: its distinct words and, for every
    document, the positions of its words in that list.
-2. *Encode.*  The chunks' word lists are dealt out by a hash of the word, so
-   each distinct word meets all its chunks in one place and is merged once.  A
-   word occurs at most once in a chunk's list, so even the most frequent word
-   comes once from each chunk and no partition grows with it.
+2. *Encode.*  The chunks' word lists are dealt into ``BUCKETS`` buckets by a hash of
+   the word, so each distinct word meets all its chunks in one place and is merged
+   once.  A word occurs at most once in a chunk's list, so even the most frequent
+   word comes once from each chunk and no partition grows with it.  The number of
+   buckets is fixed, so rows grow with the chunks alone.  A worker keeps
+   ``KNOWN_WORDS`` merged words of a bucket at a time; a bucket with more forgets them
+   and merges some again, which costs time and changes nothing.
 3. *Join back.*  The ids return to their chunk, whose rows lie in a bucketed table
    and do not move again, and are gathered by position.
 4. *Decode.*  Ids are joined with the vocabulary's pieces by id; the pieces
-   are joined by spaces, which is what the library does without a decoder.
-
-Null texts count as empty.  Every input row gives one output row, repeated
-rows and null ids included; columns other than the id and the text are not
-read.  An empty table gives an empty result.
+   are joined by spaces, which is what the library does without a decoder.  The
+   id-to-piece table is the vocabulary, a file of fixed size that every worker
+   reads, so the join is a gather from an array.
+
+Null and empty texts have no tokens.  Every input row gives one output row,
+repeated rows and null ids included; columns other than the id and the text are
+not read and may have any name.  An empty table gives an empty result.  Texts are
+taken whole; one longer than a chunk is a chunk of its own.
 """
 
 from __future__ import annotations
@@ -37,6 +43,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CHUNK_BYTES = 16 << 20
 SLICE_BYTES, SLICE_WORDS = 2 << 20, 1 << 18
+#: Parts of the distinct words, and merged words of one that a worker keeps.
+BUCKETS, KNOWN_WORDS = 256, 1 << 20
 
 # Below U+0300 these are the tokenizer's white space and word classes.
 _WS = "\t\n\x0b\x0c\r \x85\xa0"
@@ -210,6 +218,8 @@ def _encode_words(path: str, seen):
             if row["bucket"] != at:
                 at, known = row["bucket"], {}
             words = pa.decompress(row["words"], row["size"], "zstd", asbytes=True).decode().split("\n")
+            if len(known) > KNOWN_WORDS:
+                known = {}
             todo = [w for w in words if w not in known]
             known.update(zip(todo, enc(todo), strict=True))
             own = [known[w] for w in words]
@@ -255,16 +265,15 @@ def decode_ids(path: str, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.concat_arrays(texts) if texts else pa.array([], pa.string())
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, buckets: int = 0) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """(doc_id, ids[, decoded]): token ids as little-endian unsigned 32-bit integers.
 
     ``decode`` adds the text that the ids stand for, special tokens kept.
-    ``buckets``: into how many parts the distinct words are dealt; a worker holds
-    the distinct words of one.  Unset: the session's number of shuffle partitions.
+    ``buckets``: into how many parts the distinct words are dealt; a worker works on one at a time.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = materialize_bucketed(own.mapInArrow(lambda seen: _chunks(path, buckets, seen), CHUNK_SCHEMA), "chunks", buckets, "chunk_id")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize_bucketed(own.mapInArrow(lambda seen: _chunks(path, buckets, seen), CHUNK_SCHEMA), "chunks", parts, "chunk_id")
     words = rows.where("bucket >= 0").select("bucket", "chunk_id", "n", "pos", "words", "size").repartition("bucket").sortWithinPartitions("bucket")
     ids = words.mapInArrow(lambda seen: _encode_words(path, seen), IDS_SCHEMA)
     packs = ids.groupBy("chunk_id").agg(F.collect_list(F.struct("n", "pos", "lens", "ids", "total")).alias("packs"))

@@ -96,6 +96,15 @@ def test_tokens_match_the_library(spark, odd, docs, tokenizer):
             assert (n[i]["n_bytes"], n[i]["over_limit"]) == (len((text or "").encode()), len(ids) > 50)
 
 
+def test_workers_may_forget_merged_words(tokenizer, monkeypatch):
+    rows = [{"bucket": b, "chunk_id": c, "n": 3, "pos": b"", "words": pa.compress(f"hello\nworlds{c}\nx{b}", "zstd", asbytes=True), "size": len(f"hello\nworlds{c}\nx{b}")} for b in range(2) for c in range(4)]
+    batch = pa.RecordBatch.from_pylist(rows)
+    run = lambda: [b.to_pylist() for b in bpe._encode_words(queries.word_vocabulary(), [batch])]
+    first = run()
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 2)
+    assert run() == first and len(first) == 8
+
+
 def test_splitting_slices_and_single_characters(tokenizer):
     split = bpe.splitter(queries.word_vocabulary())
     texts = ["Éa" + chr(c) + "b1" + chr(c) for c in [*range(1, 0xD800, 7), *range(0x1F300, 0x1F600)]]
