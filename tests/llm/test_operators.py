@@ -97,7 +97,8 @@ def test_tokens_match_the_library(spark, odd, docs, tokenizer):
 
 
 def test_workers_may_forget_merged_words(tokenizer, monkeypatch):
-    rows = [{"bucket": b, "chunk_id": c, "n": 3, "pos": b"", "words": pa.compress(f"hello\nworlds{c}\nx{b}", "zstd", asbytes=True), "size": len(f"hello\nworlds{c}\nx{b}")} for b in range(2) for c in range(4)]
+    text = lambda b, c: f"hello\nworlds{c}\nx{b}".encode()
+    rows = [{"bucket": b, "chunk_id": c, "n": 3, "pos": b"", "words": pa.compress(text(b, c), "zstd", asbytes=True), "size": len(text(b, c))} for b in range(2) for c in range(4)]
     batch = pa.RecordBatch.from_pylist(rows)
     run = lambda: [b.to_pylist() for b in bpe._encode_words(queries.word_vocabulary(), [batch])]
     first = run()
