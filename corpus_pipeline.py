@@ -1,7 +1,16 @@
 """Corpus pipeline: quality, line dedup, near duplicates, leaks, tokens.
 
 Each stage takes (spark, docs, sf_dir) and works on every document that the
-one before it kept.  All but the last return the columns of ``documents``.
+one before it kept.  All but the last return the columns of ``documents``, and
+keep further columns whatever their names.
+
+Null and empty texts are documents like others: the classifier judges them, and
+without words they are copies of nothing and hold no benchmark item.  Rows that
+repeat an id, or have none, are judged one by one by the classifier; as lines
+and benchmark items go they are one document; as near copies they go together,
+and only if every one of them is a copy of a document with a smaller id, so no
+text is lost for its neighbour's sake.  An empty table stays empty; without
+labels nothing is rejected.  Texts are taken whole, however long.
 """
 
 from __future__ import annotations
@@ -10,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poolspark.llm import bpe, decontam, jaccard_join, line_dedup, quality_mil
-from poolspark.llm.common import documents, table
+from poolspark.llm.common import documents, table, unused
 from poolspark.llm.queries import word_vocabulary
 from poolspark.plans.shared import materialize
 
@@ -18,7 +27,8 @@ from poolspark.plans.shared import materialize
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality_mil.fit(docs, table(spark, sf_dir, "labels"))
-    return quality_mil.with_score(docs, model, name="__score").where(F.col("__score") >= 0.7).drop("__score")
+    score = unused(docs, "score")
+    return quality_mil.with_score(docs, model, name=score).where(F.col(score) >= 0.7).drop(score)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +39,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates."""
+    name = unused(docs, "lost")
     groups = jaccard_join.near_duplicates(docs, percent=80, width=5)
-    lost = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("lost"))
-    return docs.join(lost, docs["doc_id"] == lost["lost"], "left_anti")
+    lost = groups.groupBy(F.col("doc_id").alias(name)).agg(F.every(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("all")).where("all").select(name)
+    return docs.join(lost, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
