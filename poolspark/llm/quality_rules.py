@@ -8,9 +8,12 @@ third, and is taken if it is right more often than ``PRECISION`` there; the
 rows it covers are removed and the next rule is learned.  The list becomes one
 ordered Spark conditional expression; a text that no rule covers is kept.
 
-Learned from at most ``most`` labelled documents; without labels of both kinds
-the list is empty.  Null or empty texts have all counts zero and fail the base
-rules.  Each row gives one row; other columns are not read.
+Learned from at most ``most`` labelled documents, a repeated id once; without
+labels of both kinds, or without any rows, the list is empty.  Null or empty
+texts have all counts zero and fail the base rules.  Each row gives one row,
+repeated rows and null ids included; an empty table gives no rows.  Texts are
+counted whole, in slices of some megabytes, and one longer than that stands
+alone.  Columns other than the id and the text are not read and may have any name.
 """
 
 from __future__ import annotations

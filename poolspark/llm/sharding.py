@@ -10,8 +10,10 @@ enter the next round; a round's sums are pre-aggregated before they move.
 
 Rows that repeat an id share all 60 bits; if they exceed the limit they are
 split further on bits of a row number that is pinned in a written table.  One
-document of more than ``limit`` bytes is a shard of its own.  Null texts have
-no bytes; null ids hash as the empty string; an empty table has no shards.
+document of more than ``limit`` bytes is a shard of its own, however long; texts
+are only measured.  Null and empty texts have no bytes; null ids hash as the
+empty string; an empty table has no shards.  Columns other than the id and the
+text are not read and may have any name.
 """
 
 from __future__ import annotations

@@ -1,12 +1,16 @@
 """Token counts with a whole-token shortcut (operator 2).
 
-Before any document is read, every vocabulary string that can end a word is
-encoded by itself; those that come out as one id are *proven*.  A document's
-words that are proven count one each without merging; only the rest is merged,
-each distinct word of a slice of texts once.
+Before any document is read, the driver encodes every vocabulary string that can
+end a word by itself, once; those that come out as one id are *proven* and sent
+to the workers, at most as many as the vocabulary has.  A document's words that
+are proven count one each without merging; only the rest is merged, each
+distinct word of a slice of texts once.
 
-Null texts have no tokens and no bytes.  Each input row gives one output row;
-other columns are not read.
+Null and empty texts have no tokens and no bytes.  Each input row gives one
+output row, repeated rows and null ids included; an empty table gives no rows.
+Texts are taken whole, in slices of some megabytes, and one longer than that
+stands alone.  Columns other than the id and the text are not read and may have
+any name.
 """
 
 from __future__ import annotations
@@ -45,8 +49,8 @@ def whole_tokens(path: str) -> pa.Array:
 
 
 @tidied
-def _count(path: str, limit: int, seen):
-    split, enc, whole, kept = splitter(path), encoder(path), whole_tokens(path), {}
+def _count(path: str, whole: pa.Array, limit: int, seen):
+    split, enc, kept = splitter(path), encoder(path), {}
     for batch in seen:
         texts = batch.column(1)
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -70,4 +74,5 @@ def _count(path: str, limit: int, seen):
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens)."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return own.mapInArrow(lambda seen: _count(path, limit, seen), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    proven = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
+    return own.mapInArrow(lambda seen: _count(path, proven.value, limit, seen), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

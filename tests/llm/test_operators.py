@@ -236,6 +236,13 @@ def test_equal_ids_still_fit(spark):
     assert len(got) == 50 and all(r["shard_bytes"] <= 450 for r in got)
 
 
+def test_a_text_longer_than_a_shard_stands_alone(spark):
+    rows = [(i, "x" * 100) for i in range(40)] + [(99, "é" * 2_000_000), (None, None)]
+    got = {r["doc_id"]: r for r in sharding.shard_map(spark.createDataFrame(rows, DOCS), 500).collect()}
+    assert (got[99]["shard_docs"], got[99]["shard_bytes"]) == (1, 4_000_000) and len(got) == 42
+    assert all(r["shard_bytes"] <= 500 for i, r in got.items() if i != 99)
+
+
 def test_shards_are_written(spark, docs, tmp_path):
     sharding.write_shards(docs, f"{tmp_path}/s", 60_000)
     back = spark.read.parquet(f"{tmp_path}/s")
