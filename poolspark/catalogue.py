@@ -214,7 +214,7 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "alignment_filter": lambda v: v.assignment.filtered.select(*ROW),
     "semi_sampled_bcs": lambda v: Q.semi_barcodes(v.assignment.filtered, Q.distinct_barcodes(v.qc).where("CAST(substr(BC, 3, 6) AS INT) % 3 = 0")).select("Read", "BC", "Genome", "as_"),
     "dedup_read_genome": lambda v: A.dedup_read_genome(v.assignment.filtered).select(*ROW, "frag_loc"),
-    "rank_genomes": lambda v: v.assignment.ranked.select("Read", "BC", "Genome", "rk", "rk_worst", "n_genomes"),
+    "rank_genomes": lambda v: A.rank_genomes(A.dedup_read_genome(v.assignment.filtered)).select("Read", "BC", "Genome", "rk", "rk_worst", "n_genomes"),
     "best_two_worst": lambda v: v.assignment.two.select(*TWO),
     "best_two_delta": lambda v: A.best_two_delta(v.assignment.two).select("Read", "BC", "as1", "mq1", "d_as", "d_mq", "d_nm"),
     "winner_hist": lambda v: v.assignment.hist(),
@@ -222,7 +222,7 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "delta_hist": lambda v: v.assignment.deltas(v.assignment.edges()),
     "tail_prob": lambda v: A.tail_prob(v.assignment.deltas(v.assignment.edges())),
     "assign_raw": lambda v: v.raw.select(*TWO, "d_as", "d_mq", "d_nm", "decile_as", "decile_mapq", "p_as", "p_mq", "assigned_class"),
-    "assign_filtered": lambda v: A.assign_filtered(v.assignment.ranked, v.raw),
+    "assign_filtered": lambda v: A.assign_filtered(v.raw),
     "friend_rescue": lambda v: v.assignment.result(),
     "assign_stats": lambda v: A.assign_stats(v.raw, v.chunks),
     "reduce_per_genome": lambda v: v.reduced,

@@ -19,7 +19,8 @@ _BEST = lambda: [F.asc_nulls_last("NM"), F.desc_nulls_last("as_"), F.desc_nulls_
 def dedup_read_genome(rows: DataFrame) -> DataFrame:
     """The best alignment of each read on each genome: fewest mismatches, then highest score and quality."""
     order = [*_BEST(), F.asc_nulls_last("XAcount"), F.asc_nulls_last("frag_loc")]
-    return rows.withColumn("rn", F.row_number().over(Window.partitionBy(*READ, "Genome").orderBy(*order))).where("rn = 1").drop("rn")
+    # dealt by read and barcode alone, so that ranking the genomes needs no further shuffle
+    return rows.repartition(*READ).withColumn("rn", F.row_number().over(Window.partitionBy(*READ, "Genome").orderBy(*order))).where("rn = 1").drop("rn")
 
 
 def rank_genomes(best: DataFrame) -> DataFrame:
@@ -29,12 +30,30 @@ def rank_genomes(best: DataFrame) -> DataFrame:
     return best.withColumns({"rk": F.row_number().over(by.orderBy(*_BEST(), "Genome")), "rk_worst": F.row_number().over(worst), "n_genomes": F.count("*").over(by)})
 
 
-def best_two_worst(ranked: DataFrame) -> DataFrame:
-    """One row for each read with its best, second and worst genome, from one aggregation."""
-    at = lambda cond, c: F.max(F.when(cond, F.col(c)))
-    picks = {"1": F.col("rk") == 1, "2": F.col("rk") == 2, "l": F.col("rk_worst") == 1}
-    aggs = [at(cond, c).alias(f"{a}{n}") for n, cond in picks.items() for c, a in (("Genome", "g"), ("as_", "as"), ("MAPQ", "mq"), ("NM", "nm"))]
-    return ranked.groupBy(*READ).agg(*aggs, F.max("n_genomes").alias("n_genomes"))
+def _place(x, worst: bool = False) -> list[Column]:
+    """Sort keys from best to worst, or the reverse, with missing values last."""
+    up = lambda n: [x(n).isNull(), x(n)]
+    down = lambda n: [x(n).isNull(), -x(n).cast("int")]
+    return [*(down if worst else up)("NM"), *(up if worst else down)("as_"), *(up if worst else down)("MAPQ"), x("Genome")]
+
+
+def by_read(rows: DataFrame) -> DataFrame:
+    """One row for each read and barcode: ``genomes``, its best alignment on each genome from best to worst, and best, second and worst in columns.
+
+    One shuffle: a group-by of read, barcode and genome picks the best alignment, and
+    one of read and barcode gathers them, which are as many as there are genomes.
+    """
+    keyed = [k.alias(f"k{i}") for i, k in enumerate([*_place(F.col), F.col("XAcount").isNull(), F.col("XAcount"), F.col("frag_loc").isNull(), F.col("frag_loc")])]
+    per = rows.repartition(*READ).groupBy(*READ, "Genome").agg(F.min(F.struct(*keyed, "as_", "MAPQ")).alias("x"))
+    own = per.groupBy(*READ).agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    item = lambda x: F.struct(x["k6"].alias("Genome"), x["as_"].alias("as_"), x["MAPQ"].alias("MAPQ"), x["k1"].alias("NM"), x["k8"].alias("XAcount"), x["k10"].alias("frag_loc"))
+    own = own.select(*READ, F.transform("xs", item).alias("genomes"))
+    last = F.array_min(F.transform("genomes", lambda x: F.struct(*[k.alias(f"k{i}") for i, k in enumerate(_place(lambda n: x[n], worst=True))], x["as_"].alias("as_"), x["MAPQ"].alias("MAPQ"), x["NM"].alias("NM"))))
+    own = own.withColumn("last", last)
+    parts = {"1": F.get("genomes", F.lit(0)), "2": F.get("genomes", F.lit(1))}
+    named = (("Genome", "g"), ("as_", "as"), ("MAPQ", "mq"), ("NM", "nm"))
+    columns = [x[c].alias(f"{a}{n}") for n, x in parts.items() for c, a in named] + [F.col("last")["k6" if c == "Genome" else c].alias(f"{a}l") for c, a in named]
+    return own.select(*READ, *columns, F.size("genomes").cast("long").alias("n_genomes"), "genomes")
 
 
 def with_deltas(two: DataFrame) -> DataFrame:
@@ -124,30 +143,39 @@ def assign_raw(two: DataFrame, edges: dict[str, list[float]], tails: DataFrame,
     return out.withColumn("assigned_class", F.when(sure, "winner").otherwise("ambiguous"))
 
 
-def assign_filtered(ranked: DataFrame, raw: DataFrame) -> DataFrame:
-    """Winners' best row and all genome rows of ambiguous reads, with the read's probabilities."""
-    own = ranked.join(raw.select(*READ, "assigned_class", "p_as", "p_mq"), list(READ))
-    return own.where("rk = 1 or assigned_class = 'ambiguous'").select(*READ, "Genome", "as_", "MAPQ", "NM", "XAcount", "assigned_class", "p_as", "p_mq", "frag_loc")
+def assign_filtered(raw: DataFrame) -> DataFrame:
+    """Winners' best row and all genome rows of ambiguous reads, with the read's probabilities; ``raw`` with its ``genomes``."""
+    rows = F.when(F.col("assigned_class") == "ambiguous", F.col("genomes")).otherwise(F.slice("genomes", 1, 1))
+    own = raw.select(*READ, "assigned_class", "p_as", "p_mq", F.explode(rows).alias("x"))
+    return own.select(*READ, "x.Genome", "x.as_", "x.MAPQ", "x.NM", "x.XAcount", "assigned_class", "p_as", "p_mq", "x.frag_loc")
 
 
 def friend_rescue(rows: DataFrame, window: int = 500) -> DataFrame:
     """Ambiguous rows become ``rescued`` if a winner of the same barcode, genome and sequence ends within ``window``.
 
-    A band semi-join: endpoints meet by equal cells of ``window`` positions, a
-    winner standing in its own cell and both neighbours, so no pair outside the
-    band is formed beyond the cell's width.
+    A band semi-join by cells of ``window`` positions.  A winner in the cell of an
+    endpoint is near enough; of the cell before only the highest can be, of the
+    one behind only the lowest.  So winners are reduced to these three values for
+    each cell, and each endpoint of an ambiguous row meets at most one row.
     """
-    own = rows.withColumn("row", F.struct(*READ, "Genome")).withColumn("f", barcode.fragment(F.col("frag_loc")))
-    ends = own.select("row", "BC", "Genome", "assigned_class", F.col("f.chr").alias("chr"), F.explode(F.array("f.pos1", "f.pos2")).alias("pos")).where("chr is not null and pos is not null")
-    cell = F.floor(F.col("pos") / window)
-    winners = ends.where("assigned_class = 'winner'").select("BC", "Genome", "chr", F.col("pos").alias("at"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell")).distinct()
-    asked = ends.where("assigned_class = 'ambiguous'").select("row", "BC", "Genome", "chr", "pos", cell.alias("cell"))
-    keys = ["BC", "Genome", "chr", "cell"]
-    a, w = asked.alias("a"), winners.alias("w")
-    on = [F.col(f"a.{k}") == F.col(f"w.{k}") for k in keys] + [F.abs(F.col("a.pos") - F.col("w.at")) <= window]
-    near = a.join(w, on, "left_semi").select(F.col("row").alias("near")).distinct()
-    marked = own.join(near, own["row"] == near["near"], "left")
-    return marked.withColumn("assigned_class", F.when(F.col("near").isNotNull() & (F.col("assigned_class") == "ambiguous"), "rescued").otherwise(F.col("assigned_class"))).select(rows.columns)
+    keys = ["BC", "Genome", "chr"]
+    f = barcode.fragment(F.col("frag_loc"))
+    cell = lambda pos: F.floor(pos / window)
+    ends = rows.where("assigned_class = 'winner'").select("BC", "Genome", f.alias("f")).select("BC", "Genome", "f.chr", F.explode(F.array("f.pos1", "f.pos2")).alias("pos")).where("chr is not null and pos is not null")
+    spans = ends.groupBy(*keys, cell(F.col("pos")).alias("cell")).agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+    near = spans.select(*keys, F.explode(F.array(*[F.struct((F.col("cell") + d).alias("cell"), F.lit(d).alias("d")) for d in (-1, 0, 1)])).alias("to"), "lo", "hi")
+    at = lambda d, f, c: f(F.when(F.col("to.d") == d, F.col(c)))
+    # seen from a cell, the winners of the cell before it are moved by one, those of the cell behind it by minus one
+    cells = near.groupBy(*keys, "to.cell").agg(at(0, F.count, "lo").alias("own"), at(1, F.max, "hi").alias("before"), at(-1, F.min, "lo").alias("behind"))
+    asked = rows.where("assigned_class = 'ambiguous'").withColumn("__f", f)
+    for k in ("pos1", "pos2"):
+        side = cells.select(*[F.col(c).alias(f"__{c}") for c in (*keys, "cell", "own", "before", "behind")])
+        pos = F.col(f"__f.{k}")
+        on = (F.col("BC") == F.col("__BC")) & (F.col("Genome") == F.col("__Genome")) & (F.col("__f.chr") == F.col("__chr")) & (cell(pos) == F.col("__cell"))
+        hit = (F.col("__own") > 0) | (pos - F.col("__before") <= window) | (F.col("__behind") - pos <= window)
+        asked = asked.join(side, on, "left").withColumn(f"__{k}", F.coalesce(hit, F.lit(False))).drop(*side.columns)
+    marked = asked.withColumn("assigned_class", F.when(F.col("__pos1") | F.col("__pos2"), "rescued").otherwise(F.col("assigned_class")))
+    return rows.where("assigned_class is null or assigned_class <> 'ambiguous'").select(rows.columns).unionByName(marked.select(rows.columns))
 
 
 def assign_stats(raw: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -166,13 +194,14 @@ class Assignment:
         self.filtered = qc.alignment_filter(rows, config.mapq_min, config.xa_max)
 
     @cached_property
-    def ranked(self) -> DataFrame:
-        """Written once: the models and the scoring all read it."""
-        return materialize(rank_genomes(dedup_read_genome(self.filtered)), "ranked")
+    def reads(self) -> DataFrame:
+        """Written once: the models and the scoring all read it, and none of them shuffles it again."""
+        return materialize(by_read(self.filtered), "reads")
 
     @cached_property
     def two(self) -> DataFrame:
-        return best_two_worst(self.ranked)
+        """Best, second and worst genome of each read."""
+        return self.reads.drop("genomes")
 
     def _sampled(self) -> DataFrame:
         """Reads of the barcodes that models are learned from."""
@@ -185,15 +214,24 @@ class Assignment:
     def hist(self) -> DataFrame:
         return winner_hist(self._sampled(), self.config)
 
-    def edges(self) -> dict[str, list[float]]:
+    @cached_property
+    def _edges(self) -> dict[str, list[float]]:
         return collect_edges(decile_edges(self.hist(), self.config))
 
+    def edges(self) -> dict[str, list[float]]:
+        return self._edges
+
     def deltas(self, edges: dict[str, list[float]]) -> DataFrame:
         return delta_hist(best_two_delta(self._sampled()), edges, self.config)
 
+    @cached_property
+    def tails(self) -> DataFrame:
+        """Written once: a few thousand rows."""
+        return materialize(tail_prob(self.deltas(self.edges()), self.config), "tails")
+
     def raw(self) -> DataFrame:
-        edges = self.edges()
-        return assign_raw(self.two, edges, tail_prob(self.deltas(edges), self.config), self.config)
+        """One row for each read with its class, and its ``genomes``."""
+        return assign_raw(self.reads, self.edges(), self.tails, self.config)
 
     def result(self) -> DataFrame:
-        return friend_rescue(assign_filtered(self.ranked, self.raw()), self.config.rescue_window)
+        return friend_rescue(assign_filtered(self.raw()), self.config.rescue_window)

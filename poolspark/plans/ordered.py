@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 
 from poolspark.plans.shared import materialize
 
+#: Rows of some tens of bytes that a single task may sort.
+ONE_TASK = 500_000
+
 
 def running_sums(rows: DataFrame, order: str, sums: dict[str, Column]) -> DataFrame:
     """``rows`` with each of ``sums`` added up over all rows up to this one in ``order``; equal rows share a sum.
 
-    Rows are dealt out by ranges of ``order`` and written, so the ranges stay what
+    Up to ``ONE_TASK`` rows are summed in one task.  More are dealt out by ranges of ``order`` and written, so the ranges stay what
     they are; each range is summed by itself, and only one row for each range
     meets the others to give what lies before it.
     """
+    rows = materialize(rows, "unordered")
+    if rows.count() <= ONE_TASK:
+        return rows.withColumns({n: F.sum(c).over(Window.orderBy(order)) for n, c in sums.items()})
     own = materialize(rows.repartitionByRange(order).withColumn("__part", F.spark_partition_id()), "ranges")
     inside = Window.partitionBy("__part").orderBy(order)
     local = own.withColumns({n: F.sum(c).over(inside) for n, c in sums.items()})
@@ -28,9 +34,14 @@ def running_sums(rows: DataFrame, order: str, sums: dict[str, Column]) -> DataFr
 def quantiles(rows: DataFrame, column: str, shares: list[float]) -> list[float | None]:
     """Exact quantiles with linear interpolation, as numbers; None of an empty column.
 
-    Values are counted by distinct value, then ranked by ranges.
+    Values are counted by distinct value; up to ``ONE_TASK`` of them are aggregated
+    at once, more are ranked by ranges.
     """
     n = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    n = materialize(n, "values")
+    if n.count() <= ONE_TASK:
+        own = n.agg(F.percentile("value", F.array(*[F.lit(float(q)) for q in shares]), F.col("n")).alias("q")).first()["q"]
+        return list(own) if own is not None else [None] * len(shares)
     ranked = materialize(running_sums(n, "value", {"cum": F.col("n")}), "ranks")
     total = ranked.agg(F.max("cum")).first()[0]
     if not total:

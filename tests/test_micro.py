@@ -215,15 +215,23 @@ def test_sampled_models(spark):
     assert qc.sample_barcodes(rows, 20, 1).count() == 20 and qc.sample_barcodes(rows, 0).count() == 150
 
 
-def test_running_sums_over_ranges(spark):
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_running_sums_over_ranges(spark, monkeypatch, most):
+    from poolspark.plans import ordered
     from poolspark.plans.ordered import running_sums
 
+    monkeypatch.setattr(ordered, "ONE_TASK", most)
+
     df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"), F.lit(2).alias("v")).repartition(7)
     got = {r["k"]: (r["n"], r["s"]) for r in running_sums(df, "k", {"n": F.lit(1), "s": F.col("v")}).collect()}
     assert got == {k: (k + 1, 2 * (k + 1)) for k in range(1000)}
 
 
-def test_exact_quantiles(spark):
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_exact_quantiles(spark, monkeypatch, most):
+    from poolspark.plans import ordered
+
+    monkeypatch.setattr(ordered, "ONE_TASK", most)
     import numpy as np
 
     from poolspark.plans.ordered import quantiles
@@ -269,3 +277,30 @@ def test_discount_keeps_the_candidates(spark):
     call = lambda **k: genotype.call_decision(cut, genotype.mass_by_genome(cut), eta, config, **k).first()
     assert [r["genome"] for r in seen.orderBy("rank").collect()] == ["A", "C"]
     assert call(top=seen)["bic_doublet"] != call()["bic_doublet"]
+
+
+def test_best_alignments_by_read(spark):
+    schema = "Read string, BC string, Genome string, MAPQ smallint, as_ int, NM int, XAcount smallint, frag_loc string"
+    rows = [("r", "b", "A", 30, 90, 1, 0, "x"), ("r", "b", "A", 31, 90, 1, 2, "y"), ("r", "b", "A", 31, 90, 1, 1, "z"), ("r", "b", "B", 60, None, 0, 0, "x"), ("r", "b", "C", 60, 99, None, 0, None), ("r", "b", "D", None, 90, 1, None, "w")]
+    own = spark.createDataFrame([*rows, ("s", "b", "B", 1, 2, 3, 0, "q"), (None, None, "B", 1, 2, 3, 0, "q"), ("r", "b", "A", 31, 90, 1, 1, "z")], schema)
+    got = {r["Read"]: r for r in assign.by_read(own).collect()}
+    assert [(g["Genome"], g["MAPQ"], g["as_"], g["NM"], g["XAcount"], g["frag_loc"]) for g in got["r"]["genomes"]] == [("B", 60, None, 0, 0, "x"), ("A", 31, 90, 1, 1, "z"), ("D", None, 90, 1, None, "w"), ("C", 60, 99, None, 0, None)]
+    assert [got["r"][c] for c in ("g1", "nm1", "g2", "as2", "mq2", "gl", "asl", "nml", "n_genomes")] == ["B", 0, "A", 90, 31, "A", 90, 1, 4]
+    assert (got["s"]["g1"], got["s"]["g2"], got["s"]["gl"], got[None]["n_genomes"]) == ("B", None, "B", 1)
+    ranked = assign.rank_genomes(assign.dedup_read_genome(own)).where("Read = 'r'").orderBy("rk").collect()
+    assert [r["Genome"] for r in ranked] == ["B", "A", "D", "C"] and [r["rk_worst"] for r in ranked].index(1) == 1
+
+
+def test_rescue_agrees_with_all_pairs(spark):
+    import random
+
+    r = random.Random(7)
+    rows = []
+    for i in range(600):
+        chrom, at = r.choice(["c1", "c2", "*"]), r.randrange(0, 9000)
+        rows.append((f"r{i}", r.choice("xy"), r.choice("AB"), r.choice(["winner", "ambiguous", "ambiguous", None]), r.choice([f"{chrom}:{at}:{at + r.randrange(400, 700)}", f"{chrom}:{at}:-1", f"{chrom}:-1:-1", "", None])))
+    ends = lambda f: [int(p) for p in f.split(":")[1:] if not p.startswith("-")] if f and f[0] != "*" else []
+    near = lambda a: any(w[3] == "winner" and w[1:3] == a[1:3] and w[4] and w[4].split(":")[0] == a[4].split(":")[0] and abs(p - q) <= 500 for w in rows for p in ends(a[4]) for q in ends(w[4]))
+    want = {a[0]: "rescued" if a[3] == "ambiguous" and near(a) else a[3] for a in rows}
+    got = assign.friend_rescue(spark.createDataFrame(rows, "Read string, BC string, Genome string, assigned_class string, frag_loc string")).collect()
+    assert len(got) == len(rows) and {x["Read"]: x["assigned_class"] for x in got} == want and "rescued" in want.values()
