@@ -278,14 +278,34 @@ def bic_empty(sigs: DataFrame) -> DataFrame:
     return sigs.withColumn("bic_empty", F.expr(_bic(_ll("x.e"), 0)))
 
 
-#: Signatures whose grids are evaluated at a time.
-BLOCK = 2048
+#: Signatures of a barcode, and numbers of all its grids together, that are evaluated at a time.
+BLOCK, CELLS = 2048, 1 << 21
 
 
-def _grid_bic(cnt: np.ndarray, n: int, params: int, values) -> np.ndarray:
-    """Criteria of all grid points; ``values(a, b)`` gives the likelihoods of signatures a to b along the last axis."""
-    total = sum((np.log(np.maximum(values(a, a + BLOCK), TINY)) * cnt[a : a + BLOCK]).sum(-1) for a in range(0, max(len(cnt), 1), BLOCK))
-    return np.round(-2 * total + params * np.log(max(n, 1)), 9)
+def _shapes(k: np.ndarray, cnt: list, grid: int):
+    """Places of barcodes that have the same numbers of candidates and of signatures, as many as may be evaluated at a time."""
+    m = np.fromiter(map(len, cnt), np.int64, len(cnt))
+    shapes, of = np.unique(np.stack([k, m], 1), axis=0, return_inverse=True)
+    for i, (kk, mm) in enumerate(shapes.tolist()):
+        own = np.flatnonzero(of.ravel() == i)
+        step = max(1, CELLS // (grid * max(1, min(mm, BLOCK))))
+        for j in range(0, len(own), step):
+            yield kk, mm, own[j : j + step]
+
+
+def _grid_bic(cnt: np.ndarray, n: np.ndarray, params: int, values) -> np.ndarray:
+    """Criteria of all grid points of barcodes of one shape; ``values(a, b)`` gives the likelihoods of signatures a to b, barcodes first and signatures last."""
+    total = 0.0
+    for a in range(0, max(cnt.shape[1], 1), BLOCK):
+        x = np.log(np.maximum(values(a, a + BLOCK), TINY))
+        total = total + (x * cnt[:, a : a + BLOCK].reshape(len(cnt), *[1] * (x.ndim - 2), -1)).sum(-1)
+    return np.round(-2 * total + params * np.log(np.maximum(n, 1)).reshape(-1, *[1] * (total.ndim - 1)), 9)
+
+
+def _arrays(own: np.ndarray, m: int, size: int, cnt, e, flat):
+    """Counts, profile likelihoods and those of the candidates, one row for each barcode."""
+    take = lambda xs, width: np.array([xs[i] for i in own], np.float64).reshape(len(own), width)
+    return take(cnt, m), take(e, m), take(flat, m * size).reshape(len(own), m, size).transpose(0, 2, 1)
 
 
 def _columns(likelihoods: str) -> list[Column]:
@@ -296,23 +316,21 @@ def _columns(likelihoods: str) -> list[Column]:
 def bic_single(sigs: DataFrame, top: DataFrame, config: MergeConfig = MergeConfig()) -> DataFrame:
     """Adds single: struct(bic, c, i): the first minimum over candidates, then alpha = i * alpha_grid.
 
-    The grids run in NumPy on Arrow batches: with nested lambdas in SQL instead,
-    the calls of 15,000 barcodes took more than twice as long.
+    The grids run in NumPy on Arrow batches, barcodes of one shape together.
     """
     size, alpha = config.topk_genomes, np.arange(config.alphas()) * config.alpha_grid
 
     @F.pandas_udf("bic double, c int, i int")
     def best(n: pd.Series, k: pd.Series, cnt: pd.Series, e: pd.Series, xs: pd.Series) -> pd.DataFrame:
-        out = []
-        for reads, kk, count, amb, flat in zip(n, k, cnt, e, xs, strict=True):
+        out, reads, cnt, e, xs = np.full((len(n), 3), np.nan), n.to_numpy(), cnt.tolist(), e.tolist(), xs.tolist()
+        for kk, m, own in _shapes(k.to_numpy(np.int64), cnt, size * len(alpha)):
             if kk < 1:
-                out.append((None, None, None))
                 continue
-            x, amb = np.reshape(flat, (-1, size))[:, :kk].T, np.asarray(amb)
-            bic = _grid_bic(np.asarray(count), reads, 1, lambda a, b, x=x, amb=amb: (1 - alpha)[:, None] * x[:, None, a:b] + alpha[:, None] * amb[a:b])
-            at = int(np.argmin(bic))
-            out.append((float(bic.flat[at]), at // len(alpha), at % len(alpha)))
-        return pd.DataFrame(out, columns=["bic", "c", "i"]).astype({"bic": "float64", "c": "Int32", "i": "Int32"})
+            count, amb, x = _arrays(own, m, size, cnt, e, xs)
+            bic = _grid_bic(count, reads[own], 1, lambda a, b, x=x, amb=amb, kk=kk: (1 - alpha)[:, None] * x[:, :kk, None, a:b] + alpha[:, None] * amb[:, None, None, a:b]).reshape(len(own), -1)
+            at = bic.argmin(1)
+            out[own] = np.stack([bic[np.arange(len(own)), at], at // len(alpha), at % len(alpha)], 1)
+        return pd.DataFrame(out, columns=["bic", "c", "i"]).astype({"c": "Int32", "i": "Int32"})
 
     return _with_k(sigs, top).withColumn("single", best(*_columns("xs")))
 
@@ -323,23 +341,24 @@ def bic_doublet(sigs: DataFrame, config: MergeConfig = MergeConfig()) -> DataFra
 
     @F.pandas_udf("bic double, c int, d int, i int, j int")
     def best(n: pd.Series, k: pd.Series, cnt: pd.Series, e: pd.Series, ls: pd.Series) -> pd.DataFrame:
-        out = []
-        for reads, kk, count, amb, flat in zip(n, k, cnt, e, ls, strict=True):
-            found = (None,) * 5
-            l, amb, count = np.reshape(flat, (-1, size)).T, np.asarray(amb), np.asarray(count)
+        out, reads, cnt, e, ls = np.full((len(n), 5), np.nan), n.to_numpy(), cnt.tolist(), e.tolist(), ls.tolist()
+        for kk, m, own in _shapes(k.to_numpy(np.int64), cnt, len(alpha) * len(rho)):
+            if kk < 2:
+                continue
+            count, amb, x = _arrays(own, m, size, cnt, e, ls)
             for c in range(kk - 1):
                 for d in range(c + 1, kk):
 
-                    def values(a, b, l=l, amb=amb, c=c, d=d):
-                        mixed = rho[:, None] * l[c, a:b] + (1 - rho)[:, None] * l[d, a:b]
-                        return (1 - alpha)[:, None, None] * mixed + alpha[:, None, None] * amb[a:b]
+                    def values(a, b, x=x, amb=amb, c=c, d=d):
+                        mixed = rho[:, None] * x[:, c, None, a:b] + (1 - rho)[:, None] * x[:, d, None, a:b]
+                        return (1 - alpha)[:, None, None] * mixed[:, None] + alpha[:, None, None] * amb[:, None, None, a:b]
 
-                    bic = _grid_bic(count, reads, 2, values)
-                    at = int(np.argmin(bic))
-                    if found[0] is None or bic.flat[at] < found[0]:
-                        found = (float(bic.flat[at]), c, d, at // len(rho), at % len(rho))
-            out.append(found)
-        return pd.DataFrame(out, columns=["bic", "c", "d", "i", "j"]).astype({"bic": "float64"} | dict.fromkeys("cdij", "Int32"))
+                    bic = _grid_bic(count, reads[own], 2, values).reshape(len(own), -1)
+                    at = bic.argmin(1)
+                    found = bic[np.arange(len(own)), at]
+                    less = ~(found >= out[own, 0])  # the first pair meets a missing value
+                    out[own[less]] = np.stack([found, np.full(len(own), c), np.full(len(own), d), at // len(rho), at % len(rho)], 1)[less]
+        return pd.DataFrame(out, columns=["bic", "c", "d", "i", "j"]).astype(dict.fromkeys("cdij", "Int32"))
 
     return sigs.withColumn("doublet", best(*_columns("ls")))
 
