@@ -1,4 +1,7 @@
-"""Parameters of the stages; the values given here are the defaults."""
+"""Parameters of the stages.
+
+Fixed values: names and defaults of all parameters here are those of the exchanged configurations.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +20,8 @@ class AssignConfig:
     sample_barcodes: int = 50_000
     seed: int = 42
     rescue_window: int = 500
+    #: rows of each genome that are read at most, for trial runs
+    max_rows_per_genome: int | None = None
     #: lowest value, highest value and number of bins
     as_bins: tuple[int, int, int] = (0, 200, 2000)
     mapq_bins: tuple[int, int, int] = (0, 60, 120)

@@ -191,7 +191,7 @@ class Assignment:
 
     def __init__(self, rows: DataFrame, config: AssignConfig = AssignConfig()):
         self.config = config
-        self.filtered = qc.alignment_filter(rows, config.mapq_min, config.xa_max)
+        self.filtered = qc.cap_rows(qc.alignment_filter(rows, config.mapq_min, config.xa_max), config.max_rows_per_genome)
 
     @cached_property
     def reads(self) -> DataFrame:
@@ -233,5 +233,7 @@ class Assignment:
         """One row for each read with its class, and its ``genomes``."""
         return assign_raw(self.reads, self.edges(), self.tails, self.config)
 
-    def result(self) -> DataFrame:
-        return friend_rescue(assign_filtered(self.raw()), self.config.rescue_window)
+    def result(self, chunks: DataFrame | None = None) -> DataFrame:
+        """Winner, ambiguous and rescued rows; with ``chunks`` (BC) only of their barcodes, by models of all."""
+        raw = self.raw() if chunks is None else qc.semi_barcodes(self.raw(), chunks)
+        return friend_rescue(assign_filtered(raw), self.config.rescue_window)

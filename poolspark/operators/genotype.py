@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -149,9 +150,16 @@ def load_eta(rows: DataFrame, genomes: list[str]) -> dict[str, float]:
     if missing := sorted(set(genomes) - set(got)):
         raise ValueError(f"no eta for {', '.join(missing)}")
     total = sum(got[g] for g in genomes)
+    if abs(total - 1) > 0.01:
+        warnings.warn(f"eta adds up to {total:.4g} and is normalised", stacklevel=2)
     return {g: got[g] / total for g in genomes}
 
 
+def eta_differences(eta: dict[str, float]) -> list[tuple[str, str, float]]:
+    """(genome, genome, difference of their shares) of every pair, by name; a short list."""
+    return [(a, b, eta[a] - eta[b]) for a in sorted(eta) for b in sorted(eta) if a < b]
+
+
 def jsd_to_eta(mass: DataFrame, eta: dict[str, float], normalize: bool = True) -> DataFrame:
     """(barcode, jsd): Jensen-Shannon divergence of a barcode's composition from the profile."""
     spark = mass.sparkSession

@@ -26,7 +26,7 @@ def frequent_barcodes(rows: DataFrame, min_freq: int, sample: str | None = None)
     if sample is not None:
         rows = rows.withColumn("BC", barcode.normalized(F.col("BC"), sample))
     often = rows.groupBy("BC").agg(F.count("*").alias("n")).where(F.col("n") >= min_freq).select("BC")
-    return with_defaults(rows.join(often, "BC", "left_semi"))
+    return with_defaults(rows.join(often, "BC", "left_semi").select(rows.columns))
 
 
 def alignment_filter(rows: DataFrame, mapq_min: int = 20, xa_max: int = 2) -> DataFrame:
@@ -56,6 +56,22 @@ def barcode_chunks(barcodes: DataFrame, size: int) -> DataFrame:
     return ranked.select("BC", (F.floor((F.col("rank") - 1) / size) + 1).cast("long").alias("chunk_id"))
 
 
+def chunk_slice(chunks: DataFrame, span: str) -> DataFrame:
+    """The chunks of ``START:END``, counted from 0, without END."""
+    start, sep, end = span.partition(":")
+    if not sep or not start.strip().isdigit() or not end.strip().isdigit() or int(end) <= int(start):
+        raise ValueError(f"a range of chunks is START:END, not {span!r}")
+    return chunks.where((F.col("chunk_id") > int(start)) & (F.col("chunk_id") <= int(end)))
+
+
+def cap_rows(rows: DataFrame, most: int | None) -> DataFrame:
+    """The first ``most`` rows of each genome, for trial runs; None or 0 is no cap."""
+    if not most:
+        return rows
+    genomes = sorted(r[0] for r in rows.where("Genome is not null").select("Genome").distinct().collect())  # as many as there are references
+    return reduce(DataFrame.unionByName, [rows.where(F.col("Genome") == g).limit(most) for g in genomes], rows.where("false"))
+
+
 def semi_barcodes(rows: DataFrame, barcodes: DataFrame) -> DataFrame:
     return rows.join(barcodes.select("BC").distinct(), "BC", "left_semi")
 

@@ -48,9 +48,12 @@ def reads_to_discard(winners: DataFrame, assigned: DataFrame) -> DataFrame:
     return own.select("BC", "Read", "Genome", "assigned_genome").orderBy("BC", "Read", "Genome")
 
 
-def sample_stats(rates: DataFrame, samples: DataFrame) -> DataFrame:
-    """Barcodes, reads and contamination of each sample; percentiles are exact and interpolated."""
-    own = rates.join(samples, "BC")
+def sample_stats(rates: DataFrame, samples: DataFrame | None) -> DataFrame:
+    """Barcodes, reads and contamination of each sample; percentiles are exact and interpolated.
+
+    ``samples`` (BC, sample) may be None if ``rates`` has the sample already.
+    """
+    own = rates if samples is None else rates.join(samples, "BC")
     return own.groupBy("sample").agg(
         F.count_distinct("BC").alias("n_bc"), F.sum("n_reads").alias("n_reads"), F.avg("contam_rate").alias("mean_contam"), F.percentile("contam_rate", F.lit(0.5)).alias("median_contam"), F.percentile("contam_rate", F.lit(0.95)).alias("p95_contam")
     )

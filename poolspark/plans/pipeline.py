@@ -6,17 +6,21 @@ import hashlib
 import json
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from poolspark.config import AssignConfig, DecontamConfig, MergeConfig
 from poolspark.operators import assign, decontam, genotype, qc, reports
-from poolspark.sources import tables
+from poolspark.sources import tables, workfolder
 
 
 @dataclass
 class Workdir:
-    """Stage outputs under ``path``; an output is named by a hash of all parameters it depends on."""
+    """Stage outputs under ``path``; an output is named by a hash of all parameters it depends on.
+
+    A stage is done when its JSON note in ``_sentinels`` is there, which is written last and names stage, parameters and output.
+    """
 
     spark: SparkSession
     path: str
@@ -25,8 +29,10 @@ class Workdir:
     def stage(self, name: str, params: object, make: Callable[[], DataFrame]) -> DataFrame:
         key = hashlib.sha256(json.dumps([name, params], sort_keys=True, default=str).encode()).hexdigest()[:16]
         out = f"{self.path}/{name}-{key}"
-        if self.force or not tables.exists(self.spark, f"{out}/_SUCCESS"):
+        note = f"{self.path}/_sentinels/{name}.{key}.done.json"
+        if self.force or not tables.exists(self.spark, note):
             make().write.mode("overwrite").parquet(out)
+            workfolder.write_json(self.spark, note, {"step": name, "params": params, "outputs": {name: out}, "created_at": datetime.now(UTC).isoformat()})
         return self.spark.read.parquet(out)
 
 
@@ -46,7 +52,7 @@ def run(
         "assign": (asdict(assign_config), lambda: assign.Assignment(out["filter"], assign_config).result()),
         "calls": (asdict(merge_config), lambda: genotype.Genotyping(out["assign"], merge_config).calls()),
         "policy": (asdict(decontam_config), lambda: decontam.policy(out["calls"], design, decontam_config)),
-        "judged": (None, lambda: decontam.judged(_with_p(out["assign"]), out["policy"], decontam_config)),
+        "judged": (None, lambda: decontam.judged(with_p(out["assign"]), out["policy"], decontam_config)),
         "drops": (None, lambda: decontam.drop_list(out["judged"])),
         "gate": (None, lambda: decontam.postclean_gate(decontam.counts(out["judged"], "post"), out["policy"], decontam_config)),
         "calls_decontam": (None, lambda: decontam.calls_decontam(out["calls"], out["policy"], out["gate"])),
@@ -62,5 +68,5 @@ def run(
     return out
 
 
-def _with_p(rows: DataFrame) -> DataFrame:
+def with_p(rows: DataFrame) -> DataFrame:
     return rows.selectExpr("BC AS barcode", "Read AS read_id", "Genome AS genome", "as_", "MAPQ AS mapq", "NM AS nm", "XAcount AS xa", "assigned_class AS cls", "p_as")

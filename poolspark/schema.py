@@ -1,4 +1,7 @@
-"""Column types of the tables that stages exchange."""
+"""Column types of the tables that stages exchange.
+
+Fixed values: names, types and aliases are those of the exchanged files.
+"""
 
 from __future__ import annotations
 

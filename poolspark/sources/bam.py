@@ -13,6 +13,7 @@ import json
 import os
 import struct
 import uuid
+import warnings
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -25,6 +26,7 @@ from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
 from poolspark.functions import barcode
 from poolspark.schema import QC
+from poolspark.sources import tables
 
 #: Unmapped, secondary and supplementary alignments.
 SKIP = 4 | 256 | 2048
@@ -206,15 +208,33 @@ def write_bam(rows: DataFrame, path: str) -> None:
 
 
 def clean_bam(spark: SparkSession, source: str, drops: DataFrame, target: str) -> None:
-    """A BAM file without the alignments of dropped reads, every other record and the header unchanged."""
+    """A BAM file, or a folder of them with one header, without the alignments of dropped reads; all else unchanged."""
     spark.dataSource.register(BamSource)
-    with gzip.open(_local(source)) as f:
+    first = min(Path(_local(source)).glob("*.bam"), default=None) if os.path.isdir(_local(source)) else _local(source)
+    if first is None:
+        raise FileNotFoundError(f"no BAM files in {source}")
+    with gzip.open(first) as f:
         head, names = header(f)
     rows = spark.read.format("poolspark_bam").option("path", source).option("raw", "true").load()
     kept = rows.join(drops.where("read_id is not null").select(F.col("read_id").alias("Read")).distinct(), "Read", "left_anti").select("raw")
     kept.write.format("poolspark_bam").option("path", target).option("header", base64.b64encode(head).decode()).option("refs", json.dumps(names)).option("raw", "true").mode("append").save()
 
 
+def clean_bams(spark: SparkSession, drops: DataFrame, out_dir: str, source: str | None = None, bam_map: str | None = None, suffix: str = ".clean.bam") -> dict[str, str]:
+    """{bam_id: output} of one BAM file, or of all in a map; those that do not exist are skipped with a warning."""
+    if (source is None) == (bam_map is None):
+        raise ValueError("give either a BAM or a map of BAMs")
+    pairs = [("bam", source)] if source is not None else tables.read_bam_map(spark, bam_map)
+    out = {}
+    for name, path in pairs:
+        if not tables.exists(spark, path):
+            warnings.warn(f"no BAM {path}", stacklevel=2)
+            continue
+        out[name] = f"{out_dir}/{os.path.splitext(os.path.basename(path))[0]}{suffix}"
+        clean_bam(spark, path, drops, out[name])
+    return out
+
+
 def read_sam(spark: SparkSession, path: str, sample: str | None = None) -> DataFrame:
     """The same rows from SAM text, by column expressions."""
     lines = spark.read.text(path).where(~F.col("value").startswith("@")).select(F.split("value", "\t").alias("c"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -25,14 +27,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(own)
 
 
+def _changed(spark: SparkSession, path: str) -> int:
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(own).getModificationTime()
+
+
 def discover(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Path by genome of ``filtered_<genome>_QCMapping`` files; Parquet wins only if it covers every genome that text does."""
-    import re
+    """Path by genome of ``filtered_<genome>_QCMapping`` files; Parquet wins only if it covers every genome that text does.
+
+    A folder that is missing or has no such file is an error.
+    """
+    if not exists(spark, folder):
+        raise FileNotFoundError(f"no folder {folder}")
 
     found: dict[str, dict[str, str]] = {"parquet": {}, "text": {}}
     for path in _files(spark, folder):
         if m := re.search(rf"{GENOME_FILE}\.(parquet|tsv|txt)(\.gz)?$", path):
             found["parquet" if m[2] == "parquet" else "text"][m[1]] = path
+    if not found["parquet"] and not found["text"]:
+        raise FileNotFoundError(f"no filtered_*_QCMapping files in {folder}")
     return found["parquet"] if found["parquet"] and set(found["parquet"]) >= set(found["text"]) else found["text"] or found["parquet"]
 
 
@@ -99,6 +112,14 @@ def read_drop_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", "\t").option("header", True).csv(path).select("read_id").na.drop().distinct()
 
 
+def read_bam_map(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(bam_id, bam_path) of a table with these columns, in its order."""
+    df = spark.read.option("sep", "\t").option("header", True).csv(path)
+    if missing := {"bam_id", "bam_path"} - set(df.columns):
+        raise ValueError(f"no column for {', '.join(sorted(missing))}")
+    return [(r["bam_id"], r["bam_path"]) for r in df.select("bam_id", "bam_path").collect()]  # one row for each BAM
+
+
 def read_plate_map(spark: SparkSession, path: str) -> DataFrame:
     """(sample, wells) of lines ``sample TAB A1-12,B3``; text behind # is a comment."""
     line = F.trim(F.regexp_replace("value", "#.*$", ""))
@@ -135,11 +156,24 @@ def formatted_calls(calls: DataFrame) -> DataFrame:
 
 
 def migrate(spark: SparkSession, source: str, target: str, mapq_min: int = 0, xa_max: int = -1) -> None:
-    """Text under a header to sorted Parquet, optionally filtered; kept as it is if the target exists."""
-    if not exists(spark, f"{target}/_SUCCESS"):
+    """Text under a header to sorted Parquet, optionally filtered; kept as it is if the target is whole and newer than its source."""
+    done = f"{target}/_SUCCESS"
+    if not exists(spark, done) or _changed(spark, done) < _changed(spark, source):
         write_sorted(qc.alignment_filter(read_qc_tsv(spark, source, header=True), mapq_min, xa_max), target)
 
 
+def migrate_all(spark: SparkSession, folder: str, mapq_min: int = 0, xa_max: int = -1) -> list[str]:
+    """Every ``filtered_*_QCMapping`` text of a folder as Parquet beside it; without any an error."""
+    found = [p for p in _files(spark, folder) if re.search(rf"{GENOME_FILE}\.(tsv|txt)(\.gz)?$", p)]
+    if not found:
+        raise FileNotFoundError(f"no filtered_*_QCMapping texts in {folder}")
+    out = []
+    for p in found:
+        out.append(re.sub(r"\.(tsv|txt)(\.gz)?$", ".parquet", p))
+        migrate(spark, p, out[-1], mapq_min, xa_max)
+    return out
+
+
 def save_model(edges: DataFrame, tails: DataFrame, path: str) -> None:
     edges.write.mode("overwrite").parquet(f"{path}/edges")
     tails.write.mode("overwrite").parquet(f"{path}/tails")

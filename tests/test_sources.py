@@ -42,7 +42,8 @@ def test_sorted_parquet_and_schema_check(spark, rows, tmp_path):
 
 
 def test_discovery_prefers_parquet_only_if_it_is_complete(spark, rows, tmp_path):
-    assert tables.discover(spark, f"{tmp_path}/none") == {}
+    with pytest.raises(FileNotFoundError):
+        tables.discover(spark, f"{tmp_path}/none")
     tables.write_sorted(rows, f"{tmp_path}/filtered_Zm_v5_QCMapping.parquet")
     assert set(tables.discover(spark, str(tmp_path))) == {"Zm_v5"}
     (tmp_path / "filtered_B_QCMapping.tsv").write_text("Read\tBC\tMAPQ\tAS\tNM\tXAcount\n" + "r\tb\t1\t2\t3\t4\n")
@@ -149,7 +150,7 @@ def test_models_are_kept(spark, tmp_path):
     tables.save_model(edges, tails, f"{tmp_path}/m")
     e, t = tables.load_model(spark, f"{tmp_path}/m")
     assert assign.collect_edges(e) == own.edges() and t.count() == tails.count()
-    again = assign.assign_raw(own.two, assign.collect_edges(e), t)
+    again = assign.assign_raw(own.reads, assign.collect_edges(e), t)
     assert sorted(map(str, again.collect())) == sorted(map(str, own.raw().collect()))
 
 
