@@ -346,6 +346,24 @@ def test_long_labelled_texts_are_learned_from(spark):
     assert got == {i: n for i, n in want.items() if i not in {x[0] for x in held}} and 4 in got
 
 
+def test_whole_verdict_matches_the_plain_version(spark):
+    got = queries.QUERIES["op5_quality_rules"](spark, DIR).collect()
+    table = spark.read.parquet(f"{DIR}/documents.parquet")
+    rules = quality_rules.fit(table, spark.read.parquet(f"{DIR}/labels.parquet"))
+    texts = {r["doc_id"]: r["text"] for r in table.collect()}
+    plain = [[(t.ratio, t.above, t.bound) for t in rule] for rule in rules]
+    assert rules and {r["doc_id"]: r["kept"] for r in got} == {i: brute.rule_verdict(plain, t) for i, t in texts.items()}
+
+
+def test_scores_match_the_plain_version(spark, odd):
+    table = spark.read.parquet(f"{DIR}/documents.parquet")
+    model = quality_mil.fit(table, spark.read.parquet(f"{DIR}/labels.parquet"))
+    some = table.select("doc_id", "text").where("doc_id < 40").unionByName(odd.where("length(text) < 5000 or text is null").select((F.col("doc_id") + 10_000).alias("doc_id"), "text"))
+    got = {r["doc_id"]: r["score"] for r in quality_mil.judge(some, model).collect()}
+    for i, text in some.collect():
+        assert got[i] == pytest.approx(brute.attention_score(model.w, brute.passages(text, quality_mil.PASSAGE, quality_mil.CLASSES)), abs=2e-4), i
+
+
 def test_pieces_of_a_long_text_score_like_the_whole(monkeypatch):
     r = random.Random(2)
     text = "  é" + "".join(r.choice("abcé .\n\t!") for _ in range(60_000))
