@@ -3,10 +3,13 @@
 A document's hash is the first 60 bits of its id's MD5.  The directory starts
 with one bucket for the empty prefix.  A bucket of more than ``limit`` bytes is
 split on its next bit; all others stay, so depths differ and the directory
-holds one entry for each bucket.  ``STEP`` bits are looked at in each round:
-bytes are summed by prefix at every depth of the round, and a bucket closes at
-the first depth where it fits.  Only rows of buckets that are still too large
-enter the next round; a round's sums are pre-aggregated before they move.
+holds one entry for each bucket.  A round looks at several bits: bytes are
+summed by prefix at every depth of the round, and a bucket closes at the first
+depth where it fits, that is where it fits and the bucket it was split from did
+not.  The first round looks at as many bits as buckets of the limit would need
+for all bytes, and one more; the next ones at ``STEP``, and only rows of buckets
+that are still too large enter them.  A round's sums are pre-aggregated before
+they move, so they are about as many as its buckets.
 
 Rows that repeat an id share all 60 bits; if they exceed the limit they are
 split further on bits of a row number that is pinned in a written table.  One
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 
 from poolspark.plans.shared import materialize
 
-BITS, STEP = 60, 12
+BITS, STEP = 60, 6
 
 
 def _hash(text: Column) -> Column:
@@ -37,21 +40,34 @@ def _bits(value: Column, depth: Column) -> Column:
     return F.when(depth == 0, "").otherwise(F.lpad(F.bin(value), depth, F.lit("0")))
 
 
+def _rounds(first: int):
+    """(bits looked at before, bits of the round) up to BITS."""
+    k, step = 0, first
+    while k < BITS:
+        yield k, min(step, BITS - k)
+        k, step = k + step, STEP
+
+
 def shard_map(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, shard, depth, shard_bytes, shard_docs): each document's shard."""
     ids = F.col(id_col).cast("long")
     rows = docs.select(ids.alias("doc_id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), _hash(F.coalesce(ids.cast("string"), F.lit(""))).alias("h0"), F.monotonically_increasing_id().alias("row"))
     todo = materialize(rows.withColumn("base", F.lit("")), "shard-rows")
     done: list[DataFrame] = []
+    total = todo.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    first_bits = min(24, max(1, total // max(1, limit)).bit_length() + 1)
     for word in range(2):
-        for k in range(0, BITS, STEP):
+        for k, step in _rounds(first_bits):
             h = F.col(f"h{word}")
-            keyed = todo.withColumn("fine", F.shiftright(h, BITS - k - STEP))
+            keyed = todo.withColumn("fine", F.shiftright(h, BITS - k - step))
             cells = keyed.groupBy("base", "fine").agg(F.sum("n_bytes").alias("b"), F.count("*").alias("n"))
-            depths = cells.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(STEP)))).withColumn("prefix", F.expr(f"shiftright(fine, {STEP} - j)"))
+            depths = cells.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(step)))).withColumn("prefix", F.expr(f"shiftright(fine, {step} - j)"))
             sums = depths.groupBy("base", "j", "prefix").agg(F.sum("b").alias("shard_bytes"), F.sum("n").alias("shard_docs"))
-            leaves = sums.where((F.col("shard_bytes") <= limit) | (F.col("shard_docs") == 1))
-            first = depths.join(leaves, ["base", "j", "prefix"]).groupBy("base", "fine").agg(F.min_by(F.struct("j", "prefix", "shard_bytes", "shard_docs"), "j").alias("leaf"))
+            fits = (F.col("shard_bytes") <= limit) | (F.col("shard_docs") == 1)
+            split = sums.where(~fits).select("base", (F.col("j") + 1).alias("j"), F.explode(F.expr("array(2 * prefix, 2 * prefix + 1)")).alias("prefix"))
+            sums = sums.where(fits)
+            leaves = sums.where("j = 0").unionByName(sums.where("j > 0").join(split, ["base", "j", "prefix"], "left_semi"))
+            first = depths.join(leaves, ["base", "j", "prefix"]).select("base", "fine", F.struct("j", "prefix", "shard_bytes", "shard_docs").alias("leaf"))
             first = materialize(first, "shard-directory")
             own = keyed.join(first, ["base", "fine"], "left")
             closed = own.where("leaf is not null").select(
