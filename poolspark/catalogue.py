@@ -183,13 +183,6 @@ def _tsv(v: Views) -> DataFrame:
 
 
 def _bam(v: Views) -> DataFrame:
-    rows = v.qc.where("Genome = 'G1' AND CAST(substr(BC, 3, 6) AS INTEGER) < 50")
-    path = f"{new_path(v.spark, 'bam')}/out"
-    bam.write_bam(rows, path)
-    return bam.read_bam(v.spark, path).drop("flag")
-
-
-def _bam_all(v: Views) -> DataFrame:
     """All rows, by way of one BAM folder for each genome."""
     path, back = new_path(v.spark, "bam"), {}
     for g in sorted(r[0] for r in v.qc.select("Genome").distinct().collect()):
@@ -207,12 +200,11 @@ def _stream(v: Views) -> DataFrame:
 _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "bc_normalize": lambda v: v.qc.groupBy("BC_raw").agg(F.count("*").alias("n")).select("BC_raw", barcode.normalized(F.col("BC_raw"), " pool 1").alias("bc_norm"), "n"),
     "bc_freq_filter": lambda v: Q.frequent_barcodes(v.qc.drop("BC", "Genome").withColumnRenamed("BC_raw", "BC"), 30, "pool 1"),
-    "distinct_barcodes": lambda v: Q.distinct_barcodes(*[v.qc.where(F.col("Genome") == g) for g in ("G1", "G2")]),
-    "distinct_barcodes_all": lambda v: Q.distinct_barcodes(*[v.qc.where(F.col("Genome") == f"G{i}") for i in range(5)]),
+    "distinct_barcodes": lambda v: Q.distinct_barcodes(*[v.qc.where(F.col("Genome") == f"G{i}") for i in range(5)]),
     "barcode_chunks": lambda v: v.chunks,
     "union_genomes": lambda v: Q.union_genomes({f"G{i}": v.qc.where(F.col("Genome") == f"G{i}").drop("Genome") for i in range(5)}).groupBy("Genome").agg(F.count("*").alias("n_rows"), F.count_distinct("Read").alias("n_reads")),
     "alignment_filter": lambda v: v.assignment.filtered.select(*ROW),
-    "semi_sampled_bcs": lambda v: Q.semi_barcodes(v.assignment.filtered, Q.distinct_barcodes(v.qc).where("CAST(substr(BC, 3, 6) AS INT) % 3 = 0")).select("Read", "BC", "Genome", "as_"),
+    "semi_ambiguous_bcs": lambda v: Q.semi_barcodes(v.assignment.filtered, v.raw.where("assigned_class = 'ambiguous'").select("BC")).select("Read", "BC", "Genome", "as_"),
     "dedup_read_genome": lambda v: A.dedup_read_genome(v.assignment.filtered).select(*ROW, "frag_loc"),
     "rank_genomes": lambda v: A.rank_genomes(A.dedup_read_genome(v.assignment.filtered)).select("Read", "BC", "Genome", "rk", "rk_worst", "n_genomes"),
     "best_two_worst": lambda v: v.assignment.two.select(*TWO),
@@ -274,7 +266,6 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "ks_statistic": lambda v: R.ks_statistic(R.low_high(v.rates, 0.2), "contam_rate", "grp", "low", "high"),
     "tsv_roundtrip": _tsv,
     "bam_roundtrip": _bam,
-    "bam_roundtrip_all": _bam_all,
     "streaming_counts": _stream,
 }
 

@@ -227,12 +227,11 @@ ORACLE_SQL: dict[str, str] = {
     for name, text in {
         "bc_normalize": "SELECT BC_raw, CASE WHEN coalesce(BC_raw, '') = '' THEN '' ELSE split_part(BC_raw, '-', 1) || '-pool_1' END AS bc_norm, count(*) AS n FROM qc GROUP BY ALL",
         "bc_freq_filter": "SELECT Read, b AS BC, MAPQ, as_, NM, XAcount, frag_loc FROM (SELECT *, count(*) OVER (PARTITION BY b) AS n FROM (SELECT *, split_part(BC_raw, '-', 1) || '-pool_1' AS b FROM qc)) WHERE n >= 30",
-        "distinct_barcodes": "SELECT DISTINCT BC FROM qc WHERE Genome IN ('G1', 'G2') AND BC <> ''",
-        "distinct_barcodes_all": "SELECT DISTINCT BC FROM qc WHERE BC <> ''",
+        "distinct_barcodes": "SELECT DISTINCT BC FROM qc WHERE BC <> ''",
         "barcode_chunks": "SELECT BC, chunk_id FROM chunks",
         "union_genomes": "SELECT Genome, count(*) AS n_rows, count(DISTINCT Read) AS n_reads FROM qc GROUP BY Genome",
         "alignment_filter": "SELECT Read, BC, Genome, MAPQ, as_, NM, XAcount FROM filt",
-        "semi_sampled_bcs": "SELECT Read, BC, Genome, as_ FROM filt WHERE CAST(substr(BC, 3, 6) AS INTEGER) % 3 = 0",
+        "semi_ambiguous_bcs": "SELECT Read, BC, Genome, as_ FROM filt WHERE BC IN (SELECT BC FROM raw WHERE assigned_class = 'ambiguous')",
         "dedup_read_genome": "SELECT Read, BC, Genome, MAPQ, as_, NM, XAcount, frag_loc FROM best",
         "rank_genomes": "SELECT Read, BC, Genome, rk, rk_worst, n_genomes FROM ranked",
         "best_two_worst": f"SELECT {_TWO} FROM two",
@@ -305,8 +304,7 @@ ORACLE_SQL: dict[str, str] = {
             SELECT n1, n2, max(abs(ca / CAST(n1 AS DOUBLE) - cb / CAST(n2 AS DOUBLE))) AS d FROM (SELECT CAST(sum(a) OVER (ORDER BY x) AS BIGINT) AS ca, CAST(sum(b) OVER (ORDER BY x) AS BIGINT) AS cb, CAST(sum(a) OVER () AS BIGINT) AS n1, CAST(sum(b) OVER () AS BIGINT) AS n2
             FROM (SELECT x, count(*) FILTER (WHERE grp = 'low') AS a, count(*) FILTER (WHERE grp = 'high') AS b FROM grp GROUP BY x)) GROUP BY ALL)""",
         "tsv_roundtrip": "SELECT Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM filt",
-        "bam_roundtrip": "SELECT Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM qc WHERE Genome = 'G1' AND CAST(substr(BC, 3, 6) AS INTEGER) < 50",
-        "bam_roundtrip_all": "SELECT Genome, Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM qc",
+        "bam_roundtrip": "SELECT Genome, Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM qc",
         "streaming_counts": "SELECT BC, count(*) AS n_rows FROM qc GROUP BY BC",
     }.items()
 }

@@ -23,7 +23,7 @@ def test_query_matches_sql(spark, duck, name):
 def test_bam_takes_every_row(spark):
     v = catalogue.Views(spark, DIR)
     count = lambda df: {r["Genome"]: r["count"] for r in df.groupBy("Genome").count().collect()}
-    assert count(catalogue.QUERIES["bam_roundtrip_all"](spark, DIR)) == count(v.qc)
+    assert count(catalogue.QUERIES["bam_roundtrip"](spark, DIR)) == count(v.qc)
 
 
 def test_models_count_all_barcodes(spark):
@@ -33,7 +33,7 @@ def test_models_count_all_barcodes(spark):
 
 
 def test_barcodes_of_all_genomes(spark):
-    got = catalogue.QUERIES["distinct_barcodes_all"](spark, DIR)
+    got = catalogue.QUERIES["distinct_barcodes"](spark, DIR)
     assert got.count() == catalogue.Views(spark, DIR).qc.where("BC <> ''").select("BC").distinct().count() == 150
 
 
