@@ -171,7 +171,7 @@ def _soft(v: Views) -> DataFrame:
     g = v.genotyping
     top = G.topk_genomes(g.mass, 3)
     soft = G.posteriors(v.reduced, MergeConfig(winner_only=False))
-    return G.bic_single(G.signatures(soft, g.eta(), top, 3), top).select("barcode", "n_reads", "n_reads_eff", "single.bic", "single.c", "single.i")
+    return G.criteria(G.signatures(soft, g.eta(), top, 3, soft=True), top).select("barcode", "n_reads", "n_reads_eff", "single.bic", "single.c", "single.i")
 
 
 def _tsv(v: Views) -> DataFrame:

@@ -121,11 +121,32 @@ def barcode_stats(mass: DataFrame) -> DataFrame:
 # ---- ambient profile
 
 
+def compositions(mass: DataFrame, reads: DataFrame, genomes: list[str]) -> DataFrame:
+    """One row for each barcode: n_reads, n_effective, ``cs`` (its mass on each of ``genomes``), and p_top1 and ratio12 with the guards of the seeding step, where both are finite.
+
+    All that the profile is learned from; the rounds need no shuffle of it.
+    """
+    heavy = F.sort_array(F.collect_list("c"), asc=False)
+    own = mass.groupBy("barcode").agg(F.sum("c").alias("n_effective"), _masses(genomes).alias("cs"), heavy.alias("heavy")).join(reads, "barcode", "left")
+    p1, p2 = [F.coalesce(F.get("heavy", F.lit(i)), F.lit(0.0)) / (F.col("n_effective") + TINY) for i in (0, 1)]
+    return own.select("barcode", "n_reads", "n_effective", "cs", p1.alias("p_top1"), (p1 / (p2 + TINY)).alias("ratio12"))
+
+
+def _masses(genomes: list[str]) -> Column:
+    return F.array(*[F.coalesce(F.sum(F.when(F.col("genome") == g, F.col("c"))), F.lit(0.0)) for g in genomes])
+
+
+def _few_reads(rows: DataFrame, config: MergeConfig) -> DataFrame:
+    return rows if config.empty_reads_max is None else rows.where(F.coalesce("n_reads", F.lit(0)) <= config.empty_reads_max)
+
+
 def eta_initial_seed(mass: DataFrame, reads: DataFrame, config: MergeConfig = MergeConfig()) -> DataFrame:
     """Barcodes of the lowest total mass: the share ``eta_seed_quantile`` of them, one at least."""
-    eff = mass.groupBy("barcode").agg(F.sum("c").alias("n_effective")).join(reads, "barcode", "left")
-    if config.empty_reads_max is not None:
-        eff = eff.where(F.coalesce("n_reads", F.lit(0)) <= config.empty_reads_max)
+    return _initial_seed(mass.groupBy("barcode").agg(F.sum("c").alias("n_effective")).join(reads, "barcode", "left"), config)
+
+
+def _initial_seed(own: DataFrame, config: MergeConfig) -> DataFrame:
+    eff = _few_reads(own, config)
     n = eff.count()
     take = max(1, -int(-(min(max(config.eta_seed_quantile, 1e-6), 1.0) * n) // 1))
     ranked = running_sums(eff.select("barcode", F.struct("n_effective", "barcode").alias("place")), "place", {"rank": F.lit(1)})
@@ -134,8 +155,17 @@ def eta_initial_seed(mass: DataFrame, reads: DataFrame, config: MergeConfig = Me
 
 def eta_of(mass: DataFrame, seed: DataFrame, genomes: list[str]) -> dict[str, float]:
     """Share of each genome in the seed barcodes' mass; uniform without seeds. One number for each genome."""
-    got = {r["genome"]: r["c"] for r in mass.join(seed, "barcode", "left_semi").groupBy("genome").agg(F.sum("c").alias("c")).collect()}
-    raw = {g: got.get(g, 0.0) + TINY for g in genomes}
+    return _shares(mass.join(seed, "barcode", "left_semi").agg(_masses(genomes).alias("cs")).first()["cs"], genomes)
+
+
+def _eta_of(own: DataFrame, genomes: list[str]) -> dict[str, float] | None:
+    """``eta_of`` the rows of a table of compositions; None if there are none."""
+    got = own.agg(F.count("*").alias("n"), *[F.sum(F.get("cs", F.lit(i))).alias(f"c{i}") for i in range(len(genomes))]).first()
+    return _shares([got[f"c{i}"] for i in range(len(genomes))], genomes) if got["n"] else None
+
+
+def _shares(masses: list[float], genomes: list[str]) -> dict[str, float]:
+    raw = {g: c + TINY for g, c in zip(genomes, masses, strict=True)}
     total = sum(raw.values())
     return {g: v / total for g, v in raw.items()}
 
@@ -162,42 +192,51 @@ def eta_differences(eta: dict[str, float]) -> list[tuple[str, str, float]]:
 
 def jsd_to_eta(mass: DataFrame, eta: dict[str, float], normalize: bool = True) -> DataFrame:
     """(barcode, jsd): Jensen-Shannon divergence of a barcode's composition from the profile."""
-    spark = mass.sparkSession
-    q = eta_table(spark, eta).withColumn("q", F.greatest(F.col("eta") / (F.lit(sum(eta.values())) + TINY), F.lit(TINY))).drop("eta")
-    tot = mass.groupBy("barcode").agg(F.sum("c").alias("t"))
-    every = tot.crossJoin(F.broadcast(q)).join(mass, ["barcode", "genome"], "left")  # one row for each genome
-    p = F.greatest(F.coalesce("c", F.lit(0.0)) / (F.col("t") + TINY), F.lit(TINY))
-    own = every.withColumn("p", p).withColumn("m", (F.col("p") + F.col("q")) / 2)
-    half = lambda x: F.sum(F.col(x) * F.log(F.col(x) / F.col("m"))) / 2
-    return own.groupBy("barcode").agg(((half("p") + half("q")) / F.lit(math.log(2) if normalize else 1.0)).alias("jsd"))
-
-def seed_stats(mass: DataFrame) -> DataFrame:
-    """Composition with the guards of the seeding step, where ratio12 is finite."""
-    own = barcode_stats(mass)
-    guard = F.col("n_effective") + TINY
-    p1, p2 = F.col("p_top1") * F.greatest("n_effective", F.lit(TINY)) / guard, F.col("p_top2") * F.greatest("n_effective", F.lit(TINY)) / guard
-    return own.select("barcode", p1.alias("p_top1"), (p1 / (p2 + TINY)).alias("ratio12"))
+    own = mass.groupBy("barcode").agg(F.sum("c").alias("n_effective"), _masses(sorted(eta)).alias("cs"))
+    return own.select("barcode", _jsd(eta, sorted(eta), normalize).alias("jsd"))
+
+
+def _jsd(eta: dict[str, float], genomes: list[str], normalize: bool) -> Column:
+    """The divergence of a row of compositions, whose ``cs`` follow ``genomes``."""
+    total = sum(eta.values()) + TINY
+    qs = F.array(*[F.lit(max(eta[g] / total, TINY)) for g in genomes])
+
+    def term(c: Column, q: Column) -> Column:
+        p = F.greatest(c / (F.col("n_effective") + TINY), F.lit(TINY))
+        m = (p + q) / 2
+        return p * F.log(p / m) + q * F.log(q / m)
+
+    return F.aggregate(F.zip_with("cs", qs, term), F.lit(0.0), lambda acc, x: acc + x) / F.lit(2 * (math.log(2) if normalize else 1.0))
+
+
+def _candidates(own: DataFrame, config: MergeConfig) -> DataFrame:
+    """Compositions that are mixed and of few reads; all of them if none is."""
+    cand = _few_reads(own.where((F.col("p_top1") <= config.empty_top1_max) & (F.col("ratio12") <= config.empty_ratio12_max)), config)
+    return own if cand.isEmpty() else cand
+
+
+def _near_profile(cand: DataFrame, eta: dict[str, float], genomes: list[str], config: MergeConfig) -> DataFrame:
+    own = cand.withColumn("jsd", F.round(_jsd(eta, genomes, config.jsd_normalize), 9))
+    (tau,) = quantiles(own, "jsd", [config.empty_tau_quantile])
+    return own.where(F.col("jsd") <= F.round(F.lit(tau).cast("double"), 9))
 
 
 def jsd_seed(mass: DataFrame, reads: DataFrame, eta: dict[str, float], config: MergeConfig = MergeConfig()) -> DataFrame:
     """Candidates of mixed composition whose divergence is within the ``empty_tau_quantile``."""
-    stats = seed_stats(mass).join(reads, "barcode", "left")
-    cand = stats.where((F.col("p_top1") <= config.empty_top1_max) & (F.col("ratio12") <= config.empty_ratio12_max))
-    if config.empty_reads_max is not None:
-        cand = cand.where(F.coalesce("n_reads", F.lit(0)) <= config.empty_reads_max)
-    cand = cand if not cand.isEmpty() else stats
-    jsd = materialize(jsd_to_eta(mass, eta, config.jsd_normalize).join(cand.select("barcode"), "barcode", "left_semi").withColumn("jsd", F.round("jsd", 9)), "jsd")
-    (tau,) = quantiles(jsd, "jsd", [config.empty_tau_quantile])
-    return jsd.where(F.col("jsd") <= F.round(F.lit(tau).cast("double"), 9)).select("barcode", "jsd")
+    own = materialize(compositions(mass, reads, sorted(eta)), "compositions")
+    return _near_profile(_candidates(own, config), eta, sorted(eta), config).select("barcode", "jsd")
 
 
 def learn_eta(mass: DataFrame, reads: DataFrame, genomes: list[str], config: MergeConfig = MergeConfig()) -> dict[str, float]:
-    eta = eta_of(mass, eta_initial_seed(mass, reads, config), genomes)
+    """The profile after ``eta_iters`` rounds; a round reads one row for each barcode and moves only counts of divergences."""
+    own = materialize(compositions(mass, reads, genomes), "compositions")
+    eta = _eta_of(own.join(_initial_seed(own, config), "barcode", "left_semi"), genomes) or _shares([0.0] * len(genomes), genomes)
+    cand = _candidates(own, config) if config.eta_iters else own
     for _ in range(config.eta_iters):
-        seed = jsd_seed(mass, reads, eta, config)
-        if seed.isEmpty():
+        new = _eta_of(_near_profile(cand, eta, genomes, config), genomes)
+        if new is None:
             break
-        eta = eta_of(mass, seed, genomes)
+        eta = new
     return eta
 
 
@@ -242,13 +281,16 @@ def discounted(post: DataFrame, mode: str) -> DataFrame:
 # ---- likelihoods
 
 
-def signatures(post: DataFrame, eta: dict[str, float], top: DataFrame, k: int, phi: DataFrame | None = None, chis: DataFrame | None = None, threshold: float = 0.05) -> DataFrame:
+def signatures(post: DataFrame, eta: dict[str, float], top: DataFrame, k: int, phi: DataFrame | None = None, chis: DataFrame | None = None, threshold: float = 0.05, soft: bool = False) -> DataFrame:
     """One row for each barcode: n reads and an array of (cnt, e, ls, xs), equal reads counted together.
 
     ``e`` is a read's likelihood under the profile, ``ls`` those of the k
     candidates in order, ``xs`` the same with cross-mapping where a candidate's
     chi exceeds ``threshold``.  With hard assignment a barcode has as many
-    different vectors as genomes and weights, however many reads it has.
+    different vectors as genomes and weights, however many reads it has.  With
+    ``soft`` assignment nearly every read may differ: barcodes of more than
+    ``MOST`` vectors then have several rows, told apart by ``part`` of ``parts``,
+    each with the counts of the whole barcode; see ``criteria``.
     """
     spark = post.sparkSession
     profile = F.broadcast(eta_table(spark, eta))
@@ -271,7 +313,14 @@ def signatures(post: DataFrame, eta: dict[str, float], top: DataFrame, k: int, p
             xs.append(F.sum(own))
     per = rows.groupBy(*READ).agg(F.sum(F.col("l") * F.coalesce("eta", F.lit(0.0))).alias("e"), F.max("w_read").alias("w"), F.array(*ls).alias("ls"), F.array(*xs).alias("xs"))
     alike = per.groupBy("barcode", F.round("e", 12).alias("e"), F.transform("ls", lambda x: F.round(x, 12)).alias("ls"), F.transform("xs", lambda x: F.round(x, 12)).alias("xs")).agg(F.count("*").alias("cnt"), F.sum("w").alias("w"))
-    return alike.groupBy("barcode").agg(F.sum("cnt").alias("n_reads"), F.sum("w").alias("n_reads_eff"), F.collect_list(F.struct("cnt", "e", "ls", "xs")).alias("sigs"))
+    totals = [F.sum("cnt").alias("n_reads"), F.sum("w").alias("n_reads_eff")]
+    sigs = F.collect_list(F.struct("cnt", "e", "ls", "xs")).alias("sigs")
+    if not soft:
+        return alike.groupBy("barcode").agg(*totals, sigs)
+    alike = materialize(alike, "signatures")
+    whole = alike.groupBy("barcode").agg(*totals, F.ceil(F.count("*") / MOST).cast("int").alias("parts"))
+    dealt = alike.drop("w").join(whole, "barcode").withColumn("part", F.pmod(F.xxhash64("e", "ls", "xs"), "parts").cast("int"))
+    return dealt.groupBy("barcode", "parts", "part", "n_reads", "n_reads_eff").agg(sigs)
 
 
 def _ll(s: str) -> str:
@@ -289,6 +338,9 @@ def bic_empty(sigs: DataFrame) -> DataFrame:
 #: Signatures of a barcode, and numbers of all its grids together, that are evaluated at a time.
 BLOCK, CELLS = 2048, 1 << 21
 
+#: Signatures that one row may hold on average; a barcode of more is dealt out to several rows.
+MOST = 8192
+
 
 def _shapes(k: np.ndarray, cnt: list, grid: int):
     """Places of barcodes that have the same numbers of candidates and of signatures, as many as may be evaluated at a time."""
@@ -301,13 +353,43 @@ def _shapes(k: np.ndarray, cnt: list, grid: int):
             yield kk, mm, own[j : j + step]
 
 
-def _grid_bic(cnt: np.ndarray, n: np.ndarray, params: int, values) -> np.ndarray:
-    """Criteria of all grid points of barcodes of one shape; ``values(a, b)`` gives the likelihoods of signatures a to b, barcodes first and signatures last."""
+def _grid_sums(cnt: np.ndarray, values) -> np.ndarray:
+    """Log-likelihoods of all grid points of barcodes of one shape; ``values(a, b)`` gives the likelihoods of signatures a to b, barcodes first and signatures last."""
     total = 0.0
     for a in range(0, max(cnt.shape[1], 1), BLOCK):
         x = np.log(np.maximum(values(a, a + BLOCK), TINY))
         total = total + (x * cnt[:, a : a + BLOCK].reshape(len(cnt), *[1] * (x.ndim - 2), -1)).sum(-1)
-    return np.round(-2 * total + params * np.log(np.maximum(n, 1)).reshape(-1, *[1] * (total.ndim - 1)), 9)
+    return total.reshape(len(cnt), -1)
+
+
+def _criterion(total: np.ndarray, n: np.ndarray, params: int) -> np.ndarray:
+    return np.round(-2 * total + params * np.log(np.maximum(n, 1))[:, None], 9)
+
+
+def _single_sums(count, amb, x, kk: int, alpha) -> np.ndarray:
+    """One row for each barcode; candidates, then alpha."""
+    return _grid_sums(count, lambda a, b: (1 - alpha)[:, None] * x[:, :kk, None, a:b] + alpha[:, None] * amb[:, None, None, a:b])
+
+
+def _doublet_sums(count, amb, x, c: int, d: int, alpha, rho) -> np.ndarray:
+    """One row for each barcode and the pair c, d of candidates; alpha, then rho."""
+
+    def values(a, b):
+        mixed = rho[:, None] * x[:, c, None, a:b] + (1 - rho)[:, None] * x[:, d, None, a:b]
+        return (1 - alpha)[:, None, None] * mixed[:, None] + alpha[:, None, None] * amb[:, None, None, a:b]
+
+    return _grid_sums(count, values)
+
+
+def _pairs(kk: int) -> list[tuple[int, int]]:
+    return [(c, d) for c in range(kk - 1) for d in range(c + 1, kk)]
+
+
+def _axes(config: MergeConfig) -> tuple[np.ndarray, np.ndarray]:
+    return np.arange(config.alphas()) * config.alpha_grid, 0.1 + np.arange(config.rhos()) * config.rho_grid
+
+
+SINGLE, DOUBLET = "struct<bic: double, c: int, i: int>", "struct<bic: double, c: int, d: int, i: int, j: int>"
 
 
 def _arrays(own: np.ndarray, m: int, size: int, cnt, e, flat):
@@ -326,7 +408,7 @@ def bic_single(sigs: DataFrame, top: DataFrame, config: MergeConfig = MergeConfi
 
     The grids run in NumPy on Arrow batches, barcodes of one shape together.
     """
-    size, alpha = config.topk_genomes, np.arange(config.alphas()) * config.alpha_grid
+    size, (alpha, _) = config.topk_genomes, _axes(config)
 
     @F.pandas_udf("bic double, c int, i int")
     def best(n: pd.Series, k: pd.Series, cnt: pd.Series, e: pd.Series, xs: pd.Series) -> pd.DataFrame:
@@ -335,7 +417,7 @@ def bic_single(sigs: DataFrame, top: DataFrame, config: MergeConfig = MergeConfi
             if kk < 1:
                 continue
             count, amb, x = _arrays(own, m, size, cnt, e, xs)
-            bic = _grid_bic(count, reads[own], 1, lambda a, b, x=x, amb=amb, kk=kk: (1 - alpha)[:, None] * x[:, :kk, None, a:b] + alpha[:, None] * amb[:, None, None, a:b]).reshape(len(own), -1)
+            bic = _criterion(_single_sums(count, amb, x, kk, alpha), reads[own], 1)
             at = bic.argmin(1)
             out[own] = np.stack([bic[np.arange(len(own)), at], at // len(alpha), at % len(alpha)], 1)
         return pd.DataFrame(out, columns=["bic", "c", "i"]).astype({"c": "Int32", "i": "Int32"})
@@ -345,7 +427,7 @@ def bic_single(sigs: DataFrame, top: DataFrame, config: MergeConfig = MergeConfi
 
 def bic_doublet(sigs: DataFrame, config: MergeConfig = MergeConfig()) -> DataFrame:
     """Adds doublet: struct(bic, c, d, i, j): the first minimum over pairs c < d of candidates, alpha, and rho = 0.1 + j * rho_grid."""
-    size, alpha, rho = config.topk_genomes, np.arange(config.alphas()) * config.alpha_grid, 0.1 + np.arange(config.rhos()) * config.rho_grid
+    size, (alpha, rho) = config.topk_genomes, _axes(config)
 
     @F.pandas_udf("bic double, c int, d int, i int, j int")
     def best(n: pd.Series, k: pd.Series, cnt: pd.Series, e: pd.Series, ls: pd.Series) -> pd.DataFrame:
@@ -354,23 +436,79 @@ def bic_doublet(sigs: DataFrame, config: MergeConfig = MergeConfig()) -> DataFra
             if kk < 2:
                 continue
             count, amb, x = _arrays(own, m, size, cnt, e, ls)
-            for c in range(kk - 1):
-                for d in range(c + 1, kk):
-
-                    def values(a, b, x=x, amb=amb, c=c, d=d):
-                        mixed = rho[:, None] * x[:, c, None, a:b] + (1 - rho)[:, None] * x[:, d, None, a:b]
-                        return (1 - alpha)[:, None, None] * mixed[:, None] + alpha[:, None, None] * amb[:, None, None, a:b]
-
-                    bic = _grid_bic(count, reads[own], 2, values).reshape(len(own), -1)
-                    at = bic.argmin(1)
-                    found = bic[np.arange(len(own)), at]
-                    less = ~(found >= out[own, 0])  # the first pair meets a missing value
-                    out[own[less]] = np.stack([found, np.full(len(own), c), np.full(len(own), d), at // len(rho), at % len(rho)], 1)[less]
+            for c, d in _pairs(kk):
+                bic = _criterion(_doublet_sums(count, amb, x, c, d, alpha, rho), reads[own], 2)
+                at = bic.argmin(1)
+                found = bic[np.arange(len(own)), at]
+                less = ~(found >= out[own, 0])  # the first pair meets a missing value
+                out[own[less]] = np.stack([found, np.full(len(own), c), np.full(len(own), d), at // len(rho), at % len(rho)], 1)[less]
         return pd.DataFrame(out, columns=["bic", "c", "d", "i", "j"]).astype(dict.fromkeys("cdij", "Int32"))
 
     return sigs.withColumn("doublet", best(*_columns("ls")))
 
 
+def criteria(sigs: DataFrame, top: DataFrame, config: MergeConfig = MergeConfig()) -> DataFrame:
+    """One row for each barcode with n_reads, n_reads_eff, cands, k, bic_empty, single and doublet.
+
+    A barcode whose signatures are in several rows has its grids summed over
+    them place by place, so no task ever holds all its signatures.
+    """
+    names = ["barcode", "n_reads", "n_reads_eff", "cands", "k", "bic_empty", "single", "doublet"]
+    if "part" not in sigs.columns:
+        return bic_doublet(bic_single(bic_empty(sigs), top, config), config).select(names)
+    sigs = materialize(sigs, "signature-rows")  # read by both branches
+    one = bic_doublet(bic_single(bic_empty(sigs.where("parts = 1")), top, config), config).select(names)
+    rows = _with_k(sigs.where("parts > 1"), top)
+    key = ["barcode", "n_reads", "n_reads_eff", "cands", "k"]
+    places = rows.select(*key, F.posexplode(_all_sums(config)(F.col("k"), F.col("sigs.cnt"), F.col("sigs.e"), F.flatten("sigs.ls"), F.flatten("sigs.xs"))))
+    summed = places.groupBy(*key, "pos").agg(F.sum("col").alias("ll"))
+    grids = summed.groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "ll"))), lambda v: v["ll"]).alias("lls"))  # as many as the grids have places
+    return one.unionByName(grids.withColumn("best", _best_of_sums(config)("n_reads", "k", "lls")).select(*key, "best.bic_empty", "best.single", "best.doublet"))
+
+
+def _all_sums(config: MergeConfig):
+    """Of a row's signatures: the log-likelihood of the profile, of the single grid, and of the doublet grids of all pairs."""
+    size, (alpha, rho) = config.topk_genomes, _axes(config)
+
+    @F.pandas_udf("array<double>")
+    def sums(k: pd.Series, cnt: pd.Series, e: pd.Series, ls: pd.Series, xs: pd.Series) -> pd.Series:
+        out, cnt, e, ls, xs = [None] * len(k), cnt.tolist(), e.tolist(), ls.tolist(), xs.tolist()
+        for kk, m, own in _shapes(k.to_numpy(np.int64), cnt, max(size, len(rho)) * len(alpha)):
+            count, amb, x = _arrays(own, m, size, cnt, e, xs)
+            parts = [_grid_sums(count, lambda a, b, amb=amb: amb[:, None, a:b])]
+            if kk:
+                parts.append(_single_sums(count, amb, x, kk, alpha))
+            _, _, x = _arrays(own, m, size, cnt, e, ls)
+            parts += [_doublet_sums(count, amb, x, c, d, alpha, rho) for c, d in _pairs(kk)]
+            for i, row in zip(own, np.concatenate(parts, 1), strict=True):
+                out[i] = row
+        return pd.Series(out)
+
+    return sums
+
+
+def _best_of_sums(config: MergeConfig):
+    alpha, rho = _axes(config)
+
+    @F.pandas_udf(f"bic_empty double, single {SINGLE}, doublet {DOUBLET}")
+    def best(n: pd.Series, k: pd.Series, lls: pd.Series) -> pd.DataFrame:
+        out = []
+        for reads, kk, lls_ in zip(n.to_numpy(), k.to_numpy(np.int64), lls, strict=True):
+            ll, reads, single, doublet = np.asarray(lls_)[None], np.array([reads]), (None,) * 3, (None,) * 5
+            end = 1 + kk * len(alpha)
+            if kk:
+                bic = _criterion(ll[:, 1:end], reads, 1)[0]
+                single = (float(bic.min()), *map(int, divmod(bic.argmin(), len(alpha))))
+            if kk > 1:
+                bic = _criterion(ll[:, end:], reads, 2)[0]
+                pair, at = divmod(int(bic.argmin()), len(alpha) * len(rho))
+                doublet = (float(bic.min()), *_pairs(kk)[pair], *divmod(at, len(rho)))
+            out.append((float(_criterion(ll[:, :1], reads, 0)[0, 0]), dict(zip(("bic", "c", "i"), single, strict=True)), dict(zip(("bic", "c", "d", "i", "j"), doublet, strict=True))))
+        return pd.DataFrame(out, columns=["bic_empty", "single", "doublet"])
+
+    return best
+
+
 def _with_k(sigs: DataFrame, top: DataFrame) -> DataFrame:
     cands = top.groupBy("barcode").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "genome"))), lambda x: x["genome"]).alias("cands"))
     return sigs.join(cands, "barcode", "left").withColumn("k", F.coalesce(F.array_size("cands"), F.lit(0)))
@@ -383,7 +521,7 @@ def call_decision(post: DataFrame, mass: DataFrame, eta: dict[str, float], confi
     """
     top = top if top is not None else topk_genomes(mass, config.topk_genomes)
     chis = chi(phi) if phi is not None else None
-    own = bic_doublet(bic_single(bic_empty(signatures(post, eta, top, config.topk_genomes, phi, chis, config.xmap_chi_threshold)), top, config), config)
+    own = criteria(signatures(post, eta, top, config.topk_genomes, phi, chis, config.xmap_chi_threshold, soft=not config.winner_only), top, config)
     own = own.join(barcode_stats(mass), "barcode", "left").join(jsd_to_eta(mass, eta, config.jsd_normalize).withColumnRenamed("jsd", "jsd_to_eta"), "barcode", "left")
     c = F.col
     low = (c("n_reads") < config.min_reads) | (c("k") == 0)

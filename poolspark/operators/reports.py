@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from poolspark.plans.ordered import quantiles, running_sums
+from poolspark.plans.ordered import group_quantiles, quantiles, running_sums
+from poolspark.plans.shared import materialize
 
 
 def winner_reads(rows: DataFrame, xa_max: int = 2) -> DataFrame:
@@ -53,10 +54,10 @@ def sample_stats(rates: DataFrame, samples: DataFrame | None) -> DataFrame:
 
     ``samples`` (BC, sample) may be None if ``rates`` has the sample already.
     """
-    own = rates if samples is None else rates.join(samples, "BC")
-    return own.groupBy("sample").agg(
-        F.count_distinct("BC").alias("n_bc"), F.sum("n_reads").alias("n_reads"), F.avg("contam_rate").alias("mean_contam"), F.percentile("contam_rate", F.lit(0.5)).alias("median_contam"), F.percentile("contam_rate", F.lit(0.95)).alias("p95_contam")
-    )
+    own = materialize(rates if samples is None else rates.join(samples, "BC"), "sample-rates")
+    sums = own.groupBy(F.col("sample").alias("of")).agg(F.count_distinct("BC").alias("n_bc"), F.sum("n_reads").alias("n_reads"), F.avg("contam_rate").alias("mean_contam"))
+    ends = group_quantiles(own, "sample", "contam_rate", {"median_contam": 0.5, "p95_contam": 0.95})
+    return ends.join(sums, F.col("sample").eqNullSafe(F.col("of"))).select("sample", "n_bc", "n_reads", "mean_contam", "median_contam", "p95_contam")
 
 
 def wells(plate_map: DataFrame) -> DataFrame:

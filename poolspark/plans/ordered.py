@@ -50,3 +50,30 @@ def quantiles(rows: DataFrame, column: str, shares: list[float]) -> list[float |
     at = lambda k: F.min(F.when(F.col("cum") > int(k), F.col("value")))
     got = ranked.agg(*[at(p).alias(f"lo{i}") for i, p in enumerate(places)], *[at(-(-p // 1)).alias(f"hi{i}") for i, p in enumerate(places)]).first()
     return [got[f"lo{i}"] + (p - int(p)) * (got[f"hi{i}"] - got[f"lo{i}"]) for i, p in enumerate(places)]
+
+
+def group_quantiles(rows: DataFrame, group: str, column: str, shares: dict[str, float]) -> DataFrame:
+    """(group, one column for each of ``shares``): exact quantiles of each group with linear interpolation; null of a group without values.
+
+    Values are counted by group and distinct value first.  Up to ``ONE_TASK`` of these
+    counts are aggregated group by group; more are ranked by ranges of group and
+    value, so that no task holds all values of a large group.
+    """
+    n = rows.groupBy(F.col(group), F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    n = materialize(n, "group-values")
+    groups = n.select(group).distinct()
+    n = n.where("value IS NOT NULL")
+    if n.count() <= ONE_TASK:
+        got = n.groupBy(group).agg(F.percentile("value", F.array(*[F.lit(float(q)) for q in shares.values()]), F.col("n")).alias("q"))
+        own = got.select(F.col(group).alias("of"), *[F.get("q", F.lit(i)).alias(name) for i, name in enumerate(shares)])
+        return groups.join(own, F.col(group).eqNullSafe(F.col("of")), "left").drop("of")
+    placed = n.withColumn("place", F.struct(group, "value"))
+    ranked = materialize(running_sums(placed, "place", {"cum": F.col("n")}).drop("place"), "group-ranks")
+    ends = ranked.groupBy(F.col(group).alias("of")).agg(F.min(F.col("cum") - F.col("n")).alias("base"), F.sum("n").alias("total"))
+    both = ranked.join(ends, F.col(group).eqNullSafe(F.col("of"))).withColumn("at", F.col("cum") - F.col("base"))
+    place = lambda q: F.lit(float(q)) * (F.col("total") - 1)
+    first = lambda k: F.min(F.when(F.col("at") > k, F.col("value")))
+    got = both.groupBy("of", "total").agg(*[first(end(place(q))).alias(f"{side}_{name}") for name, q in shares.items() for side, end in (("lo", F.floor), ("hi", F.ceil))])
+    part = lambda q: place(q) - F.floor(place(q))
+    own = got.select("of", *[(F.col(f"lo_{name}") + part(q) * (F.col(f"hi_{name}") - F.col(f"lo_{name}"))).alias(name) for name, q in shares.items()])
+    return groups.join(own, F.col(group).eqNullSafe(F.col("of")), "left").drop("of")

@@ -1,11 +1,13 @@
 """Small cases with values worked out by hand."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from poolspark.config import AssignConfig, DecontamConfig, MergeConfig
 from poolspark.functions import barcode
 from poolspark.operators import assign, decontam, genotype, qc, reports
+from poolspark.plans import ordered
 
 
 def one(df, column):
@@ -68,6 +70,27 @@ def test_likelihood_grid_and_call(spark, a, b, empty, single, doublet, call, mod
     assert (r["call"], r["model"]) == (call, model)
 
 
+@pytest.mark.parametrize("most", [1, 7, 8192])
+def test_signatures_dealt_to_several_rows_give_the_same_criteria(spark, monkeypatch, most):
+    monkeypatch.setattr(genotype, "MOST", most)
+    monkeypatch.setattr(genotype, "BLOCK", 3)
+    post = spark.range(120).selectExpr("concat('b', id % 3) AS barcode", "concat('r', id) AS read_id", "explode(array('A', 'B', 'C')) AS genome", "1D AS w_read").selectExpr(
+        "*", "(1 + pmod(hash(read_id, genome), 997)) / 3000 AS l", "0.001D AS l_amb"
+    )
+    post = post.where("NOT (barcode = 'b1' AND genome <> 'A')").where("NOT (barcode = 'b2' AND genome = 'C')")
+    top, eta = genotype.topk_genomes(genotype.mass_by_genome(post), 3), {"A": 0.5, "B": 0.3, "C": 0.2}
+    whole = {r["barcode"]: r for r in genotype.criteria(genotype.signatures(post, eta, top, 3), top).collect()}
+    dealt = genotype.criteria(genotype.signatures(post, eta, top, 3, soft=True), top).collect()
+    assert sorted(r["barcode"] for r in dealt) == sorted(whole) == ["b0", "b1", "b2"]
+    for r in dealt:
+        want = whole[r["barcode"]]
+        assert (r["n_reads"], r["n_reads_eff"], r["cands"], r["k"]) == (want["n_reads"], want["n_reads_eff"], want["cands"], want["k"])
+        assert r["bic_empty"] == pytest.approx(want["bic_empty"], abs=1e-6)
+        for grid in ("single", "doublet"):
+            (bic, *at), (bic_, *at_) = r[grid], want[grid]
+            assert at == at_ and bic == (pytest.approx(bic_, abs=1e-6) if bic_ is not None else None)
+
+
 def test_few_reads_are_not_called(spark):
     assert _call(spark, 3, 1)["call"] == "low_reads"
 
@@ -242,6 +265,18 @@ def test_exact_quantiles(spark, monkeypatch, most):
     assert quantiles(df.where("v < 0"), "v", [0.5]) == [None]
 
 
+@pytest.mark.parametrize("most", [3, 500_000])
+def test_quantiles_of_groups(spark, monkeypatch, most):
+    monkeypatch.setattr("poolspark.plans.ordered.ONE_TASK", most)
+    rows = [(g, float(v % 7) if v % 5 else None) for g, n in (("a", 1), ("b", 2), ("c", 60), (None, 31)) for v in range(1, n + 1)] + [("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: (r["mid"], r["high"]) for r in ordered.group_quantiles(df, "g", "v", {"mid": 0.5, "high": 0.95}).collect()}
+    assert set(got) == {"a", "b", "c", None, "none"} and got.pop("none") == (None, None)
+    for g, found in got.items():
+        values = [v for h, v in rows if h == g and v is not None]
+        assert found == pytest.approx((np.quantile(values, 0.5), np.quantile(values, 0.95)))
+
+
 def test_heat_counts_keep_values_beyond_the_ranges(spark):
     df = spark.createDataFrame([(0.05, 3), (0.05, 40), (0.05, 41), (1.0, 5000), (-0.1, -2), (None, 3), (0.5, None)], "x double, y long")
     got = sorted(map(tuple, reports.heat_counts(df, "x", "y", 10, 8, (0.0, 1.0), (0.0, 40.0)).collect()))
