@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolspark.llm import bpe, decontam, filter_audit, jaccard_join, line_dedup, quality_mil, quality_rules, secrets, sharding, token_count, url_filter
+from poolspark.llm import bpe, decontam, filter_audit, jaccard_join, line_dedup, prefix_trie, quality_mil, quality_rules, secrets, sharding, token_count, url_filter
 from poolspark.llm.common import documents, table
 
 
@@ -62,6 +62,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), percent=80, width=5)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digests(table(spark, sf_dir, "conversations"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -87,5 +92,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_near_duplicates": jaccard_join.oracle(),
     "op9_secret_scan": secrets.oracle(),
     "op10_decontamination": decontam.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
     "op13_filter_audit": filter_audit.ORACLE,
 }
