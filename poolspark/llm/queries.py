@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poolspark.llm import bpe, decontam, filter_audit, jaccard_join, line_dedup, prefix_trie, quality_mil, quality_rules, secrets, sharding, token_count, url_filter
+from poolspark.llm import bpe, decontam, filter_audit, jaccard_join, line_dedup, maxscore, prefix_trie, quality_mil, quality_rules, secrets, sharding, token_count, url_filter
 from poolspark.llm.common import documents, table
 
 
@@ -66,6 +66,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.digests(table(spark, sf_dir, "conversations"))
 
 
+def op12_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_decontamination": op10_decontamination,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_maxscore": op12_maxscore,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -93,5 +98,6 @@ ORACLE_SQL: dict[str, str] = {
     "op9_secret_scan": secrets.oracle(),
     "op10_decontamination": decontam.ORACLE,
     "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_maxscore": maxscore.ORACLE,
     "op13_filter_audit": filter_audit.ORACLE,
 }
