@@ -66,7 +66,8 @@ def matrix(lists: pa.Array, width: int = 0) -> np.ndarray:
 class Best:
     """The k best (score, id) of each query so far: scores from best to worst, ties by id, missing places last."""
 
-    LOW = np.iinfo(np.int64).min
+    #: below every score, and so that it has an opposite number
+    LOW = np.iinfo(np.int64).min + 1
 
     def __init__(self, queries: int, k: int, floors: np.ndarray):
         self.k, self.floors = k, floors
