@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from poolspark import testkit
-from poolspark.config import AssignConfig, DecontamConfig, MergeConfig
+from poolspark.config import DecontamConfig, MergeConfig
 from poolspark.functions import barcode
 from poolspark.operators import assign as A
 from poolspark.operators import decontam as D
@@ -38,7 +38,7 @@ class Views:
 
     @cached_property
     def assignment(self) -> A.Assignment:
-        return A.Assignment(self.qc.drop("BC_raw"), AssignConfig(sample_barcodes=0))
+        return A.Assignment(self.qc.drop("BC_raw"))
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -137,6 +137,10 @@ class Views:
     def rates(self) -> DataFrame:
         return materialize(R.contamination_rate(self.winners, self.as_mean), "rates")
 
+    @cached_property
+    def groups(self) -> DataFrame:
+        return R.low_high(self.rates, self.as_mean, 0.2)
+
     @cached_property
     def samples(self) -> DataFrame:
         return testkit.samples(self.spark, self.dir)
@@ -260,10 +264,12 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "plate_grid": lambda v: R.plate_grid(v.stats, testkit.plate_map(v.spark)),
     "interpool_counts": lambda v: R.interpool_counts(R.as_mean_assign(v.all_winners), v.samples),
     "read_composition": lambda v: R.read_composition(v.all_winners, v.samples),
-    "ecdf_points": lambda v: R.ecdf(R.low_high(v.rates, 0.2), "contam_rate", "grp"),
-    "heat_counts": lambda v: R.heat_counts(v.rates, "contam_rate", "n_reads", 10, 8, (0.0, 1.0), (0.0, 40.0)),
+    "ecdf_points": lambda v: R.ecdf(v.groups),
+    "heat_counts": lambda v: R.heat_counts(v.rates, "contam_rate", "n_reads", 10, 8),
+    "hexagon_counts": lambda v: R.hexagons(v.rates, "n_reads", "contam_rate"),
+    "sample_density": lambda v: R.densities(v.rates.join(v.samples, "BC"), "sample", "contam_rate"),
     "bic_single_soft": _soft,
-    "ks_statistic": lambda v: R.ks_statistic(R.low_high(v.rates, 0.2), "contam_rate", "grp", "low", "high"),
+    "ks_statistic": lambda v: R.ks_statistic(v.groups),
     "tsv_roundtrip": _tsv,
     "bam_roundtrip": _bam,
     "streaming_counts": _stream,

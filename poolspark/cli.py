@@ -123,7 +123,7 @@ def clean_bams(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def summarize(spark: SparkSession, args: argparse.Namespace) -> None:
     pool = samples.pool_genomes(args.pool_design, args.sample, _list(args.genome or ""))
-    print(json.dumps(samples.summarize(spark, args.workdir, args.sample, pool, args.xa_max)))
+    print(json.dumps(samples.summarize(spark, args.workdir, args.sample, pool, args.xa_max, args.contam_quantile, args.contam_threshold)))
 
 
 def interpool(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -189,6 +189,8 @@ def parser() -> argparse.ArgumentParser:
     own.add_argument("--pool-design", help="table of Genome and Pool")
     own.add_argument("--genome", help="the pool's genomes, without a design")
     own.add_argument("--xa-max", type=int, default=2)
+    own.add_argument("--contam-quantile", type=float, default=0.2, help="share of barcodes on either side that are compared")
+    own.add_argument("--contam-threshold", type=float, help="compare the barcodes up to this rate with those above it")
     command("interpool", interpool, "counts by genome of several samples", configs="table of sample, genome, bam, workdir").add_argument("--outdir")
     own = command("plate", plate, "contamination over a plate", workdir="working folder", plate_map="table of samples and wells")
     own.add_argument("--outdir")

@@ -1,6 +1,7 @@
 """Parameters of the stages.
 
-Fixed values: names and defaults of all parameters here are those of the exchanged configurations.
+Fixed values: names and defaults of all parameters here are those of the exchanged configurations, but that models
+are learned from all barcodes unless a sample is asked for.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ class AssignConfig:
     k: int = 10
     mapq_min: int = 20
     xa_max: int = 2
-    sample_barcodes: int = 50_000
+    #: barcodes that models are learned from; 0 is all
+    sample_barcodes: int = 0
     seed: int = 42
     rescue_window: int = 500
     #: rows of each genome that are read at most, for trial runs

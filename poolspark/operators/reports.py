@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from poolspark.functions import twosample
 from poolspark.plans.ordered import group_quantiles, quantiles, running_sums
 from poolspark.plans.shared import materialize
 
@@ -101,41 +106,137 @@ def read_composition(winners: DataFrame, samples: DataFrame) -> DataFrame:
     return n.withColumn("frac", F.col("n_reads") / F.sum("n_reads").over(Window.partitionBy("sample")))
 
 
-def low_high(rates: DataFrame, q: float = 0.2, threshold: float | None = None) -> DataFrame:
-    """(BC, contam_rate, grp): the lowest and the highest share ``q``, or both sides of ``threshold``; ties may be in both."""
+#: What the barcodes of low and high contamination are compared by.
+MEASURES = ("top1_as_mean", "total_n", "as_gap")
+
+
+def low_high(rates: DataFrame, assigned: DataFrame, q: float = 0.2, threshold: float | None = None) -> DataFrame:
+    """(variable, grp, value): the measures of the barcodes of low and of high contamination.
+
+    By shares, low is up to the quantile ``q`` and high from the quantile 1 - q on, so ties may be in both, and barcodes
+    without a rate, which count as 0 for the quantiles, in neither; by ``threshold``, low is up to it and high above it.
+    A barcode with one genome only has an infinite gap, null here; one without a mean or total has no value at all.
+    """
+    rate = F.coalesce("contam_rate", F.lit(0.0))
+    own = assigned.join(rates.select("BC", "contam_rate"), "BC", "left").withColumn("rate", rate)
     if threshold is None:
         q = min(max(q, 0.0), 0.49)
-        low, high = quantiles(rates, "contam_rate", [q, 1 - q])
+        own = materialize(own, "rated")
+        ends = [F.round(F.lit(v).cast("double"), 9) for v in quantiles(own, "rate", [q, 1 - q])]
+        x = F.round("contam_rate", 9)
+        low, high = x <= ends[0], x >= ends[1]
     else:
-        low = high = threshold
-    x, end = F.round("contam_rate", 9), lambda v: F.round(F.lit(v).cast("double"), 9)
-    side = lambda cond, name: rates.where(cond).select("BC", x.alias("contam_rate"), F.lit(name).alias("grp"))
-    return side(x <= end(low), "low").unionByName(side(x >= end(high), "high"))
+        low, high = F.col("rate") <= threshold, F.col("rate") > threshold
+    sides = F.array_compact(F.array(F.when(low, "low"), F.when(high, "high")))
+    long = F.array(*[F.struct(F.lit(m).alias("variable"), F.col(m).cast("double").alias("value")) for m in MEASURES])
+    out = own.select(F.explode(sides).alias("grp"), long.alias("xs")).select("grp", F.inline("xs"))
+    return out.where("value IS NOT NULL OR variable = 'as_gap'").select("variable", "grp", "value")
+
+
+def _cumulative(values: DataFrame) -> DataFrame:
+    """(variable, value, a, b, ca, cb, n1, n2): for each distinct value, how many low and high ones it has and how many are up to it.
+
+    Counts are summed by distinct value; running sums are made by ranges of variable and value, infinite values last.
+    """
+    n = values.groupBy("variable", "value").agg(F.count_if(F.col("grp") == "low").alias("a"), F.count_if(F.col("grp") == "high").alias("b"))
+    placed = n.withColumn("place", F.struct("variable", F.col("value").isNull().alias("end"), "value"))
+    ranked = materialize(running_sums(placed, "place", {"sa": F.col("a"), "sb": F.col("b")}).drop("place"), "ranked-values")
+    ends = ranked.groupBy("variable").agg(F.min(F.col("sa") - F.col("a")).alias("a0"), F.min(F.col("sb") - F.col("b")).alias("b0"), F.sum("a").alias("n1"), F.sum("b").alias("n2"))
+    both = ranked.join(F.broadcast(ends), "variable")  # one row for each measure
+    return both.select("variable", "value", "a", "b", (F.col("sa") - F.col("a0")).alias("ca"), (F.col("sb") - F.col("b0")).alias("cb"), "n1", "n2")
+
+
+def ecdf(values: DataFrame) -> DataFrame:
+    """(variable, grp, value, cdf) at the distinct values of each group; a null value is beyond every number."""
+    own = _cumulative(values)
+    side = lambda grp, n, c, of: own.where(F.col(n) > 0).select("variable", F.lit(grp).alias("grp"), "value", (F.col(c) / F.col(of)).alias("cdf"))
+    return side("low", "a", "ca", "n1").unionByName(side("high", "b", "cb", "n2"))
 
 
-def ecdf(values: DataFrame, value: str, group: str) -> DataFrame:
-    """(group, value, cdf) at the distinct values of each group."""
-    n = values.groupBy(group, value).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(group)
-    return n.select(group, value, (F.sum("n").over(w.orderBy(value)) / F.sum("n").over(w)).alias("cdf"))
+@F.pandas_udf(DoubleType())
+def _p_value(n1: pd.Series, n2: pd.Series, gap: pd.Series) -> pd.Series:
+    return pd.Series([twosample.p_value(int(a), int(b), int(g)) for a, b, g in zip(n1, n2, gap, strict=True)], dtype="float64")
 
 
-def ks_statistic(values: DataFrame, value: str, group: str, one: str, two: str) -> DataFrame:
-    """(n1, n2, d, p) of two groups: the largest gap of their cumulative shares and the asymptotic p-value.
+def ks_statistic(values: DataFrame) -> DataFrame:
+    """(variable, n1, n2, d, p): the two-sample Kolmogorov-Smirnov test of the low and the high group for each measure.
 
-    Counts are summed by distinct value first; the running sums are made by ranges of values.
+    The gap is a whole number, n1 * n2 times the statistic, so that equality with the bound of the exact test is exact.
+    d and p are null where a group is empty.
     """
-    n = values.groupBy(value).agg(F.count_if(F.col(group) == one).alias("a"), F.count_if(F.col(group) == two).alias("b"))
-    tot = n.agg(F.sum("a").alias("n1"), F.sum("b").alias("n2"))
-    gaps = running_sums(n, value, {"ca": F.col("a"), "cb": F.col("b")}).crossJoin(F.broadcast(tot))  # one row
-    d = gaps.groupBy("n1", "n2").agg(F.max(F.abs(F.col("ca") / F.col("n1") - F.col("cb") / F.col("n2"))).alias("d"))
-    lam = "sqrt(n1 * n2 / (n1 + n2)) * d"
-    series = f"aggregate(sequence(1, 100), 0D, (s, k) -> s + IF(k % 2 = 1, 2D, -2D) * exp(-2 * k * k * {lam} * {lam}))"
-    return d.withColumn("p", F.expr(f"IF({lam} < 0.04, 1D, greatest(0D, least(1D, {series})))"))
+    gap = F.max(F.abs(F.col("ca") * F.col("n2") - F.col("cb") * F.col("n1")))
+    own = _cumulative(values).groupBy("variable", "n1", "n2").agg(gap.alias("gap"))  # three rows
+    some = (F.col("n1") > 0) & (F.col("n2") > 0)
+    tested = own.where(some).withColumn("p", _p_value("n1", "n2", "gap")).withColumn("d", F.col("gap") / F.col("n1") / F.col("n2"))
+    none = own.where(~some).withColumns({"p": F.lit(None).cast("double"), "d": F.lit(None).cast("double")})
+    return tested.unionByName(none).select("variable", "n1", "n2", "d", "p")
 
 
-def heat_counts(values: DataFrame, x: str, y: str, nx: int, ny: int, x_range: tuple[float, float], y_range: tuple[float, float]) -> DataFrame:
-    """(ix, iy, n): counts on a grid, for density plots; values beyond a range count in its end cells, nulls are left out."""
-    cell = lambda c, n, r: F.greatest(F.least(F.floor((F.col(c) - r[0]) * n / (r[1] - r[0])), F.lit(n - 1)), F.lit(0)).cast("int")
+def _spread(x: Column, lo: float, hi: float, n: int) -> Column:
+    """Places on a scale of ``n`` steps from lo to hi."""
+    return (x - F.lit(lo)) / F.lit((hi - lo) / n)
+
+
+def _widened(lo: float, hi: float) -> tuple[float, float]:
+    """A range of more than one value."""
+    if hi - lo > 1e-15 * max(abs(lo), abs(hi)):
+        return lo, hi
+    return (-0.1, 0.1) if lo == hi == 0 else (lo - 0.1 * abs(lo), hi + 0.1 * abs(hi))
+
+
+def hexagons(values: DataFrame, x: str, y: str, across: int = 20) -> DataFrame:
+    """(x, y, n): the centres of the hexagonal cells that hold any point, and how many; ``across`` cells over the range of ``x``.
+
+    Centres lie on two lattices, one moved by half a cell; a point belongs to the nearer one.
+    Points that lack a coordinate or are not finite are left out; a range of one value is widened by a tenth.
+    """
+    down = int(across / math.sqrt(3))
+    at = {"u": F.col(x).cast("double"), "v": F.col(y).cast("double")}
+    own = values.select(*[c.alias(n) for n, c in at.items()]).where("abs(u) < double('inf') AND abs(v) < double('inf')")
+    ends = own.agg(F.min("u"), F.max("u"), F.min("v"), F.max("v")).first()
+    if ends[0] is None:
+        return own.select(F.col("u").alias("x"), F.col("v").alias("y"), F.lit(0).cast("long").alias("n"))
+    (x0, x1), (y0, y1) = _widened(*ends[:2]), _widened(*ends[2:])
+    pad = 1e-9 * (x1 - x0)  # so that no point lies beyond the last cell by rounding
+    x0, x1 = x0 - pad, x1 + pad
+    placed = own.select(_spread(F.col("u"), x0, x1, across).alias("p"), _spread(F.col("v"), y0, y1, down).alias("q"))
+    near = lambda i, j: (F.col("p") - i) * (F.col("p") - i) + 3 * (F.col("q") - j) * (F.col("q") - j)
+    even, odd = (F.rint("p"), F.rint("q")), (F.floor("p") + 0.5, F.floor("q") + 0.5)
+    first = near(*even) < near(*odd)
+    cells = placed.select(F.when(first, even[0]).otherwise(odd[0]).alias("i"), F.when(first, even[1]).otherwise(odd[1]).alias("j"))
+    n = cells.groupBy("i", "j").agg(F.count("*").alias("n"))
+    return n.select((F.col("i") * F.lit((x1 - x0) / across) + x0).alias("x"), (F.col("j") * F.lit((y1 - y0) / down) + y0).alias("y"), "n")
+
+
+def densities(values: DataFrame, sample: str, value: str, cells: int = 50) -> DataFrame:
+    """(sample, cell, lo, hi, n, density): a histogram of each sample over its own range, of area 1; cells from 0, the last one closed.
+
+    A sample of one value has a range of one around it.  Missing values and such that are not finite are
+    left out, and samples without any other.
+    """
+    own = values.select(F.col(sample).alias("sample"), F.col(value).cast("double").alias("v")).where("abs(v) < double('inf')")
+    ends = own.groupBy("sample").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("total"))
+    wide = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(0.0)
+    ends = materialize(ends.select(F.col("sample").alias("of"), "total", (F.col("lo") - wide).alias("first"), (F.col("hi") + wide).alias("last")), "ranges")
+    same = F.col("sample").eqNullSafe(F.col("of"))
+    edge = lambda k: F.when(k == cells, F.col("last")).otherwise(F.col("first") + k * ((F.col("last") - F.col("first")) / cells))
+    near = F.least(F.floor((F.col("v") - F.col("first")) / (F.col("last") - F.col("first")) * cells), F.lit(cells - 1)).cast("int")
+    k = F.col("k")
+    exact = F.when(F.col("v") < edge(k), k - 1).when((F.col("v") >= edge(k + 1)) & (k != cells - 1), k + 1).otherwise(k)
+    counted = own.join(ends, same).withColumn("k", near).select("sample", exact.alias("cell")).groupBy("sample", "cell").agg(F.count("*").alias("n"))
+    every = ends.select("of", "total", "first", "last", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("k"))
+    full = every.join(counted, same & (k == F.col("cell")), "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    return full.select(F.col("of").alias("sample"), k.alias("cell"), edge(k).alias("lo"), edge(k + 1).alias("hi"), "n", (F.col("n") / F.col("total") / (edge(k + 1) - edge(k))).alias("density"))
+
+
+def heat_counts(values: DataFrame, x: str, y: str, nx: int, ny: int, x_range: tuple[float, float] | None = None, y_range: tuple[float, float] | None = None) -> DataFrame:
+    """(ix, iy, n): counts on a grid, for density plots; nulls are left out.
+
+    A range that is not given is the data's own; values beyond a given one count in its end cells.
+    """
     own = values.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    if x_range is None or y_range is None:
+        ends = [float(v or 0) for v in own.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()]
+        x_range, y_range = x_range or _widened(*ends[:2]), y_range or _widened(*ends[2:])
+    cell = lambda c, n, r: F.greatest(F.least(F.floor((F.col(c) - r[0]) * n / (r[1] - r[0])), F.lit(n - 1)), F.lit(0)).cast("int")
     return own.groupBy(cell(x, nx, x_range).alias("ix"), cell(y, ny, y_range).alias("iy")).agg(F.count("*").alias("n"))

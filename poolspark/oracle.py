@@ -191,8 +191,17 @@ STEPS: dict[str, str] = {
     "rates": "SELECT w.BC, a.assigned_genome, count(*) AS n_reads, count(*) FILTER (WHERE w.Genome <> a.assigned_genome) AS n_mismatch, count(*) FILTER (WHERE w.Genome <> a.assigned_genome) / CAST(count(*) AS DOUBLE) AS contam_rate FROM wread w JOIN asm a ON a.BC = w.BC GROUP BY ALL",
     "sstats": "SELECT s.sample, count(DISTINCT r.BC) AS n_bc, CAST(sum(n_reads) AS BIGINT) AS n_reads, avg(contam_rate) AS mean_contam, quantile_cont(contam_rate, 0.5) AS median_contam, quantile_cont(contam_rate, 0.95) AS p95_contam FROM rates r JOIN samples s ON s.BC = r.BC GROUP BY s.sample",
     "wells": "SELECT sample, row, unnest(range(a, b + 1)) AS col FROM (" + _values([(s, r[0], int(r[1:].split("-")[0]), int(r[1:].split("-")[-1])) for s, ws in testkit.PLATE_MAP for r in ws.split(",")], "sample, row, a, b") + ")",
-    "grp": """SELECT x, grp FROM (SELECT round(contam_rate, 9) AS x, round((SELECT quantile_cont(contam_rate, 0.2) FROM rates), 9) AS lo, round((SELECT quantile_cont(contam_rate, 0.8) FROM rates), 9) AS hi FROM rates) v,
-        (SELECT unnest(['low', 'high']) AS grp) WHERE (grp = 'low' AND x <= lo) OR (grp = 'high' AND x >= hi)""",
+    "rated": """SELECT a.top1_as_mean, CAST(a.total_n AS DOUBLE) AS total_n, a.top1_as_mean - a.top2_as_mean AS as_gap, round(r.contam_rate, 9) AS x,
+        round((SELECT quantile_cont(coalesce(contam_rate, 0), 0.2) FROM rates), 9) AS lo, round((SELECT quantile_cont(coalesce(contam_rate, 0), 0.8) FROM rates), 9) AS hi FROM asm a LEFT JOIN rates r ON r.BC = a.BC""",
+    "grp": " UNION ALL ".join(f"SELECT '{v}' AS variable, '{g}' AS grp, {e} AS v FROM rated WHERE {c}" for v, e in (("top1_as_mean", "top1_as_mean"), ("total_n", "total_n"), ("as_gap", "coalesce(as_gap, 'inf'::DOUBLE)")) for g, c in (("low", "x <= lo"), ("high", "x >= hi"))),
+    "gaps": """SELECT variable, n1, n2, max(abs(ca * n2 - cb * n1)) AS gap FROM (SELECT variable, CAST(sum(a) OVER w AS BIGINT) AS ca, CAST(sum(b) OVER w AS BIGINT) AS cb, CAST(sum(a) OVER t AS BIGINT) AS n1, CAST(sum(b) OVER t AS BIGINT) AS n2
+        FROM (SELECT variable, v, count(*) FILTER (WHERE grp = 'low') AS a, count(*) FILTER (WHERE grp = 'high') AS b FROM grp GROUP BY ALL) WINDOW w AS (PARTITION BY variable ORDER BY v), t AS (PARTITION BY variable)) GROUP BY ALL""",
+    "hexend": """SELECT min(n_reads) - 1e-9::DOUBLE * (max(n_reads) - min(n_reads)) AS x0, max(n_reads) + 1e-9::DOUBLE * (max(n_reads) - min(n_reads)) AS x1, min(contam_rate) AS y0, max(contam_rate) AS y1 FROM rates""",
+    "hexat": """SELECT p, q, (x1 - x0) / 20 AS sx, (y1 - y0) / 11 AS sy, x0, y0, (p - round_even(p, 0)) ** 2 + 3 * (q - round_even(q, 0)) ** 2 < (p - floor(p) - 0.5) ** 2 + 3 * (q - floor(q) - 0.5) ** 2 AS even
+        FROM (SELECT (n_reads - x0) / ((x1 - x0) / 20) AS p, (contam_rate - y0) / ((y1 - y0) / 11) AS q, x0, x1, y0, y1 FROM rates CROSS JOIN hexend)""",
+    "dens": """SELECT sample, v, lo - w AS lo, hi + w AS hi, total FROM (SELECT s.sample, r.contam_rate AS v, min(r.contam_rate) OVER p AS lo, max(r.contam_rate) OVER p AS hi, count(*) OVER p AS total,
+        CASE WHEN min(r.contam_rate) OVER p = max(r.contam_rate) OVER p THEN 0.5::DOUBLE ELSE 0 END AS w FROM rates r JOIN samples s ON s.BC = r.BC WINDOW p AS (PARTITION BY s.sample))""",
+    "edges50": "SELECT sample, total, k, lo + k * ((hi - lo) / 50) AS a, CASE WHEN k = 49 THEN hi ELSE lo + (k + 1) * ((hi - lo) / 50) END AS b FROM (SELECT DISTINCT sample, lo, hi, total FROM dens), (SELECT CAST(unnest(range(50)) AS INTEGER) AS k)",
 }
 
 
@@ -219,7 +228,9 @@ def _r(*columns: str) -> str:
 _TWO = "Read, BC, g1, as1, mq1, nm1, g2, as2, mq2, nm2, gl, asl, mql, nml, n_genomes"
 _CALLS = "barcode, call, model, genome_1, genome_2, n_reads, near_tie_sd, xmap_activated, " + _r("alpha", "rho", "n_reads_eff", "n_effective", "p_top1", "p_top2", "ratio12", "jsd_to_eta", "bic_empty", "bic_best", "bic_single", "bic_doublet", "bic_gap_sd", "doublet_minor_frac", "purity_best", "chi_g1")
 _POST = "barcode, read_id, genome, " + _r("l", "l_amb", "w_read")
-_LAM = "sqrt(n1 * n2 / CAST(n1 + n2 AS DOUBLE)) * d"
+#: Share of lattice paths that leave the band, by diagonals: a list of shares by place, each diagonal from the one before.
+_PATHS = """list_reduce([list_transform(range(n1 + 1), lambda i: 0::DOUBLE)] || list_transform(range(1, n1 + n2 + 1), lambda k: [k::DOUBLE]), lambda f, e: list_transform(range(n1 + 1), lambda i: CASE
+            WHEN i > e[1] OR e[1] - i > n2 THEN 0 WHEN abs(i * n2 - (e[1] - i) * n1) >= gap THEN 1 ELSE (coalesce(f[i], 0) * i + f[i + 1] * (e[1] - i)) / e[1] END))[n1 + 1]"""
 _RULE = "barcode, bc_key, call, model, genome_1, genome_2, expected_genome, array_to_string(allowed, ',') AS allowed_set, action, reason, flags"
 
 ORACLE_SQL: dict[str, str] = {
@@ -297,12 +308,14 @@ ORACLE_SQL: dict[str, str] = {
         "plate_grid": "SELECT g.row, g.col, w.sample, round(s.median_contam, 6) AS value FROM (SELECT row, CAST(col AS INTEGER) AS col FROM (SELECT unnest(string_split('ABCDEFGH', '')) AS row), (SELECT unnest(range(1, 13)) AS col)) g LEFT JOIN wells w ON w.row = g.row AND w.col = g.col LEFT JOIN sstats s ON s.sample = w.sample",
         "interpool_counts": "SELECT sample, assigned_genome, n_bc, round(n_bc / CAST(sum(n_bc) OVER (PARTITION BY sample) AS DOUBLE), 6) AS frac FROM (SELECT s.sample, a.assigned_genome, count(*) AS n_bc FROM asmall a JOIN samples s ON s.BC = a.BC GROUP BY ALL)",
         "read_composition": "SELECT sample, Genome, n_reads, round(n_reads / CAST(sum(n_reads) OVER (PARTITION BY sample) AS DOUBLE), 6) AS frac FROM (SELECT s.sample, w.Genome, count(*) AS n_reads FROM wall w JOIN samples s ON s.BC = w.BC GROUP BY ALL)",
-        "ecdf_points": "SELECT grp, x AS contam_rate, round(sum(n) OVER (PARTITION BY grp ORDER BY x) / CAST(sum(n) OVER (PARTITION BY grp) AS DOUBLE), 6) AS cdf FROM (SELECT grp, x, count(*) AS n FROM grp GROUP BY ALL)",
-        "heat_counts": "SELECT CAST(least(floor(contam_rate * 10), 9) AS INTEGER) AS ix, CAST(least(floor(n_reads * 8 / 40.0), 7) AS INTEGER) AS iy, count(*) AS n FROM rates GROUP BY ALL",
+        "ecdf_points": "SELECT variable, grp, CASE WHEN isfinite(v) THEN round(v, 6) END AS value, round(sum(n) OVER (PARTITION BY variable, grp ORDER BY v) / CAST(sum(n) OVER (PARTITION BY variable, grp) AS DOUBLE), 6) AS cdf FROM (SELECT variable, grp, v, count(*) AS n FROM grp GROUP BY ALL)",
+        "heat_counts": """SELECT CAST(least(floor((contam_rate - x0) * 10 / (x1 - x0)), 9) AS INTEGER) AS ix, CAST(least(floor((n_reads - y0) * 8 / (y1 - y0)), 7) AS INTEGER) AS iy, count(*) AS n
+            FROM rates, (SELECT min(contam_rate) AS x0, max(contam_rate) AS x1, CAST(min(n_reads) AS DOUBLE) AS y0, CAST(max(n_reads) AS DOUBLE) AS y1 FROM rates) GROUP BY ALL""",
+        "hexagon_counts": "SELECT round(CASE WHEN even THEN round_even(p, 0) ELSE floor(p) + 0.5 END * sx + x0, 6) AS x, round(CASE WHEN even THEN round_even(q, 0) ELSE floor(q) + 0.5 END * sy + y0, 6) AS y, count(*) AS n FROM hexat GROUP BY ALL",
+        "sample_density": """SELECT e.sample, e.k AS cell, round(a, 6) AS lo, round(b, 6) AS hi, count(v) AS n, round(count(v) / CAST(e.total AS DOUBLE) / (b - a), 6) AS density
+            FROM edges50 e LEFT JOIN dens d ON d.sample = e.sample AND d.v >= a AND (d.v < b OR (k = 49 AND d.v <= b)) GROUP BY e.sample, e.k, a, b, e.total""",
         "bic_single_soft": "SELECT barcode, n_reads, round(n_reads_eff, 6) AS n_reads_eff, round(x.bic, 6) AS bic, CAST(x.c AS INTEGER) AS c, CAST(x.i AS INTEGER) AS i FROM softs",
-        "ks_statistic": f"""SELECT n1, n2, round(d, 6) AS d, round(CASE WHEN {_LAM} < 0.04 THEN 1 ELSE greatest(0, least(1, (SELECT sum(CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END * exp(-2 * k * k * {_LAM} * {_LAM})) FROM (SELECT unnest(range(1, 101)) AS k)))) END, 6) AS p FROM (
-            SELECT n1, n2, max(abs(ca / CAST(n1 AS DOUBLE) - cb / CAST(n2 AS DOUBLE))) AS d FROM (SELECT CAST(sum(a) OVER (ORDER BY x) AS BIGINT) AS ca, CAST(sum(b) OVER (ORDER BY x) AS BIGINT) AS cb, CAST(sum(a) OVER () AS BIGINT) AS n1, CAST(sum(b) OVER () AS BIGINT) AS n2
-            FROM (SELECT x, count(*) FILTER (WHERE grp = 'low') AS a, count(*) FILTER (WHERE grp = 'high') AS b FROM grp GROUP BY x)) GROUP BY ALL)""",
+        "ks_statistic": f"SELECT variable, n1, n2, round(gap / CAST(n1 AS DOUBLE) / n2, 6) AS d, round({_PATHS}, 6) AS p FROM gaps",
         "tsv_roundtrip": "SELECT Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM filt",
         "bam_roundtrip": "SELECT Genome, Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM qc",
         "streaming_counts": "SELECT BC, count(*) AS n_rows FROM qc GROUP BY BC",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poolspark.operators import reports
+from poolspark.plans.shared import materialize
 from poolspark.sources import tables, workfolder
 
 
@@ -31,7 +32,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def summarize(spark: SparkSession, workdir: str, sample: str, pool: list[str], xa_max: int = 2, q: float = 0.2) -> dict[str, str]:
+def summarize(spark: SparkSession, workdir: str, sample: str, pool: list[str], xa_max: int = 2, q: float = 0.2, threshold: float | None = None) -> dict[str, str]:
     """A pool's barcodes that pass, its reads to discard, and the figures behind its plots; without winners an error."""
     rows = workfolder.read_winners(spark, workdir, sample)
     if rows is None:
@@ -41,12 +42,13 @@ def summarize(spark: SparkSession, workdir: str, sample: str, pool: list[str], x
     assigned = reports.as_mean_assign(reads)
     rates = reports.contamination_rate(reads, assigned)
     passed = reports.pass_barcodes(assigned, pool).join(assigned.drop("assigned_genome"), "BC")
-    groups = reports.low_high(rates, q)
+    groups = materialize(reports.low_high(rates, assigned, q, threshold), "groups")
     return {
         "hq_barcodes": workfolder.write_tsv_file(passed.select("BC", "assigned_genome", "total_n", "top1_as_mean", "as_gap").orderBy("BC"), f"{out}/{sample}_BCs_PASS_by_mapping.tsv"),
         "reads_to_discard": workfolder.write_tsv_file(reports.reads_to_discard(reads, assigned), f"{out}/Reads_to_discard_{sample}.tsv.gz"),
-        "ecdf": workfolder.write_tsv_file(reports.ecdf(groups, "contam_rate", "grp").orderBy("grp", "contam_rate"), f"{out}/{sample}_contamination_ecdf.tsv"),
-        "ks": workfolder.write_tsv_file(reports.ks_statistic(groups, "contam_rate", "grp", "low", "high"), f"{out}/{sample}_contamination_ks.tsv"),
+        "ecdf": workfolder.write_tsv_file(reports.ecdf(groups).orderBy("variable", "grp", F.asc_nulls_last("value")), f"{out}/{sample}_contamination_ecdf.tsv"),
+        "ks": workfolder.write_tsv_file(reports.ks_statistic(groups).orderBy("variable"), f"{out}/{sample}_contamination_ks.tsv"),
+        "hexagons": workfolder.write_tsv_file(reports.hexagons(rates, "n_reads", "contam_rate").orderBy("x", "y"), f"{out}/{sample}_contamination_hexagons.tsv"),
     }
 
 
@@ -89,6 +91,7 @@ def plate(spark: SparkSession, workdir: str, plate_map: str, out: str | None = N
     return {
         "per_bc": workfolder.write_tsv_file(every, f"{out}/plate_per_bc.tsv.gz"),
         "per_sample": workfolder.write_tsv_file(stats.orderBy("sample"), f"{out}/plate_per_sample.tsv"),
+        "density": workfolder.write_tsv_file(reports.densities(every, "sample", "contam_rate").orderBy("sample", "cell"), f"{out}/plate_density.tsv"),
         "heatmap": workfolder.write_tsv_file(reports.plate_grid(stats, wells).orderBy("row", "col"), f"{out}/plate_heatmap.tsv"),
     }
 

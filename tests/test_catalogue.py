@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from poolspark import catalogue
 from poolspark.config import AssignConfig
+from poolspark.operators import assign
 from tests import oracle
 
 DIR = "/root/testdata/sf0.001"
@@ -27,9 +28,9 @@ def test_bam_takes_every_row(spark):
 
 
 def test_models_count_all_barcodes(spark):
-    v, n = catalogue.Views(spark, DIR), AssignConfig().sample_barcodes + 1000
-    v.qc = spark.range(n).selectExpr("concat('r', id) AS Read", "concat('B', id) AS BC", "'' AS BC_raw", "'G0' AS Genome", "30S AS MAPQ", "90 AS as_", "0 AS NM", "0S AS XAcount", "'chr1:1:-1' AS frag_loc")
-    assert {r["metric"]: r["n"] for r in v.assignment.hist().groupBy("metric").agg(F.sum("n").alias("n")).collect()} == {"as": n, "mapq": n}
+    n = 51_000
+    rows = spark.range(n).selectExpr("concat('r', id) AS Read", "concat('B', id) AS BC", "'' AS BC_raw", "'G0' AS Genome", "30S AS MAPQ", "90 AS as_", "0 AS NM", "0S AS XAcount", "'chr1:1:-1' AS frag_loc")
+    assert {r["metric"]: r["n"] for r in assign.Assignment(rows, AssignConfig()).hist().groupBy("metric").agg(F.sum("n").alias("n")).collect()} == {"as": n, "mapq": n}
 
 
 def test_barcodes_of_all_genomes(spark):
