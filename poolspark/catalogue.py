@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -18,6 +18,7 @@ from poolspark.operators import genotype as G
 from poolspark.operators import qc as Q
 from poolspark.operators import reports as R
 from poolspark.oracle import ORACLE_SQL as _SQL
+from poolspark.plans import chunked
 from poolspark.plans.shared import materialize, new_path
 from poolspark.sources import bam
 
@@ -195,6 +196,22 @@ def _bam(v: Views) -> DataFrame:
     return Q.union_genomes(back)
 
 
+def _by_chunks(v: Views) -> DataFrame:
+    """Scored in two ranges that add up in one folder."""
+    own = chunked.ChunkedScoring(v.spark, f"{new_path(v.spark, 'chunked')}/scored")
+    own.reads(v.qc.drop("BC_raw"), v.chunks)
+    own.score("0:1")
+    own.score()
+    return own.result()
+
+
+def _filter_counts(v: Views) -> DataFrame:
+    """Counters of the alignment filter, gathered while its rows are written."""
+    seen, c = Observation(), v.assignment.config
+    materialize(Q.alignment_filter(v.qc.observe(seen, *Q.filter_counters(c.mapq_min, c.xa_max)), c.mapq_min, c.xa_max), "filtered")
+    return v.spark.createDataFrame(sorted(seen.get.items()), "counter string, n long")
+
+
 def _stream(v: Views) -> DataFrame:
     from poolspark.streaming import counts
 
@@ -220,6 +237,8 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "assign_raw": lambda v: v.raw.select(*TWO, "d_as", "d_mq", "d_nm", "decile_as", "decile_mapq", "p_as", "p_mq", "assigned_class"),
     "assign_filtered": lambda v: A.assign_filtered(v.raw),
     "friend_rescue": lambda v: v.assignment.result(),
+    "assign_by_chunks": _by_chunks,
+    "filter_counts": _filter_counts,
     "assign_stats": lambda v: A.assign_stats(v.raw, v.chunks),
     "reduce_per_genome": lambda v: v.reduced,
     "gt_read_quality": lambda v: G.read_quality(v.reduced, 30, 1),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from poolspark.config import AssignConfig, DecontamConfig, MergeConfig, SampleConfig, samples_from_tsv
 from poolspark.operators import assign, decontam, genotype, qc
-from poolspark.plans import pipeline, samples
+from poolspark.plans import chunked, pipeline, samples
 from poolspark.plans.shared import materialize
 from poolspark.sources import bam, tables, workfolder
 
@@ -79,13 +79,24 @@ def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def assign_(spark: SparkSession, args: argparse.Namespace) -> None:
-    own = assign.Assignment(tables.read_genomes(spark, args.filtered), _config(AssignConfig, args))
-    only = qc.chunk_slice(spark.read.parquet(args.chunks), args.score_chunk_range) if args.score_chunk_range else None
-    own.result(only).write.mode("overwrite").parquet(args.out)
+    """In one go, or by chunks of barcodes into a folder that several runs share."""
+    config = _config(AssignConfig, args)
+    if args.chunks is None:
+        if args.score_chunk_range or args.skip_edges or args.skip_ecdf:
+            raise ValueError("give --chunks to score by chunks")
+        assign.Assignment(tables.read_genomes(spark, args.filtered), config).result().write.mode("overwrite").parquet(args.out)
+        return
+    state = [[p, tables.changed(spark, p)] for p in (*sorted(tables.discover(spark, args.filtered).values()), args.chunks)]
+    own = chunked.ChunkedScoring(spark, args.out, config, json.dumps(state), args.force)
+    own.reads(tables.read_genomes(spark, args.filtered), spark.read.parquet(args.chunks))
+    now = own.score(args.score_chunk_range, args.batch_chunks, not args.skip_edges, not args.skip_ecdf)
+    print(json.dumps({"scored": now, "finished": len(own.finished()), "of": len(own.chunk_ids()), "filter": own.filtered()}))
 
 
 def _assigned(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the assign stage from Parquet, from text, or from what a sample's folder holds."""
+    """Rows of the assign stage from Parquet, from chunks that are all scored, from text, or from what a sample's folder holds."""
+    if tables.exists(spark, f"{path.rstrip('/')}.state/key.json"):
+        return chunked.finished_rows(spark, path)
     if tables.exists(spark, f"{path}/_SUCCESS"):
         return spark.read.parquet(path)
     return tables.read_assign(spark, path if path.endswith((".tsv", ".tsv.gz", ".txt")) else workfolder.assign_outputs(spark, path))
@@ -172,7 +183,11 @@ def parser() -> argparse.ArgumentParser:
     own.add_argument("--xa-max", type=int, default=-1)
     own = command("assign", assign_, "the genome of each read", filtered="folder of filtered tables", out="Parquet folder")
     own.add_argument("--chunks", help="Parquet of the chunks command")
-    own.add_argument("--score-chunk-range", help="START:END, from 0, without END")
+    own.add_argument("--score-chunk-range", help="START:END, from 0, without END; ranges add up in one folder")
+    own.add_argument("--batch-chunks", type=int, default=chunked.BATCH, help="chunks that one job scores")
+    own.add_argument("--skip-edges", action="store_true", help="take the edges that are there")
+    own.add_argument("--skip-ecdf", action="store_true", help="take the tail probabilities that are there")
+    own.add_argument("--force", action="store_true", help="start anew where the folder holds chunks of another input")
     _options(own, AssignConfig)
     own = command("genotyping", genotyping, "the call of each barcode", assign="assign output, or a sample's folder", out="text file of calls")
     own.add_argument("--eta", help="a given ambient profile")

@@ -143,11 +143,14 @@ def assign_raw(two: DataFrame, edges: dict[str, list[float]], tails: DataFrame,
     return out.withColumn("assigned_class", F.when(sure, "winner").otherwise("ambiguous"))
 
 
-def assign_filtered(raw: DataFrame) -> DataFrame:
-    """Winners' best row and all genome rows of ambiguous reads, with the read's probabilities; ``raw`` with its ``genomes``."""
+def assign_filtered(raw: DataFrame, *more: str) -> DataFrame:
+    """Winners' best row and all genome rows of ambiguous reads, with the read's probabilities; ``raw`` with its ``genomes``.
+
+    Columns of ``more`` are kept as they are.
+    """
     rows = F.when(F.col("assigned_class") == "ambiguous", F.col("genomes")).otherwise(F.slice("genomes", 1, 1))
-    own = raw.select(*READ, "assigned_class", "p_as", "p_mq", F.explode(rows).alias("x"))
-    return own.select(*READ, "x.Genome", "x.as_", "x.MAPQ", "x.NM", "x.XAcount", "assigned_class", "p_as", "p_mq", "x.frag_loc")
+    own = raw.select(*READ, "assigned_class", "p_as", "p_mq", F.explode(rows).alias("x"), *more)
+    return own.select(*READ, "x.Genome", "x.as_", "x.MAPQ", "x.NM", "x.XAcount", "assigned_class", "p_as", "p_mq", "x.frag_loc", *more)
 
 
 def friend_rescue(rows: DataFrame, window: int = 500) -> DataFrame:

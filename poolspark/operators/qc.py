@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poolspark.functions import barcode
@@ -38,6 +38,13 @@ def alignment_filter(rows: DataFrame, mapq_min: int = 20, xa_max: int = 2) -> Da
     return rows
 
 
+def filter_counters(mapq_min: int = 20, xa_max: int = 2) -> list[Column]:
+    """Aggregates that say what ``alignment_filter`` keeps and why it drops rows, for ``DataFrame.observe``."""
+    low = ~F.coalesce(F.col("MAPQ") >= mapq_min, F.lit(False)) if mapq_min > 0 else F.lit(False)
+    many = ~F.coalesce(F.col("XAcount") <= xa_max, F.lit(False)) if xa_max >= 0 else F.lit(False)
+    return [F.count(F.lit(1)).alias("n_rows"), F.count_if(low).alias("n_low_mapq"), F.count_if(~low & many).alias("n_many_hits"), F.count_if(~low & ~many).alias("n_kept")]
+
+
 def union_genomes(by_genome: dict[str, DataFrame]) -> DataFrame:
     """All genomes' rows with a column Genome."""
     return reduce(DataFrame.unionByName, [df.withColumn("Genome", F.lit(g)) for g, df in by_genome.items()])
@@ -56,20 +63,30 @@ def barcode_chunks(barcodes: DataFrame, size: int) -> DataFrame:
     return ranked.select("BC", (F.floor((F.col("rank") - 1) / size) + 1).cast("long").alias("chunk_id"))
 
 
-def chunk_slice(chunks: DataFrame, span: str) -> DataFrame:
-    """The chunks of ``START:END``, counted from 0, without END."""
+def chunk_span(span: str) -> tuple[int, int]:
+    """The ends of ``START:END``."""
     start, sep, end = span.partition(":")
     if not sep or not start.strip().isdigit() or not end.strip().isdigit() or int(end) <= int(start):
         raise ValueError(f"a range of chunks is START:END, not {span!r}")
-    return chunks.where((F.col("chunk_id") > int(start)) & (F.col("chunk_id") <= int(end)))
+    return int(start), int(end)
+
+
+def chunk_slice(chunks: DataFrame, span: str) -> DataFrame:
+    """The chunks of ``START:END``, counted from 0, without END."""
+    start, end = chunk_span(span)
+    return chunks.where((F.col("chunk_id") > start) & (F.col("chunk_id") <= end))
 
 
 def cap_rows(rows: DataFrame, most: int | None) -> DataFrame:
-    """The first ``most`` rows of each genome, for trial runs; None or 0 is no cap."""
+    """The first ``most`` rows of each genome by a hash of all columns, for trial runs; None or 0 is no cap.
+
+    The same rows on each run, but for rows that are wholly equal.
+    """
     if not most:
         return rows
     genomes = sorted(r[0] for r in rows.where("Genome is not null").select("Genome").distinct().collect())  # as many as there are references
-    return reduce(DataFrame.unionByName, [rows.where(F.col("Genome") == g).limit(most) for g in genomes], rows.where("false"))
+    first = lambda g: rows.where(F.col("Genome") == g).orderBy(F.xxhash64(*rows.columns), *sorted(rows.columns)).limit(most)
+    return reduce(DataFrame.unionByName, [first(g) for g in genomes], rows.where("false"))
 
 
 def semi_barcodes(rows: DataFrame, barcodes: DataFrame) -> DataFrame:

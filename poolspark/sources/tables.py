@@ -27,7 +27,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(own)
 
 
-def _changed(spark: SparkSession, path: str) -> int:
+def changed(spark: SparkSession, path: str) -> int:
     own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(own).getModificationTime()
 
@@ -158,7 +158,7 @@ def formatted_calls(calls: DataFrame) -> DataFrame:
 def migrate(spark: SparkSession, source: str, target: str, mapq_min: int = 0, xa_max: int = -1) -> None:
     """Text under a header to sorted Parquet, optionally filtered; kept as it is if the target is whole and newer than its source."""
     done = f"{target}/_SUCCESS"
-    if not exists(spark, done) or _changed(spark, done) < _changed(spark, source):
+    if not exists(spark, done) or changed(spark, done) < changed(spark, source):
         write_sorted(qc.alignment_filter(read_qc_tsv(spark, source, header=True), mapq_min, xa_max), target)
 
 

@@ -148,6 +148,11 @@ def write_json(spark: SparkSession, path: str, value: object) -> None:
     fs.rename(beside, own)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    own, fs = _fs(spark, path)
+    fs.delete(own, True)
+
+
 def read_json(spark: SparkSession, path: str):
     """The value, or None without the file."""
     if not tables.exists(spark, path):
