@@ -6,8 +6,11 @@ and without words it is empty and linked with nothing.  Two documents link when
 100 * intersection >= ``percent`` * union.
 
 1. *Order.*  Shingles that occur often are found by counting them in chunks of
-   all texts; they go last in the order, all others are ordered by hash.  Any
-   order gives the same links, so missing a frequent shingle costs time only.
+   all texts; they go last in the order, from rare to frequent, and all others
+   are ordered by hash.  So texts put together from shared passages meet by the
+   shingles between passages, which few of them have in common, not by those that
+   all of them hold.  Any order gives the same links, so missing a frequent
+   shingle costs time only.
 2. *Prefixes.*  Sets of ``n`` shingles that link share one of their first
    ``n - ceil(percent * n / 100) + 1`` shingles.
 3. *Groups.*  Equal sets become one set, sets with the same prefix and size one
@@ -127,8 +130,11 @@ SETS_SCHEMA = "doc_id long, n long, set binary, grp binary, prefix array<long>"
 
 
 @tidied
-def _prefixes(width: int, percent: int, hot: np.ndarray, seen):
-    """SETS_SCHEMA; the prefix of a group is given once in a task."""
+def _prefixes(width: int, percent: int, hot: np.ndarray, ranks: np.ndarray, seen):
+    """SETS_SCHEMA; the prefix of a group is given once in a task.
+
+    ``hot`` are the frequent shingles, sorted, and ``ranks`` their places from rare to frequent.
+    """
     known: set[bytes] = set()
     for batch in seen:
         ids, texts = batch.column(0), batch.column(1)
@@ -140,12 +146,12 @@ def _prefixes(width: int, percent: int, hot: np.ndarray, seen):
                 if not len(u):
                     own_set.append(None), grp.append(None), prefix.append(None)
                     continue
+                order = u
                 if len(hot):
-                    where = np.searchsorted(hot, u)
-                    often = hot[np.minimum(where, len(hot) - 1)] == u
-                    order = np.concatenate([u[~often], u[often]])
-                else:
-                    order = u
+                    where = np.minimum(np.searchsorted(hot, u), len(hot) - 1)
+                    often = hot[where] == u
+                    by_count = np.argsort(ranks[where[often]])
+                    order = np.concatenate([u[~often], u[often][by_count]])
                 own = order[: len(u) - -(-percent * len(u) // 100) + 1]
                 group = _digest(own, len(u))
                 own_set.append(_digest(u))
@@ -320,9 +326,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5, id_col:
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     often = own.select("text").mapInArrow(lambda seen: _hot(width, seen), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT)
-    top = often.orderBy(F.desc("n"), "hash").limit(HOT_KEPT).select("hash").toPandas()["hash"].to_numpy(np.int64)
-    hot = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
-    rows = materialize(own.mapInArrow(lambda seen: _prefixes(width, percent, hot.value, seen), SETS_SCHEMA), "near-sets")
+    top = often.orderBy(F.desc("n"), "hash").limit(HOT_KEPT).select("hash").toPandas()["hash"].to_numpy(np.int64).view(np.uint64)
+    by_hash = np.argsort(top)
+    hot = spark.sparkContext.broadcast((top[by_hash], (len(top) - 1 - by_hash).astype(np.int32)))  # the last is the rarest
+    rows = materialize(own.mapInArrow(lambda seen: _prefixes(width, percent, *hot.value, seen), SETS_SCHEMA), "near-sets")
 
     numbered = lambda df, name, label: materialize(df.withColumn(name, F.monotonically_increasing_id()), label)
     groups = numbered(rows.where("prefix is not null").groupBy("grp").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")), "g", "near-groups")
