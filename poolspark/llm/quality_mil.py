@@ -6,11 +6,11 @@ repeated words.  Each passage is encoded, h = tanh(W x + b); gated attention
 e = w . (tanh(V h) * sigmoid(U h)) gives its weight by a softmax over the bag;
 the weighted sum of the codes gives the score, sigmoid(c . z + d).
 
-All weights are learned together from document labels, with at most ``most``
-labelled documents of any size, and of these only such whose id does not hash to
-the held-out quarter.  A document is learned from with up to ``PASSAGES_LEARNED``
-of its passages, evenly spread over the whole text; so what reaches the driver is
-bounded by most * PASSAGES_LEARNED * 520 bytes.  Scores take every passage of the
+All weights are learned together from document labels, with every passage of at
+most ``most`` labelled documents whose id does not hash to the held-out quarter.
+Documents are drawn by a hash of their ids as long as all their passages fit into
+``PASSAGES_LEARNED`` together; one that does not fit in what is left is not drawn.
+So what reaches the driver is bounded by PASSAGES_LEARNED * 520 bytes.  Scores take every passage of the
 whole text: a text longer than a slice is read in pieces of whole passages, whose
 attention is added up.  Ids, languages, sources and labels are no inputs of a score.
 
@@ -32,12 +32,13 @@ from pyspark.sql import types as T
 
 from poolspark.llm.common import plain, slices, tidied
 from poolspark.llm.labelled import id_crc, sample
+from poolspark.plans.shared import materialize
 
 SLICE_BYTES = 2 << 20
 PASSAGE, CLASSES = 64, 16
 EXTRA = 4
-#: Labelled documents, and passages of each, that the model is learned from.
-MOST_LABELLED, PASSAGES_LEARNED = 3000, 48
+#: Labelled documents, and passages of all of them together, that the model is learned from.
+MOST_LABELLED, PASSAGES_LEARNED = 3000, 200_000
 CODE, ATTENTION, EPOCHS, BATCH, RATE = 24, 12, 30, 128, 0.01
 
 
@@ -183,45 +184,49 @@ def train(x: np.ndarray, bags: np.ndarray, y: np.ndarray, epochs: int = EPOCHS,
     return model
 
 
-def _spread(n: int) -> np.ndarray:
-    """Up to PASSAGES_LEARNED of ``n`` places, evenly spread."""
-    return np.arange(n) if n <= PASSAGES_LEARNED else np.linspace(0, n - 1, PASSAGES_LEARNED).astype(np.int64)
-
-
 @tidied
-def _features(seen):
+def _features(most: int, seen):
+    """The number of passages of each text, and all their features unless they are more than ``most``."""
     for batch in seen:
         texts = batch.column("text")
         sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
         for a, b in slices(sizes, SLICE_BYTES):
             if b - a == 1 and sizes[a] > SLICE_BYTES:
-                parts = pieces(texts[a].as_py())
-                n = np.cumsum([0, *(int(passages(pa.array([p]))[1][0]) for p in parts)])
-                want = _spread(int(n[-1]))
-                own = (passages(pa.array([p]))[0][want[(want >= i) & (want < j)] - i] for p, i, j in zip(parts, n[:-1], n[1:], strict=True))
-                rows = [b"".join(x.astype("<f2").tobytes() for x in own)]
+                n, held = 0, []
+                for p in pieces(texts[a].as_py()):
+                    x, bags = passages(pa.array([p]))
+                    n += int(bags[0])
+                    held = [*held, x.astype("<f2").tobytes()] if n <= most else []
+                counts, rows = [n], [b"".join(held) if n <= most else None]
             else:
                 x, bags = passages(texts.slice(a, b - a))
-                starts = np.concatenate([[0], np.cumsum(bags)])
-                rows = [x[i + _spread(j - i)].astype("<f2").tobytes() for i, j in zip(starts[:-1], starts[1:], strict=True)]
-            yield pa.record_batch({"doc_id": batch.column("doc_id").slice(a, b - a), "label": batch.column("label").slice(a, b - a), "x": pa.array(rows, pa.binary())})
+                starts, counts = np.concatenate([[0], np.cumsum(bags)]), bags
+                rows = [x[i:j].astype("<f2").tobytes() if j - i <= most else None for i, j in zip(starts[:-1], starts[1:], strict=True)]
+            rest = {c: batch.column(c).slice(a, b - a) for c in ("doc_id", "label")}
+            yield pa.record_batch(rest | {"n": pa.array(np.asarray(counts, np.int64)), "x": pa.array(rows, pa.binary())})
 
 
-def learned(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, **cols: str) -> DataFrame:
-    """(doc_id, label, x): the passages that a model is learned from, outside the held-out quarter."""
+def learned(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, passages_learned: int = PASSAGES_LEARNED, **cols: str) -> DataFrame:
+    """(doc_id, label, n, x): all passages of the documents that a model is learned from, outside the held-out quarter."""
     own = sample(docs, labels, most, where="crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2", **cols)
-    return own.mapInArrow(_features, "doc_id long, label int, x binary")
+    held = materialize(own.mapInArrow(lambda seen: _features(passages_learned, seen), "doc_id long, label int, n long, x binary"), "passages")
+    drawn, left = [], passages_learned
+    for r in held.select("doc_id", "n").orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # ``most`` rows at most
+        if r["n"] <= left:
+            drawn.append((r["doc_id"],))
+            left -= r["n"]
+    return held.join(F.broadcast(held.sparkSession.createDataFrame(drawn, "doc_id long")), "doc_id", "left_semi")
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, **cols: str) -> AttentionModel | None:
+def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, passages_learned: int = PASSAGES_LEARNED, **cols: str) -> AttentionModel | None:
     """A model of quality from labels outside the held-out quarter; None without labels of both kinds."""
-    seen = learned(docs, labels, most, **cols).toPandas().sort_values("doc_id")
+    seen = learned(docs, labels, most, passages_learned, **cols).toPandas().sort_values("doc_id")
     y = seen["label"].to_numpy(np.float32)
     if not len(y) or y.min() == y.max():
         return None
     width = CLASSES * CLASSES + EXTRA
     x = np.frombuffer(b"".join(seen["x"]), "<f2").reshape(-1, width).astype(np.float32)
-    return train(x, (seen["x"].str.len() // (2 * width)).to_numpy(), y)
+    return train(x, seen["n"].to_numpy(), y)
 
 
 @tidied

@@ -342,10 +342,25 @@ def test_long_labelled_texts_are_learned_from(spark):
     rows = [(4, long), (5, "short text"), (5, "another text of this id"), (6, "not labelled"), (8, None)]
     got = {x["doc_id"]: len(x["x"]) // (2 * 260) for x in quality_mil.learned(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(4, 1), (5, 0), (8, 1), (4, 0), (None, 1), (6, None)], "doc_id long, quality int")).collect()}
     held = spark.createDataFrame([(i,) for i in (4, 5, 8)], "doc_id long").where(labelled.id_crc(F.col("doc_id")) % 4 == 2).collect()
-    want = {4: quality_mil.PASSAGES_LEARNED, 5: 1, 8: 1}
+    want = {4: -(-500_000 // quality_mil.PASSAGE), 5: 1, 8: 1}
     assert got == {i: n for i, n in want.items() if i not in {x[0] for x in held}} and 4 in got
 
 
+def test_the_last_passage_of_a_long_text_is_learned_from(spark):
+    text = lambda i, end: " ".join(f"word{k % (7 + i)}" for k in range(64 * 60)) + end
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    fitted = lambda end: quality_mil.fit(spark.createDataFrame([(i, text(i, end if i == 1 else " a b c")) for i in range(20)], DOCS), labels)
+    assert not np.allclose(fitted(" a b c").w["W"], fitted(" ! ? 5").w["W"])
+
+
+def test_learned_passages_are_bounded_by_whole_documents(spark):
+    rows = [(i, "word " * 64 * n) for i, n in ((1, 3), (2, 50), (4, 2), (5, 1), (9, 4))]
+    labels = spark.createDataFrame([(i, 1) for i, _ in rows], "doc_id long, quality int")
+    got = {r["doc_id"]: (r["n"], len(r["x"])) for r in quality_mil.learned(spark.createDataFrame(rows, DOCS), labels, passages_learned=8).collect()}
+    assert got and sum(n for n, _ in got.values()) <= 8 and 2 not in got
+    assert all((n, n * 520) == x for i, x in got.items() for n in [dict(rows)[i].count("word") // 64])
+
+
 def test_whole_verdict_matches_the_plain_version(spark):
     got = queries.QUERIES["op5_quality_rules"](spark, DIR).collect()
     table = spark.read.parquet(f"{DIR}/documents.parquet")
@@ -470,6 +485,27 @@ def test_the_bound_itself_links(spark):
     assert _near(spark.createDataFrame(rows, DOCS)) == brute.components(rows)
 
 
+def test_texts_of_shared_passages_make_few_pairs(spark, monkeypatch):
+    """Ten passages each out of sixty: hardly any two texts link, and few pairs are looked at."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 8)))
+    passages = [" ".join(word() for _ in range(30)) for _ in range(60)]
+    rows = [(i, " ".join(rng.sample(passages, 10))) for i in range(1000)] + [(1000 + i, " ".join(rng.sample(passages, 10)) + " tail") for i in range(3)]
+    rows += [(2000 + i, rows[i][1] + " end") for i in range(5)]
+    pairs, real = [], jaccard_join.materialize
+
+    def counted(df, label):
+        out = real(df, label)
+        if label == "near-across":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == brute.components(rows)
+    assert len(pairs) == 1 and pairs[0] <= 30 * len(rows)
+
+
 def _sets(texts):
     return list(jaccard_join.shingle_sets(pa.array(texts), 5))
 
