@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from poolspark.config import MergeConfig
 from poolspark.plans.ordered import quantiles, running_sums
-from poolspark.plans.shared import materialize
+from poolspark.plans.shared import materialize, materialize_bucketed
 
 READ = ("barcode", "read_id")
 TINY = 1e-12
@@ -73,6 +73,20 @@ def mass_by_genome(post: DataFrame) -> DataFrame:
     return post.groupBy("barcode", "genome").agg(F.sum("l").alias("c"))
 
 
+def profiles(post: DataFrame) -> DataFrame:
+    """(barcode, genome, w_read, n, l) of hard assignment: a barcode's reads of one genome and weight, n of them with the mass l together.
+
+    With hard assignment a read is nothing but its genome and weight, so everything
+    about a barcode follows from this table of a few rows for each, whatever its
+    reads.  It is pre-aggregated and written in sorted buckets of barcodes, one file each; what
+    groups or joins by barcode after it moves nothing.
+    """
+    spark = post.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = post.groupBy("barcode", "genome", "w_read").agg(F.count("*").alias("n"), F.sum("l").alias("l"))
+    return materialize_bucketed(own.repartition(buckets, "barcode"), "profiles", buckets, "barcode", sort=["barcode", "genome"])
+
+
 def mass_pivot(mass: DataFrame, genomes: list[str]) -> DataFrame:
     return mass.groupBy("barcode").pivot("genome", genomes).sum("c").na.fill(0.0)
 
@@ -265,7 +279,7 @@ def chi(phi: DataFrame) -> DataFrame:
 
 
 def winner_discount(post: DataFrame, mode: str = "winner_ratio") -> DataFrame:
-    """(barcode, genome, discount): the factor of a genome's mass, 1 for the one with most winner mass."""
+    """(barcode, genome, discount): the factor of a genome's mass, 1 for the one with most winner mass; from posteriors or profiles."""
     sums = post.groupBy("barcode", "genome").agg(F.sum(F.when(F.col("w_read") >= 0.5, F.col("l")).otherwise(0.0)).alias("wm"), F.count_if(F.col("w_read") >= 0.5).alias("nw"), F.sum("l").alias("tm"))
     w = Window.partitionBy("barcode")
     own = sums.withColumns({"top": F.first("genome").over(w.orderBy(F.desc("wm"), "genome")), "most": F.max("wm").over(w)})
@@ -275,6 +289,7 @@ def winner_discount(post: DataFrame, mode: str = "winner_ratio") -> DataFrame:
 
 
 def discounted(post: DataFrame, mode: str) -> DataFrame:
+    """``post`` with its masses discounted; posteriors or profiles."""
     return post.join(winner_discount(post, mode), ["barcode", "genome"]).withColumn("l", F.col("l") * F.col("discount")).select(post.columns)
 
 
@@ -282,7 +297,7 @@ def discounted(post: DataFrame, mode: str) -> DataFrame:
 
 
 def signatures(post: DataFrame, eta: dict[str, float], top: DataFrame, k: int, phi: DataFrame | None = None, chis: DataFrame | None = None, threshold: float = 0.05, soft: bool = False) -> DataFrame:
-    """One row for each barcode: n reads and an array of (cnt, e, ls, xs), equal reads counted together.
+    """One row for each barcode: n reads and an array of (cnt, e, ls, xs), equal reads counted together; from posteriors or profiles.
 
     ``e`` is a read's likelihood under the profile, ``ls`` those of the k
     candidates in order, ``xs`` the same with cross-mapping where a candidate's
@@ -295,8 +310,12 @@ def signatures(post: DataFrame, eta: dict[str, float], top: DataFrame, k: int, p
     spark = post.sparkSession
     profile = F.broadcast(eta_table(spark, eta))
     cand = top.select("barcode", "rank", F.col("genome").alias("cand"))
+    counted = "n" in post.columns
+    if counted:  # of profiles: one read's mass
+        post = post.withColumn("l", F.col("l") / F.col("n"))
+    of_read = (lambda x: x) if counted else F.sum
     rows = post.join(profile, "genome", "left").join(cand.groupBy("barcode").agg(F.sort_array(F.collect_list(F.struct("rank", "cand"))).alias("cands")), "barcode", "left")
-    ls = [F.sum(F.when(F.try_element_at("cands", F.lit(i + 1))["cand"] == F.col("genome"), F.col("l")).otherwise(0.0)) for i in range(k)]
+    ls = [of_read(F.when(F.try_element_at("cands", F.lit(i + 1))["cand"] == F.col("genome"), F.col("l")).otherwise(0.0)) for i in range(k)]
     xs = ls
     if phi is not None:
         active = {r["genome"] for r in chis.where(F.col("chi") > threshold).collect()}  # at most one for each genome
@@ -310,9 +329,13 @@ def signatures(post: DataFrame, eta: dict[str, float], top: DataFrame, k: int, p
                 for b in sorted(eta):
                     drawn = F.when(F.col("genome") == b, F.col("l") * rule[(a, b)]).otherwise(drawn)
                 own = F.when(c == a, drawn).otherwise(own)
-            xs.append(F.sum(own))
-    per = rows.groupBy(*READ).agg(F.sum(F.col("l") * F.coalesce("eta", F.lit(0.0))).alias("e"), F.max("w_read").alias("w"), F.array(*ls).alias("ls"), F.array(*xs).alias("xs"))
-    alike = per.groupBy("barcode", F.round("e", 12).alias("e"), F.transform("ls", lambda x: F.round(x, 12)).alias("ls"), F.transform("xs", lambda x: F.round(x, 12)).alias("xs")).agg(F.count("*").alias("cnt"), F.sum("w").alias("w"))
+            xs.append(of_read(own))
+    of = [of_read(F.col("l") * F.coalesce("eta", F.lit(0.0))).alias("e"), F.array(*ls).alias("ls"), F.array(*xs).alias("xs")]
+    if counted:
+        per = rows.select("barcode", "n", (F.col("n") * F.col("w_read")).alias("w"), *of)
+    else:
+        per = rows.groupBy(*READ).agg(F.max("w_read").alias("w"), *of).withColumn("n", F.lit(1).cast("long"))
+    alike = per.groupBy("barcode", F.round("e", 12).alias("e"), F.transform("ls", lambda x: F.round(x, 12)).alias("ls"), F.transform("xs", lambda x: F.round(x, 12)).alias("xs")).agg(F.sum("n").alias("cnt"), F.sum("w").alias("w"))
     totals = [F.sum("cnt").alias("n_reads"), F.sum("w").alias("n_reads_eff")]
     sigs = F.collect_list(F.struct("cnt", "e", "ls", "xs")).alias("sigs")
     if not soft:
@@ -447,14 +470,18 @@ def bic_doublet(sigs: DataFrame, config: MergeConfig = MergeConfig()) -> DataFra
     return sigs.withColumn("doublet", best(*_columns("ls")))
 
 
-def criteria(sigs: DataFrame, top: DataFrame, config: MergeConfig = MergeConfig()) -> DataFrame:
-    """One row for each barcode with n_reads, n_reads_eff, cands, k, bic_empty, single and doublet.
+def criteria(sigs: DataFrame, top: DataFrame, config: MergeConfig = MergeConfig(), figures: DataFrame | None = None) -> DataFrame:
+    """One row for each barcode with n_reads, n_reads_eff, cands, k, bic_empty, single and doublet, and the columns of ``figures`` (barcode, ...).
+
+    The grids forget how rows are dealt, so tables by barcode are joined before them.
 
     A barcode whose signatures are in several rows has its grids summed over
     them place by place, so no task ever holds all its signatures.
     """
     names = ["barcode", "n_reads", "n_reads_eff", "cands", "k", "bic_empty", "single", "doublet"]
     if "part" not in sigs.columns:
+        if figures is not None:
+            sigs, names = sigs.join(figures, "barcode", "left"), [*names, *figures.columns[1:]]
         return bic_doublet(bic_single(bic_empty(sigs), top, config), config).select(names)
     sigs = materialize(sigs, "signature-rows")  # read by both branches
     one = bic_doublet(bic_single(bic_empty(sigs.where("parts = 1")), top, config), config).select(names)
@@ -463,7 +490,8 @@ def criteria(sigs: DataFrame, top: DataFrame, config: MergeConfig = MergeConfig(
     places = rows.select(*key, F.posexplode(_all_sums(config)(F.col("k"), F.col("sigs.cnt"), F.col("sigs.e"), F.flatten("sigs.ls"), F.flatten("sigs.xs"))))
     summed = places.groupBy(*key, "pos").agg(F.sum("col").alias("ll"))
     grids = summed.groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "ll"))), lambda v: v["ll"]).alias("lls"))  # as many as the grids have places
-    return one.unionByName(grids.withColumn("best", _best_of_sums(config)("n_reads", "k", "lls")).select(*key, "best.bic_empty", "best.single", "best.doublet"))
+    every = one.unionByName(grids.withColumn("best", _best_of_sums(config)("n_reads", "k", "lls")).select(*key, "best.bic_empty", "best.single", "best.doublet"))
+    return every if figures is None else every.join(figures, "barcode", "left")
 
 
 def _all_sums(config: MergeConfig):
@@ -521,8 +549,8 @@ def call_decision(post: DataFrame, mass: DataFrame, eta: dict[str, float], confi
     """
     top = top if top is not None else topk_genomes(mass, config.topk_genomes)
     chis = chi(phi) if phi is not None else None
-    own = criteria(signatures(post, eta, top, config.topk_genomes, phi, chis, config.xmap_chi_threshold, soft=not config.winner_only), top, config)
-    own = own.join(barcode_stats(mass), "barcode", "left").join(jsd_to_eta(mass, eta, config.jsd_normalize).withColumnRenamed("jsd", "jsd_to_eta"), "barcode", "left")
+    figures = barcode_stats(mass).join(jsd_to_eta(mass, eta, config.jsd_normalize).withColumnRenamed("jsd", "jsd_to_eta"), "barcode", "left")
+    own = criteria(signatures(post, eta, top, config.topk_genomes, phi, chis, config.xmap_chi_threshold, soft=not config.winner_only), top, config, figures)
     c = F.col
     low = (c("n_reads") < config.min_reads) | (c("k") == 0)
     inf = F.lit(1e308)
@@ -578,11 +606,17 @@ class Genotyping:
             first = topk_genomes(mass_by_genome(posteriors(reduced, config)), config.topk_genomes)
             own = reclass_topk(topk_restrict(reduced, first), config)
             reduced = own if not own.isEmpty() else reduced
-        post = materialize(posteriors(reduced, config), "posteriors")
-        self.genomes = sorted(r[0] for r in post.select("genome").distinct().collect())
-        self.post = post
-        self.mass = materialize(mass_by_genome(post), "mass")
-        self.reads = n_reads(post, config.n_reads_mode)
+        post = posteriors(reduced, config)
+        #: what all steps read: profiles of hard assignment, else the posteriors
+        self.post = profiles(post) if config.winner_only else materialize(post, "posteriors")
+        self.genomes = sorted(r[0] for r in self.post.select("genome").distinct().collect())
+        if config.winner_only:
+            self.mass = mass_by_genome(self.post)
+            exact = config.n_reads_mode != "zero"
+            self.reads = self.post.groupBy("barcode").agg((F.sum("n") if exact else F.lit(0).cast("long")).alias("n_reads"))
+        else:
+            self.mass = materialize(mass_by_genome(self.post), "mass")
+            self.reads = n_reads(self.post, config.n_reads_mode)
         self._eta, self._phi = eta, phi
 
     def eta(self) -> dict[str, float]:

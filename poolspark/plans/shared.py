@@ -47,8 +47,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_bucketed(df: DataFrame, label: str, buckets: int, column: str) -> DataFrame:
-    """Write ``df`` to the shared folder in buckets of ``column``, so a later join on it need not move it again.
+def materialize_bucketed(df: DataFrame, label: str, buckets: int, column: str, sort: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder in buckets of ``column``, sorted inside by ``sort``, so a later join on it need not move it again.
 
     Buckets need an entry in the catalogue, which is dropped with the application; the files
     lie in the shared folder, never in the warehouse, and go with the others.
@@ -56,7 +56,8 @@ def materialize_bucketed(df: DataFrame, label: str, buckets: int, column: str) -
     spark = df.sparkSession
     name = f"poolspark_{label}_{uuid.uuid4().hex}"
     path = f"{new_path(spark, label)}/table"
-    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    write = df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, column)
+    (write.sortBy(*sort) if sort else write).saveAsTable(name)
     atexit.register(_forget, spark, name)
     return spark.table(name)
 

@@ -339,3 +339,34 @@ def test_rescue_agrees_with_all_pairs(spark):
     want = {a[0]: "rescued" if a[3] == "ambiguous" and near(a) else a[3] for a in rows}
     got = assign.friend_rescue(spark.createDataFrame(rows, "Read string, BC string, Genome string, assigned_class string, frag_loc string")).collect()
     assert len(got) == len(rows) and {x["Read"]: x["assigned_class"] for x in got} == want and "rescued" in want.values()
+
+
+@pytest.mark.parametrize("options", [{}, {"winner_discount": True}, {"n_reads_mode": "zero"}, {"w_ambiguous": 0.25, "topk_genomes": 4}])
+def test_profiles_give_the_calls_of_posteriors(spark, options):
+    """Everything after hard assignment rests on counts by barcode, genome and weight."""
+    from poolspark import testkit
+
+    config = MergeConfig(xmap_phi_min_reads=5, **options)
+    rows = assign.Assignment(testkit.qc(spark, "/root/testdata/sf0.001").drop("BC_raw")).result()
+    post = genotype.posteriors(genotype.reduce_per_genome(genotype.from_assign(rows)), config)
+    own = genotype.Genotyping(rows, config)
+    assert own.post.columns == ["barcode", "genome", "w_read", "n", "l"]
+    plain = lambda df: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.collect()), key=repr)
+    assert plain(own.mass) == plain(genotype.mass_by_genome(post)) and plain(own.reads) == plain(genotype.n_reads(post, config.n_reads_mode))
+    slow = genotype.Genotyping(rows, config)
+    slow.post, slow.mass, slow.reads = post, genotype.mass_by_genome(post), genotype.n_reads(post, config.n_reads_mode)
+    assert plain(own.calls()) == plain(slow.calls())
+
+
+def test_calls_move_nothing_after_the_profiles(spark):
+    from poolspark import testkit
+
+    rows = assign.Assignment(testkit.qc(spark, "/root/testdata/sf0.001").drop("BC_raw")).result()
+    own = genotype.Genotyping(rows, MergeConfig())
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # tables by barcode are not small on a cluster
+    try:
+        plan = genotype.call_decision(own.post, own.mass, own.eta(), own.config, None, genotype.topk_genomes(own.mass, 3))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "Bucketed: true" in plan
