@@ -21,6 +21,7 @@ from poolspark.oracle import ORACLE_SQL as _SQL
 from poolspark.plans import chunked
 from poolspark.plans.shared import materialize, new_path
 from poolspark.sources import bam
+from poolspark.streaming import models
 
 TWO = ("Read", "BC", "g1", "as1", "mq1", "nm1", "g2", "as2", "mq2", "nm2", "gl", "asl", "mql", "nml", "n_genomes")
 ROW = ("Read", "BC", "Genome", "MAPQ", "as_", "NM", "XAcount")
@@ -205,6 +206,15 @@ def _by_chunks(v: Views) -> DataFrame:
     return own.result()
 
 
+def _merged_models(v: Views) -> DataFrame:
+    """Tail probabilities from counts of four batches, one of which comes twice."""
+    state = models.ModelState(v.spark, f"{new_path(v.spark, 'model')}/state", v.assignment.config)
+    part = lambda i: v.assignment.two.where(F.pmod(F.xxhash64("Read"), F.lit(4)) == i)
+    for i in (0, 1, 2, 1, 3):
+        state.add(part(i), i)
+    return state.models()[1]
+
+
 def _filter_counts(v: Views) -> DataFrame:
     """Counters of the alignment filter, gathered while its rows are written."""
     seen, c = Observation(), v.assignment.config
@@ -237,6 +247,7 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "assign_raw": lambda v: v.raw.select(*TWO, "d_as", "d_mq", "d_nm", "decile_as", "decile_mapq", "p_as", "p_mq", "assigned_class"),
     "assign_filtered": lambda v: A.assign_filtered(v.raw),
     "friend_rescue": lambda v: v.assignment.result(),
+    "tail_prob_merged": _merged_models,
     "assign_by_chunks": _by_chunks,
     "filter_counts": _filter_counts,
     "assign_stats": lambda v: A.assign_stats(v.raw, v.chunks),

@@ -84,7 +84,11 @@ def assign_(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.chunks is None:
         if args.score_chunk_range or args.skip_edges or args.skip_ecdf:
             raise ValueError("give --chunks to score by chunks")
-        assign.Assignment(tables.read_genomes(spark, args.filtered), config).result().write.mode("overwrite").parquet(args.out)
+        given = tables.load_model(spark, args.model) if args.model else None
+        own = assign.Assignment(tables.read_genomes(spark, args.filtered), config, given)
+        own.result().write.mode("overwrite").parquet(args.out)
+        if args.save_model:
+            tables.save_model(assign.edges_table(spark, own.edges()), own.tails, args.save_model)
         return
     state = [[p, tables.changed(spark, p)] for p in (*sorted(tables.discover(spark, args.filtered).values()), args.chunks)]
     own = chunked.ChunkedScoring(spark, args.out, config, json.dumps(state), args.force)
@@ -105,12 +109,21 @@ def _assigned(spark: SparkSession, path: str) -> DataFrame:
 def genotyping(spark: SparkSession, args: argparse.Namespace) -> None:
     config, rows = _config(MergeConfig, args), _assigned(spark, args.assign)
     eta = phi = None
+    genomes = sorted(r[0] for r in rows.select("Genome").distinct().collect())
     if args.eta:
-        genomes = sorted(r[0] for r in rows.select("Genome").distinct().collect())
         eta = genotype.load_eta(workfolder.read_eta(spark, args.eta), genomes)
     if args.phi:
         phi = workfolder.read_phi(spark, args.phi)
-    workfolder.write_tsv_file(tables.formatted_calls(materialize(genotype.Genotyping(rows, config, eta, phi).calls(), "calls")), args.out)
+    if args.topk:  # only the genomes that a barcode's line names are its candidates
+        named = workfolder.read_topk(spark, args.topk).where(F.col("rank") <= config.topk_genomes)
+        rows = rows.join(named.select(F.col("barcode").alias("BC"), F.col("genome").alias("Genome")), ["BC", "Genome"], "left_semi")
+    own = genotype.Genotyping(rows, config, eta, phi)
+    workfolder.write_tsv_file(tables.formatted_calls(materialize(own.calls(), "calls")), args.out)
+    if args.models_out:
+        workfolder.write_tsv_file(genotype.eta_table(spark, own.eta()), f"{args.models_out}/eta.tsv")
+        if own.phi() is not None:
+            workfolder.write_phi(own.phi(), f"{args.models_out}/phi.tsv", own.genomes)
+            workfolder.write_tsv_file(genotype.chi(own.phi()).orderBy("genome"), f"{args.models_out}/chi.tsv")
 
 
 def decontaminate(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -184,6 +197,8 @@ def parser() -> argparse.ArgumentParser:
     own = command("assign", assign_, "the genome of each read", filtered="folder of filtered tables", out="Parquet folder")
     own.add_argument("--chunks", help="Parquet of the chunks command")
     own.add_argument("--score-chunk-range", help="START:END, from 0, without END; ranges add up in one folder")
+    own.add_argument("--model", help="folder of edges and tails to score with, without --chunks")
+    own.add_argument("--save-model", help="folder for the edges and tails, without --chunks")
     own.add_argument("--batch-chunks", type=int, default=chunked.BATCH, help="chunks that one job scores")
     own.add_argument("--skip-edges", action="store_true", help="take the edges that are there")
     own.add_argument("--skip-ecdf", action="store_true", help="take the tail probabilities that are there")
@@ -192,6 +207,8 @@ def parser() -> argparse.ArgumentParser:
     own = command("genotyping", genotyping, "the call of each barcode", assign="assign output, or a sample's folder", out="text file of calls")
     own.add_argument("--eta", help="a given ambient profile")
     own.add_argument("--phi", help="a given cross-mapping matrix")
+    own.add_argument("--topk", help="lines of a barcode and its candidate genomes, best first")
+    own.add_argument("--models-out", help="folder for the profile and the cross-mapping tables that were used")
     _options(own, MergeConfig)
     own = command("decontam", decontaminate, "reads and barcodes to drop", calls="text file of calls", assign="assign output, or a sample's folder", out="folder", sample="name of the outputs")
     own.add_argument("--design", help="table of barcodes and their expected genomes")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from poolspark.config import AssignConfig
@@ -65,7 +65,7 @@ def best_two_delta(two: DataFrame) -> DataFrame:
     return with_deltas(two.where("g2 is not null"))
 
 
-def _bin(x: Column, lo: int, hi: int, bins: int) -> Column:
+def bin_of(x: Column, lo: int, hi: int, bins: int) -> Column:
     return F.floor((x - lo) * bins / (hi - lo)).cast("int")
 
 
@@ -74,7 +74,7 @@ def winner_hist(winners: DataFrame, config: AssignConfig = AssignConfig()) -> Da
     parts = []
     for metric, c, (lo, hi, bins) in (("as", "as1", config.as_bins), ("mapq", "mq1", config.mapq_bins)):
         x = F.col(c)
-        parts.append(winners.where((x >= lo) & (x <= hi)).select(F.lit(metric).alias("metric"), F.least(_bin(x, lo, hi, bins), F.lit(bins - 1)).alias("bin")))
+        parts.append(winners.where((x >= lo) & (x <= hi)).select(F.lit(metric).alias("metric"), F.least(bin_of(x, lo, hi, bins), F.lit(bins - 1)).alias("bin")))
     return parts[0].unionByName(parts[1]).groupBy("metric", "bin").agg(F.count("*").alias("n"))
 
 
@@ -99,22 +99,26 @@ def collect_edges(edges: DataFrame) -> dict[str, list[float]]:
     return {m: sorted(v) for m, v in out.items()}
 
 
+def edges_table(spark: SparkSession, edges: dict[str, list[float]]) -> DataFrame:
+    return spark.createDataFrame([(m, e) for m, es in sorted(edges.items()) for e in es], "metric string, edge double")
+
+
 def decile(x: Column, edges: list[float], k: int) -> Column:
     """1 + the number of edges below x, at most k; k where x is null."""
     below = sum((F.when(x > e, 1).otherwise(0) for e in edges), F.lit(1))
     return F.when(x.isNull(), k).otherwise(F.least(below, F.lit(k))).cast("int")
 
 
-def _delta_specs(config: AssignConfig):
+def delta_specs(config: AssignConfig):
     return (("as", "as1", "d_as", config.delta_as_bins), ("mapq", "mq1", "d_mq", config.delta_mapq_bins))
 
 
 def delta_hist(deltas: DataFrame, edges: dict[str, list[float]], config: AssignConfig = AssignConfig()) -> DataFrame:
     """(metric, decile, bin, n); the bin after the last holds what reaches the upper bound, negative deltas are left out."""
     parts = []
-    for metric, c, d, (lo, hi, bins) in _delta_specs(config):
+    for metric, c, d, (lo, hi, bins) in delta_specs(config):
         x = F.col(d)
-        parts.append(deltas.where(x >= lo).select(F.lit(metric).alias("metric"), decile(F.col(c), edges[metric], config.k).alias("decile"), F.least(_bin(x, lo, hi, bins), F.lit(bins)).alias("bin")))
+        parts.append(deltas.where(x >= lo).select(F.lit(metric).alias("metric"), decile(F.col(c), edges[metric], config.k).alias("decile"), F.least(bin_of(x, lo, hi, bins), F.lit(bins)).alias("bin")))
     return parts[0].unionByName(parts[1]).groupBy("metric", "decile", "bin").agg(F.count("*").alias("n"))
 
 
@@ -123,7 +127,7 @@ def tail_prob(hist: DataFrame, config: AssignConfig = AssignConfig()) -> DataFra
 
     The table has k * (bins + 1) rows for each metric at most.
     """
-    size = {m: bins for m, _, _, (_, _, bins) in _delta_specs(config)}
+    size = {m: bins for m, _, _, (_, _, bins) in delta_specs(config)}
     most = F.when(F.col("metric") == "as", size["as"]).otherwise(size["mapq"])
     dense = hist.groupBy("metric", "decile").agg(F.sum("n").alias("tot")).withColumn("bin", F.explode(F.sequence(F.lit(0), most)))
     down = Window.partitionBy("metric", "decile").orderBy(F.desc("bin"))
@@ -134,9 +138,9 @@ def tail_prob(hist: DataFrame, config: AssignConfig = AssignConfig()) -> DataFra
 def assign_raw(two: DataFrame, edges: dict[str, list[float]], tails: DataFrame, config: AssignConfig = AssignConfig()) -> DataFrame:
     """One row for each read: deltas, deciles, tail probabilities and the class winner or ambiguous."""
     out = with_deltas(two)
-    for metric, c, d, (lo, hi, bins) in _delta_specs(config):
+    for metric, c, d, (lo, hi, bins) in delta_specs(config):
         out = out.withColumn(f"decile_{metric}", decile(F.col(c), edges[metric], config.k))
-        out = out.withColumn("bin", F.least(_bin(F.greatest(F.col(d), F.lit(lo)), lo, hi, bins), F.lit(bins))).withColumn("bin", F.when(F.col(d).isNotNull(), F.col("bin")))
+        out = out.withColumn("bin", F.least(bin_of(F.greatest(F.col(d), F.lit(lo)), lo, hi, bins), F.lit(bins))).withColumn("bin", F.when(F.col(d).isNotNull(), F.col("bin")))
         own = tails.where(F.col("metric") == metric).select(F.col("decile").alias(f"decile_{metric}"), "bin", F.col("p").alias({"as": "p_as", "mapq": "p_mq"}[metric]))
         out = out.join(F.broadcast(own), [f"decile_{metric}", "bin"], "left").drop("bin")
     sure = (F.coalesce(F.col("p_as") <= config.alpha, F.lit(False))) | F.coalesce(F.col("p_mq") <= config.alpha, F.lit(False)) | F.coalesce(F.col("d_nm") > 0, F.lit(False)) | F.col("as2").isNull()
@@ -192,8 +196,9 @@ def assign_stats(raw: DataFrame, chunks: DataFrame) -> DataFrame:
 class Assignment:
     """The assign stage over a table of alignments: models first, then every read."""
 
-    def __init__(self, rows: DataFrame, config: AssignConfig = AssignConfig()):
-        self.config = config
+    def __init__(self, rows: DataFrame, config: AssignConfig = AssignConfig(), model: tuple[DataFrame, DataFrame] | None = None):
+        """``model``: edges and tails that are given instead of learned."""
+        self.config, self._model = config, model
         self.filtered = qc.cap_rows(qc.alignment_filter(rows, config.mapq_min, config.xa_max), config.max_rows_per_genome)
 
     @cached_property
@@ -219,7 +224,7 @@ class Assignment:
 
     @cached_property
     def _edges(self) -> dict[str, list[float]]:
-        return collect_edges(decile_edges(self.hist(), self.config))
+        return collect_edges(self._model[0] if self._model else decile_edges(self.hist(), self.config))
 
     def edges(self) -> dict[str, list[float]]:
         return self._edges
@@ -230,6 +235,8 @@ class Assignment:
     @cached_property
     def tails(self) -> DataFrame:
         """Written once: a few thousand rows."""
+        if self._model:
+            return self._model[1]
         return materialize(tail_prob(self.deltas(self.edges()), self.config), "tails")
 
     def raw(self) -> DataFrame:

@@ -254,6 +254,7 @@ ORACLE_SQL: dict[str, str] = {
         "assign_raw": f"SELECT {_TWO}, d_as, d_mq, d_nm, decile_as, decile_mapq, {_r('p_as', 'p_mq')}, assigned_class FROM raw",
         "assign_filtered": f"SELECT Read, BC, Genome, as_, MAPQ, NM, XAcount, assigned_class, {_r('p_as', 'p_mq')}, frag_loc FROM assign0",
         "friend_rescue": f"SELECT Read, BC, Genome, as_, MAPQ, NM, XAcount, assigned_class, {_r('p_as', 'p_mq')}, frag_loc FROM assign",
+        "tail_prob_merged": f"SELECT metric, decile, bin, {_r('p')} FROM tails",
         "assign_by_chunks": f"SELECT Read, BC, Genome, as_, MAPQ, NM, XAcount, assigned_class, {_r('p_as', 'p_mq')}, frag_loc FROM assign WHERE BC <> ''",
         "filter_counts": """SELECT unnest(['n_rows', 'n_low_mapq', 'n_many_hits', 'n_kept']) AS counter, unnest([count(*), count(*) FILTER (NOT hi), count(*) FILTER (hi AND NOT few), count(*) FILTER (hi AND few)]) AS n
             FROM (SELECT coalesce(MAPQ >= 20, false) AS hi, coalesce(XAcount <= 2, false) AS few FROM qc)""",
