@@ -21,7 +21,7 @@ from poolspark.oracle import ORACLE_SQL as _SQL
 from poolspark.plans import chunked
 from poolspark.plans.shared import materialize, new_path
 from poolspark.sources import bam
-from poolspark.streaming import models
+from poolspark.streaming import groups, models
 
 TWO = ("Read", "BC", "g1", "as1", "mq1", "nm1", "g2", "as2", "mq2", "nm2", "gl", "asl", "mql", "nml", "n_genomes")
 ROW = ("Read", "BC", "Genome", "MAPQ", "as_", "NM", "XAcount")
@@ -222,6 +222,18 @@ def _filter_counts(v: Views) -> DataFrame:
     return v.spark.createDataFrame(sorted(seen.get.items()), "counter string, n long")
 
 
+def _streamed_reads(v: Views) -> DataFrame:
+    """Groups of alignments that come in four files, by the genome and by the read, and a last row that closes them."""
+    path = f"{new_path(v.spark, 'arrivals')}/rows"
+    batch = F.pmod(F.xxhash64("Read", "Genome"), F.lit(4))
+    rows = v.assignment.filtered.where("BC <> '' AND Read <> ''").select("Read", "BC", "Genome", "MAPQ", "as_", "NM", "XAcount", "frag_loc")
+    end = v.spark.createDataFrame([(None,) * 8], rows.schema).withColumn("batch", F.lit(1000).cast("long"))
+    timed = materialize(rows.withColumn("batch", batch), "arriving").unionByName(end).withColumn("at", F.timestamp_seconds(1_700_000_000 + F.col("batch") * 60))
+    for i in (0, 1, 2, 3, 1000):  # files are taken up in the order in which they were written
+        timed.where(F.col("batch") == i).drop("batch").write.mode("append").parquet(path)
+    return groups.run(v.spark, path, timed.drop("batch").schema, 600, time="at")
+
+
 def _stream(v: Views) -> DataFrame:
     from poolspark.streaming import counts
 
@@ -303,6 +315,7 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "tsv_roundtrip": _tsv,
     "bam_roundtrip": _bam,
     "streaming_counts": _stream,
+    "streaming_reads": lambda v: _streamed_reads(v).select(*TWO),
 }
 
 

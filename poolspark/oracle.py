@@ -322,6 +322,7 @@ ORACLE_SQL: dict[str, str] = {
         "ks_statistic": f"SELECT variable, n1, n2, round(gap / CAST(n1 AS DOUBLE) / n2, 6) AS d, round({_PATHS}, 6) AS p FROM gaps",
         "tsv_roundtrip": "SELECT Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM filt",
         "bam_roundtrip": "SELECT Genome, Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM qc",
+        "streaming_reads": f"SELECT {_TWO} FROM two WHERE BC <> '' AND Read <> ''",
         "streaming_counts": "SELECT BC, count(*) AS n_rows FROM qc GROUP BY BC",
     }.items()
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from poolspark.plans.shared import new_path
+from poolspark.sources import tables
 
 
 def barcode_counts(stream: DataFrame) -> DataFrame:
@@ -20,17 +21,20 @@ def run(spark: SparkSession, folder: str, schema, aggregate=barcode_counts) -> D
     """Everything in ``folder`` so far, by a stream that stops when it has caught up; the state lies on shared storage."""
     place = new_path(spark, "stream")
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(folder)
+    totals = aggregate(source)
+    key, n = totals.columns
 
     def put(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{place}/out-{epoch % 2}")  # the last but one stays until the next is whole
-        batch.sparkSession.createDataFrame([(epoch,)], "epoch long").write.mode("overwrite").parquet(f"{place}/last")
+        # only the counts that the batch changed; an epoch that comes again replaces its own
+        batch.withColumn("epoch", F.lit(epoch).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(f"{place}/changed")
 
-    query = aggregate(source).writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start()
+    query = totals.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    last = spark.read.parquet(f"{place}/last").first()["epoch"]
-    return spark.read.parquet(f"{place}/out-{last % 2}")
+    if not tables.exists(spark, f"{place}/changed"):
+        return spark.createDataFrame([], totals.schema)
+    return spark.read.parquet(f"{place}/changed").groupBy(key).agg(F.max_by(n, "epoch").alias(n))
 
 
 def run_to_end(table: DataFrame, aggregate=barcode_counts) -> DataFrame:
