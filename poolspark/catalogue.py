@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -20,7 +21,8 @@ from poolspark.operators import reports as R
 from poolspark.oracle import ORACLE_SQL as _SQL
 from poolspark.plans import chunked
 from poolspark.plans.shared import materialize, new_path
-from poolspark.sources import bam
+from poolspark.schema import QC
+from poolspark.sources import bam, tables
 from poolspark.streaming import groups, models
 
 TWO = ("Read", "BC", "g1", "as1", "mq1", "nm1", "g2", "as2", "mq2", "nm2", "gl", "asl", "mql", "nml", "n_genomes")
@@ -153,7 +155,8 @@ class Views:
 
 
 def _policies(v: Views) -> DataFrame:
-    calls, out = testkit.calls_fix(v.spark), None
+    """Decisions on the calls of all barcodes, and on a few that have every other kind of call."""
+    calls, out = v.simple_calls.unionByName(testkit.calls_fix(v.spark), allowMissingColumns=True), None
     for name, design, config in (
         ("strict", v.design, DecontamConfig()), ("rescue", v.design, DecontamConfig(strict_design=False, ambiguous_policy="top12_rescue", weak_doublet_policy="top12")),
         ("free", None, DecontamConfig(ambiguous_policy="top12_rescue", weak_doublet_policy="top12")), ("free_default", None, DecontamConfig()),
@@ -181,8 +184,6 @@ def _soft(v: Views) -> DataFrame:
 
 
 def _tsv(v: Views) -> DataFrame:
-    from poolspark.sources import tables
-
     path = f"{new_path(v.spark, 'tsv')}/rows"
     tables.write_tsv(v.assignment.filtered.select("Read", "BC", "MAPQ", "as_", "NM", "XAcount", "frag_loc"), path)
     return tables.read_qc_tsv(v.spark, path)
@@ -197,6 +198,35 @@ def _bam(v: Views) -> DataFrame:
     return Q.union_genomes(back)
 
 
+def _one_scan(v: Views) -> DataFrame:
+    """The rows of all genomes' tables in a folder, read at once."""
+    folder = new_path(v.spark, "filtered")
+    for g in sorted(r[0] for r in v.qc.select("Genome").distinct().collect()):
+        tables.write_sorted(v.qc.where(F.col("Genome") == g).select(*QC.fieldNames()), f"{folder}/filtered_{g}_QCMapping.parquet")
+    return tables.read_genomes(v.spark, folder)
+
+
+def _quarantine(v: Views) -> DataFrame:
+    """Good and bad lines of assign rows as text, where the lines of some reads lack their last fields."""
+    folder, own = f"{new_path(v.spark, 'texts')}/rows", v.assigned.select("BC", "Read", "Genome", "as_")
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in own.columns]
+    line = F.when(F.col("Read").like("%0"), F.concat_ws("\t", *cells[:2])).otherwise(F.concat_ws("\t", *cells))
+    head = v.spark.createDataFrame([("\t".join(own.columns),)], "value string")
+    own.select(line.alias("value")).repartition(4).mapInPandas(_headed("\t".join(own.columns)), head.schema).write.text(folder)
+    seen = tables.read_checked(v.spark, [p for p in tables._files(v.spark, folder) if "part-" in p], ("BC", "Read", "Genome"))
+    return seen.rows.select(F.lit("good").alias("kind"), "Read").unionByName(seen.bad_lines.select(F.lit("bad").alias("kind"), F.split_part("line", F.lit("\t"), F.lit(2)).alias("Read"))).groupBy("kind", "Read").agg(F.count("*").alias("n"))
+
+
+def _headed(header: str):
+    """Lines of a partition under a header."""
+
+    def run(parts):
+        yield pd.DataFrame({"value": [header]})
+        yield from parts
+
+    return run
+
+
 def _by_chunks(v: Views) -> DataFrame:
     """Scored in two ranges that add up in one folder."""
     own = chunked.ChunkedScoring(v.spark, f"{new_path(v.spark, 'chunked')}/scored")
@@ -246,6 +276,8 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "distinct_barcodes": lambda v: Q.distinct_barcodes(*[v.qc.where(F.col("Genome") == f"G{i}") for i in range(5)]),
     "barcode_chunks": lambda v: v.chunks,
     "union_genomes": lambda v: Q.union_genomes({f"G{i}": v.qc.where(F.col("Genome") == f"G{i}").drop("Genome") for i in range(5)}).groupBy("Genome").agg(F.count("*").alias("n_rows"), F.count_distinct("Read").alias("n_reads")),
+    "genomes_one_scan": lambda v: _one_scan(v).select("Genome", *QC.fieldNames()),
+    "quarantined_lines": _quarantine,
     "alignment_filter": lambda v: v.assignment.filtered.select(*ROW),
     "semi_ambiguous_bcs": lambda v: Q.semi_barcodes(v.assignment.filtered, v.raw.where("assigned_class = 'ambiguous'").select("BC")).select("Read", "BC", "Genome", "as_"),
     "dedup_read_genome": lambda v: A.dedup_read_genome(v.assignment.filtered).select(*ROW, "frag_loc"),

@@ -97,17 +97,17 @@ def assign_(spark: SparkSession, args: argparse.Namespace) -> None:
     print(json.dumps({"scored": now, "finished": len(own.finished()), "of": len(own.chunk_ids()), "filter": own.filtered()}))
 
 
-def _assigned(spark: SparkSession, path: str) -> DataFrame:
+def _assigned(spark: SparkSession, path: str, quarantine: str | None = None) -> DataFrame:
     """Rows of the assign stage from Parquet, from chunks that are all scored, from text, or from what a sample's folder holds."""
     if tables.exists(spark, f"{path.rstrip('/')}.state/key.json"):
         return chunked.finished_rows(spark, path)
     if tables.exists(spark, f"{path}/_SUCCESS"):
         return spark.read.parquet(path)
-    return tables.read_assign(spark, path if path.endswith((".tsv", ".tsv.gz", ".txt")) else workfolder.assign_outputs(spark, path))
+    return tables.read_assign(spark, path if path.endswith((".tsv", ".tsv.gz", ".txt")) else workfolder.assign_outputs(spark, path), quarantine)
 
 
 def genotyping(spark: SparkSession, args: argparse.Namespace) -> None:
-    config, rows = _config(MergeConfig, args), _assigned(spark, args.assign)
+    config, rows = _config(MergeConfig, args), _assigned(spark, args.assign, args.quarantine)
     eta = phi = None
     genomes = sorted(r[0] for r in rows.select("Genome").distinct().collect())
     if args.eta:
@@ -207,6 +207,7 @@ def parser() -> argparse.ArgumentParser:
     own = command("genotyping", genotyping, "the call of each barcode", assign="assign output, or a sample's folder", out="text file of calls")
     own.add_argument("--eta", help="a given ambient profile")
     own.add_argument("--phi", help="a given cross-mapping matrix")
+    own.add_argument("--quarantine", help="folder that lists bad lines and unreadable files of text inputs")
     own.add_argument("--topk", help="lines of a barcode and its candidate genomes, best first")
     own.add_argument("--models-out", help="folder for the profile and the cross-mapping tables that were used")
     _options(own, MergeConfig)

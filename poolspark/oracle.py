@@ -169,6 +169,7 @@ STEPS: dict[str, str] = {
         CASE WHEN r.n_reads < 5 THEN NULL WHEN s.p_top1 >= 0.6::DOUBLE THEN 'single' WHEN s.p_top2 >= 0.2::DOUBLE THEN 'doublet' ELSE 'single' END AS model, t1.genome AS genome_1, t2.genome AS genome_2, NULL::VARCHAR AS indist_set
         FROM stats s JOIN reads r ON r.barcode = s.barcode JOIN top t1 ON t1.barcode = s.barcode AND t1.rank = 1 LEFT JOIN top t2 ON t2.barcode = s.barcode AND t2.rank = 2""",
     "calls_fix": _values(testkit.CALLS_FIX, "barcode, call, model, genome_1, genome_2, indist_set"),
+    "callsall": "SELECT barcode, call, model, genome_1, genome_2, CAST(NULL AS VARCHAR) AS indist_set FROM scalls UNION ALL SELECT barcode, call, model, genome_1, genome_2, indist_set FROM calls_fix",
     "rules": _allowed("free", "scalls", False, False, "design_rescue", "top1"),
     "drules": _allowed("design", "scalls", True, True, "design_rescue", "top1"),
     "wins": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY barcode, read_id ORDER BY coalesce(as_, -999999) DESC, coalesce(mapq, -1) DESC, coalesce(nm, 999999), genome) AS rn
@@ -241,6 +242,8 @@ ORACLE_SQL: dict[str, str] = {
         "distinct_barcodes": "SELECT DISTINCT BC FROM qc WHERE BC <> ''",
         "barcode_chunks": "SELECT BC, chunk_id FROM chunks",
         "union_genomes": "SELECT Genome, count(*) AS n_rows, count(DISTINCT Read) AS n_reads FROM qc GROUP BY Genome",
+        "genomes_one_scan": "SELECT Genome, Read, BC, MAPQ, as_, NM, XAcount, frag_loc FROM qc",
+        "quarantined_lines": "SELECT CASE WHEN Read LIKE '%0' THEN 'bad' ELSE 'good' END AS kind, Read, count(*) AS n FROM assign GROUP BY ALL",
         "alignment_filter": "SELECT Read, BC, Genome, MAPQ, as_, NM, XAcount FROM filt",
         "semi_ambiguous_bcs": "SELECT Read, BC, Genome, as_ FROM filt WHERE BC IN (SELECT BC FROM raw WHERE assigned_class = 'ambiguous')",
         "dedup_read_genome": "SELECT Read, BC, Genome, MAPQ, as_, NM, XAcount, frag_loc FROM best",
@@ -291,7 +294,7 @@ ORACLE_SQL: dict[str, str] = {
         "bic_doublet_grid": "SELECT barcode, round(x.bic, 6) AS bic, CAST(x.c AS INTEGER) AS c, CAST(x.d AS INTEGER) AS d, CAST(x.i AS INTEGER) AS i, CAST(x.j AS INTEGER) AS j FROM doublet",
         "call_decision": f"SELECT {_CALLS} FROM calls",
         "design_expected": "SELECT s.barcode, split_part(s.barcode, '-', 1) AS bc_key, s.call, d.expected_genome FROM scalls s LEFT JOIN design d ON d.bc_key = split_part(s.barcode, '-', 1)",
-        "policy_allowed_set": " UNION ALL ".join(f"SELECT variant, {_RULE} FROM ({_allowed(*v)})" for v in (("strict", "calls_fix", True, True, "design_rescue", "top1"), ("rescue", "calls_fix", True, False, "top12_rescue", "top12"), ("free", "calls_fix", False, False, "top12_rescue", "top12"), ("free_default", "calls_fix", False, False, "design_rescue", "top1"))),
+        "policy_allowed_set": " UNION ALL ".join(f"SELECT variant, {_RULE} FROM ({_allowed(*v)})" for v in (("strict", "callsall", True, True, "design_rescue", "top1"), ("rescue", "callsall", True, False, "top12_rescue", "top12"), ("free", "callsall", False, False, "top12_rescue", "top12"), ("free_default", "callsall", False, False, "design_rescue", "top1"))),
         "decontam_winner": f"SELECT barcode, read_id, genome, as_, mapq, nm, cls, {_r('p_as')} FROM wins",
         "safe_keep": """SELECT barcode, read_id, best_allowed_as, best_disallowed_as, coalesce(best_allowed_as >= best_disallowed_as - 5 AND bm >= 25 AND bn <= 3, false) AS safe_keep FROM (SELECT g.barcode, g.read_id, max(as_) FILTER (WHERE ok) AS best_allowed_as, max(as_) FILTER (WHERE NOT ok) AS best_disallowed_as,
             max(mapq) FILTER (WHERE ok) AS bm, min(nm) FILTER (WHERE ok) AS bn FROM (SELECT gt.*, coalesce(list_contains(r.allowed, gt.genome), false) AS ok FROM gt LEFT JOIN drules r ON r.barcode = gt.barcode) g GROUP BY g.barcode, g.read_id)""",

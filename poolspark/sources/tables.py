@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 from poolspark.functions import barcode
 from poolspark.operators import qc
@@ -58,13 +62,30 @@ def read_qc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_genomes(spark: SparkSession, folder: str) -> DataFrame:
-    """All genomes' filtered tables of a folder with a column Genome."""
-    read = lambda p: read_qc(spark, p) if p.endswith(".parquet") else read_qc_tsv(spark, p, header=True)
-    return qc.union_genomes({g: read(p) for g, p in discover(spark, folder).items()})
+    """All genomes' filtered tables of a folder with a column Genome, which comes from a file's name: one scan, however many genomes.
 
-
-def with_genome_from_path(df: DataFrame) -> DataFrame:
-    return df.withColumn("Genome", F.regexp_extract(F.input_file_name(), GENOME_FILE, 1))
+    Parquet tables have the locked columns, others are an error.  Texts are read in one scan for each header that occurs.
+    """
+    found = discover(spark, folder)
+    parquet = [p for p in found.values() if p.endswith(".parquet")]
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for p in found.values():
+        if p in parquet:
+            read_qc(spark, p)  # looks at the columns, plans no scan that is kept
+        else:
+            by_header.setdefault(tuple(spark.read.option("sep", "\t").option("header", True).csv(p).columns), []).append(p)
+    parts = [with_genome_from_path(spark.read.schema(QC).parquet(*parquet))] if parquet else []
+    for header, paths in by_header.items():
+        text = StructType([StructField(c, StringType()) for c in header])
+        rows = with_genome_from_path(spark.read.option("sep", "\t").option("nullValue", "").option("header", True).schema(text).csv(paths), "__genome")
+        parts.append(with_defaults_of(rows, "__genome").withColumnRenamed("__genome", "Genome"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def with_genome_from_path(df: DataFrame, name: str = "Genome") -> DataFrame:
+    """The genome that the file of a row is named by, from the columns that every file has without being read."""
+    path = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    return df.select("*", F.regexp_extract(path, GENOME_FILE + r"\.(?:parquet|tsv|txt)", 1).alias(name))
 
 
 def read_qc_tsv(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
@@ -75,12 +96,12 @@ def read_qc_tsv(spark: SparkSession, path: str, header: bool = False) -> DataFra
     return read.schema(QC).csv(path)
 
 
-def with_defaults_of(df: DataFrame) -> DataFrame:
-    """QC types for a table under any known header; frag_loc empty where the file has none."""
+def with_defaults_of(df: DataFrame, *more: str) -> DataFrame:
+    """QC types for a table under any known header; frag_loc empty where the file has none.  Columns of ``more`` stay."""
     df = renamed(df)
     if "frag_loc" not in df.columns:
         df = df.withColumn("frag_loc", F.lit(""))
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in QC.fields])
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in QC.fields], *more)
 
 
 def renamed(df: DataFrame, needed: tuple[str, ...] = ()) -> DataFrame:
@@ -91,11 +112,77 @@ def renamed(df: DataFrame, needed: tuple[str, ...] = ()) -> DataFrame:
     return out
 
 
-def read_assign(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the assign stage from tab-separated text; malformed lines are left out."""
-    df = renamed(spark.read.option("sep", "\t").option("header", True).option("mode", "DROPMALFORMED").csv(path), ("BC", "Read", "Genome"))
+@dataclass(frozen=True)
+class Checked:
+    """What was read of text files, and what could not be: lines with a wrong number of fields, and files that break off."""
+
+    rows: DataFrame
+    bad_lines: DataFrame
+    bad_files: list[str]
+
+    def report(self) -> DataFrame:
+        """(path, n_bad_lines, readable) of the files with anything wrong."""
+        spark = self.rows.sparkSession
+        lines = self.bad_lines.groupBy("path").agg(F.count("*").alias("n_bad_lines")).withColumn("readable", F.lit(True))
+        files = spark.createDataFrame([(p,) for p in self.bad_files], "path string").select("path", F.lit(None).cast("long").alias("n_bad_lines"), F.lit(False).alias("readable"))
+        return lines.unionByName(files)
+
+
+def readable(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """Files that can be read to their end, and the others.
+
+    All are read at once; only if that fails are they halved, so a bad file costs as many
+    further jobs as halving takes to find it.
+    """
+    if not paths:
+        return [], []
+    try:
+        spark.read.text(paths).write.format("noop").mode("overwrite").save()
+    except (Py4JJavaError, PySparkException):
+        pass
+    else:
+        return paths, []
+    if len(paths) == 1:
+        return [], paths
+    half = len(paths) // 2
+    (good, bad), (more, worse) = readable(spark, paths[:half]), readable(spark, paths[half:])
+    return good + more, bad + worse
+
+
+def read_checked(spark: SparkSession, path: str | list[str], needed: tuple[str, ...] = ()) -> Checked:
+    """Tab-separated text under one header, as strings; lines with too few or too many fields and files that break off are set aside.
+
+    Empty fields are null; empty lines and the header, which every file may begin with, are no rows.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    good, bad = readable(spark, paths)
+    if not good:
+        raise ValueError(f"none of {len(paths)} files can be read, the first is {paths[0]}")
+    first = spark.read.text(good[0]).first()
+    if first is None:
+        raise ValueError(f"{good[0]} has no header")
+    header = first["value"].rstrip("\r")
+    names = header.split("\t")
+    renamed(spark.createDataFrame([], StructType([StructField(c, StringType()) for c in names])), needed)  # an error if columns are missing
+    seen = spark.read.text(good).select(F.regexp_replace("value", "\r$", "").alias("line"), F.col("_metadata.file_path").alias("path")).where((F.col("line") != "") & (F.col("line") != header))
+    fields = F.split("line", "\t", -1)
+    whole = F.size(fields) == len(names)
+    filled = lambda i: F.when(F.get(fields, F.lit(i)) != "", F.get(fields, F.lit(i)))
+    rows = seen.where(whole).select(*[filled(i).alias(c) for i, c in enumerate(names)])
+    return Checked(renamed(rows, needed), seen.where(~whole).select("path", "line"), bad)
+
+
+def read_assign(spark: SparkSession, path: str | list[str], quarantine: str | None = None) -> DataFrame:
+    """Rows of the assign stage from tab-separated text; malformed lines and files that break off are left out.
+
+    With ``quarantine``, a folder, they are listed there: ``lines`` has each line and its file, ``files`` counts by file.
+    """
+    own = read_checked(spark, path, ("BC", "Read", "Genome"))
+    if quarantine:
+        own.bad_lines.write.mode("overwrite").parquet(f"{quarantine}/lines")
+        own.report().write.mode("overwrite").parquet(f"{quarantine}/files")
     kinds = {"as_": "int", "MAPQ": "int", "NM": "int", "XAcount": "int", "p_as": "double", "p_mq": "double"}
-    return df.select(*[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else c for c in df.columns])
+    return own.rows.select(*[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else c for c in own.rows.columns])
 
 
 def read_calls(spark: SparkSession, path: str) -> DataFrame:

@@ -170,3 +170,48 @@ def test_bucketed_tables_lie_in_the_shared_folder(spark):
     assert len(name) == 1
     shared._forget(spark, name[0])
     assert not spark.catalog.tableExists(name[0])
+
+
+def test_all_genomes_in_one_scan(spark, rows, tmp_path):
+    for g in ("A", "B 1+x", "Zm_v5"):
+        tables.write_sorted(rows, f"{tmp_path}/filtered_{g}_QCMapping.parquet")
+    got = tables.read_genomes(spark, str(tmp_path))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r["Genome"]: r["count"] for r in got.groupBy("Genome").count().collect()} == dict.fromkeys(("A", "B 1+x", "Zm_v5"), rows.count())
+    assert got.drop("Genome").columns == QC.fieldNames() and same(got.where("Genome = 'B 1+x'").drop("Genome"))
+    rows.drop("NM").write.parquet(f"{tmp_path}/filtered_C_QCMapping.parquet")
+    with pytest.raises(ValueError, match="columns"):
+        tables.read_genomes(spark, str(tmp_path))
+
+
+def test_texts_of_several_headers(spark, tmp_path):
+    (tmp_path / "filtered_A_QCMapping.tsv").write_text("Read\tBC\tMAPQ\tAS\tNM\tXAcount\nr\tb\t1\t2\t3\t4\n")
+    (tmp_path / "filtered_B_QCMapping.tsv").write_text("Read\tBC\tMAPQ\tAS\tNM\tXAcount\ns\tb\t5\tx\t\t4\n")
+    (tmp_path / "filtered_C_QCMapping.txt").write_text("BC\tRead\tMAPQ\tas\tNM\tXAcount\tfrag_loc\nb\tt\t1\t2\t3\t4\tchr1:1:2\n")
+    got = tables.read_genomes(spark, str(tmp_path))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert sorted((r["Genome"], r["Read"], r["as_"], r["NM"], r["frag_loc"]) for r in got.collect()) == [("A", "r", 2, 3, ""), ("B", "s", None, None, ""), ("C", "t", 2, 3, "chr1:1:2")]
+
+
+def test_bad_lines_and_files_are_set_aside(spark, tmp_path):
+    import gzip
+
+    head = "Read\tBC\tGenome\tAS\n"
+    whole = {f"p{i}.tsv.gz": head + "".join(f"r{i}_{j}\tb\tG\t{j}\n" for j in range(200)) for i in range(5)}
+    whole["p1.tsv.gz"] += "lost\tb\n" + "more\tb\tG\t1\t2\t3\n" + "odd\tb\tG\tx\n"
+    for name, text in whole.items():
+        data = gzip.compress(text.encode())
+        (tmp_path / name).write_bytes(data[: len(data) // 2] if name in ("p3.tsv.gz", "p4.tsv.gz") else data)
+    paths = [f"{tmp_path}/{n}" for n in sorted(whole)]
+    own = tables.read_checked(spark, paths, ("BC", "Read", "Genome"))
+    assert [p[-9:] for p in own.bad_files] == ["p3.tsv.gz", "p4.tsv.gz"]
+    assert sorted(r["line"].split("\t")[0] for r in own.bad_lines.collect()) == ["lost", "more"]
+    rows = tables.read_assign(spark, paths, quarantine=f"{tmp_path}/q")
+    assert rows.count() == 601 and rows.where("Read = 'odd'").first()["as_"] is None
+    listed = {r["path"][-9:]: (r["n_bad_lines"], r["readable"]) for r in spark.read.parquet(f"{tmp_path}/q/files").collect()}
+    assert listed == {"p1.tsv.gz": (2, True), "p3.tsv.gz": (None, False), "p4.tsv.gz": (None, False)}
+    assert spark.read.parquet(f"{tmp_path}/q/lines").count() == 2
+    with pytest.raises(ValueError, match="none of 2 files"):
+        tables.read_checked(spark, paths[3:])
+    with pytest.raises(ValueError, match="no column"):
+        tables.read_checked(spark, paths[:1], ("MAPQ",))
