@@ -1,15 +1,23 @@
 """Incremental, reversible line dedup (operator 3).
 
-State, all of it tables on shared storage:
+State, all of it on shared storage and only ever added to:
 
 ``refs``     exact references: one row (key, doc_id, n) for each line key of each document;
 ``counts``   exact reference counts: one row (key, n_docs, first_doc) for each key;
 ``filters``  cuckoo filters, a chain of equal parts for each shard of the key space.
 
+Each is a log of written tables whose rows carry the number of the change that
+wrote them; for a key, or a shard, the row of the last change holds.  A key that no
+document holds any more has a last row of no documents, and a document that is
+deleted a row in the list of deletions, which hides what it said before.  So a
+change writes rows of the keys and shards that it touches only.  After
+``COMPACT`` changes the logs are written anew as one table each, with more
+shards if the keys have outgrown them.
+
 *Insert*: a batch is first reduced to its distinct keys.  Each shard's filters
 say which of them were certainly never seen; only the others are looked up in
 ``counts``.  Keys that are not found there, those that the filters took for
-known by mistake included, are appended and their fingerprints inserted; keys
+known by mistake included, are added and their fingerprints inserted; keys
 that are found are merged.  So every key of ``counts`` has a fingerprint of its
 own.  *Delete* takes a document's references away, recounts the keys it held,
 and removes one fingerprint of each key that no document holds any more.  All
@@ -34,13 +42,14 @@ text is held in memory once, and its cost grows with its length.
 Hot lines: references are counted by (key, doc_id), then by key with partial
 sums, so a line that a third of the documents holds reaches the counting task
 as one row from each task before it.  Keys that more than one in ``HOT_KEYS``
-of all references name (and more than ``HOT_LEAST``) are joined back by a
+of the references of repeated keys name (and more than ``HOT_LEAST``) are joined back by a
 broadcast, which holds ``HOT_KEYS`` keys at most; only the others are shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -165,6 +174,9 @@ class CuckooFilter:
 
 
 FILTERS = "shard int, part int, size long, filter binary"
+#: What an index writes, and changes after which it is written anew.
+LOGS = {"refs": "key binary, doc_id long, n long", "counts": "key binary, n_docs long, first_doc long", "filters": FILTERS, "gone": "doc_id long"}
+COMPACT = 8
 
 
 def line_key(line: Column) -> Column:
@@ -232,6 +244,12 @@ def _withdraw(key, keys: pa.Table, filters: pa.Table) -> pa.Table:
     return _dumped(key[0].as_py(), chain)
 
 
+def _written(df: DataFrame, log: list[DataFrame], label: str, change: int) -> list[DataFrame]:
+    """``log`` with the rows of one more change, if there are any."""
+    own = materialize(df.withColumn("change", F.lit(change)), label)
+    return log if own.isEmpty() else [*log, own]
+
+
 class LineIndex:
     """Lines of a growing and shrinking collection of documents.
 
@@ -241,55 +259,119 @@ class LineIndex:
     fingerprint, which only changes how many keys are looked up for nothing.
     """
 
-    def __init__(self, refs: DataFrame, counts: DataFrame, filters: DataFrame, shards: int, min_chars: int, bits: int = 16):
-        self.refs, self.counts, self.filters, self.shards, self.min_chars, self.bits = refs, counts, filters, shards, min_chars, bits
+    def __init__(self, spark, logs: dict[str, list[DataFrame]], change: int, shards: int, min_chars: int, bits: int = 16):
+        self.spark, self.logs, self.change, self.shards, self.min_chars, self.bits = spark, logs, change, shards, min_chars, bits
 
     @classmethod
     def empty(cls, spark, shards: int = 0, min_chars: int = 10, bits: int = 16) -> LineIndex:
-        make = lambda schema: spark.createDataFrame([], schema)
-        return cls(make("key binary, doc_id long, n long"), make("key binary, n_docs long, first_doc long"), make(FILTERS), shards, min_chars, bits)
+        return cls(spark, {name: [] for name in LOGS}, 0, shards, min_chars, bits)
+
+    def _log(self, name: str) -> DataFrame:
+        """All rows that were ever written."""
+        parts = self.logs[name]
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], f"{LOGS[name]}, change int")
+
+    def _last(self, rows: DataFrame, *by: str) -> DataFrame:
+        """Of rows of a log those of the last change of each key; one table has no others."""
+        rest = [c for c in rows.columns if c not in (*by, "change")]
+        return rows.groupBy(*by).agg(*[F.max_by(c, "change").alias(c) for c in rest])
+
+    @property
+    def counts(self) -> DataFrame:
+        rows = self._log("counts")
+        return (self._last(rows, "key") if len(self.logs["counts"]) > 1 else rows.drop("change")).where("n_docs > 0")
+
+    @property
+    def refs(self) -> DataFrame:
+        rows = self._log("refs")
+        if not self.logs["gone"]:
+            return rows.drop("change")
+        gone = self._log("gone").groupBy(F.col("doc_id").alias("lost")).agg(F.max("change").alias("until"))
+        return rows.join(gone, F.col("doc_id").eqNullSafe(F.col("lost")) & (F.col("change") < F.col("until")), "left_anti").drop("change")
+
+    @property
+    def filters(self) -> DataFrame:
+        rows = self._log("filters")
+        if len(self.logs["filters"]) < 2:
+            return rows.drop("change")
+        last = rows.groupBy(F.col("shard").alias("of")).agg(F.max("change").alias("at"))
+        return rows.join(last, (F.col("shard") == F.col("of")) & (F.col("change") == F.col("at")), "left_semi").drop("change")
 
     def _by_shard(self, keys: DataFrame, shards: int):
-        return keys.select(F.pmod(F.crc32("key"), F.lit(shards)).cast("int").alias("shard"), "key").groupBy("shard").cogroup(self.filters.groupBy("shard"))
+        """Keys beside the filters of the shards that they touch."""
+        own = keys.select(F.pmod(F.crc32("key"), F.lit(shards)).cast("int").alias("shard"), "key")
+        touched = own.select("shard").distinct()
+        return own.groupBy("shard").cogroup(self.filters.join(touched, "shard", "left_semi").groupBy("shard"))
+
+    def _next(self, shards: int, **more: list[DataFrame]) -> LineIndex:
+        """The index after a change, compacted if its logs are long."""
+        out = LineIndex(self.spark, self.logs | more, self.change + 1, shards, self.min_chars, self.bits)
+        return out.compacted() if max(map(len, out.logs.values())) >= COMPACT else out
+
+    def compacted(self) -> LineIndex:
+        """The same index with one table for each log; keys are dealt to more shards if there are too many for each."""
+        one = lambda df, label: [materialize(df.withColumn("change", F.lit(self.change)), label)]
+        refs, counts = one(self.refs, "line-refs"), one(self.counts, "line-counts")
+        shards, keys = max(1, self.shards), counts[0].count()
+        logs = {"refs": refs, "counts": counts, "gone": []}
+        if keys <= 2 * SHARD_KEYS * shards:
+            return LineIndex(self.spark, logs | {"filters": one(self.filters, "line-filters")}, self.change + 1, self.shards, self.min_chars, self.bits)
+        shards = -(-GROWTH * keys // SHARD_KEYS)
+        bare = LineIndex(self.spark, logs | {"filters": []}, self.change, shards, self.min_chars, self.bits)
+        return LineIndex(self.spark, logs | {"filters": one(bare._admitted(counts[0].select("key"), shards), "line-filters")}, self.change + 1, shards, self.min_chars, self.bits)
+
+    def _admitted(self, keys: DataFrame, shards: int) -> DataFrame:
+        bits = self.bits
+        return self._by_shard(keys, shards).applyInArrow(lambda k, a, b: _admit(bits, k, a, b), FILTERS)
 
     def insert(self, docs: DataFrame, **cols: str) -> LineIndex:
-        """The index with ``docs``, whose doc_ids must be new to it."""
-        fresh = materialize(references(docs, self.min_chars, **cols), "line-refs")
-        batch = materialize(count(fresh), "line-counts")
-        shards, bits = self.shards or max(1, -(-GROWTH * batch.count() // SHARD_KEYS)), self.bits
-        if self.filters.isEmpty():
-            new = counts = batch
+        """The index with ``docs``, whose doc_ids must be new to it, or deleted before."""
+        change = self.change
+        refs = _written(references(docs, self.min_chars, **cols), self.logs["refs"], "line-refs", change)
+        if len(refs) == len(self.logs["refs"]):
+            return self
+        batch = materialize(count(refs[-1]), "line-batch")
+        shards = self.shards or max(1, -(-GROWTH * batch.count() // SHARD_KEYS))
+        if not self.logs["filters"]:
+            new = written = batch
         else:
             maybe = materialize(self._by_shard(batch, shards).applyInArrow(_probe, "key binary"), "line-maybe")
-            old = materialize(self.counts.join(maybe, "key", "left_semi"), "line-old")  # the exact lookup
+            near = self._log("counts").join(maybe, "key", "left_semi")  # the exact lookup
+            old = materialize(self._last(near, "key").where("n_docs > 0"), "line-old")
             names = old.select("key")
             new = materialize(batch.join(names, "key", "left_anti"), "line-new")
             both = old.unionByName(batch.join(names, "key", "left_semi"))
-            merged = both.groupBy("key").agg(F.sum("n_docs").alias("n_docs"), _least_doc("first_doc"))
-            counts = materialize(self.counts.join(names, "key", "left_anti").unionByName(merged).unionByName(new), "line-counts")
-        filters = materialize(self._by_shard(new, shards).applyInArrow(lambda k, a, b: _admit(bits, k, a, b), FILTERS), "line-filters")
-        return LineIndex(self.refs.unionByName(fresh), counts, filters, shards, self.min_chars, bits)
+            written = both.groupBy("key").agg(F.sum("n_docs").alias("n_docs"), _least_doc("first_doc")).unionByName(new)
+        counts = _written(written, self.logs["counts"], "line-counts", change)
+        filters = _written(self._admitted(new, shards), self.logs["filters"], "line-filters", change)
+        return self._next(shards, refs=refs, counts=counts, filters=filters)
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """The index without the documents of ``doc_ids`` (column doc_id); ids that it does not hold change nothing."""
-        gone_ids = doc_ids.select(F.col("doc_id").cast("long").alias("gone")).distinct()
-        same = self.refs["doc_id"].eqNullSafe(gone_ids["gone"])
-        touched = materialize(self.refs.join(gone_ids, same, "left_semi").select("key").distinct(), "line-touched")
-        refs = materialize(self.refs.join(gone_ids, same, "left_anti"), "line-refs")
-        again = materialize(count(refs.join(touched, "key", "left_semi")), "line-counts")
-        counts = materialize(self.counts.join(touched, "key", "left_anti").unionByName(again), "line-counts")
-        gone = touched.join(again, "key", "left_anti")
-        filters = materialize(self._by_shard(gone, max(1, self.shards)).applyInArrow(_withdraw, FILTERS), "line-filters")
-        return LineIndex(refs, counts, filters, self.shards, self.min_chars, self.bits)
+        change = self.change
+        asked = doc_ids.select(F.col("doc_id").cast("long").alias("gone")).distinct()
+        held = self.refs
+        lost = materialize(held.join(asked, held["doc_id"].eqNullSafe(asked["gone"]), "left_semi"), "line-lost")
+        gone = _written(lost.select("doc_id").distinct(), self.logs["gone"], "line-gone", change)
+        if len(gone) == len(self.logs["gone"]):
+            return self
+        after = LineIndex(self.spark, self.logs | {"gone": gone}, change, self.shards, self.min_chars, self.bits)
+        touched = materialize(lost.select("key").distinct(), "line-touched")
+        again = materialize(count(after.refs.join(touched, "key", "left_semi")), "line-again")
+        left = materialize(touched.join(again, "key", "left_anti"), "line-left")
+        none = left.select("key", F.lit(0).cast("long").alias("n_docs"), F.lit(None).cast("long").alias("first_doc"))
+        counts = _written(again.unionByName(none), self.logs["counts"], "line-counts", change)
+        filters = _written(self._by_shard(left, max(1, self.shards)).applyInArrow(_withdraw, FILTERS), self.logs["filters"], "line-filters", change)
+        return self._next(self.shards, gone=gone, counts=counts, filters=filters)
 
     def drops(self) -> DataFrame:
         """(doc_id, keys): the keys whose lines each document loses."""
-        repeated = self.counts.where("n_docs >= 2")
-        total = self.counts.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
+        counts, refs = materialize(self.counts.where("n_docs >= 2"), "line-repeated"), self.refs
+        total = counts.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
         often = max(HOT_LEAST, total // HOT_KEYS)  # fewer than HOT_KEYS keys have more references than this
-        hot = F.broadcast(repeated.where(F.col("n_docs") > often).select("key", "first_doc"))
-        rest = repeated.where(F.col("n_docs") <= often).select("key", "first_doc")
-        found = self.refs.join(hot, "key").unionByName(self.refs.join(hot, "key", "left_anti").join(rest, "key"))
+        hot = F.broadcast(counts.where(F.col("n_docs") > often).select("key", "first_doc"))
+        rest = counts.where(F.col("n_docs") <= often).select("key", "first_doc")
+        found = refs.join(hot, "key").unionByName(refs.join(hot, "key", "left_anti").join(rest, "key"))
         return found.where(~F.col("doc_id").eqNullSafe(F.col("first_doc"))).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
 

@@ -180,6 +180,45 @@ def test_false_positives_survive_deletion_and_insertion(spark):
     assert said[3] and said[2] == len(said[1])
 
 
+def test_a_change_writes_what_it_touches(spark, monkeypatch):
+    """One document of two lines in, then out of, an index of thousands of keys in several shards."""
+    rows = spark.createDataFrame([(i, "\n".join(f"line number {k} of text {i}" for k in range(20))) for i in range(200)], DOCS)
+    index, written, real = line_dedup.index(rows, shards=16), {}, line_dedup.materialize
+
+    def counted(df, label):
+        out = real(df, label)
+        written[label] = written.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    before = _fresh(index)
+    more = index.insert(spark.createDataFrame([(500, "line number 3 of text 7\nnobody has this line")], DOCS))
+    assert more.counts.count() == index.counts.count() + 1 == 4001
+    assert {k: written[k] for k in ("line-refs", "line-counts")} == {"line-refs": 2, "line-counts": 2} and written["line-filters"] <= 2
+    written.clear()
+    back = more.delete(spark.createDataFrame([(500,), (12345,)], "doc_id long"))
+    assert written["line-gone"] == 1 and written["line-counts"] == 2 and written["line-filters"] <= 1 and sum(written.values()) < 20
+    assert _fresh(back) == before
+    assert _fresh(back.compacted()) == before
+
+
+def test_logs_are_compacted_and_shards_split(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "COMPACT", 3)
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 50)
+    table = lambda ids: spark.createDataFrame([(i, "\n".join(f"line number {k} of the text" for k in range(9 * i, 9 * i + 15))) for i in ids], DOCS)
+    index, held = line_dedup.LineIndex.empty(spark), set()
+    for k, ids in enumerate(([0, 1], [2, 3, 4], range(5, 40), [40], range(41, 60))):
+        index = index.insert(table(ids))
+        held |= set(ids)
+        if k % 2:
+            index = index.delete(table([ids[0]]).select("doc_id"))
+            held -= {ids[0]}
+    index = index.insert(table([2]))  # deleted before
+    held.add(2)
+    assert _fresh(index) == _fresh(line_dedup.LineIndex.empty(spark).insert(table(sorted(held))))
+    assert max(map(len, index.logs.values())) < 3 and index.shards > 4
+
+
 def test_hot_lines_are_joined_by_a_broadcast(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "HOT_LEAST", 3)
     monkeypatch.setattr(line_dedup, "HOT_KEYS", 50)
