@@ -7,6 +7,10 @@ and the group goes on whole, once.  Rows that come later than the watermark are
 dropped.  Rows without a barcode or a read belong to no group; they only move
 the watermark, so a last file of such a row closes all groups.
 
+A call of the state costs far more than a row, and groups are small and many, so
+groups are dealt to ``BUCKETS`` keys of the state by a hash.  A bucket keeps its rows as
+compressed Arrow batches and has one timer, for the first of its groups to close.
+
 The state store must be RocksDB, which ``run`` sets for its stream.
 """
 
@@ -15,6 +19,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -25,43 +31,81 @@ from poolspark.plans.shared import new_path
 from poolspark.sources import tables
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-HELD = "Genome string, MAPQ int, as_ int, NM int, XAcount int, frag_loc string, ms long"
-KEPT = ["Genome", "MAPQ", "as_", "NM", "XAcount", "frag_loc"]
 CLOSED = "Read string, BC string, Genome string, MAPQ short, as_ int, NM int, XAcount short, frag_loc string"
 
+#: Keys of the state; a folder of state keeps the number it began with.
+BUCKETS = 1024
+
+HELD = pa.schema([("Read", pa.string()), ("BC", pa.string()), ("Genome", pa.string()), ("MAPQ", pa.int16()), ("as_", pa.int32()), ("NM", pa.int32()), ("XAcount", pa.int16()), ("frag_loc", pa.string()), ("ms", pa.int64())])
+GROUP = ["Read", "BC"]
+
+
+def _packed(rows: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, HELD, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_table(rows)
+    return out.getvalue().to_pybytes()
+
+
+def _last(rows: pa.Table) -> pa.Table:
+    """(Read, BC, ms_max) of each group."""
+    return rows.group_by(GROUP).aggregate([("ms", "max")])
+
 
 class OpenReads(StatefulProcessor):
-    """The rows of a group until its timer."""
+    """The rows of a bucket's open groups, and when the first of them may close."""
 
     def __init__(self, delay_ms: int):
         self.delay_ms = delay_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", HELD)
+        self.rows = handle.getListState("rows", "part binary")
+        self.due = handle.getValueState("due", "ms long")
+
+    def _await(self, ms: int) -> None:
+        self.due.update((ms,))
+        self.handle.registerTimer(ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if all(k is not None and k == k for k in key):
-            own = [tuple(None if x is None or x != x else x if isinstance(x, str) else int(x) for x in r) for part in rows for r in part[[*KEPT, "ms"]].itertuples(index=False)]
-            self.rows.appendList(own)
-            self.handle.registerTimer(max(r[-1] for r in own) + self.delay_ms)
+        parts, first = [], None
+        for part in rows:
+            own = pa.Table.from_pandas(part[HELD.names], HELD, preserve_index=False)
+            own = own.filter(pc.and_(own["Read"].is_valid(), own["BC"].is_valid()))
+            if own.num_rows:
+                parts.append((_packed(own),))
+                early = pc.min(own["ms"]).as_py() + self.delay_ms
+                first = early if first is None else min(first, early)
+        if parts:
+            self.rows.appendList(parts)
+            # not later than any of the bucket's groups may close; one that has later rows too stays open then
+            if not self.due.exists() or first < self.due.get()[0]:
+                self._await(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = list(self.rows.get())
-        # a group that was added to since has a later timer
-        if held and max(r[-1] for r in held) + self.delay_ms <= expiredTimerInfo.getExpiryTimeInMs():
+        if not self.due.exists() or expiredTimerInfo.getExpiryTimeInMs() != self.due.get()[0]:
+            return  # another timer has come in its place
+        held = pa.concat_tables([pa.ipc.open_stream(p[0]).read_all() for p in self.rows.get()])
+        last = _last(held)
+        over = pc.less_equal(pc.add(last["ms_max"], self.delay_ms), timerValues.getCurrentWatermarkInMs())
+        still = last.filter(pc.invert(over))
+        closed = held.join(last.filter(over).select(GROUP), GROUP, join_type="left semi") if still.num_rows else held
+        if not still.num_rows:
             self.rows.clear()
-            out = pd.DataFrame([r[:-1] for r in held], columns=KEPT).astype(dict.fromkeys(("MAPQ", "XAcount"), "Int16") | dict.fromkeys(("as_", "NM"), "Int32"))
-            out.insert(0, "BC", key[1])
-            out.insert(0, "Read", key[0])
-            yield out
+            self.due.clear()
+        else:
+            if closed.num_rows:
+                self.rows.put([(_packed(held.join(still.select(GROUP), GROUP, join_type="left semi")),)])
+            self._await(pc.min(still["ms_max"]).as_py() + self.delay_ms)
+        if closed.num_rows:
+            yield closed.select(HELD.names[:-1]).to_pandas(types_mapper={pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype()}.get)
 
 
 def closed_groups(stream: DataFrame, time: str, delay_seconds: int) -> DataFrame:
     """The rows of CLOSED of whole groups; ``time`` is the stream's event time."""
-    seen = stream.withWatermark(time, "0 seconds").withColumn("ms", F.unix_millis(time)).withColumns({c: F.col(c).cast("int") for c in ("MAPQ", "XAcount")})
-    return seen.groupBy("Read", "BC").transformWithStateInPandas(OpenReads(1000 * delay_seconds), outputStructType=StructType.fromDDL(CLOSED), outputMode="append", timeMode="eventTime")
+    seen = stream.withWatermark(time, "0 seconds").withColumns({"ms": F.unix_millis(time), "bucket": F.pmod(F.xxhash64(*GROUP), F.lit(BUCKETS))})
+    return seen.groupBy("bucket").transformWithStateInPandas(OpenReads(1000 * delay_seconds), outputStructType=StructType.fromDDL(CLOSED), outputMode="append", timeMode="eventTime")
 
 
 def run(spark: SparkSession, folder: str, schema: StructType, delay_seconds: int, place: str | None = None, time: str | None = None, files: int = 64) -> DataFrame:
