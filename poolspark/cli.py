@@ -199,7 +199,7 @@ def parser() -> argparse.ArgumentParser:
     own.add_argument("--score-chunk-range", help="START:END, from 0, without END; ranges add up in one folder")
     own.add_argument("--model", help="folder of edges and tails to score with, without --chunks")
     own.add_argument("--save-model", help="folder for the edges and tails, without --chunks")
-    own.add_argument("--batch-chunks", type=int, default=chunked.BATCH, help="chunks that one job scores")
+    own.add_argument("--batch-chunks", type=int, help="chunks that one job scores; by default as many as hold ten million reads")
     own.add_argument("--skip-edges", action="store_true", help="take the edges that are there")
     own.add_argument("--skip-ecdf", action="store_true", help="take the tail probabilities that are there")
     own.add_argument("--force", action="store_true", help="start anew where the folder holds chunks of another input")

@@ -1,17 +1,22 @@
 """Scoring of reads by chunks of barcodes, which adds up over several runs and goes on after a lost one.
 
 A folder holds the scored rows, one partition for each chunk.  Beside it, in
-``<folder>.state``, lie the ranked reads dealt by chunk, so that a range of chunks
-reads its own partitions only; the models, learned once from all reads; and the
-manifest, a JSON note for each finished batch of chunks.  Scored rows are written
-with dynamic partition overwrite before their note, so a batch that a lost run
-left half-written is written again and no other one is touched.
+``<folder>.state``, lie the ranked reads sorted by chunk, so that a range of chunks
+reads its own row groups only; how many reads each chunk has; the models, learned
+once from all reads; and the manifest, a JSON note for each finished batch of chunks.
+Scored rows are written with dynamic partition overwrite before their note, so a batch
+that a lost run left half-written is written again and no other one is touched.
+
+Jobs and files follow the number of reads, not that of chunks, which may be many
+and small: a batch takes as many chunks as hold ``BATCH_READS`` reads together, and
+the rows of a chunk are gathered before they are written.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
 from dataclasses import asdict
 
 from py4j.protocol import Py4JJavaError
@@ -21,10 +26,11 @@ from pyspark.sql.types import StructType
 
 from poolspark.config import AssignConfig
 from poolspark.operators import assign, qc
+from poolspark.plans.shared import materialize
 from poolspark.sources import tables, workfolder
 
-#: Chunks that one job scores.
-BATCH = 50
+#: Reads of the chunks that one job scores, if no number of chunks is given; a lost run scores as many again.
+BATCH_READS = 10_000_000
 
 
 def _counted(seen: Observation) -> dict[str, int]:
@@ -57,14 +63,13 @@ class ChunkedScoring:
         if held is None:
             workfolder.write_json(spark, f"{self.state}/key.json", {"key": self.key})
 
-    def _once(self, name: str, make, by: str | None = None) -> DataFrame:
+    def _once(self, name: str, make) -> DataFrame:
         """A table of the state, written once; its note, with its columns and counters, is written last."""
         path, note = f"{self.state}/{name}", f"{self.state}/{name}.json"
         held = workfolder.read_json(self.spark, note)
         if held is None:
             rows, seen = make()
-            write = rows.write.mode("overwrite")
-            (write.partitionBy(by) if by else write).parquet(path)
+            rows.write.mode("overwrite").parquet(path)
             held = {"columns": rows.schema.jsonValue(), "seen": _counted(seen) if seen else {}}
             workfolder.write_json(self.spark, note, held)
         return self.spark.read.schema(StructType.fromJson(held["columns"])).parquet(path)
@@ -73,7 +78,8 @@ class ChunkedScoring:
         """Ranked reads with their chunk, sorted by barcode and read; written from ``rows`` and ``chunks`` the first time.
 
         Reads of barcodes without a chunk are left out of scoring, but models count them.
-        A large barcode may span files, as ranges are of chunk, barcode and read.
+        A large barcode may span files, as ranges are of chunk, barcode and read.  Dealing by ranges looks at
+        its rows twice, so they are ranked into a table before.
         """
 
         def make():
@@ -85,10 +91,15 @@ class ChunkedScoring:
                 seen = Observation("filtered")
                 every = rows.observe(seen, *qc.filter_counters(config.mapq_min, config.xa_max))
             kept = qc.cap_rows(qc.alignment_filter(every, config.mapq_min, config.xa_max), config.max_rows_per_genome)
-            own = assign.by_read(kept).join(chunks.select("BC", F.col("chunk_id").cast("long")), "BC", "left").withColumn("chunk_id", F.coalesce("chunk_id", F.lit(0).cast("long")))
+            own = materialize(assign.by_read(kept), "ranked").join(chunks.select("BC", F.col("chunk_id").cast("long")), "BC", "left").withColumn("chunk_id", F.coalesce("chunk_id", F.lit(0).cast("long")))
             return own.repartitionByRange("chunk_id", "BC", "Read").sortWithinPartitions("chunk_id", "BC", "Read"), seen
 
-        return self._once("reads", make, by="chunk_id")
+        return self._once("reads", make)
+
+    def sizes(self) -> dict[int, int]:
+        """The number of reads of each chunk that has any, a few bytes each."""
+        held = self._once("sizes", lambda: (self.reads().where("chunk_id > 0").groupBy("chunk_id").agg(F.count("*").alias("n")).coalesce(1), None))
+        return {r["chunk_id"]: r["n"] for r in held.collect()}
 
     def filtered(self) -> dict[str, int]:
         """What the alignment filter kept and took away, counted in the pass that filtered; nothing of a capped run."""
@@ -116,26 +127,43 @@ class ChunkedScoring:
         return {int(c): n for t in texts for c, n in json.loads(t["value"]).items()}
 
     def chunk_ids(self) -> list[int]:
-        """All chunks that have reads, a few bytes each."""
-        return sorted(r[0] for r in self.reads().select("chunk_id").distinct().where("chunk_id > 0").collect())
+        """All chunks that have reads."""
+        return sorted(self.sizes())
+
+    def score(self, span: str | None = None, batch: int | None = None, learn_edges: bool = True, learn_tails: bool = True) -> list[int]:
+        """Score the chunks of ``span`` (START:END from 0, without END) that the manifest lacks; the chunks that were scored now.
 
-    def score(self, span: str | None = None, batch: int = BATCH, learn_edges: bool = True, learn_tails: bool = True) -> list[int]:
-        """Score the chunks of ``span`` (START:END from 0, without END) that the manifest lacks; the chunks that were scored now."""
+        ``batch``: chunks that one job scores; without it, as many as hold ``BATCH_READS`` reads.
+        """
         cuts, tails = self.models(learn_edges, learn_tails)
         first, last = qc.chunk_span(span) if span else (0, None)
         done = self.finished()
         todo = [c for c in self.chunk_ids() if first < c and (last is None or c <= last) and c not in done]
-        for k in range(0, len(todo), batch):
-            self._score(todo[k : k + batch], cuts, tails)
+        for own in self._batches(todo, batch):
+            self._score(own, cuts, tails)
         return todo
 
+    def _batches(self, todo: list[int], batch: int | None) -> Iterator[list[int]]:
+        sizes, own, reads = self.sizes(), [], 0
+        for c in todo:
+            if own and (len(own) == batch if batch else reads + sizes[c] > BATCH_READS):
+                yield own
+                own, reads = [], 0
+            own.append(c)
+            reads += sizes[c]
+        if own:
+            yield own
+
     def _rows(self, own: list[int], cuts: dict[str, list[float]], tails: DataFrame) -> DataFrame:
-        raw = assign.assign_raw(self.reads().where(F.col("chunk_id").isin(own)), cuts, tails, self.config)
+        first, last = (own[0], own[-1]) if own else (0, 0)
+        raw = assign.assign_raw(self.reads().where(F.col("chunk_id").between(first, last) & F.col("chunk_id").isin(own)), cuts, tails, self.config)
         return assign.friend_rescue(assign.assign_filtered(raw, "chunk_id"), self.config.rescue_window)
 
     def _score(self, own: list[int], cuts: dict[str, list[float]], tails: DataFrame) -> None:
-        self._rows(own, cuts, tails).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_id").parquet(self.folder)
-        per = self.spark.read.parquet(self.folder).where(F.col("chunk_id").isin(own)).groupBy("chunk_id", "assigned_class").agg(F.count("*").alias("n")).collect()  # three for each chunk
+        rows = self._rows(own, cuts, tails).hint("rebalance", "chunk_id")  # the rescue leaves a chunk's rows in all tasks
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_id").parquet(self.folder)
+        paths = [f"{self.folder}/chunk_id={c}" for c in own]  # every chunk of ``own`` has reads, and every read a row
+        per = self.spark.read.schema(rows.schema).option("basePath", self.folder).parquet(*paths).groupBy("chunk_id", "assigned_class").agg(F.count("*").alias("n")).collect()  # three for each chunk
         counts: dict[int, dict[str, int]] = {c: {} for c in own}
         for r in per:
             counts[r["chunk_id"]][r["assigned_class"]] = r["n"]

@@ -120,3 +120,18 @@ def test_ranges_from_the_shell(spark, tmp_path, rows, chunks, whole, capsys):
     assert plain(cli._assigned(spark, f"{tmp_path}/a")) == whole
     assert run("--score-chunk-range", "4:2") == 1
     assert cli.main(["assign", "--filtered", f"{tmp_path}/f", "--out", f"{tmp_path}/x", "--score-chunk-range", "0:1"], spark) == 1
+
+
+def test_many_small_chunks_are_few_jobs_and_files(spark, tmp_path, rows, whole, monkeypatch):
+    small = qc.barcode_chunks(qc.distinct_barcodes(rows), 2).localCheckpoint()
+    own = start(spark, tmp_path / "a", rows, small)
+    done = own.score()
+    assert len(done) == 75 == len(list((tmp_path / "a").glob("chunk_id=*/*.parquet")))
+    assert len(list((tmp_path / "a.state" / "manifest").glob("*.json"))) == 1
+    assert len(list((tmp_path / "a.state" / "reads").rglob("*.parquet"))) <= 4
+    assert sum(own.sizes().values()) == own.reads().where("chunk_id > 0").count()
+    assert plain(own.result()) == whole
+    monkeypatch.setattr(chunked, "BATCH_READS", max(own.sizes().values()))
+    parts = list(own._batches(done, None))
+    assert [c for p in parts for c in p] == done and 1 < len(parts) < 75
+    assert all(sum(own.sizes()[c] for c in p) <= chunked.BATCH_READS for p in parts)
