@@ -40,6 +40,13 @@ class Views:
     def qc(self) -> DataFrame:
         return testkit.qc(self.spark, self.dir)
 
+    def by_genome(self, *columns: str) -> DataFrame:
+        """Rows dealt out by genome in one pass over the inputs, so that each genome's table is read alone."""
+        own = self.qc.select("Genome", *columns) if columns else self.qc
+        path = f"{new_path(self.spark, 'by-genome')}/rows"
+        own.write.option("compression", "zstd").partitionBy("Genome").parquet(path)
+        return self.spark.read.schema(own.schema).parquet(path).select(own.columns)
+
     @cached_property
     def assignment(self) -> A.Assignment:
         return A.Assignment(self.qc.drop("BC_raw"))
@@ -154,6 +161,10 @@ class Views:
         return R.sample_stats(self.rates, self.samples)
 
 
+def _tables(rows: DataFrame) -> dict[str, DataFrame]:
+    return {f"G{i}": rows.where(F.col("Genome") == f"G{i}").drop("Genome") for i in range(5)}
+
+
 def _policies(v: Views) -> DataFrame:
     """Decisions on the calls of all barcodes, and on a few that have every other kind of call."""
     calls, out = v.simple_calls.unionByName(testkit.calls_fix(v.spark), allowMissingColumns=True), None
@@ -191,9 +202,11 @@ def _tsv(v: Views) -> DataFrame:
 
 def _bam(v: Views) -> DataFrame:
     """All rows, by way of one BAM folder for each genome."""
-    path, back = new_path(v.spark, "bam"), {}
-    for g in sorted(r[0] for r in v.qc.select("Genome").distinct().collect()):
-        bam.write_bam(v.qc.where(F.col("Genome") == g), f"{path}/{g}")
+    path, back, rows = new_path(v.spark, "bam"), {}, v.by_genome()
+    cores = v.spark.sparkContext.defaultParallelism
+    for g, n in sorted(map(tuple, rows.where("Genome IS NOT NULL").groupBy("Genome").count().collect())):  # a file is one task when it is read
+        files = max(min(cores, -(-n // 10_000)), -(-n // 1_000_000))
+        bam.write_bam(rows.where(F.col("Genome") == g).repartition(files, "Read"), f"{path}/{g}")
         back[g] = bam.read_bam(v.spark, f"{path}/{g}").drop("flag")
     return Q.union_genomes(back)
 
@@ -273,9 +286,9 @@ def _stream(v: Views) -> DataFrame:
 _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "bc_normalize": lambda v: v.qc.groupBy("BC_raw").agg(F.count("*").alias("n")).select("BC_raw", barcode.normalized(F.col("BC_raw"), " pool 1").alias("bc_norm"), "n"),
     "bc_freq_filter": lambda v: Q.frequent_barcodes(v.qc.drop("BC", "Genome").withColumnRenamed("BC_raw", "BC"), 30, "pool 1"),
-    "distinct_barcodes": lambda v: Q.distinct_barcodes(*[v.qc.where(F.col("Genome") == f"G{i}") for i in range(5)]),
+    "distinct_barcodes": lambda v: Q.distinct_barcodes(*_tables(v.by_genome("BC")).values()),
     "barcode_chunks": lambda v: v.chunks,
-    "union_genomes": lambda v: Q.union_genomes({f"G{i}": v.qc.where(F.col("Genome") == f"G{i}").drop("Genome") for i in range(5)}).groupBy("Genome").agg(F.count("*").alias("n_rows"), F.count_distinct("Read").alias("n_reads")),
+    "union_genomes": lambda v: Q.union_genomes(_tables(v.by_genome("Read"))).groupBy("Genome").agg(F.count("*").alias("n_rows"), F.count_distinct("Read").alias("n_reads")),
     "genomes_one_scan": lambda v: _one_scan(v).select("Genome", *QC.fieldNames()),
     "quarantined_lines": _quarantine,
     "alignment_filter": lambda v: v.assignment.filtered.select(*ROW),

@@ -19,9 +19,10 @@ from collections.abc import Iterator
 from pathlib import Path
 from typing import BinaryIO
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
 from poolspark.functions import barcode
@@ -31,6 +32,10 @@ from poolspark.sources import tables
 #: Unmapped, secondary and supplementary alignments.
 SKIP = 4 | 256 | 2048
 _SIZE = {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
+#: Rows that pass between Spark and Python at a time.
+ROWS = 10_000
+#: The columns of a table of records, before ``raw``.
+KINDS = (pa.string(), pa.string(), pa.int16(), pa.int32(), pa.int32(), pa.int16(), pa.string(), pa.int32())
 _CODE = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 # Fixed value: the empty block that ends a file.
 _END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
@@ -102,26 +107,34 @@ class _Reader(DataSourceReader):
     def read(self, partition):
         if not partition.value:
             return
+        fields = [*zip([*QC.fieldNames(), "flag"], KINDS, strict=True), *([("raw", pa.binary())] if self.raw else [])]
+        batch = lambda held: pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(zip(*held, strict=True), fields, strict=True)], schema=pa.schema(fields))
+        held = []
         with gzip.open(partition.value) as f:
             _, names = header(f)
             for rec in records(f):
                 out = row(rec, names)
                 if self.raw:
-                    yield (*out, rec)
+                    held.append((*out, rec))
                 elif not out[-1] & SKIP:
-                    yield out
+                    held.append(out)
+                if len(held) >= ROWS:
+                    yield batch(held)
+                    held = []
+        if held:
+            yield batch(held)
 
 
-def _record(r, refs: dict[str, int]) -> bytes:
-    chrom, pos, mate = (r["frag_loc"] or "*:-1:-1").split(":")
-    name = (r["Read"] or "*").encode() + b"\0"
+def _record(refs: dict[str, int], read, bc, mapq, as_, nm, xa, frag_loc) -> bytes:
+    chrom, pos, mate = (frag_loc or "*:-1:-1").split(":")
+    name = (read or "*").encode() + b"\0"
     paired = int(mate) >= 0
-    head = struct.pack("<iiBBHHHiiii", refs.get(chrom, -1), int(pos), len(name), r["MAPQ"] or 0, 0, 0, 1 if paired else 0, 0, refs.get(chrom, -1) if paired else -1, int(mate), 0)
+    head = struct.pack("<iiBBHHHiiii", refs.get(chrom, -1), int(pos), len(name), mapq or 0, 0, 0, 1 if paired else 0, 0, refs.get(chrom, -1) if paired else -1, int(mate), 0)
     out = head + name
-    for tag, value in (("AS", r["as_"]), ("NM", r["NM"])):
+    for tag, value in (("AS", as_), ("NM", nm)):
         if value is not None:
             out += tag.encode() + b"i" + struct.pack("<i", value)
-    for tag, text in (("CB", r["BC"]), ("XA", "x,+1,1M,0;" * (r["XAcount"] or 0) or None)):
+    for tag, text in (("CB", bc), ("XA", "x,+1,1M,0;" * (xa or 0) or None)):
         if text is not None:
             out += tag.encode() + b"Z" + text.encode() + b"\0"
     return out
@@ -138,7 +151,7 @@ class _Message(WriterCommitMessage):
         self.name = name
 
 
-class _Writer(DataSourceWriter):
+class _Writer(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.path, self.header = _local(options["path"]), base64.b64decode(options["header"])
         self.refs = {n: i for i, n in enumerate(json.loads(options["refs"]))}
@@ -147,16 +160,25 @@ class _Writer(DataSourceWriter):
         os.makedirs(self.path, exist_ok=True)
         name = f"part-{uuid.uuid4().hex}.bam"
         with open(f"{self.path}/.{name}", "wb") as f:
-            held = self.header
-            for r in iterator:
-                rec = bytes(r["raw"]) if "raw" in r.__fields__ else _record(r, self.refs)
+            held = bytearray(self.header)
+            for rec in self._records(iterator):
                 held += struct.pack("<i", len(rec)) + rec
                 while len(held) >= 60_000:
-                    f.write(_block(held[:60_000]))
-                    held = held[60_000:]
-            f.write((_block(held) if held else b"") + _END)
+                    f.write(_block(bytes(held[:60_000])))
+                    del held[:60_000]
+            f.write((_block(bytes(held)) if held else b"") + _END)
         return _Message(name)
 
+    def _records(self, batches) -> Iterator[bytes]:
+        for b in batches:
+            for at in range(0, b.num_rows, ROWS):
+                own = b.slice(at, ROWS)
+                if "raw" in own.schema.names:
+                    yield from own.column("raw").to_pylist()
+                else:
+                    for cells in zip(*[own.column(c).to_pylist() for c in QC.fieldNames()], strict=True):
+                        yield _record(self.refs, *cells)
+
     def commit(self, messages):
         for m in messages:
             if m is not None:

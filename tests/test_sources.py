@@ -215,3 +215,12 @@ def test_bad_lines_and_files_are_set_aside(spark, tmp_path):
         tables.read_checked(spark, paths[3:])
     with pytest.raises(ValueError, match="no column"):
         tables.read_checked(spark, paths[:1], ("MAPQ",))
+
+
+def test_bam_rows_pass_in_arrow_batches(spark, tmp_path):
+    rows = spark.range(25_000).selectExpr("concat('r', id) AS Read", "'B' AS BC", "30S AS MAPQ", "IF(id % 3 = 0, NULL, 90) AS as_", "0 AS NM", "1S AS XAcount", "'chr1:1:-1' AS frag_loc")
+    bam.write_bam(rows.coalesce(1), f"{tmp_path}/b")
+    own = bam._Reader({"path": f"{tmp_path}/b"})
+    batches = [b for p in own.partitions() for b in own.read(p)]
+    assert [b.num_rows for b in batches] == [10_000, 10_000, 5_000]
+    assert bam.read_bam(spark, f"{tmp_path}/b").drop("flag").exceptAll(rows).count() == 0 and sum(b.column("as_").null_count for b in batches) == 8334
