@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from poolspark import catalogue
+from poolspark import catalogue, testkit
 from poolspark.config import AssignConfig
 from poolspark.operators import assign
 from tests import oracle
@@ -43,3 +43,17 @@ def test_entry_names_every_query():
 
     assert set(catalogue.QUERIES) <= set(e.queries())
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("name", ["union_genomes", "distinct_barcodes"])
+def test_genomes_are_dealt_out_in_one_pass(spark, name):
+    plan = catalogue.QUERIES[name](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Relation") == 5
+
+
+def test_large_tables_are_joined_in_more_tasks(spark, monkeypatch):
+    want = sorted(map(tuple, testkit.qc(spark, DIR).collect()), key=repr)
+    monkeypatch.setattr(testkit, "TASK_BYTES", 10_000)
+    many = testkit.qc(spark, DIR)
+    assert many._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 2
+    assert sorted(map(tuple, many.collect()), key=repr) == want
