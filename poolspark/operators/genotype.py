@@ -25,7 +25,8 @@ def from_assign(rows: DataFrame) -> DataFrame:
 
 def reduce_per_genome(rows: DataFrame) -> DataFrame:
     """One row for each barcode, read and genome: column-wise extremes; ambiguous if any row is."""
-    own = rows.na.drop(subset=["barcode", "read_id", "genome"])
+    # dealt by read alone, so that what compares a read's genomes needs no further shuffle
+    own = rows.na.drop(subset=["barcode", "read_id", "genome"]).repartition(*READ)
     cls = F.when(F.coalesce(F.max(F.col("cls") == "ambiguous"), F.lit(False)), "ambiguous").otherwise(F.coalesce(F.max("cls"), F.lit("ambiguous")))
     return own.groupBy(*READ, "genome").agg(F.max("as_").alias("as_"), F.max("mapq").alias("mapq"), F.min("nm").alias("nm"), F.max("xa").alias("xa"), cls.alias("cls"))
 
