@@ -360,7 +360,7 @@ def bic_empty(sigs: DataFrame) -> DataFrame:
 
 
 #: Signatures of a barcode, and numbers of all its grids together, that are evaluated at a time.
-BLOCK, CELLS = 2048, 1 << 21
+BLOCK, CELLS = 2048, 1 << 19
 
 #: Signatures that one row may hold on average; a barcode of more is dealt out to several rows.
 MOST = 8192
@@ -377,13 +377,30 @@ def _shapes(k: np.ndarray, cnt: list, grid: int):
             yield kk, mm, own[j : j + step]
 
 
-def _grid_sums(cnt: np.ndarray, values) -> np.ndarray:
-    """Log-likelihoods of all grid points of barcodes of one shape; ``values(a, b)`` gives the likelihoods of signatures a to b, barcodes first and signatures last."""
-    total = 0.0
-    for a in range(0, max(cnt.shape[1], 1), BLOCK):
-        x = np.log(np.maximum(values(a, a + BLOCK), TINY))
-        total = total + (x * cnt[:, a : a + BLOCK].reshape(len(cnt), *[1] * (x.ndim - 2), -1)).sum(-1)
-    return total.reshape(len(cnt), -1)
+def _distinct(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first of each combination of values in columns of equal length, and the combination of each row."""
+    code = np.zeros(len(parts[0]), np.int64)
+    for x in parts:
+        values, of = np.unique(x, return_inverse=True)
+        code = np.unique(code * len(values) + of.ravel(), return_inverse=True)[1].ravel()
+    return np.unique(code, return_index=True)[1], code
+
+
+def _grid_sums(cnt: np.ndarray, parts: list[np.ndarray], values) -> np.ndarray:
+    """Log-likelihoods of all grid points of barcodes of one shape, one row for each; ``values`` gives the likelihoods of signatures, one row for each, from their ``parts``.
+
+    ``cnt`` and ``parts`` have barcodes first and signatures last.  With hard assignment
+    few signatures differ, so each combination of parts is evaluated once.
+    """
+    total, (n, m) = 0.0, cnt.shape
+    for a in range(0, max(m, 1), BLOCK):
+        own = cnt[:, a : a + BLOCK]
+        flat = [p[:, a : a + BLOCK].ravel() for p in parts]
+        first, of = _distinct(flat)
+        alike = 2 * len(first) <= len(of)
+        x = np.log(np.maximum(values(*[(p[first] if alike else p)[:, None] for p in flat]), TINY))
+        total = total + np.einsum("bs,bsg->bg", own, (x[of] if alike else x).reshape(*own.shape, x.shape[1]))
+    return total
 
 
 def _criterion(total: np.ndarray, n: np.ndarray, params: int) -> np.ndarray:
@@ -392,17 +409,18 @@ def _criterion(total: np.ndarray, n: np.ndarray, params: int) -> np.ndarray:
 
 def _single_sums(count, amb, x, kk: int, alpha) -> np.ndarray:
     """One row for each barcode; candidates, then alpha."""
-    return _grid_sums(count, lambda a, b: (1 - alpha)[:, None] * x[:, :kk, None, a:b] + alpha[:, None] * amb[:, None, None, a:b])
+    one = lambda c: _grid_sums(count, [amb, x[:, c]], lambda e, v: (1 - alpha) * v + alpha * e)
+    return np.concatenate([one(c) for c in range(kk)], 1)
 
 
 def _doublet_sums(count, amb, x, c: int, d: int, alpha, rho) -> np.ndarray:
     """One row for each barcode and the pair c, d of candidates; alpha, then rho."""
 
-    def values(a, b):
-        mixed = rho[:, None] * x[:, c, None, a:b] + (1 - rho)[:, None] * x[:, d, None, a:b]
-        return (1 - alpha)[:, None, None] * mixed[:, None] + alpha[:, None, None] * amb[:, None, None, a:b]
+    def values(e, v, w):
+        mixed = rho * v + (1 - rho) * w
+        return ((1 - alpha)[:, None] * mixed[:, None] + alpha[:, None] * e[:, None]).reshape(len(e), -1)
 
-    return _grid_sums(count, values)
+    return _grid_sums(count, [amb, x[:, c], x[:, d]], values)
 
 
 def _pairs(kk: int) -> list[tuple[int, int]]:
@@ -504,7 +522,7 @@ def _all_sums(config: MergeConfig):
         out, cnt, e, ls, xs = [None] * len(k), cnt.tolist(), e.tolist(), ls.tolist(), xs.tolist()
         for kk, m, own in _shapes(k.to_numpy(np.int64), cnt, max(size, len(rho)) * len(alpha)):
             count, amb, x = _arrays(own, m, size, cnt, e, xs)
-            parts = [_grid_sums(count, lambda a, b, amb=amb: amb[:, None, a:b])]
+            parts = [_grid_sums(count, [amb], lambda e: e)]
             if kk:
                 parts.append(_single_sums(count, amb, x, kk, alpha))
             _, _, x = _arrays(own, m, size, cnt, e, ls)
@@ -628,7 +646,9 @@ class Genotyping:
     def phi(self) -> DataFrame | None:
         if not self.config.xmap_enabled:
             return None
-        return self._phi if self._phi is not None else phi_matrix(self.mass, self.reads, self.genomes, self.config)
+        if self._phi is None:  # written once: a row for each pair of genomes, read for the rule, the active anchors and chi
+            self._phi = materialize(phi_matrix(self.mass, self.reads, self.genomes, self.config), "phi")
+        return self._phi
 
     def calls(self) -> DataFrame:
         post = discounted(self.post, self.config.winner_discount_mode) if self.config.winner_discount else self.post

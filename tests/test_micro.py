@@ -370,3 +370,29 @@ def test_calls_move_nothing_after_the_profiles(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "Bucketed: true" in plan
+
+
+def _exchanges(df):
+    """Shuffles of the plan before it runs."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_reads_are_dealt_once_for_their_genomes(spark):
+    rows = spark.createDataFrame([("b", "r", "A", 9, 9, 0, 0, "winner")], "barcode string, read_id string, genome string, as_ int, mapq int, nm int, xa int, cls string")
+    assert _exchanges(genotype.posteriors(genotype.reduce_per_genome(rows))) == 1
+
+
+def test_equal_signatures_are_evaluated_once():
+    import numpy as np
+
+    seen, r = [], np.random.default_rng(1)
+    cnt, e, v = r.integers(1, 9, (500, 4)).astype(float), r.choice([0.1, 0.2, 0.3], (500, 4)), r.choice([0.0, 1.0], (500, 4))
+    grid = np.arange(26) * 0.02
+
+    def values(e, v):
+        seen.append(len(e))
+        return (1 - grid) * v + grid * e
+
+    got = genotype._grid_sums(cnt, [e, v], values)
+    want = (np.log(np.maximum((1 - grid) * v[..., None] + grid * e[..., None], genotype.TINY)) * cnt[..., None]).sum(1)
+    assert seen == [6] and np.allclose(got, want, rtol=1e-12)
