@@ -74,11 +74,12 @@ class Views:
 
     @cached_property
     def mass(self) -> DataFrame:
-        return G.mass_by_genome(self.post)
+        """From the written profiles, so what is asked of barcodes does not go back to the reads."""
+        return self.genotyping.mass
 
     @cached_property
     def reads(self) -> DataFrame:
-        return G.n_reads(self.post)
+        return self.genotyping.reads
 
     @cached_property
     def top(self) -> DataFrame:
@@ -142,7 +143,8 @@ class Views:
 
     @cached_property
     def as_mean(self) -> DataFrame:
-        return R.as_mean_assign(self.winners)
+        """Written once: a row for each barcode, which rates and groups read again."""
+        return materialize(R.as_mean_assign(self.winners), "as-mean")
 
     @cached_property
     def rates(self) -> DataFrame:
@@ -313,9 +315,9 @@ _MAKE: dict[str, Callable[[Views], DataFrame]] = {
     "promiscuous_filter": lambda v: G.promiscuous(v.reduced, 1, 6, 500),
     "winner_only_posterior": lambda v: v.post,
     "softmax_posterior": lambda v: G.posteriors(v.reduced, MergeConfig(winner_only=False)),
-    "mass_by_genome": lambda v: v.mass,
+    "mass_by_genome": lambda v: G.mass_by_genome(v.post),
     "mass_pivot": lambda v: G.mass_pivot(v.mass, [f"G{i}" for i in range(5)]),
-    "n_reads": lambda v: v.reads,
+    "n_reads": lambda v: G.n_reads(v.post),
     "topk_genomes": lambda v: v.top,
     "topk_restrict": lambda v: G.topk_restrict(v.reduced, v.top.where("rank <= 2")),
     "reclass_topk": lambda v: G.reclass_topk(G.topk_restrict(v.reduced, v.top.where("rank <= 2"))),

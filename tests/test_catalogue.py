@@ -57,3 +57,21 @@ def test_large_tables_are_joined_in_more_tasks(spark, monkeypatch):
     many = testkit.qc(spark, DIR)
     assert many._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 2
     assert sorted(map(tuple, many.collect()), key=repr) == want
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_simple_calls_read_profiles_and_shuffle_nothing(spark):
+    v = catalogue.Views(spark, DIR)
+    plan = _plan(v.simple_calls)
+    assert "poolspark_profiles" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_cross_mapping_is_counted_once(spark):
+    assert "Aggregate" not in _plan(catalogue.Views(spark, DIR).genotyping.phi())
+
+
+def test_mean_scores_are_written_once(spark):
+    assert "Aggregate" not in _plan(catalogue.Views(spark, DIR).as_mean)
