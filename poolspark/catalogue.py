@@ -134,21 +134,27 @@ class Views:
 
     @cached_property
     def winners(self) -> DataFrame:
-        return R.winner_reads(self.assigned)
+        """Straight from the scored reads: the rescue gives no winners, and Spark drops it."""
+        return R.winner_reads(self.assignment.result())
 
     @cached_property
     def all_winners(self) -> DataFrame:
         """As the comparison of samples takes them, whatever other hits they have."""
-        return R.winner_reads(self.assigned, xa_max=-1)
+        return R.winner_reads(self.assignment.result(), xa_max=-1)
+
+    @cached_property
+    def winner_counts(self) -> DataFrame:
+        """Written once: means and rates come from these counts, not from the reads."""
+        return materialize(R.genome_counts(self.winners), "winner-counts")
 
     @cached_property
     def as_mean(self) -> DataFrame:
         """Written once: a row for each barcode, which rates and groups read again."""
-        return materialize(R.as_mean_assign(self.winners), "as-mean")
+        return materialize(R.as_mean_assign(self.winner_counts), "as-mean")
 
     @cached_property
     def rates(self) -> DataFrame:
-        return materialize(R.contamination_rate(self.winners, self.as_mean), "rates")
+        return materialize(R.contamination_rate(self.winner_counts, self.as_mean), "rates")
 
     @cached_property
     def groups(self) -> DataFrame:

@@ -181,7 +181,7 @@ def friend_rescue(rows: DataFrame, window: int = 500) -> DataFrame:
         on = (F.col("BC") == F.col("__BC")) & (F.col("Genome") == F.col("__Genome")) & (F.col("__f.chr") == F.col("__chr")) & (cell(pos) == F.col("__cell"))
         hit = (F.col("__own") > 0) | (pos - F.col("__before") <= window) | (F.col("__behind") - pos <= window)
         asked = asked.join(side, on, "left").withColumn(f"__{k}", F.coalesce(hit, F.lit(False))).drop(*side.columns)
-    marked = asked.withColumn("assigned_class", F.when(F.col("__pos1") | F.col("__pos2"), "rescued").otherwise(F.col("assigned_class")))
+    marked = asked.withColumn("assigned_class", F.when(F.col("__pos1") | F.col("__pos2"), "rescued").otherwise("ambiguous"))
     return rows.where("assigned_class is null or assigned_class <> 'ambiguous'").select(rows.columns).unionByName(marked.select(rows.columns))
 
 

@@ -25,12 +25,21 @@ def winner_reads(rows: DataFrame, xa_max: int = 2) -> DataFrame:
     return own.select("BC", "Read", F.upper("Genome").alias("Genome"), "as_")
 
 
+def genome_counts(winners: DataFrame) -> DataFrame:
+    """(BC, Genome, score, n_read, n): what means and rates need of the rows BC, Read, Genome, as_; a few rows for each barcode."""
+    return winners.groupBy("BC", "Genome").agg(F.sum("as_").alias("score"), F.count("Read").alias("n_read"), F.count("*").alias("n"))
+
+
+def _counted(winners: DataFrame) -> DataFrame:
+    return winners if "n_read" in winners.columns else genome_counts(winners)
+
+
 def as_mean_assign(winners: DataFrame) -> DataFrame:
-    """The genome of the highest mean score for each barcode and the gap to the next; rows BC, Read, Genome, as_.
+    """The genome of the highest mean score for each barcode and the gap to the next; rows BC, Read, Genome, as_, or their counts.
 
     Ties go to the genome of more reads, then by name.  A missing score adds nothing to the sum, its read counts.
     """
-    per = winners.groupBy("BC", "Genome").agg((F.coalesce(F.sum("as_"), F.lit(0)) / F.count("Read")).alias("as_mean"), F.count("Read").alias("n_read"))
+    per = _counted(winners).select("BC", "Genome", (F.coalesce("score", F.lit(0)) / F.col("n_read")).alias("as_mean"), "n_read")
     w = Window.partitionBy("BC").orderBy(F.desc_nulls_last("as_mean"), F.desc("n_read"), "Genome")
     ranked = per.withColumn("rk", F.row_number().over(w))
     at = lambda k, c: F.max(F.when(F.col("rk") == k, F.col(c)))
@@ -39,8 +48,9 @@ def as_mean_assign(winners: DataFrame) -> DataFrame:
 
 
 def contamination_rate(winners: DataFrame, assigned: DataFrame) -> DataFrame:
-    own = winners.join(assigned.select("BC", "assigned_genome"), "BC").withColumn("mismatch", F.col("Genome") != F.col("assigned_genome"))
-    return own.groupBy("BC", "assigned_genome").agg(F.count("*").alias("n_reads"), F.count_if("mismatch").alias("n_mismatch")).withColumn("contam_rate", F.col("n_mismatch") / F.col("n_reads"))
+    """(BC, assigned_genome, n_reads, n_mismatch, contam_rate); of winner rows or their counts."""
+    own = _counted(winners).join(assigned.select("BC", "assigned_genome"), "BC").withColumn("other", F.when(F.col("Genome") != F.col("assigned_genome"), F.col("n")).otherwise(0))
+    return own.groupBy("BC", "assigned_genome").agg(F.sum("n").alias("n_reads"), F.sum("other").alias("n_mismatch")).withColumn("contam_rate", F.col("n_mismatch") / F.col("n_reads"))
 
 
 def pass_barcodes(assigned: DataFrame, pool: list[str]) -> DataFrame:

@@ -146,3 +146,14 @@ def test_densities_have_area_one(spark):
         n, edges = np.histogram(vs, 50)
         assert [r[1] for r in own] == n.tolist()
         assert [r[3] for r in own] == pytest.approx(edges[:-1].tolist()) and sum(r[2] * (r[4] - r[3]) for r in own) == pytest.approx(1)
+
+
+def test_means_and_rates_come_from_counts(spark):
+    rows = [("b", "r1", "A", 9), ("b", None, "A", 5), ("b", "r2", "B", None), ("b", "r3", None, 4), ("c", "r4", "B", 7), ("c", "r5", "A", 8), ("c", "r6", "A", 6), (None, "r7", "A", 6)]
+    winners = spark.createDataFrame(rows, "BC string, Read string, Genome string, as_ int")
+    counts = reports.genome_counts(winners)
+    want, got = reports.as_mean_assign(winners), reports.as_mean_assign(counts)
+    plain = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert plain(got) == plain(want)
+    rates = reports.contamination_rate(counts, got)
+    assert plain(rates) == plain(reports.contamination_rate(winners, want)) == [("b", "A", 4, 1, 0.25), ("c", "A", 3, 1, 1 / 3)]
