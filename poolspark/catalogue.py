@@ -66,7 +66,7 @@ class Views:
 
     @cached_property
     def reduced(self) -> DataFrame:
-        return G.reduce_per_genome(G.from_assign(self.assigned))
+        return G.reduce_per_genome(G.from_assign(self.assignment.result()))
 
     @cached_property
     def post(self) -> DataFrame:
@@ -87,7 +87,8 @@ class Views:
 
     @cached_property
     def genotyping(self) -> G.Genotyping:
-        return G.Genotyping(self.assigned, MergeConfig())
+        """Straight from the scored reads, which it reads once; where classes weigh the same, Spark drops the rescue behind them."""
+        return G.Genotyping(self.assignment.result(), MergeConfig())
 
     @cached_property
     def eta0(self) -> dict[str, float]:

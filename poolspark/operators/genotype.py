@@ -58,10 +58,16 @@ def composite(config: MergeConfig) -> Column:
 
 
 def posteriors(reduced: DataFrame, config: MergeConfig = MergeConfig()) -> DataFrame:
-    """(barcode, read_id, genome, l, l_amb, w_read): hard or soft assignment of a read's unit mass."""
+    """(barcode, read_id, genome, l, l_amb, w_read): hard or soft assignment of a read's unit mass.
+
+    Where all classes weigh the same, the class is not asked for, and Spark leaves out what only gives it.
+    """
     by = Window.partitionBy(*READ)
-    weight = F.when(F.col("cls") == "ambiguous", config.w_ambiguous).otherwise(config.w_confident)
-    rows = reduced.na.drop(subset=["barcode", "read_id", "genome"]).withColumn("score", composite(config)).withColumn("w_read", F.max(weight).over(by))
+    if config.w_ambiguous == config.w_confident:
+        w_read = F.lit(config.w_confident)
+    else:
+        w_read = F.max(F.when(F.col("cls") == "ambiguous", config.w_ambiguous).otherwise(config.w_confident)).over(by)
+    rows = reduced.na.drop(subset=["barcode", "read_id", "genome"]).withColumn("score", composite(config)).withColumn("w_read", w_read)
     if config.winner_only:
         top = rows.withColumn("rn", F.row_number().over(by.orderBy(F.desc_nulls_last("score"), "genome"))).where("rn = 1")
         return top.select(*READ, "genome", F.col("w_read").alias("l"), (F.col("w_read") * config.ambient_const).alias("l_amb"), "w_read")

@@ -75,3 +75,12 @@ def test_cross_mapping_is_counted_once(spark):
 
 def test_mean_scores_are_written_once(spark):
     assert "Aggregate" not in _plan(catalogue.Views(spark, DIR).as_mean)
+
+
+def test_rows_are_taken_straight_from_the_scored_reads(spark):
+    """No rescue and no table of all rows behind what asks for winners or profiles."""
+    v = catalogue.Views(spark, DIR)
+    assert v.groups and v.genotyping and "assigned" not in vars(v)
+    for df in (v.winners, v.post):
+        assert "rlike" not in _plan(df).lower() and _plan(df).count("LeftOuter") in (2, 4)  # tail probabilities alone
+    assert "genomes" not in _plan(catalogue.R.contamination_rate(v.winner_counts, v.as_mean))

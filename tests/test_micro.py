@@ -382,6 +382,26 @@ def test_reads_are_dealt_once_for_their_genomes(spark):
     assert _exchanges(genotype.posteriors(genotype.reduce_per_genome(rows))) == 1
 
 
+def _joins(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+
+
+@pytest.mark.parametrize(("weight", "joins"), [(1.0, 0), (0.25, 2)])
+def test_the_rescue_is_left_out_where_classes_weigh_the_same(spark, weight, joins):
+    rows = [("r1", "b", "A", 30, 90, 0, 0, "winner", "c1:100:300"), ("r2", "b", "A", 30, 80, 0, 0, "ambiguous", "c1:350:600"), ("r2", "b", "B", 30, 70, 0, 0, "ambiguous", "c1:9000:-1"), ("r3", "b", "B", 30, 70, 0, 0, "ambiguous", "c1:1:2"), ("r4", "b", "A", 30, 60, 0, 0, "ambiguous", "c1:90:120")]
+    own = assign.friend_rescue(spark.createDataFrame(rows, "Read string, BC string, Genome string, MAPQ int, as_ int, NM int, XAcount int, assigned_class string, frag_loc string"))
+    post = genotype.posteriors(genotype.reduce_per_genome(genotype.from_assign(own)), MergeConfig(w_ambiguous=weight))
+    assert _joins(post) == joins
+    assert {r["read_id"]: (r["genome"], r["w_read"]) for r in post.collect()} == {"r1": ("A", 1.0), "r2": ("A", 1.0), "r3": ("B", weight), "r4": ("A", 1.0)}
+
+
+def test_winners_are_read_without_the_rescue(spark):
+    rows = [("r1", "b", "A", 90, "winner", "c1:100:300"), ("r2", "b", "A", 80, "ambiguous", "c1:350:600"), ("r3", "b", "B", 80, None, "c1:350:600")]
+    own = assign.friend_rescue(spark.createDataFrame(rows, "Read string, BC string, Genome string, as_ int, assigned_class string, frag_loc string"))
+    won = reports.winner_reads(own)
+    assert _joins(won) == 0 and [r["Read"] for r in won.collect()] == ["r1"]
+
+
 def test_equal_signatures_are_evaluated_once():
     import numpy as np
 
